@@ -1,0 +1,94 @@
+"""Run registered queries and their DuckDB oracles side by side.
+
+Mirrors the driver's correctness gate: same column names, same row count,
+same multiset of rows (floats compared to 1e-9 relative).
+Usage: python tests/oracle_check.py [sf_dir] [name ...]
+"""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return float(f"{v:.12g}")
+    if hasattr(v, "tolist"):
+        v = v.tolist()
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
+    if isinstance(v, dict):
+        return tuple(sorted((k, _norm(x)) for k, x in v.items()))
+    return v
+
+
+def rows_of(cols, records):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return sorted((tuple(_norm(r[i]) for i in order) for r in records), key=repr)
+
+
+def compare(spark, sf_dir, name, fn, sql, con):
+    t0 = time.time()
+    sdf = fn(spark, sf_dir)
+    scols = sdf.columns
+    srows = [tuple(r) for r in sdf.collect()]
+    t1 = time.time()
+    if sql is None:
+        return {"name": name, "ok": None, "rows": len(srows), "spark_s": round(t1 - t0, 2)}
+    rel = con.sql(sql)
+    dcols = rel.columns
+    drows = rel.fetchall()
+    res = {"name": name, "rows": len(srows), "oracle_rows": len(drows),
+           "spark_s": round(t1 - t0, 2)}
+    if sorted(scols) != sorted(dcols):
+        res.update(ok=False, why=f"columns {sorted(scols)} vs {sorted(dcols)}")
+        return res
+    a, b = rows_of(scols, srows), rows_of(dcols, drows)
+    if a != b:
+        diff = [x for x in a if x not in set(b)][:3]
+        diff2 = [x for x in b if x not in set(a)][:3]
+        res.update(ok=False, why=f"values differ; spark-only {diff} oracle-only {diff2}")
+        return res
+    res["ok"] = True
+    return res
+
+
+def main(argv):
+    sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
+    names = [a for a in argv[1:] if not a.startswith("/")]
+    sys.path.insert(0, ".")
+    import __spark_entry__ as E
+    from metricfold.session import build_session
+    spark = build_session("local[8]", 8)
+    qs, os_ = E.queries(), E.oracle_sql()
+    con = duck(sf_dir)
+    bad = 0
+    for name in names or sorted(qs):
+        try:
+            r = compare(spark, sf_dir, name, qs[name], os_.get(name), con)
+        except Exception as e:  # report and continue
+            r = {"name": name, "ok": False, "why": f"{type(e).__name__}: {str(e)[:400]}"}
+        bad += r.get("ok") is False
+        print(r, flush=True)
+    print(f"{len(names or qs)} checked, {bad} failing")
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv))
