@@ -1 +1,121 @@
-"""Queries (filled in below)."""
+"""Queries: state upsert, lookups, listings, value texts (JOIN-1..3, FLT-5,
+PRJ-4, SET-1, SCL-4/5/11)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from metricfold.functions.scalars import fixed_text
+from metricfold.operators import fold
+from metricfold.operators import state as st
+from metricfold.plans.catalog import FOLD_STATE_SQL, UPDATES, register, with_views
+from metricfold.sources import fixtures as fx
+
+# Updates before this instant form the stored state; the rest arrive as the
+# next batch. All rows are used on one side or the other.
+UPSERT_CUTOFF = "2024-01-16 00:00:00"
+
+
+def _split(spark, sf_dir):
+    u = fx.updates(spark, sf_dir)
+    cut = F.lit(UPSERT_CUTOFF).cast("timestamp_ntz")
+    return u.where(F.col("ts") < cut), u.where(F.col("ts") >= cut)
+
+
+@register("upsert_state", with_views(f"""
+SELECT coalesce(s.id, b.id) AS id, coalesce(s.mtype, b.mtype) AS mtype,
+       CASE WHEN coalesce(s.mtype, b.mtype) = 'counter'
+            THEN CAST(coalesce(s.delta, 0) + coalesce(b.delta, 0) AS BIGINT) END AS delta,
+       CASE WHEN coalesce(s.mtype, b.mtype) = 'gauge' THEN coalesce(b.value, s.value) END AS value
+FROM s FULL OUTER JOIN b ON s.id = b.id AND s.mtype = b.mtype""",
+    s=with_views(FOLD_STATE_SQL, updates=f"{UPDATES} WHERE ts < TIMESTAMP '{UPSERT_CUTOFF}'"),
+    b=with_views(FOLD_STATE_SQL, updates=f"{UPDATES} WHERE ts >= TIMESTAMP '{UPSERT_CUTOFF}'")))
+def q_upsert_state(spark, sf_dir):
+    """JOIN-1: fold the earlier updates into state, then upsert the later
+    ones as one batch (full outer join: counters add, gauges replace)."""
+    before, after = _split(spark, sf_dir)
+    return st.upsert_state(fold.fold_state(before), after)
+
+
+# Lookup requests: every update row asks for the metric it names, kind as
+# written (mixed case included); the JSON endpoint lower-cases it.
+_REQ_SQL = f"SELECT seq, id, type FROM ({UPDATES}) u"
+
+
+@register("lookup_many", with_views("""
+SELECT r.seq, r.id, r.type,
+       CASE WHEN lower(r.type) = 'counter' THEN s.delta END AS delta_found,
+       CASE WHEN lower(r.type) = 'gauge' THEN s.value END AS value_found
+FROM req r JOIN state s ON s.id = r.id AND s.mtype = lower(r.type)
+WHERE lower(r.type) IN ('gauge', 'counter')""", updates=UPDATES, req=_REQ_SQL,
+                                    state=FOLD_STATE_SQL))
+def q_lookup_many(spark, sf_dir):
+    """JOIN-2 + PRJ-4: bulk lookup; id and kind echoed as requested."""
+    u = fx.updates(spark, sf_dir)
+    return st.lookup(u.select("seq", "id", "type"), fold.fold_state(u))
+
+
+@register("lookup_missing", with_views("""
+SELECT r.seq, r.id, r.type FROM req r
+WHERE lower(r.type) IN ('gauge', 'counter')
+  AND NOT EXISTS (SELECT 1 FROM state s WHERE s.id = r.id AND s.mtype = lower(r.type))""",
+                                       updates=UPDATES, req=_REQ_SQL, state=FOLD_STATE_SQL))
+def q_lookup_missing(spark, sf_dir):
+    """JOIN-3: valid lookups with no stored metric (not found)."""
+    u = fx.updates(spark, sf_dir)
+    return st.lookup_missing(u.select("seq", "id", "type"), fold.fold_state(u))
+
+
+@register("lookup_point", with_views("""
+SELECT * FROM state WHERE (id = 'purchase.u7' AND mtype = 'gauge')
+   OR (id = 'click.u7' AND mtype = 'counter')""", updates=UPDATES, state=FOLD_STATE_SQL))
+def q_lookup_point(spark, sf_dir):
+    """FLT-5: the two point reads (one gauge, one counter)."""
+    s = fold.fold_state(fx.updates(spark, sf_dir))
+    return st.lookup_point(s, "purchase.u7", "gauge").unionByName(
+        st.lookup_point(s, "click.u7", "counter"))
+
+
+@register("union_kinds", with_views("""
+SELECT id, 'counter' AS mtype, CAST(sum(delta) AS BIGINT) AS delta, CAST(NULL AS DOUBLE) AS value
+FROM updates WHERE type = 'counter' AND delta IS NOT NULL GROUP BY id
+UNION ALL
+SELECT id, 'gauge' AS mtype, CAST(NULL AS BIGINT) AS delta, arg_max(value, seq) AS value
+FROM updates WHERE type = 'gauge' AND value IS NOT NULL GROUP BY id""", updates=UPDATES))
+def q_union_kinds(spark, sf_dir):
+    """SET-1: counter map and gauge map concatenated."""
+    return st.union_kinds(fx.updates(spark, sf_dir))
+
+
+@register("list_lines", with_views("""
+SELECT id, mtype,
+       id || ' = ' || CASE WHEN mtype = 'counter' THEN CAST(delta AS VARCHAR)
+                           ELSE printf('%f', value) END AS line
+FROM state""", updates=UPDATES, state=FOLD_STATE_SQL))
+def q_list_lines(spark, sf_dir):
+    """SCL-11 + SCL-5: memory-store listing lines (`id = 3.140000`)."""
+    return st.list_lines(fold.fold_state(fx.updates(spark, sf_dir)), 6)
+
+
+@register("format_value", with_views(r"""
+SELECT id, mtype,
+       CASE WHEN mtype = 'counter' THEN CAST(delta AS VARCHAR)
+            ELSE regexp_replace(CAST(value AS VARCHAR), '\.0$', '') END AS text
+FROM state""", updates=UPDATES, state=FOLD_STATE_SQL))
+def q_format_value(spark, sf_dir):
+    """SCL-4: value-lookup text of each metric (shortest gauge text)."""
+    return st.value_texts(fold.fold_state(fx.updates(spark, sf_dir)))
+
+
+@register("format_fixed", """
+SELECT event_id AS seq, printf('%.2f', value) AS f2, printf('%f', value) AS f6,
+       printf('%.2f', value / 8) AS f2_eighth, printf('%f', value * 1000003) AS f6_scaled
+FROM events""")
+def q_format_fixed(spark, sf_dir):
+    """SCL-5: fixed-point texts (2 and 6 places, exact half-even rounding),
+    on the event values, their eighths (exact binary ties) and a scaled copy."""
+    e = fx.table(spark, sf_dir, "events")
+    return e.select(F.col("event_id").alias("seq"),
+                    fixed_text("value", 2).alias("f2"), fixed_text("value", 6).alias("f6"),
+                    fixed_text(F.col("value") / 8, 2).alias("f2_eighth"),
+                    fixed_text(F.col("value") * 1000003, 6).alias("f6_scaled"))
