@@ -1 +1,130 @@
-"""Queries (filled in below)."""
+"""Queries: host samples and audit (SRC-6, FLT-8, PRJ-1/2, AGG-5/6/7,
+SNK-4/6).
+
+The merge oracles are *sequential*: a recursive CTE replays the collector
+loop sample by sample, independent of the one-pass closed form Spark uses.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from metricfold.operators import audit, samples
+from metricfold.plans.catalog import UPDATES, register, with_views
+from metricfold.schemas import SAMPLE_FIELDS
+from metricfold.sources import fixtures as fx
+
+WIDE = fx.wide_sql()
+F4 = list(fx.WIDE_FIELDS)
+REPORT_EVERY = "1 day"
+
+
+def _seq_merge_sql() -> str:
+    """Recursive replay of the collector merge over `s` (needs rn per host)."""
+    zero = "m.Alloc = 0 AND m.Sys = 0 AND m.TotalAlloc = 0"
+    step = ",\n    ".join(
+        f"CASE WHEN {zero} THEN s.{c} WHEN s.{c} <> 0 THEN s.{c} ELSE m.{c} END AS {c}" for c in F4)
+    cols = ", ".join(F4)
+    return f"""m AS (
+  SELECT host, rn, {cols} FROM s WHERE rn = 1
+  UNION ALL
+  SELECT s.host, s.rn, {step}
+  FROM m JOIN s ON s.host = m.host AND s.rn = m.rn + 1)"""
+
+
+@register("merge_samples", f"""
+WITH RECURSIVE wide AS ({WIDE}),
+s AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY ord) AS rn FROM wide),
+{_seq_merge_sql()}
+SELECT m.host, {', '.join('m.' + c for c in F4)}
+FROM m JOIN (SELECT host, max(rn) AS rn FROM s GROUP BY host) e ON e.host = m.host AND e.rn = m.rn""")
+def q_merge_samples(spark, sf_dir):
+    """AGG-6: merged sample per host over all its samples."""
+    return samples.merge_samples(fx.wide(spark, sf_dir), F4)
+
+
+@register("build_update_batch", f"""
+WITH RECURSIVE wide AS ({WIDE}),
+s AS (SELECT *, time_bucket(INTERVAL '{REPORT_EVERY}', ts) AS ws,
+             row_number() OVER (PARTITION BY host ORDER BY ord) AS rn FROM wide),
+{_seq_merge_sql()},
+last AS (SELECT host, ws, max(rn) AS rn, count(*) AS polls FROM s GROUP BY host, ws),
+st AS (SELECT l.host, l.ws, {', '.join('m.' + c for c in F4)}
+       FROM last l JOIN m ON m.host = l.host AND m.rn = l.rn)
+SELECT host, ws AS window_start, id, 'gauge' AS type, CAST(NULL AS BIGINT) AS delta, value
+FROM (UNPIVOT st ON {', '.join(F4)} INTO NAME id VALUE value) u
+UNION ALL
+SELECT host, ws AS window_start, 'PollCount' AS id, 'counter' AS type, polls AS delta,
+       CAST(NULL AS DOUBLE) AS value
+FROM last WHERE polls <> 0""")
+def q_build_update_batch(spark, sf_dir):
+    """SNK-6: per host and report window, the merged gauges (long form) plus
+    the PollCount counter -- the update batch the agent forwards."""
+    return samples.report_batches(fx.wide(spark, sf_dir), F4, every=REPORT_EVERY)
+
+
+@register("poll_count", with_views(f"""
+SELECT host, time_bucket(INTERVAL '{REPORT_EVERY}', ts) AS window_start,
+       time_bucket(INTERVAL '{REPORT_EVERY}', ts) + INTERVAL '{REPORT_EVERY}' AS window_end,
+       count(*) AS poll_count
+FROM wide GROUP BY 1, 2, 3""", wide=WIDE))
+def q_poll_count(spark, sf_dir):
+    """AGG-5: polls per host per report window."""
+    return samples.poll_count(fx.wide(spark, sf_dir), every=REPORT_EVERY)
+
+
+@register("is_zero_sample", with_views("""
+SELECT host, ord, (Alloc = 0 AND Sys = 0 AND TotalAlloc = 0) AS is_zero FROM wide""", wide=WIDE))
+def q_is_zero_sample(spark, sf_dir):
+    """FLT-8: the empty-sample test on every sample."""
+    w = fx.wide(spark, sf_dir)
+    return w.select("host", "ord", samples.is_zero_sample(w).alias("is_zero"))
+
+
+@register("unpivot_samples", with_views(f"""
+SELECT host, ord, id, value FROM (UNPIVOT wide ON {', '.join(F4)} INTO NAME id VALUE value) u""",
+                                        wide=WIDE))
+def q_unpivot_samples(spark, sf_dir):
+    """PRJ-1: wide samples to (id, value) rows, zeros included."""
+    return samples.unpivot_samples(fx.wide(spark, sf_dir).drop("ts"), F4)
+
+
+@register("explode_cpu", """
+SELECT vec_id AS host, 'CPUutilization' || CAST(i AS VARCHAR) AS id,
+       CAST(embedding[i] AS DOUBLE) AS value
+FROM (SELECT vec_id, embedding, generate_subscripts(embedding, 1) AS i FROM embeddings) e""")
+def q_explode_cpu(spark, sf_dir):
+    """PRJ-2: per-core lists (the embedding vectors) to numbered rows."""
+    return samples.explode_cpu(fx.cpu_samples(spark, sf_dir), ids=["host"])
+
+
+def _read_samples_sql() -> str:
+    def sel(provider: int, present: tuple[str, ...]) -> str:
+        cols = ["host", "ord", f"{provider} AS provider", "ts"] + [
+            (f"CAST({f} AS DOUBLE) AS {f}" if f in present else f"CAST(0.0 AS DOUBLE) AS {f}")
+            for f in SAMPLE_FIELDS]
+        return f"SELECT {', '.join(cols)} FROM ({WIDE}) w"
+    return sel(0, ("Alloc", "Sys", "TotalAlloc")) + "\nUNION ALL\n" + sel(1, ("FreeMemory",))
+
+
+@register("read_samples", _read_samples_sql())
+def q_read_samples(spark, sf_dir):
+    """SRC-6: recorded samples of two providers (runtime fields; host
+    fields) unioned by name and conformed to the full SAMPLE schema."""
+    w = fx.wide(spark, sf_dir)
+    runtime = w.select("host", "ord", F.lit(0).alias("provider"), "ts", "Alloc", "Sys", "TotalAlloc")
+    host = w.select("host", "ord", F.lit(1).alias("provider"), "ts", "FreeMemory")
+    return samples.read_samples([runtime, host])
+
+
+@register("audit_events", with_views(f"""
+SELECT batch_id, page, epoch_us(max(ts)) // 1000 AS ts, count(*) AS n_metrics, ip_address,
+       to_json({{'ts': epoch_us(max(ts)) // 1000, 'metrics': list(id ORDER BY seq),
+                 'ip_address': ip_address}}) AS line
+FROM (SELECT *, (seq - (seq % {audit.PAGE_SIZE})) // {audit.PAGE_SIZE} AS page FROM updates) u
+GROUP BY batch_id, ip_address, page""", updates=UPDATES))
+def q_audit_events(spark, sf_dir):
+    """AGG-7 + SCL-8 + SNK-4: one audit record per update batch (ids in
+    arrival order, skipped rows included), as the JSON line appended."""
+    ev = audit.audit_events(fx.updates(spark, sf_dir))
+    return ev.select("batch_id", "page", "ts", "n_metrics", "ip_address", "line")
