@@ -136,30 +136,34 @@ def parse_path_update(paths: DataFrame, path_col: str = "path") -> DataFrame:
 
 
 def restore_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-4: a snapshot (JSON array of updates, or JSON lines as written by
-    ``save_snapshot``) -> state. Assigns (later duplicate wins, by position
-    in the file), keeps only known kinds with a value; a missing path is an
-    empty state, a malformed file fails the read (FAILFAST)."""
-    from metricfold.sinks.snapshot import path_exists  # local: avoids a cycle
-    empty = spark.createDataFrame([], "id string, mtype string, delta bigint, value double")
+    """SRC-4: a snapshot -> state (id, mtype, delta, value).
+
+    Two layouts: a directory of JSON-lines parts (written by
+    ``save_snapshot``; read in parallel, one record per line) or a single
+    JSON-array file (the reference's layout; validated with the batch rule,
+    ``null`` = empty). Records assign: a later duplicate of (id, kind) wins,
+    by position. Unknown kinds and records without a value are dropped. A
+    missing path is an empty state; a malformed file raises.
+    """
+    from metricfold.sinks.snapshot import is_directory, path_exists  # avoids a cycle
     if not path_exists(spark, path):
-        return empty
-    raw = spark.read.schema(UPDATE).option("multiLine", False).option("mode", "FAILFAST") \
-        .json(path) if _is_json_lines(spark, path) else \
-        spark.read.schema(UPDATE).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    # Position = (file, row offset inside the file).
-    rows = raw.select("*", F.col("_metadata.file_path").alias("_f"),
-                      F.monotonically_increasing_id().alias("_pos"))
+        return spark.createDataFrame([], "id string, mtype string, delta bigint, value double")
+    if is_directory(spark, path):
+        rows = spark.read.schema(UPDATE).option("mode", "FAILFAST").json(path).select(
+            "*", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+                          F.monotonically_increasing_id()).alias("_pos"))
+    else:
+        files = spark.read.option("wholetext", True).text(path) \
+            .select(F.col("_metadata.file_path").alias("_file"), F.col("value").alias("payload"))
+        bad = payload_verdicts(files).where(~F.col("accepted"))
+        if not bad.isEmpty():
+            raise ValueError(f"malformed snapshot: {path}")
+        rows = payload_updates(files, keep=["_file"]).select(
+            "*", F.struct("_file", "pos").alias("_pos"))
     kept = rows.where(((F.col("type") == COUNTER) & F.col("delta").isNotNull())
                       | ((F.col("type") == GAUGE) & F.col("value").isNotNull()))
     last = kept.groupBy("id", F.col("type").alias("mtype")).agg(
-        F.max_by(F.struct("delta", "value"), F.struct("_f", "_pos")).alias("_r"))
+        F.max_by(F.struct("delta", "value"), "_pos").alias("_r"))
     return last.select("id", "mtype",
                        F.when(F.col("mtype") == COUNTER, F.col("_r.delta")).alias("delta"),
                        F.when(F.col("mtype") == GAUGE, F.col("_r.value")).alias("value"))
-
-
-def _is_json_lines(spark: SparkSession, path: str) -> bool:
-    # Snapshots written by save_snapshot are directories of JSON-lines parts.
-    from metricfold.sinks.snapshot import is_directory
-    return is_directory(spark, path)
