@@ -140,10 +140,12 @@ def report_batches(samples: DataFrame, fields: list[str] | None = None, every: s
                       F.max_by(f"_v_{c}", f"_vo_{c}").over(run),
                       F.max(f"_vo_{c}").over(run), F.lit(0.0)) for c in fields]
     state = per_window.select(key, F.col("w.start").alias("window_start"), "_polls", *merged)
-    gauges = state.unpivot([key, "window_start"], fields, "id", "value").select(
-        key, "window_start", "id", F.lit(GAUGE).alias("type"),
-        F.lit(None).cast("bigint").alias("delta"), "value")
-    polls = state.where(F.col("_polls") != 0).select(
-        key, "window_start", F.lit(POLL_COUNTER).alias("id"), F.lit(COUNTER).alias("type"),
-        F.col("_polls").cast("bigint").alias("delta"), F.lit(None).cast("double").alias("value"))
-    return gauges.unionByName(polls)
+    # Gauges and the poll counter leave in one pass (no second aggregation).
+    items = [F.struct(F.lit(c).alias("id"), F.lit(GAUGE).alias("type"),
+                      F.lit(None).cast("bigint").alias("delta"), F.col(c).alias("value"))
+             for c in fields]
+    items.append(F.struct(F.lit(POLL_COUNTER).alias("id"), F.lit(COUNTER).alias("type"),
+                          F.when(F.col("_polls") != 0, F.col("_polls").cast("bigint")).alias("delta"),
+                          F.lit(None).cast("double").alias("value")))
+    rows = state.select(key, "window_start", F.inline(F.array(*items)))
+    return rows.where((F.col("type") == GAUGE) | F.col("delta").isNotNull())

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from metricfold.session import tune
 from metricfold.sources import fixtures as fx
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -29,9 +30,19 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+def _tuned(fn: QueryFn) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune(spark)
+        return fn(spark, sf_dir)
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
 def queries() -> dict[str, QueryFn]:
+    """Registered queries; each applies the metricfold session defaults
+    (only options the session leaves unset) before building its plan."""
     _load()
-    return dict(_QUERIES)
+    return {name: _tuned(fn) for name, fn in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

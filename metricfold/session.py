@@ -21,6 +21,13 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Broadcast only on measured sizes: no broadcast from plan estimates
+    # (compressed file sizes are no bound on in-memory size); AQE broadcasts
+    # a join side when its actual shuffle output is under the adaptive
+    # threshold and keeps the sort-merge join otherwise.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.adaptive.localShuffleReader.enabled": "true",
 }
 
 

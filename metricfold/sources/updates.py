@@ -45,23 +45,31 @@ def _object_ok(v: Column) -> Column:
                                & value_ok)
 
 
+def _parsed(payloads: DataFrame, payload_col: str) -> DataFrame:
+    """Parse each payload once into a VARIANT column ``_v``; later checks and
+    the decode reuse it (an expensive expression referenced many times is
+    kept in its own projection by the optimizer, so it is not re-parsed)."""
+    return payloads.withColumn("_v", F.try_parse_json(F.col(payload_col)))
+
+
+def _verdict_cols(v: Column) -> tuple[Column, Column, Column]:
+    elems = F.try_variant_get(v, "$", "array<variant>")
+    is_null_doc = F.schema_of_variant(v) == "VOID"
+    good = F.when(is_null_doc, F.lit(True)).otherwise(
+        elems.isNotNull() & F.forall(elems, _object_ok))
+    reason = F.when(v.isNull() | ~good, F.lit(MALFORMED_JSON))
+    n = F.when(is_null_doc, F.lit(0)).otherwise(F.size(elems))
+    return reason, n, elems
+
+
 def payload_verdicts(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
     """SRC-1 rule per payload row: adds ``accepted`` (bool), ``n_elements``
     and ``reject_reason``. ``null`` is an empty batch; a non-array, an
     unparsable text or one ill-typed element rejects the payload."""
-    v = F.try_parse_json(F.col(payload_col))
-    elems = F.try_variant_get(v, "$", "array<variant>")
-    top = F.schema_of_variant(v)
-    is_null_doc = top == "VOID"
-    good = F.when(is_null_doc, F.lit(True)).otherwise(
-        elems.isNotNull() & F.forall(elems, _object_ok))
-    reason = F.when(v.isNull(), F.lit(MALFORMED_JSON)) \
-        .when(~is_null_doc & elems.isNull(), F.lit(MALFORMED_JSON)) \
-        .when(~good, F.lit(MALFORMED_JSON))
-    return payloads.withColumn("_v", v).withColumn("reject_reason", reason) \
-        .withColumn("accepted", reason.isNull()) \
-        .withColumn("n_elements", F.when(is_null_doc, F.lit(0)).otherwise(F.size(elems))) \
-        .drop("_v")
+    p = _parsed(payloads, payload_col)
+    reason, n, _ = _verdict_cols(F.col("_v"))
+    return p.withColumn("reject_reason", reason).withColumn("accepted", reason.isNull()) \
+        .withColumn("n_elements", n).drop("_v")
 
 
 def _decode(v: Column) -> list[Column]:
@@ -76,11 +84,12 @@ def payload_updates(payloads: DataFrame, payload_col: str = "payload",
                     keep: list[str] | None = None) -> DataFrame:
     """Update rows of the accepted payloads, with their array position
     ``pos`` (the arrival order inside the payload). ``keep`` columns of the
-    payload row (e.g. a batch id) are carried along."""
+    payload row (e.g. a batch id) are carried along. Parsed once; the array
+    is exploded only for accepted payloads, without any shuffle."""
     keep = keep or []
-    checked = payload_verdicts(payloads, payload_col).where("accepted")
-    elems = F.try_variant_get(F.try_parse_json(F.col(payload_col)), "$", "array<variant>")
-    ex = checked.select(*keep, F.posexplode(elems).alias("pos", "_e"))
+    p = _parsed(payloads, payload_col)
+    reason, _, elems = _verdict_cols(F.col("_v"))
+    ex = p.where(reason.isNull()).select(*keep, F.posexplode(elems).alias("pos", "_e"))
     return ex.select(*keep, "pos", *_decode(F.col("_e")))
 
 
@@ -103,17 +112,20 @@ def parse_json_update(payloads: DataFrame, payload_col: str = "payload") -> Data
     canonical lower-case ones; unknown keys are ignored.
     """
     text = F.col(payload_col)
-    v = F.try_parse_json(text)
+    p = _parsed(payloads, payload_col)
+    v = F.col("_v")
     well_typed = v.isNotNull() & F.schema_of_variant(v).startswith("OBJECT") & _object_ok(v)
     # Fields are only decoded from a well-typed object (a failed decode in
     # the reference yields no update at all).
-    v_ok = F.when(well_typed, v)
-    out = payloads.select("*", *_decode(v_ok)[:4])
+    checked = p.withColumn("_ok", well_typed)
+    v_ok = F.when(F.col("_ok"), v)
+    out = checked.select("*", *_decode(v_ok)[:4])
     mtype = normalize_kind("type")
     reason = (F.when(F.coalesce(F.length(text), F.lit(0)) == 0, F.lit(EMPTY_BODY))
-              .when(~well_typed, F.lit(MALFORMED_JSON))
+              .when(~F.col("_ok"), F.lit(MALFORMED_JSON))
               .otherwise(update_reason(mtype, "delta", "value")))
-    return out.withColumn("mtype", mtype).withColumn("reject_reason", reason).drop("type")
+    return out.withColumn("mtype", mtype).withColumn("reject_reason", reason) \
+        .drop("type", "_v", "_ok")
 
 
 def parse_path_update(paths: DataFrame, path_col: str = "path") -> DataFrame:
