@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from metricfold.functions.scalars import fixed_text
+from metricfold.functions.scalars import encode_update, fixed_text
 from metricfold.operators import fold
 from metricfold.operators import state as st
 from metricfold.plans.catalog import FOLD_STATE_SQL, UPDATES, register, with_views
@@ -119,3 +119,28 @@ def q_format_fixed(spark, sf_dir):
                     fixed_text("value", 2).alias("f2"), fixed_text("value", 6).alias("f6"),
                     fixed_text(F.col("value") / 8, 2).alias("f2_eighth"),
                     fixed_text(F.col("value") * 1000003, 6).alias("f6_scaled"))
+
+
+@register("lookup_path", with_views("""
+SELECT r.seq, r.id, r.type,
+       CASE WHEN r.type = 'counter' THEN s.delta END AS delta_found,
+       CASE WHEN r.type = 'gauge' THEN s.value END AS value_found
+FROM req r JOIN state s ON s.id = r.id AND s.mtype = r.type
+WHERE r.type IN ('gauge', 'counter')""", updates=UPDATES, req=_REQ_SQL, state=FOLD_STATE_SQL))
+def q_lookup_path(spark, sf_dir):
+    """JOIN-2, path policy: the kind is matched case-sensitively (mixed-case
+    requests are refused instead of lower-cased)."""
+    u = fx.updates(spark, sf_dir)
+    return st.lookup(u.select("seq", "id", "type"), fold.fold_state(u), lower=False)
+
+
+@register("encode_updates", with_views("""
+SELECT seq, '{"id":' || to_json(id) || ',"type":' || to_json(type)
+       || CASE WHEN delta IS NULL THEN '' ELSE ',"delta":' || CAST(delta AS VARCHAR) END
+       || CASE WHEN value IS NULL THEN '' ELSE ',"value":' || CAST(value AS VARCHAR) END
+       || '}' AS json
+FROM updates""", updates=UPDATES))
+def q_encode_updates(spark, sf_dir):
+    """SCL-9: every update as its JSON record, NULL delta/value omitted."""
+    u = fx.updates(spark, sf_dir)
+    return u.select("seq", encode_update("id", "type", "delta", "value").alias("json"))

@@ -120,3 +120,26 @@ def test_parse_gauge_strict(spark):
     assert got[5] == float("inf") and got[6] == float("-inf") and got[7] != got[7]
     assert got[8:11] == [None, None, None]
     assert got[11] == 0.25 and got[12] is None
+
+
+def test_encode_update_omits_nulls(spark):
+    from metricfold.functions.scalars import encode_update
+    df = spark.createDataFrame([("a", "counter", 5, None, None), ("b", "gauge", None, 1.5, ""),
+                                ("c", "gauge", None, 2.0, "h")],
+                               "id string, type string, delta long, value double, hash string")
+    got = [r.j for r in df.select(encode_update("id", "type", "delta", "value", "hash").alias("j")).collect()]
+    assert got == ['{"id":"a","type":"counter","delta":5}', '{"id":"b","type":"gauge","value":1.5}',
+                   '{"id":"c","type":"gauge","value":2.0,"hash":"h"}']
+
+
+def test_empty_listing_is_detected(spark):
+    empty = spark.createDataFrame([], UPD)
+    assert st.is_empty(fold.fold_state(empty))
+    assert not st.is_empty(_state(spark, [(1, "g", "gauge", None, 1.0)]))
+
+
+def test_path_lookup_is_case_sensitive(spark):
+    s = _state(spark, [(1, "g", "gauge", None, 1.0)])
+    req = spark.createDataFrame([(1, "g", "Gauge"), (2, "g", "gauge")], "seq long, id string, type string")
+    assert [r.seq for r in st.lookup(req, s, lower=False).collect()] == [2]
+    assert sorted(r.seq for r in st.lookup(req, s, lower=True).collect()) == [1, 2]
