@@ -132,3 +132,15 @@ def admission_stats(df: DataFrame, reason_col: str = "reject_reason",
     outcome = F.coalesce(F.col(reason_col), F.lit("accepted")).alias("outcome")
     keys = [F.col(c) for c in (by or [])] + [outcome]
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def policy_stats(updates: DataFrame, kind_col: str = "type") -> DataFrame:
+    """AGG-9 for both policies in one pass: each row yields its single-policy
+    outcome and its batch-policy outcome (applied / skipped), then one
+    aggregation counts (policy, outcome)."""
+    single = F.coalesce(update_reason(normalize_kind(kind_col), "delta", "value"), F.lit("accepted"))
+    batch = F.when(applies(kind_col, "delta", "value"), F.lit("accepted")).otherwise(F.lit("skipped"))
+    tagged = updates.select(F.inline(F.array(
+        F.struct(F.lit("single").alias("policy"), single.alias("outcome")),
+        F.struct(F.lit("batch").alias("policy"), batch.alias("outcome")))))
+    return tagged.groupBy("policy", "outcome").agg(F.count(F.lit(1)).alias("n"))

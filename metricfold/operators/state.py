@@ -1,11 +1,11 @@
 """Operations on folded state: upsert, lookups, listings.
 
 State is a DataFrame (id, mtype, delta, value) with one row per (id, mtype).
-Joins are plain equi-joins without hints: Catalyst broadcasts a side only
-when its measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and
-AQE re-checks that at run time from the actual shuffle sizes
-(``spark.sql.adaptive.autoBroadcastJoinThreshold``); beyond it the join stays
-a shuffled sort-merge join, and AQE splits skewed partitions.
+Joins are plain equi-joins without hints. With the metricfold session
+defaults nothing is broadcast from plan estimates; AQE broadcasts a side
+only when its measured shuffle output is under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``, otherwise the join stays a
+sort-merge join, and AQE splits skewed partitions of a hot key.
 """
 
 from __future__ import annotations
@@ -82,10 +82,17 @@ def lookup_rejected(requests: DataFrame, kind_col: str = "type", lower: bool = T
     return requests.where(~is_valid_kind(kind))
 
 
-def lookup_point(state: DataFrame, id_: str, mtype: str) -> DataFrame:
-    """FLT-5: ``id = ? AND mtype = ?``; on a stored state table both
-    predicates reach the Parquet scan and ``mtype`` prunes partitions."""
-    return state.where((F.col("id") == id_) & (F.col("mtype") == mtype))
+def lookup_point(state: DataFrame, id_: str | None = None, mtype: str | None = None,
+                 points: list[tuple[str, str]] | None = None) -> DataFrame:
+    """FLT-5: ``id = ? AND mtype = ?`` (one point, or several as one OR
+    filter over a single scan). On a stored state table the predicates reach
+    the Parquet scan and ``mtype`` prunes partitions."""
+    pts = list(points or []) + ([(id_, mtype)] if id_ is not None else [])
+    cond = None
+    for i, k in pts:
+        c = (F.col("id") == i) & (F.col("mtype") == k)
+        cond = c if cond is None else cond | c
+    return state.where(cond if cond is not None else F.lit(False))
 
 
 def union_kinds(updates: DataFrame, order_col: str = "seq") -> DataFrame:

@@ -100,13 +100,7 @@ SELECT 'batch' AS policy,
 FROM updates GROUP BY 2""", updates=UPDATES))
 def q_admission_stats(spark, sf_dir):
     """AGG-9: per-policy accounting of applied / rejected / skipped rows."""
-    u = fx.updates(spark, sf_dir)
-    single = adm.admission_stats(adm.admit_single(u)).select(
-        F.lit("single").alias("policy"), "outcome", "n")
-    batch = u.withColumn("reject_reason", F.when(~adm.applies("type", "delta", "value"),
-                                                 F.lit("skipped")))
-    batch = adm.admission_stats(batch).select(F.lit("batch").alias("policy"), "outcome", "n")
-    return single.unionByName(batch)
+    return adm.policy_stats(fx.updates(spark, sf_dir))
 
 
 @register("check_state", with_views("""

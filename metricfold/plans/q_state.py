@@ -72,8 +72,7 @@ SELECT * FROM state WHERE (id = 'purchase.u7' AND mtype = 'gauge')
 def q_lookup_point(spark, sf_dir):
     """FLT-5: the two point reads (one gauge, one counter)."""
     s = fold.fold_state(fx.updates(spark, sf_dir))
-    return st.lookup_point(s, "purchase.u7", "gauge").unionByName(
-        st.lookup_point(s, "click.u7", "counter"))
+    return st.lookup_point(s, points=[("purchase.u7", "gauge"), ("click.u7", "counter")])
 
 
 @register("union_kinds", with_views("""
