@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricfold.schemas import COUNTER, CPU_FIELD, GAUGE, POLL_COUNTER, SAMPLE_FIELDS, ZERO_TEST_FIELDS
+from metricfold.session import checkpoint_root
 
 
 def _order(order_cols: list[str]) -> Column:
@@ -116,30 +117,72 @@ def poll_count(samples: DataFrame, every: str = "10 seconds", key: str = "host",
                 "poll_count")
 
 
+SCAN_BUCKET = 4096  # report windows per (host, bucket) group in the running merge
+
+
+def _carry(prev_k: Column, prev_v: Column, prev_vo: Column,
+           cur_k: Column, cur_v: Column, cur_vo: Column) -> tuple[Column, Column, Column]:
+    """Combine merge pieces of an earlier span with a later one."""
+    k = F.least(prev_k, cur_k)
+    vo = F.greatest(prev_vo, cur_vo)
+    v = F.when(cur_vo.isNotNull() & (prev_vo.isNull() | (cur_vo >= prev_vo)), cur_v).otherwise(prev_v)
+    return k, v, vo
+
+
 def report_batches(samples: DataFrame, fields: list[str] | None = None, every: str = "10 seconds",
                    key: str = "host", ts_col: str = "ts",
-                   order_cols: list[str] | None = None) -> DataFrame:
+                   order_cols: list[str] | None = None, bucket: int = SCAN_BUCKET) -> DataFrame:
     """SNK-6 / PRJ-3 / SET-2 / FLT-9: the update batch an agent sends at the
     end of each report window: every merged field as a gauge (the merge runs
     over all samples so far, it is never reset) plus the ``PollCount``
     counter of that window when non-zero.
 
-    Per (host, window) the mergeable pieces are aggregated once; a running
-    window over the host's *windows* (not its samples) combines them, so a
-    hot host costs one row per window. Windows without samples send nothing.
+    The merge state after each window is a prefix combination of mergeable
+    per-window pieces, computed as a two-level scan so no group grows with
+    the length of a host's history: windows are grouped into buckets of at
+    most ``bucket`` consecutive windows; a running scan over a host's
+    buckets (one row per bucket) gives the carry-in of each bucket, joined
+    back on (host, bucket); a running scan inside each (host, bucket) adds
+    the bucket's own windows. Windows without samples send nothing.
     """
     order_cols = order_cols or ["ord"]
     fields = fields or [f for f in SAMPLE_FIELDS if f in samples.columns]
     o = _order(order_cols)
     per_window = samples.groupBy(key, F.window(ts_col, every).alias("w")).agg(
         F.count(F.lit(1)).alias("_polls"), *_merge_parts(samples, fields, o, None))
-    run = Window.partitionBy(key).orderBy(F.col("w.start")) \
+    start_us = F.unix_micros(F.col("w.start").cast("timestamp"))
+    width_us = F.unix_micros(F.col("w.end").cast("timestamp")) - start_us
+    per_window = per_window.withColumn("window_start", F.col("w.start")) \
+        .withColumn("_b", F.floor(start_us / (width_us * F.lit(bucket)))).drop("w")
+    # The per-window pieces feed both scan levels; write them once to the
+    # shared checkpoint folder instead of scanning the samples twice.
+    checkpoint_root(samples.sparkSession)
+    per_window = per_window.checkpoint(eager=True)
+
+    # Level 1: pieces per (host, bucket), carried over all earlier buckets.
+    per_bucket = per_window.groupBy(key, "_b").agg(
+        F.min("_k").alias("_bk"),
+        *[x for c in fields for x in (F.max_by(f"_v_{c}", f"_vo_{c}").alias(f"_bv_{c}"),
+                                      F.max(f"_vo_{c}").alias(f"_bvo_{c}"))])
+    before = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry_in = per_bucket.select(
+        key, "_b", F.min("_bk").over(before).alias("_pk"),
+        *[x for c in fields for x in (F.max_by(f"_bv_{c}", f"_bvo_{c}").over(before).alias(f"_pv_{c}"),
+                                      F.max(f"_bvo_{c}").over(before).alias(f"_pvo_{c}"))])
+
+    # Level 2: running pieces inside the bucket, combined with the carry-in.
+    run = Window.partitionBy(key, "_b").orderBy("window_start") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    k = F.min("_k").over(run)
-    merged = [_merged(c, k, F.col(f"_l_{c}"),
-                      F.max_by(f"_v_{c}", f"_vo_{c}").over(run),
-                      F.max(f"_vo_{c}").over(run), F.lit(0.0)) for c in fields]
-    state = per_window.select(key, F.col("w.start").alias("window_start"), "_polls", *merged)
+    j = per_window.join(carry_in, [key, "_b"], "inner")
+    k_in = F.min("_k").over(run)
+    merged = []
+    k_all = None
+    for c in fields:
+        k_all, v, vo = _carry(F.col("_pk"), F.col(f"_pv_{c}"), F.col(f"_pvo_{c}"),
+                              k_in, F.max_by(f"_v_{c}", f"_vo_{c}").over(run),
+                              F.max(f"_vo_{c}").over(run))
+        merged.append(_merged(c, k_all, F.col(f"_l_{c}"), v, vo, F.lit(0.0)))
+    state = j.select(key, "window_start", "_polls", *merged)
     # Gauges and the poll counter leave in one pass (no second aggregation).
     items = [F.struct(F.lit(c).alias("id"), F.lit(GAUGE).alias("type"),
                       F.lit(None).cast("bigint").alias("delta"), F.col(c).alias("value"))

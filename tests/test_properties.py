@@ -113,3 +113,12 @@ def test_formatting_exact(spark):
     assert _shortest_plain(-0.0) == "-0" and _shortest_plain(3.0) == "3"
     assert _fixed(2.675, 2) == "2.67" and _fixed(0.125, 2) == "0.12"
     assert _fixed(float("inf"), 2) == "+Inf" and _shortest_plain(float("-inf")) == "-Inf"
+
+
+def test_report_batches_bucket_size_does_not_matter(spark):
+    # The two-level scan gives the same reports for any bucket size,
+    # including buckets of one window (every carry comes from level 1).
+    w = fx.wide(spark, SF_SMALL)
+    base = _rows(samples.report_batches(w, list(fx.WIDE_FIELDS), every="1 hour"))
+    for b in (1, 3, 50):
+        assert _rows(samples.report_batches(w, list(fx.WIDE_FIELDS), every="1 hour", bucket=b)) == base
