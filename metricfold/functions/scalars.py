@@ -18,6 +18,17 @@ from pyspark.sql import types as T
 
 from metricfold.schemas import COUNTER, GAUGE, KINDS
 
+# The two formatting UDFs run in Python workers: ship this module's code with
+# the task (pickle by value) so executors need no installed copy of the
+# package.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # older cloudpickle: needs --py-files
+    pass
+
 ColumnOrName = Column | str
 
 
