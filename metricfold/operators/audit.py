@@ -39,5 +39,5 @@ def audit_events(updates: DataFrame, batch_col: str = "batch_id", order_col: str
                                              F.col("id").alias("id")))).alias("_items"))
     ev = g.select("batch_id", "page", unix_millis("_ts").alias("ts"),
                   F.transform("_items", lambda x: x["id"]).alias("metrics"), "ip_address")
-    return ev.withColumn("n_metrics", F.size("metrics")).withColumn(
+    return ev.withColumn("n_metrics", F.size("metrics").cast("bigint")).withColumn(
         "line", F.to_json(F.struct("ts", "metrics", "ip_address")))

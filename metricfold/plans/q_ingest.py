@@ -135,7 +135,7 @@ def q_parse_json_update(spark, sf_dir):
 _BATCH_VERDICT_SQL = f"""
 SELECT batch_id,
   ok AS accepted,
-  CASE WHEN ok THEN n ELSE NULL END AS n_elements_ok,
+  CASE WHEN ok THEN CAST(n AS BIGINT) ELSE NULL END AS n_elements_ok,
   CASE WHEN NOT ok THEN 'malformed_json' END AS reject_reason
 FROM (
   SELECT batch_id,

@@ -58,7 +58,7 @@ def _verdict_cols(v: Column) -> tuple[Column, Column, Column]:
     good = F.when(is_null_doc, F.lit(True)).otherwise(
         elems.isNotNull() & F.forall(elems, _object_ok))
     reason = F.when(v.isNull() | ~good, F.lit(MALFORMED_JSON))
-    n = F.when(is_null_doc, F.lit(0)).otherwise(F.size(elems))
+    n = F.when(is_null_doc, F.lit(0)).otherwise(F.size(elems)).cast("bigint")
     return reason, n, elems
 
 

@@ -43,7 +43,7 @@ def rows_of(cols, records):
     return sorted((tuple(_norm(r[i]) for i in order) for r in records), key=repr)
 
 
-def compare(spark, sf_dir, name, fn, sql, con):
+def compare(spark, sf_dir, name, fn, sql, con, check_types=True):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
     scols = sdf.columns
@@ -65,10 +65,25 @@ def compare(spark, sf_dir, name, fn, sql, con):
         diff2 = [x for x in b if x not in set(a)][:3]
         res.update(ok=False, why=f"values differ; spark-only {diff} oracle-only {diff2}")
         return res
+    if check_types:
+        st = {f.name: str(f.type) for f in sdf.toArrow().schema}
+        dt = {f.name: str(f.type) for f in rel.arrow().schema}
+        diff = {k: (st[k], dt.get(k)) for k in st if _tnorm(st[k]) != _tnorm(dt.get(k))}
+        if diff:
+            res.update(ok=False, why=f"types differ {diff}")
+            return res
     res["ok"] = True
     return res
 
 
+def _tnorm(t):
+    # Arrow type names; naive timestamps compare by unit-free name.
+    t = str(t)
+    if t.startswith("timestamp["):
+        return "timestamp" + ("_tz" if "tz=" in t else "")
+    return {"string_view": "string", "large_string": "string"}.get(t, t)
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in argv[1:] if not a.startswith("/")]
