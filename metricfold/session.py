@@ -62,9 +62,10 @@ def build_session(master: str | None = None, partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
-    Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only when
-    neither is set -- local tests -- a fresh temporary folder is created and
-    registered, so the rest of the code never invents a machine-local path.
+    Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only in
+    local mode with neither set (tests) is a fresh temporary folder created
+    and registered; on a cluster a missing setting is an error, so no job
+    ever writes to a machine-local path.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
@@ -73,6 +74,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if root:
             sc.setCheckpointDir(root)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir()

@@ -37,6 +37,17 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(s.getPath().getName()) for s in fs.listStatus(p))
 
 
+def create_marker(spark: SparkSession, path: str) -> None:
+    """Create an empty file atomically; fails if it already exists."""
+    fs, p = _fs_path(spark, path)
+    fs.create(p, False).close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
+
+
 def snapshot_records(state: DataFrame) -> DataFrame:
     """State as update records: counters carry only delta, gauges only value."""
     return state.select(

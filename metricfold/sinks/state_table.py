@@ -2,11 +2,13 @@
 
 Parquet has no row-level update, so each applied batch writes a complete new
 state version ``<root>/v<version>`` (partitioned by ``mtype``: the kind index
-of the reference becomes partition pruning) and then appends one record to
-the commit log ``<root>/_commits`` (a small JSON table). Readers take the
-highest committed version, so a reader never sees a half-written version and
-no job overwrites the path it reads. A version directory left behind by a
-failed attempt is never committed and is simply rewritten by the retry.
+of the reference becomes partition pruning) and then commits it by creating
+an empty marker ``<root>/_commits/<version>-<batch_id>`` (atomic create, fails
+if another writer got there first). Readers take the highest committed
+version from one directory listing -- no Spark job -- so a reader never sees
+a half-written version and no job overwrites the path it reads. A version
+directory left behind by a failed attempt is never committed and is simply
+rewritten by the retry.
 
 The commit record carries the streaming ``batch_id``: a replayed micro-batch
 (after a restart from the checkpoint) finds its id already committed and is
@@ -23,10 +25,9 @@ from pyspark.sql import functions as F
 from metricfold.functions.scalars import normalize_kind
 from metricfold.operators.admission import applies
 from metricfold.operators.state import upsert_state
-from metricfold.sinks.snapshot import path_exists
+from metricfold.sinks.snapshot import create_marker, delete_path, list_children
 from metricfold.schemas import COUNTER
 
-_COMMIT_SCHEMA = "version bigint, batch_id bigint, path string"
 _EMPTY_STATE = "id string, mtype string, delta bigint, value double"
 
 
@@ -41,13 +42,24 @@ def _commits(root: str) -> str:
     return f"{root.rstrip('/')}/_commits"
 
 
+def _version_path(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/v{version:012d}"
+
+
+def commits(spark: SparkSession, root: str) -> list[Commit]:
+    """All commits, oldest first (file-system listing only)."""
+    out = []
+    for name in list_children(spark, _commits(root)):
+        v, _, b = name.partition("-")
+        if v.isdigit() and b.lstrip("-").isdigit():
+            out.append(Commit(int(v), int(b), _version_path(root, int(v))))
+    return sorted(out, key=lambda c: c.version)
+
+
 def latest_commit(spark: SparkSession, root: str) -> Commit | None:
-    """Highest committed version (one tiny row to the driver)."""
-    if not path_exists(spark, _commits(root)):
-        return None
-    row = spark.read.schema(_COMMIT_SCHEMA).json(_commits(root)) \
-        .orderBy(F.col("version").desc()).limit(1).collect()
-    return Commit(int(row[0].version), int(row[0].batch_id), row[0].path) if row else None
+    """Highest committed version."""
+    c = commits(spark, root)
+    return c[-1] if c else None
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
@@ -63,14 +75,22 @@ def commit_state(spark: SparkSession, state: DataFrame, root: str, batch_id: int
     """Write ``state`` as the next version and commit it."""
     prev = latest_commit(spark, root)
     version = 0 if prev is None else prev.version + 1
-    path = f"{root.rstrip('/')}/v{version:012d}"
+    path = _version_path(root, version)
     state.select("id", "mtype", "delta", "value").write.mode("overwrite") \
         .partitionBy("mtype").parquet(path)
-    spark.createDataFrame([(version, int(batch_id), path)], _COMMIT_SCHEMA) \
-        .coalesce(1).write.mode("append").json(_commits(root))
+    create_marker(spark, f"{_commits(root)}/{version:012d}-{int(batch_id)}")
     return Commit(version, int(batch_id), path)
 
 
+def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete state versions older than the newest ``keep`` committed ones
+    (readers of the latest version are unaffected). Returns deleted paths."""
+    old = commits(spark, root)[:-keep] if keep > 0 else []
+    for c in old:
+        delete_path(spark, c.path)
+    return [c.path for c in old]
+
+
 def already_applied(spark: SparkSession, root: str, batch_id: int) -> bool:
     c = latest_commit(spark, root)
     return c is not None and c.batch_id >= batch_id
