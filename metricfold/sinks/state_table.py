@@ -1,18 +1,26 @@
-"""Stored state as versioned Parquet directories (SNK-3, AGG-4b, STR-4).
-
-Parquet has no row-level update, so each applied batch writes a complete new
-state version ``<root>/v<version>`` (partitioned by ``mtype``: the kind index
-of the reference becomes partition pruning) and then commits it by creating
-an empty marker ``<root>/_commits/<version>-<batch_id>`` (atomic create, fails
-if another writer got there first). Readers take the highest committed
-version from one directory listing -- no Spark job -- so a reader never sees
-a half-written version and no job overwrites the path it reads. A version
-directory left behind by a failed attempt is never committed and is simply
-rewritten by the retry.
-
-The commit record carries the streaming ``batch_id``: a replayed micro-batch
-(after a restart from the checkpoint) finds its id already committed and is
-skipped, so counters are applied effectively once.
+"""Stored state as committed Parquet directories (SNK-3, AGG-4b, STR-4).
+
+Parquet has no row-level update. Two commit kinds keep the state:
+
+* ``base``: the whole state (one row per key);
+* ``delta``: one applied batch, already folded (one row per key it touches).
+
+Because the fold is mergeable, the current state is the fold of the newest
+base and every later delta: counters add, the gauge of the latest commit
+wins. Appending a batch therefore writes only O(batch) rows
+(``layout="delta"``); ``compact`` (or ``compact_every``) folds the deltas
+into a new base. ``layout="rewrite"`` writes a full new base per batch.
+
+Every commit is written to its own directory ``<root>/commit=<seq>``
+(partitioned by ``mtype``: the kind index of the reference becomes partition
+pruning; ``commit`` is itself a partition column, so the newest gauge is
+``max_by(value, commit)``), then made visible by atomically creating the empty marker
+``<root>/_commits/<seq>-<batch_id>-<kind>``; creation fails if another writer
+got there first. Readers list ``_commits`` once -- no Spark job -- so they
+never see a half-written directory, and no job overwrites a path it reads.
+A directory left by a failed attempt has no marker and is rewritten on
+retry. The marker carries the streaming ``batch_id``: a replayed micro-batch
+finds its id committed and is skipped, so counters apply effectively once.
 """
 
 from __future__ import annotations
@@ -24,86 +32,139 @@ from pyspark.sql import functions as F
 
 from metricfold.functions.scalars import normalize_kind
 from metricfold.operators.admission import applies
+from metricfold.operators.fold import fold_state
 from metricfold.operators.state import upsert_state
+from metricfold.schemas import COUNTER, GAUGE
 from metricfold.sinks.snapshot import create_marker, delete_path, list_children
-from metricfold.schemas import COUNTER
 
 _EMPTY_STATE = "id string, mtype string, delta bigint, value double"
+BASE, DELTA = "base", "delta"
 
 
 @dataclass(frozen=True)
 class Commit:
-    version: int
+    seq: int
     batch_id: int
+    kind: str
     path: str
 
+    @property
+    def version(self) -> int:
+        return self.seq
+
 
 def _commits(root: str) -> str:
     return f"{root.rstrip('/')}/_commits"
 
 
-def _version_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/v{version:012d}"
+def _data_path(root: str, seq: int) -> str:
+    return f"{root.rstrip('/')}/commit={seq:012d}"
 
 
 def commits(spark: SparkSession, root: str) -> list[Commit]:
-    """All commits, oldest first (file-system listing only)."""
+    """All commits, oldest first (one file-system listing)."""
     out = []
     for name in list_children(spark, _commits(root)):
-        v, _, b = name.partition("-")
-        if v.isdigit() and b.lstrip("-").isdigit():
-            out.append(Commit(int(v), int(b), _version_path(root, int(v))))
-    return sorted(out, key=lambda c: c.version)
+        parts = name.split("-")
+        if len(parts) == 3 and parts[0].isdigit() and parts[2] in (BASE, DELTA):
+            seq, kind = int(parts[0]), parts[2]
+            out.append(Commit(seq, int(parts[1]), kind, _data_path(root, seq)))
+    return sorted(out, key=lambda c: c.seq)
 
 
 def latest_commit(spark: SparkSession, root: str) -> Commit | None:
-    """Highest committed version."""
     c = commits(spark, root)
     return c[-1] if c else None
 
 
+def _live(spark: SparkSession, root: str) -> list[Commit]:
+    """Newest base and the deltas after it: the commits that make the state."""
+    cs = commits(spark, root)
+    bases = [i for i, c in enumerate(cs) if c.kind == BASE]
+    return cs[bases[-1]:] if bases else cs
+
+
 def read_state(spark: SparkSession, root: str) -> DataFrame:
-    """SRC-5: scan the current state (id, mtype, delta, value); empty when
-    nothing was committed. Filters on id/mtype push into the Parquet scan."""
-    c = latest_commit(spark, root)
-    if c is None:
+    """SRC-5: the current state (id, mtype, delta, value); empty when nothing
+    was committed. A lone base is a plain scan (filters on id/mtype reach
+    Parquet, ``mtype`` prunes partitions); with deltas it is one mergeable
+    aggregation over base + deltas, which the same filters pass through."""
+    live = _live(spark, root)
+    if not live:
         return spark.createDataFrame([], _EMPTY_STATE)
-    return spark.read.parquet(c.path).select("id", "mtype", "delta", "value")
+    rows = spark.read.option("basePath", root).parquet(*[c.path for c in live])
+    if len(live) == 1:
+        return rows.select("id", "mtype", "delta", "value")
+    return rows.groupBy("id", "mtype").agg(
+        F.sum("delta").alias("delta"),
+        F.max_by("value", F.col("commit").cast("bigint")).alias("value"))
 
 
-def commit_state(spark: SparkSession, state: DataFrame, root: str, batch_id: int) -> Commit:
-    """Write ``state`` as the next version and commit it."""
+def _write(spark: SparkSession, root: str, rows: DataFrame, kind: str, batch_id: int) -> Commit:
     prev = latest_commit(spark, root)
-    version = 0 if prev is None else prev.version + 1
-    path = _version_path(root, version)
-    state.select("id", "mtype", "delta", "value").write.mode("overwrite") \
-        .partitionBy("mtype").parquet(path)
-    create_marker(spark, f"{_commits(root)}/{version:012d}-{int(batch_id)}")
-    return Commit(version, int(batch_id), path)
-
-
-def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Delete state versions older than the newest ``keep`` committed ones
-    (readers of the latest version are unaffected). Returns deleted paths."""
-    old = commits(spark, root)[:-keep] if keep > 0 else []
-    for c in old:
+    seq = 0 if prev is None else prev.seq + 1
+    path = _data_path(root, seq)
+    rows.select("id", "mtype", "delta", "value") \
+        .write.mode("overwrite").partitionBy("mtype").parquet(path)
+    create_marker(spark, f"{_commits(root)}/{seq:012d}-{int(batch_id)}-{kind}")
+    return Commit(seq, int(batch_id), kind, path)
+
+
+def commit_state(spark: SparkSession, state: DataFrame, root: str, batch_id: int) -> Commit:
+    """Write ``state`` as a new base."""
+    return _write(spark, root, state, BASE, batch_id)
+
+
+def compact(spark: SparkSession, root: str) -> Commit | None:
+    """Fold the live deltas into a new base (None if there is nothing to
+    fold). Readers keep using the old commits until the marker appears."""
+    live = _live(spark, root)
+    if len(live) <= 1:
+        return None
+    return _write(spark, root, read_state(spark, root), BASE, live[-1].batch_id)
+
+
+def prune_versions(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
+    """Delete commits older than the ``keep`` newest bases, with their data.
+    The live base and its deltas are never touched. Returns deleted paths."""
+    cs = commits(spark, root)
+    bases = [i for i, c in enumerate(cs) if c.kind == BASE]
+    if keep <= 0 or len(bases) < keep:
+        return []
+    cut = bases[-keep]
+    for c in cs[:cut]:
+        delete_path(spark, f"{_commits(root)}/{c.seq:012d}-{c.batch_id}-{c.kind}")
         delete_path(spark, c.path)
-    return [c.path for c in old]
+    return [c.path for c in cs[:cut]]
 
 
 def already_applied(spark: SparkSession, root: str, batch_id: int) -> bool:
-    c = latest_commit(spark, root)
-    return c is not None and c.batch_id >= batch_id
+    cs = commits(spark, root)
+    return bool(cs) and max(c.batch_id for c in cs) >= batch_id
+
+
+def _append(spark: SparkSession, root: str, rows: DataFrame, batch_id: int, order_col: str,
+            layout: str, compact_every: int | None) -> Commit:
+    if layout == "rewrite":
+        return commit_state(spark, upsert_state(read_state(spark, root), rows, order_col), root, batch_id)
+    c = _write(spark, root, fold_state(rows, order_col), DELTA, batch_id)
+    if compact_every and len(_live(spark, root)) > compact_every:
+        c = compact(spark, root) or c
+    return c
 
 
 def apply_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int,
-                order_col: str = "seq") -> Commit | None:
-    """SNK-3 + JOIN-1: upsert one batch (memory semantics, keyed (id, mtype));
-    None when ``batch_id`` was already applied (replay)."""
+                order_col: str = "seq", layout: str = DELTA,
+                compact_every: int | None = None) -> Commit | None:
+    """SNK-3 + JOIN-1: apply one batch (memory semantics, keyed (id, mtype));
+    None when ``batch_id`` was already applied (replay).
+
+    ``layout="delta"`` appends the folded batch (O(batch) written);
+    ``layout="rewrite"`` upserts into a full new base (O(state) written).
+    """
     if already_applied(spark, root, batch_id):
         return None
-    new_state = upsert_state(read_state(spark, root), batch, order_col)
-    return commit_state(spark, new_state, root, batch_id)
+    return _append(spark, root, batch, batch_id, order_col, layout, compact_every)
 
 
 def strict_batch_plan(state: DataFrame, batch: DataFrame, order_col: str = "seq",
@@ -123,23 +184,23 @@ def strict_batch_plan(state: DataFrame, batch: DataFrame, order_col: str = "seq"
     kinds = first.join(stored, "id", "left") \
         .select("id", F.coalesce("_stored", "_first").alias("_est"))
     tagged = rows.join(kinds, "id", "inner")
-    conflicts = tagged.where((F.col("_est") == COUNTER) & (F.col("_k") != COUNTER))
+    conflicts = tagged.where((F.col("_est") == COUNTER) & (F.col("_k") == GAUGE))
     effective = tagged.where(F.col("_k") == F.col("_est")) \
         .withColumn(kind_col, F.col("_k")).drop("_k", "_est")
     return conflicts.drop("_est"), effective
 
 
 def apply_strict_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int,
-                       order_col: str = "seq", quarantine: str | None = None) -> Commit | None:
+                       order_col: str = "seq", quarantine: str | None = None,
+                       layout: str = DELTA, compact_every: int | None = None) -> Commit | None:
     """AGG-4b: all-or-nothing apply. One conflicting gauge quarantines the
     whole batch (written to ``quarantine``/batch_id=N when given) and nothing
-    is committed; otherwise the effective rows are upserted."""
+    is committed; otherwise the effective rows are applied."""
     if already_applied(spark, root, batch_id):
         return None
-    state = read_state(spark, root)
-    conflicts, effective = strict_batch_plan(state, batch, order_col)
+    conflicts, effective = strict_batch_plan(read_state(spark, root), batch, order_col)
     if not conflicts.isEmpty():
         if quarantine:
             batch.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch_id={batch_id}")
         return None
-    return commit_state(spark, upsert_state(state, effective, order_col), root, batch_id)
+    return _append(spark, root, effective, batch_id, order_col, layout, compact_every)

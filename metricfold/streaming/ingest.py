@@ -4,10 +4,10 @@ SNK-2, AGG-4b).
 * ``fold_stream``: continuous keyed state with Spark's own state store
   (``groupBy().agg(sum, max_by)`` in update mode) -- incremental, no
   rewrite of old state per micro-batch.
-* ``start_state_writer``: the table form -- each micro-batch is upserted
-  into the versioned state table (see ``sinks.state_table``), stamped with
-  its ``batch_id`` so a replay after restart is skipped, then its audit
-  events go to every sink. Triggered every N seconds (the periodic
+* ``start_state_writer``: the table form -- each micro-batch is folded and
+  appended to the state table as a delta (see ``sinks.state_table``),
+  stamped with its ``batch_id`` so a replay after restart is skipped, then
+  its audit events go to every sink. Triggered every N seconds (the periodic
   snapshot) or ``availableNow`` in tests.
 * ``poll_count_stream``: watermark + tumbling window, append mode.
 
@@ -70,12 +70,15 @@ def start_state_writer(updates: DataFrame, root: str, name: str,
                        strict: bool = False, quarantine: str | None = None,
                        audit_sinks: dict[str, Sink] | None = None,
                        snapshot_root: str | None = None,
-                       ip_col: str = "ip_address") -> StreamingQuery:
+                       ip_col: str = "ip_address", layout: str = "delta",
+                       compact_every: int | None = 50) -> StreamingQuery:
     """STR-1/3/4 + SNK-2/3/5 + AGG-4b: micro-batch upsert into the state
     table, then audit events to the sinks (only after the state commit).
 
     ``every`` is the trigger interval (the reference saves every 300 s);
-    ``snapshot_root`` additionally writes a JSON snapshot per commit.
+    ``snapshot_root`` additionally writes a JSON snapshot per commit. With
+    ``layout="delta"`` a micro-batch writes only its folded rows and every
+    ``compact_every`` commits are folded into a new base.
     """
     spark = updates.sparkSession
 
@@ -83,9 +86,10 @@ def start_state_writer(updates: DataFrame, root: str, name: str,
         if tbl.already_applied(spark, root, batch_id):
             return  # replayed micro-batch: state already holds it
         if strict:
-            commit = tbl.apply_strict_batch(spark, root, batch, batch_id, order_col, quarantine)
+            commit = tbl.apply_strict_batch(spark, root, batch, batch_id, order_col, quarantine,
+                                            layout, compact_every)
         else:
-            commit = tbl.apply_batch(spark, root, batch, batch_id, order_col)
+            commit = tbl.apply_batch(spark, root, batch, batch_id, order_col, layout, compact_every)
         if commit is None:
             return
         if snapshot_root:

@@ -180,8 +180,27 @@ def test_commit_markers_and_pruning(spark, scratch):
     root = os.path.join(scratch, "state")
     for b in range(3):
         tbl.apply_batch(spark, root, u.where(F.col("batch_id") == b), b)
-    assert [c.version for c in tbl.commits(spark, root)] == [0, 1, 2]
+    assert [(c.seq, c.kind) for c in tbl.commits(spark, root)] == [(0, "delta"), (1, "delta"), (2, "delta")]
+    assert tbl.compact(spark, root).kind == "base"
+    tbl.apply_batch(spark, root, u.where(F.col("batch_id") == 3), 3)
     gone = tbl.prune_versions(spark, root, keep=1)
-    assert len(gone) == 2 and not any(os.path.exists(p.replace("file:", "")) for p in gone)
-    expect = sorted(map(tuple, fold.fold_state(u.where("batch_id < 3")).collect()))
+    assert len(gone) == 3 and not any(os.path.exists(p.replace("file:", "")) for p in gone)
+    assert [c.kind for c in tbl.commits(spark, root)] == ["base", "delta"]
+    expect = sorted(map(tuple, fold.fold_state(u.where("batch_id < 4")).collect()))
     assert sorted(map(tuple, tbl.read_state(spark, root).collect())) == expect
+
+
+def test_delta_and_rewrite_layouts_agree(spark, scratch):
+    u = fx.updates(spark, SF_SMALL)
+    batches = sorted(r.batch_id for r in u.select("batch_id").distinct().collect())
+    roots = {m: os.path.join(scratch, m) for m in ("delta", "rewrite", "compacting")}
+    for b in batches:
+        part = u.where(F.col("batch_id") == b)
+        tbl.apply_batch(spark, roots["delta"], part, b, layout="delta")
+        tbl.apply_batch(spark, roots["rewrite"], part, b, layout="rewrite")
+        tbl.apply_batch(spark, roots["compacting"], part, b, compact_every=1)
+    expect = sorted(map(tuple, fold.fold_state(u).collect()))
+    for m, r in roots.items():
+        assert sorted(map(tuple, tbl.read_state(spark, r).collect())) == expect, m
+    kinds = [c.kind for c in tbl.commits(spark, roots["compacting"])]
+    assert "base" in kinds and len(tbl._live(spark, roots["compacting"])) <= 2
