@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -85,6 +86,13 @@ def start_state_writer(updates: DataFrame, root: str, name: str,
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         if tbl.already_applied(spark, root, batch_id):
             return  # replayed micro-batch: state already holds it
+        batch.persist(StorageLevel.MEMORY_AND_DISK)  # read by apply, checks and audit
+        try:
+            _apply(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _apply(batch: DataFrame, batch_id: int) -> None:
         if strict:
             commit = tbl.apply_strict_batch(spark, root, batch, batch_id, order_col, quarantine,
                                             layout, compact_every)

@@ -30,3 +30,14 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["id", "mtype", "delta", "value"]
     assert df.count() > 0
+
+
+def test_lookup_broadcast_decided_from_measured_size(spark):
+    # No broadcast from plan estimates; after the state side's shuffle stage
+    # ran, AQE sees its real size (tiny) and switches to a broadcast join.
+    df = E.queries()["lookup_many"](spark, SF_SMALL)
+    before = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in before and "BroadcastHashJoin" not in before
+    df.collect()
+    after = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in after and "BroadcastHashJoin" in after
