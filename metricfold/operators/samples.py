@@ -91,6 +91,21 @@ def merge_samples(samples: DataFrame, fields: list[str] | None = None, key: str
     return agg.select(*out)
 
 
+# Fixed value: layout of the sample summary text (fields Alloc, HeapAlloc, Sys).
+SUMMARY_FIELDS = ("Alloc", "HeapAlloc", "Sys")
+
+
+def summary_text(samples: DataFrame) -> Column:
+    """SCL-5: ``MemoryMetrics{Alloc: a, HeapAlloc: h, Sys: s}`` with two
+    decimals (exact, half-even); a field the sample lacks prints as 0.00."""
+    from metricfold.functions.scalars import fixed_text
+    parts = []
+    for i, f in enumerate(SUMMARY_FIELDS):
+        v = F.coalesce(F.col(f), F.lit(0.0)) if f in samples.columns else F.lit(0.0)
+        parts += [F.lit(("MemoryMetrics{" if i == 0 else ", ") + f + ": "), fixed_text(v, 2)]
+    return F.concat(*parts, F.lit("}"))
+
+
 def unpivot_samples(samples: DataFrame, fields: list[str] | None = None,
                     ids: list[str] | None = None) -> DataFrame:
     """PRJ-1: wide -> long (ids..., id, value); zero fields are emitted."""

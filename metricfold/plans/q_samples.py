@@ -43,6 +43,19 @@ def q_merge_samples(spark, sf_dir):
     return samples.merge_samples(fx.wide(spark, sf_dir), F4)
 
 
+@register("sample_summary", f"""
+WITH RECURSIVE wide AS ({WIDE}),
+s AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY ord) AS rn FROM wide),
+{_seq_merge_sql()}
+SELECT m.host, printf('MemoryMetrics{{Alloc: %.2f, HeapAlloc: %.2f, Sys: %.2f}}', m.Alloc, 0.0, m.Sys)
+         AS summary
+FROM m JOIN (SELECT host, max(rn) AS rn FROM s GROUP BY host) e ON e.host = m.host AND e.rn = m.rn""")
+def q_sample_summary(spark, sf_dir):
+    """SCL-5: the two-decimal summary text of each host's merged sample."""
+    merged = samples.merge_samples(fx.wide(spark, sf_dir), F4)
+    return merged.select("host", samples.summary_text(merged).alias("summary"))
+
+
 @register("build_update_batch", f"""
 WITH RECURSIVE wide AS ({WIDE}),
 s AS (SELECT *, time_bucket(INTERVAL '{REPORT_EVERY}', ts) AS ws,

@@ -96,6 +96,16 @@ def q_list_lines(spark, sf_dir):
     return st.list_lines(fold.fold_state(fx.updates(spark, sf_dir)), 6)
 
 
+@register("list_lines_table", with_views("""
+SELECT id, mtype,
+       id || ' = ' || CASE WHEN mtype = 'counter' THEN CAST(delta AS VARCHAR)
+                           ELSE printf('%.2f', value) END AS line
+FROM state""", updates=UPDATES, state=FOLD_STATE_SQL))
+def q_list_lines_table(spark, sf_dir):
+    """SCL-11 + SCL-5: table-store listing lines (two decimals)."""
+    return st.list_lines(fold.fold_state(fx.updates(spark, sf_dir)), 2)
+
+
 @register("format_value", with_views(r"""
 SELECT id, mtype,
        CASE WHEN mtype = 'counter' THEN CAST(delta AS VARCHAR)

@@ -143,3 +143,13 @@ def test_path_lookup_is_case_sensitive(spark):
     req = spark.createDataFrame([(1, "g", "Gauge"), (2, "g", "gauge")], "seq long, id string, type string")
     assert [r.seq for r in st.lookup(req, s, lower=False).collect()] == [2]
     assert sorted(r.seq for r in st.lookup(req, s, lower=True).collect()) == [1, 2]
+
+
+def test_sample_summary_text(spark):
+    from metricfold.operators.samples import summary_text
+    df = spark.createDataFrame([(1.0, 2.675, 1234.5)], "Alloc double, HeapAlloc double, Sys double")
+    assert df.select(summary_text(df).alias("s")).collect()[0].s == \
+        "MemoryMetrics{Alloc: 1.00, HeapAlloc: 2.67, Sys: 1234.50}"
+    only = spark.createDataFrame([(3.0,)], "Sys double")
+    assert only.select(summary_text(only).alias("s")).collect()[0].s == \
+        "MemoryMetrics{Alloc: 0.00, HeapAlloc: 0.00, Sys: 3.00}"
