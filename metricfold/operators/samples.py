@@ -9,9 +9,10 @@ host is pre-reduced map-side (all aggregates below are mergeable).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metricfold.schemas import COUNTER, CPU_FIELD, GAUGE, POLL_COUNTER, SAMPLE_FIELDS, ZERO_TEST_FIELDS
@@ -22,6 +23,25 @@ def _order(order_cols: list[str]) -> Column:
     return F.col(order_cols[0]) if len(order_cols) == 1 else F.struct(*order_cols)
 
 
+Provider = Callable[[SparkSession], DataFrame]
+
+
+def collect_providers(spark: SparkSession, providers: list[DataFrame | Provider]
+                      ) -> tuple[list[DataFrame], dict[int, str]]:
+    """SRC-6 extension point: each provider is a frame or a callable that
+    builds one. Providers are tried in order; one that fails is skipped and
+    reported (as the collector logs and goes on). Each kept frame gets its
+    ``provider`` index, the tie-break of the merge order."""
+    frames, errors = [], {}
+    for i, p in enumerate(providers):
+        try:
+            df = p(spark) if callable(p) else p
+            frames.append(df if "provider" in df.columns else df.withColumn("provider", F.lit(i)))
+        except Exception as exc:  # a failing provider does not stop the others
+            errors[i] = f"{type(exc).__name__}: {exc}"
+    return frames, errors
+
+
 def read_samples(frames: list[DataFrame], with_cpu: bool = False) -> DataFrame:
     """SRC-6: union recorded samples of any providers by column name and
     conform them to the SAMPLE schema. A field a provider does not report is

@@ -122,3 +122,26 @@ def test_report_batches_bucket_size_does_not_matter(spark):
     base = _rows(samples.report_batches(w, list(fx.WIDE_FIELDS), every="1 hour"))
     for b in (1, 3, 50):
         assert _rows(samples.report_batches(w, list(fx.WIDE_FIELDS), every="1 hour", bucket=b)) == base
+
+
+def test_providers_merge_in_poll_then_provider_order(spark):
+    # Two providers per poll; a failing provider is skipped and reported.
+    w = fx.wide(spark, SF_SMALL)
+
+    def runtime(s):
+        return w.select("host", "ord", "ts", "Alloc", "Sys", "TotalAlloc")
+
+    def host(s):
+        return w.select("host", "ord", "ts", "FreeMemory")
+
+    def broken(s):
+        raise OSError("sensor unavailable")
+
+    frames, errors = samples.collect_providers(spark, [runtime, broken, host])
+    assert list(errors) == [1] and "sensor unavailable" in errors[1]
+    conformed = samples.read_samples(frames)
+    merged = samples.merge_samples(conformed, list(fx.WIDE_FIELDS), order_cols=["ord", "provider"])
+    # The runtime provider here reports only the three fields of the
+    # emptiness test, so splitting each poll into (runtime, host) samples
+    # merged in (ord, provider) order equals one merged row per poll.
+    assert _rows(merged) == _rows(samples.merge_samples(w, list(fx.WIDE_FIELDS)))
