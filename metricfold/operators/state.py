@@ -68,6 +68,16 @@ def lookup(requests: DataFrame, state: DataFrame, kind_col: str = "type",
     )
 
 
+def lookup_text(requests: DataFrame, state: DataFrame, kind_col: str = "type",
+                lower: bool = False) -> DataFrame:
+    """PRJ-4 + SCL-4, path form: each hit answered with its value text
+    (counter as integer, gauge as shortest float text)."""
+    hits = lookup(requests, state, kind_col, lower)
+    kind = normalize_kind(kind_col) if lower else F.col(kind_col)
+    return hits.select(*requests.columns,
+                       value_text(kind, "delta_found", "value_found").alias("text"))
+
+
 def lookup_missing(requests: DataFrame, state: DataFrame, kind_col: str = "type",
                    lower: bool = True) -> DataFrame:
     """JOIN-3: valid requests with no state row ("not found")."""

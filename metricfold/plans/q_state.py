@@ -153,3 +153,15 @@ def q_encode_updates(spark, sf_dir):
     """SCL-9: every update as its JSON record, NULL delta/value omitted."""
     u = fx.updates(spark, sf_dir)
     return u.select("seq", encode_update("id", "type", "delta", "value").alias("json"))
+
+
+@register("lookup_text", with_views(r"""
+SELECT r.seq, r.id, r.type,
+       CASE WHEN r.type = 'counter' THEN CAST(s.delta AS VARCHAR)
+            ELSE regexp_replace(CAST(s.value AS VARCHAR), '\.0$', '') END AS text
+FROM req r JOIN state s ON s.id = r.id AND s.mtype = r.type
+WHERE r.type IN ('gauge', 'counter')""", updates=UPDATES, req=_REQ_SQL, state=FOLD_STATE_SQL))
+def q_lookup_text(spark, sf_dir):
+    """PRJ-4 + SCL-4: path-form value lookups answered as text."""
+    u = fx.updates(spark, sf_dir)
+    return st.lookup_text(u.select("seq", "id", "type"), fold.fold_state(u))
