@@ -56,20 +56,25 @@ def fold_state_strict(updates: DataFrame, order_col: str = "seq",
     are accepted but change nothing (``ignored``). Everything is one
     aggregation per id -- no window, no join -- so hot ids stay map-side
     reduced:
-    ``established = min_by(kind, order)``; the counter sum and the last gauge
-    are computed for both kinds and the established one is kept.
+    ``established = min_by(kind, order)`` (kind coded 0/1 so the buffer
+    stays fixed-width); the counter sum and the last gauge are computed for
+    both kinds and the established one is kept.
     """
     kind = normalize_kind(kind_col)
     rows = updates.select(
         "id", kind.alias("_k"), "delta", "value", F.col(order_col).alias("_ord")
     ).where(applies("_k", "delta", "value"))
+    # The first kind travels as a 0/1 code: a fixed-width buffer keeps the
+    # aggregation on the hash path (a string buffer would force sorting).
+    code = F.when(F.col("_k") == COUNTER, F.lit(0)).otherwise(F.lit(1))
     agg = rows.groupBy("id").agg(
-        F.min_by("_k", "_ord").alias("mtype"),
+        F.min_by(code, "_ord").alias("_first"),
         F.sum(F.when(F.col("_k") == COUNTER, F.col("delta"))).alias("_sum"),
         F.max_by("value", F.when(F.col("_k") == GAUGE, F.col("_ord"))).alias("_last"),
         F.count_if(F.col("_k") == COUNTER).alias("_n_counter"),
         F.count_if(F.col("_k") == GAUGE).alias("_n_gauge"),
     )
+    agg = agg.withColumn("mtype", F.when(F.col("_first") == 0, F.lit(COUNTER)).otherwise(F.lit(GAUGE)))
     is_counter = F.col("mtype") == COUNTER
     return agg.select(
         "id", "mtype",

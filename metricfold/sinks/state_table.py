@@ -178,7 +178,9 @@ def strict_batch_plan(state: DataFrame, batch: DataFrame, order_col: str = "seq"
     """
     rows = batch.withColumn("_k", normalize_kind(kind_col)) \
         .where(applies("_k", "delta", "value"))
-    first = rows.groupBy("id").agg(F.min_by("_k", order_col).alias("_first"))
+    code = F.when(F.col("_k") == COUNTER, F.lit(0)).otherwise(F.lit(1))  # fixed-width buffer
+    first = rows.groupBy("id").agg(F.min_by(code, order_col).alias("_c")).select(
+        "id", F.when(F.col("_c") == 0, F.lit(COUNTER)).otherwise(F.lit(GAUGE)).alias("_first"))
     # Table semantics: the stored state holds one row per id.
     stored = state.select("id", F.col("mtype").alias("_stored"))
     kinds = first.join(stored, "id", "left") \
