@@ -153,3 +153,20 @@ def test_sample_summary_text(spark):
     only = spark.createDataFrame([(3.0,)], "Sys double")
     assert only.select(summary_text(only).alias("s")).collect()[0].s == \
         "MemoryMetrics{Alloc: 0.00, HeapAlloc: 0.00, Sys: 3.00}"
+
+
+def test_counter_overflow_is_an_error(spark):
+    import pytest
+    df = spark.createDataFrame([(1, "c", "counter", 2**63 - 1, None), (2, "c", "counter", 1, None)], UPD)
+    with pytest.raises(Exception, match="(?i)overflow"):
+        fold.fold_state(df).collect()
+
+
+def test_state_invariant_detects_bad_rows(spark):
+    bad = spark.createDataFrame(
+        [("a", "counter", 1, None), ("b", "counter", None, 1.0), ("c", "gauge", 1, 1.0),
+         ("d", "gauge", None, 2.0), ("e", "histogram", None, 1.0)],
+        "id string, mtype string, delta long, value double")
+    assert sorted(r.id for r in adm.state_violations(bad).collect()) == ["b", "c", "e"]
+    r = adm.check_state(bad).collect()[0]
+    assert (r.n_rows, r.n_violations) == (5, 3)
