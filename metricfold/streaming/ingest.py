@@ -76,6 +76,10 @@ def start_state_writer(updates: DataFrame, root: str, name: str,
     """STR-1/3/4 + SNK-2/3/5 + AGG-4b: micro-batch upsert into the state
     table, then audit events to the sinks (only after the state commit).
 
+    Audit events are at-most-once per batch (a crash between the state
+    commit and the audit write loses that batch's event, as the reference's
+    fire-and-forget publish does); the state itself is effectively-once.
+
     ``every`` is the trigger interval (the reference saves every 300 s);
     ``snapshot_root`` additionally writes a JSON snapshot per commit. With
     ``layout="delta"`` a micro-batch writes only its folded rows and every
@@ -114,6 +118,17 @@ def start_state_writer(updates: DataFrame, root: str, name: str,
     return _trigger(w, every).start()
 
 
+def close_state_writer(spark: SparkSession, query: StreamingQuery, root: str,
+                       snapshot_root: str | None = None) -> str | None:
+    """Stop a state writer and, like the reference on close, save a final
+    snapshot of the committed state. Returns the snapshot path."""
+    query.stop()
+    last = tbl.latest_commit(spark, root)
+    if snapshot_root is None or last is None:
+        return None
+    return save_snapshot(tbl.read_state(spark, root), snapshot_root, last.version + 1)
+
+
 def poll_count_stream(samples: DataFrame, every: str = "10 seconds",
                       watermark: str = "30 seconds", key: str = "host",
                       ts_col: str = "ts") -> DataFrame:

@@ -110,3 +110,16 @@ def test_strict_stream_quarantines_conflicting_batches(spark, scratch):
     from metricfold.operators.admission import state_violations
     assert state_violations(state).count() == 0
     assert os.path.isdir(quarantine)
+
+
+def test_close_writes_final_snapshot(spark, scratch):
+    from metricfold.sources.updates import restore_snapshot
+    u = fx.updates(spark, SF_SMALL)
+    land, root, snaps = (os.path.join(scratch, n) for n in ("land", "state", "snaps"))
+    _land_batches(spark, u, land)
+    q = ingest.start_state_writer(_stream_of(spark, land, u.schema), root, "close-" + os.path.basename(scratch))
+    q.awaitTermination()
+    path = ingest.close_state_writer(spark, q, root, snaps)
+    assert path is not None
+    got = sorted(map(tuple, restore_snapshot(spark, path).collect()))
+    assert got == sorted(map(tuple, fold.fold_state(u).collect()))
