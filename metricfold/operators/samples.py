@@ -185,8 +185,11 @@ def report_batches(samples: DataFrame, fields: list[str] | None = None, every: s
     o = _order(order_cols)
     per_window = samples.groupBy(key, F.window(ts_col, every).alias("w")).agg(
         F.count(F.lit(1)).alias("_polls"), *_merge_parts(samples, fields, o, None))
-    start_us = F.unix_micros(F.col("w.start").cast("timestamp"))
-    width_us = F.unix_micros(F.col("w.end").cast("timestamp")) - start_us
+    # Window index arithmetic in the column's own type (no time-zone cast):
+    # bucket numbers rise with window start for naive and zoned timestamps.
+    epoch = F.lit("1970-01-01 00:00:00").cast(samples.schema[ts_col].dataType)
+    start_us = F.timestamp_diff("MICROSECOND", epoch, F.col("w.start"))
+    width_us = F.timestamp_diff("MICROSECOND", F.col("w.start"), F.col("w.end"))
     per_window = per_window.withColumn("window_start", F.col("w.start")) \
         .withColumn("_b", F.floor(start_us / (width_us * F.lit(bucket)))).drop("w")
     # The per-window pieces feed both scan levels; write them once to the

@@ -145,3 +145,14 @@ def test_providers_merge_in_poll_then_provider_order(spark):
     # emptiness test, so splitting each poll into (runtime, host) samples
     # merged in (ord, provider) order equals one merged row per poll.
     assert _rows(merged) == _rows(samples.merge_samples(w, list(fx.WIDE_FIELDS)))
+
+
+def test_report_batches_do_not_depend_on_session_time_zone(spark):
+    w = fx.wide(spark, SF_SMALL)
+    utc = _rows(samples.report_batches(w, list(fx.WIDE_FIELDS), every="1 hour", bucket=5))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        local = _rows(samples.report_batches(w, list(fx.WIDE_FIELDS), every="1 hour", bucket=5))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert local == utc
