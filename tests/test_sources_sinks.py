@@ -204,3 +204,12 @@ def test_delta_and_rewrite_layouts_agree(spark, scratch):
         assert sorted(map(tuple, tbl.read_state(spark, r).collect())) == expect, m
     kinds = [c.kind for c in tbl.commits(spark, roots["compacting"])]
     assert "base" in kinds and len(tbl._live(spark, roots["compacting"])) <= 2
+
+
+def test_snapshot_save_fails_on_non_finite_gauge(spark, scratch):
+    import pytest
+    bad = spark.createDataFrame([("g", "gauge", None, float("nan")), ("c", "counter", 1, None)],
+                                "id string, mtype string, delta long, value double")
+    with pytest.raises(Exception, match="non-finite gauge"):
+        save_snapshot(bad, os.path.join(scratch, "snap"), 1)
+    assert latest_snapshot(spark, os.path.join(scratch, "snap")) is None
