@@ -165,3 +165,20 @@ def q_lookup_text(spark, sf_dir):
     """PRJ-4 + SCL-4: path-form value lookups answered as text."""
     u = fx.updates(spark, sf_dir)
     return st.lookup_text(u.select("seq", "id", "type"), fold.fold_state(u))
+
+
+@register("scan_state", with_views(FOLD_STATE_SQL, updates=UPDATES))
+def q_scan_state(spark, sf_dir):
+    """SNK-3 + SRC-5 through the stored table: the earlier updates are folded
+    and committed as a base, the later ones appended as a folded delta, and
+    the state is read back (one aggregation over base + delta). Written to a
+    fresh folder under the session's checkpoint root."""
+    import uuid
+
+    from metricfold.session import checkpoint_root
+    from metricfold.sinks import state_table as tbl
+    root = f"{checkpoint_root(spark)}/state-scan-{uuid.uuid4().hex}"
+    before, after = _split(spark, sf_dir)
+    tbl.commit_state(spark, fold.fold_state(before), root, batch_id=0)
+    tbl.apply_batch(spark, root, after, batch_id=1, layout="delta")
+    return tbl.read_state(spark, root)
