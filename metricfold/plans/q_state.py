@@ -182,3 +182,17 @@ def q_scan_state(spark, sf_dir):
     tbl.commit_state(spark, fold.fold_state(before), root, batch_id=0)
     tbl.apply_batch(spark, root, after, batch_id=1, layout="delta")
     return tbl.read_state(spark, root)
+
+
+@register("snapshot_roundtrip", with_views(FOLD_STATE_SQL, updates=UPDATES))
+def q_snapshot_roundtrip(spark, sf_dir):
+    """SNK-1 + SRC-4: the folded state saved as a JSON snapshot (fresh folder
+    under the checkpoint root) and restored from it."""
+    import uuid
+
+    from metricfold.session import checkpoint_root
+    from metricfold.sinks.snapshot import save_snapshot
+    from metricfold.sources.updates import restore_snapshot
+    root = f"{checkpoint_root(spark)}/snapshot-{uuid.uuid4().hex}"
+    path = save_snapshot(fold.fold_state(fx.updates(spark, sf_dir)), root, 1)
+    return restore_snapshot(spark, path)
