@@ -196,3 +196,23 @@ def q_snapshot_roundtrip(spark, sf_dir):
     root = f"{checkpoint_root(spark)}/snapshot-{uuid.uuid4().hex}"
     path = save_snapshot(fold.fold_state(fx.updates(spark, sf_dir)), root, 1)
     return restore_snapshot(spark, path)
+
+
+@register("stream_fold", with_views(FOLD_STATE_SQL, updates=UPDATES))
+def q_stream_fold(spark, sf_dir):
+    """STR-1: the updates arrive as a file stream (one file per trigger);
+    Spark's state store keeps the fold; each micro-batch's changed keys go
+    to a log, and the state is read back as the latest row per key."""
+    import uuid
+
+    from metricfold.session import checkpoint_root
+    from metricfold.streaming import ingest
+    tag = uuid.uuid4().hex
+    land = f"{checkpoint_root(spark)}/stream-in-{tag}"
+    log = f"{checkpoint_root(spark)}/stream-log-{tag}"
+    u = fx.updates(spark, sf_dir)
+    u.repartition(4, "batch_id").write.parquet(land)
+    stream = spark.readStream.schema(u.schema).option("maxFilesPerTrigger", 1).parquet(land)
+    q = ingest.start_fold_log(stream, log, f"stream-fold-{tag}")
+    q.awaitTermination()
+    return ingest.state_from_fold_log(spark, log)
