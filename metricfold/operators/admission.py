@@ -29,7 +29,6 @@ BAD_COUNTER_VALUE = "bad_counter_value"
 BAD_PATH = "bad_path"
 MALFORMED_JSON = "malformed_json"
 EMPTY_BODY = "empty_body"
-BAD_SIGNATURE = "bad_signature"
 
 
 def update_reason(kind: ColumnOrName, delta: ColumnOrName, value: ColumnOrName) -> Column:

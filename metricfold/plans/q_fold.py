@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from metricfold.functions.scalars import is_valid_kind
 from metricfold.operators import admission as adm
 from metricfold.operators import fold

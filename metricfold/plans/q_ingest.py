@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from metricfold.functions.scalars import parse_counter, parse_gauge, sign_payload, verify_signature
 from metricfold.operators import admission as adm
-from metricfold.plans.catalog import UPDATES, register, with_views
+from metricfold.plans.catalog import register, with_views
 from metricfold.sources import fixtures as fx
 from metricfold.sources import updates as src
 
