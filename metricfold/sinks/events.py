@@ -20,6 +20,15 @@ def write_audit(events: DataFrame, path: str) -> None:
     events.select(F.col("line").alias("value")).write.mode("append").text(path)
 
 
+def write_audit_batch(events: DataFrame, path: str) -> None:
+    """SNK-4, idempotent form: lines are written under ``path/batch_id=N``
+    with dynamic partition overwrite, so the batches present in ``events``
+    replace their own folders and a re-emitted (replayed) batch leaves
+    exactly one copy. ``path`` reads back as one text table."""
+    events.select(F.col("line").alias("value"), "batch_id").write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").text(path)
+
+
 def fanout(df: DataFrame, sinks: dict[str, Sink]) -> dict[str, str | None]:
     """SNK-5: hand the same events to every registered sink, independently.
 

@@ -90,13 +90,17 @@ def start_state_writer(updates: DataFrame, root: str, name: str,
                        audit_sinks: dict[str, Sink] | None = None,
                        snapshot_root: str | None = None,
                        ip_col: str = "ip_address", layout: str = "delta",
-                       compact_every: int | None = 50) -> StreamingQuery:
+                       compact_every: int | None = 50,
+                       replay_audit: bool = False) -> StreamingQuery:
     """STR-1/3/4 + SNK-2/3/5 + AGG-4b: micro-batch upsert into the state
     table, then audit events to the sinks (only after the state commit).
 
-    Audit events are at-most-once per batch (a crash between the state
-    commit and the audit write loses that batch's event, as the reference's
-    fire-and-forget publish does); the state itself is effectively-once.
+    Audit events are at-most-once per batch by default (a crash between the
+    state commit and the audit write loses that batch's event, as the
+    reference's fire-and-forget publish does). With idempotent sinks (e.g.
+    ``write_audit_batch``) pass ``replay_audit=True``: a replayed batch then
+    re-emits its events, which makes the audit effectively-once like the
+    state.
 
     ``every`` is the trigger interval (the reference saves every 300 s);
     ``snapshot_root`` additionally writes a JSON snapshot per commit. With
@@ -106,24 +110,29 @@ def start_state_writer(updates: DataFrame, root: str, name: str,
     spark = updates.sparkSession
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        if tbl.already_applied(spark, root, batch_id):
+        replay = tbl.already_applied(spark, root, batch_id)
+        if replay and not (replay_audit and audit_sinks):
             return  # replayed micro-batch: state already holds it
         batch.persist(StorageLevel.MEMORY_AND_DISK)  # read by apply, checks and audit
         try:
-            _apply(batch, batch_id)
+            _apply(batch, batch_id, replay)
         finally:
             batch.unpersist()
 
-    def _apply(batch: DataFrame, batch_id: int) -> None:
-        if strict:
-            commit = tbl.apply_strict_batch(spark, root, batch, batch_id, order_col, quarantine,
-                                            layout, compact_every)
-        else:
-            commit = tbl.apply_batch(spark, root, batch, batch_id, order_col, layout, compact_every)
-        if commit is None:
-            return
-        if snapshot_root:
-            save_snapshot(tbl.read_state(spark, root), snapshot_root, commit.version)
+    def _apply(batch: DataFrame, batch_id: int, replay: bool) -> None:
+        if not replay:
+            if strict:
+                commit = tbl.apply_strict_batch(spark, root, batch, batch_id, order_col,
+                                                quarantine, layout, compact_every)
+            else:
+                commit = tbl.apply_batch(spark, root, batch, batch_id, order_col, layout,
+                                         compact_every)
+            if commit is None:
+                return
+            if snapshot_root:
+                save_snapshot(tbl.read_state(spark, root), snapshot_root, commit.version)
+        elif strict and not any(c.batch_id == batch_id for c in tbl.commits(spark, root)):
+            return  # a quarantined batch emits no audit on replay either
         if audit_sinks:
             stamped = batch.withColumn("_micro_batch", F.lit(batch_id))
             ip = F.col(ip_col) if ip_col in batch.columns else F.lit("")
