@@ -51,16 +51,30 @@ def _state_side(state: DataFrame) -> DataFrame:
 
 
 def lookup(requests: DataFrame, state: DataFrame, kind_col: str = "type",
-           lower: bool = True) -> DataFrame:
+           lower: bool = True, salt: int | None = None) -> DataFrame:
     """JOIN-2 + PRJ-4: answer many lookups at once.
 
     Requests with an invalid kind are dropped (see ``lookup_rejected``); the
     JSON endpoint lower-cases the kind (``lower=True``), the path endpoint
     does not. Hits echo id and kind exactly as requested and carry the delta
     (counter) or value (gauge).
+
+    ``salt=N`` (optional) splits hot request keys over N tasks at the cost of
+    replicating the state side N times; meant for a state much smaller than
+    the requests when AQE cannot split the skew itself (e.g. a state folded
+    in the same query, whose partitioning the join reuses).
     """
     req = _requests(requests, kind_col, lower)
-    hit = req.join(_state_side(state), ["id", "_kind"], "inner")
+    side = _state_side(state)
+    keys = ["id", "_kind"]
+    if salt:
+        # Hot request keys spread over ``salt`` tasks: each request gets a
+        # deterministic salt from its own columns; the (smaller) state side
+        # is replicated once per salt value.
+        req = req.withColumn("_salt", F.pmod(F.xxhash64(*requests.columns), F.lit(salt)))
+        side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
+        keys = keys + ["_salt"]
+    hit = req.join(side, keys, "inner")
     return hit.select(
         *[c for c in requests.columns],
         F.when(F.col("_kind") == COUNTER, F.col("_sd")).alias("delta_found"),

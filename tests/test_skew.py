@@ -71,3 +71,29 @@ def test_hot_lookup_key_is_split_by_aqe(spark, scratch):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "skew=true" in plan
     assert n == len(rows) and sum(1 for r in rows if r.id == "click.u7") >= u.count() // 3
+
+
+def test_salted_lookup_equals_plain_and_spreads_hot_key(spark):
+    u = fx.updates(spark, SF_MID)
+    state = fold.fold_state(u)
+    hot = u.select("seq", F.when(F.col("seq") % 3 == 0, F.lit("click.u7")).otherwise(F.col("id")).alias("id"),
+                   F.when(F.col("seq") % 3 == 0, F.lit("counter")).otherwise(F.col("type")).alias("type"))
+    plain = sorted(map(tuple, st.lookup(hot, state).collect()))
+    salted_df = st.lookup(hot, state, salt=8)
+    assert sorted(map(tuple, salted_df.collect())) == plain
+    # With a shuffled join (no broadcast, no coalescing), the hot key's
+    # requests land in several join tasks instead of one.
+    conf = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        tasks = {}
+        for n in (None, 8):
+            df = st.lookup(hot, state, salt=n).where("id = 'click.u7'")
+            tasks[n] = len(df.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert tasks[None] == 1 and tasks[8] > 1
