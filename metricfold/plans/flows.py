@@ -44,8 +44,10 @@ def ingest_payloads(spark: SparkSession, payloads: DataFrame, state_root: str, b
     body = signed.withColumn("_req", F.monotonically_increasing_id())
     verdicts = payload_verdicts(body)
     rows = payload_updates(body, keep=["_req"])
-    # Arrival order: request, then position inside the request.
-    ordered = rows.withColumn("seq", F.struct("_req", "pos"))
+    # Arrival order: request, then position inside it. Assigned after the
+    # explode (which keeps that order inside each task) as one long, so the
+    # fold's max_by keeps a fixed-width buffer and stays a hash aggregation.
+    ordered = rows.withColumn("seq", F.monotonically_increasing_id())
     commit = tbl.apply_batch(spark, state_root, ordered, batch_id, order_col="seq")
     stats = verdicts.agg(F.count_if("accepted").alias("accepted"),
                          F.count_if(~F.col("accepted")).alias("rejected")).collect()[0]
