@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricfold.operators import state as st
-from metricfold.operators.admission import filter_signed
+from metricfold.operators.admission import signature_ok
 from metricfold.operators.audit import audit_events
 from metricfold.operators.samples import report_batches
 from metricfold.sinks import events as ev
@@ -40,24 +40,27 @@ def ingest_payloads(spark: SparkSession, payloads: DataFrame, state_root: str, b
     Returns accounting: payloads refused by signature, rejected as
     malformed, accepted, and the committed state version (None = replay).
     """
-    signed = filter_signed(payloads, key, "payload", "sig", None) if key else payloads
-    body = signed.withColumn("_req", F.monotonically_increasing_id())
-    verdicts = payload_verdicts(body)
-    rows = payload_updates(body, keep=["_req"])
+    sig_ok = signature_ok("payload", "sig", key) if key else F.lit(True)
+    body = payloads.withColumn("_sig_ok", sig_ok).withColumn("_req", F.monotonically_increasing_id())
+    signed = body.where("_sig_ok").drop("_sig_ok")
+    rows = payload_updates(signed, keep=["_req"])
     # Arrival order: request, then position inside it. Assigned after the
     # explode (which keeps that order inside each task) as one long, so the
     # fold's max_by keeps a fixed-width buffer and stays a hash aggregation.
     ordered = rows.withColumn("seq", F.monotonically_increasing_id())
     commit = tbl.apply_batch(spark, state_root, ordered, batch_id, order_col="seq")
-    stats = verdicts.agg(F.count_if("accepted").alias("accepted"),
-                         F.count_if(~F.col("accepted")).alias("rejected")).collect()[0]
+    # All accounting in one aggregation over the tagged bodies.
+    ok = F.col("_sig_ok")
+    stats = payload_verdicts(body).agg(
+        F.count_if(~ok).alias("refused"), F.count_if(ok & F.col("accepted")).alias("accepted"),
+        F.count_if(ok & ~F.col("accepted")).alias("rejected")).collect()[0]
     if commit is not None and audit_sinks:
         # One event per accepted request body, ids in body order, stamped
         # with the processing time like the reference service.
         stamped = rows.withColumn("_ip", F.lit(ip_address)).withColumn("ts", F.current_timestamp())
         ev.fanout(audit_events(stamped, batch_col="_req", order_col="pos", ip_col="_ip"),
                   audit_sinks)
-    return {"refused_signature": None if not key else payloads.count() - signed.count(),
+    return {"refused_signature": stats.refused if key else None,
             "accepted": stats.accepted, "rejected": stats.rejected,
             "version": None if commit is None else commit.version}
 
