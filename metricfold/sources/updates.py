@@ -62,14 +62,17 @@ def _verdict_cols(v: Column) -> tuple[Column, Column, Column]:
     return reason, n, elems
 
 
-def payload_verdicts(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
+def payload_verdicts(payloads: DataFrame, payload_col: str = "payload",
+                     keep_parsed: bool = False) -> DataFrame:
     """SRC-1 rule per payload row: adds ``accepted`` (bool), ``n_elements``
     and ``reject_reason``. ``null`` is an empty batch; a non-array, an
-    unparsable text or one ill-typed element rejects the payload."""
-    p = _parsed(payloads, payload_col)
+    unparsable text or one ill-typed element rejects the payload.
+    ``keep_parsed`` keeps the parsed VARIANT ``_v`` for ``payload_updates``."""
+    p = payloads if "_v" in payloads.columns else _parsed(payloads, payload_col)
     reason, n, _ = _verdict_cols(F.col("_v"))
-    return p.withColumn("reject_reason", reason).withColumn("accepted", reason.isNull()) \
-        .withColumn("n_elements", n).drop("_v")
+    out = p.withColumn("reject_reason", reason).withColumn("accepted", reason.isNull()) \
+        .withColumn("n_elements", n)
+    return out if keep_parsed else out.drop("_v")
 
 
 def _decode(v: Column) -> list[Column]:
@@ -87,7 +90,7 @@ def payload_updates(payloads: DataFrame, payload_col: str = "payload",
     payload row (e.g. a batch id) are carried along. Parsed once; the array
     is exploded only for accepted payloads, without any shuffle."""
     keep = keep or []
-    p = _parsed(payloads, payload_col)
+    p = payloads if "_v" in payloads.columns else _parsed(payloads, payload_col)
     reason, _, elems = _verdict_cols(F.col("_v"))
     ex = p.where(reason.isNull()).select(*keep, F.posexplode(elems).alias("pos", "_e"))
     return ex.select(*keep, "pos", *_decode(F.col("_e")))
