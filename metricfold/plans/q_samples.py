@@ -141,3 +141,40 @@ def q_audit_events(spark, sf_dir):
     arrival order, skipped rows included), as the JSON line appended."""
     ev = audit.audit_events(fx.updates(spark, sf_dir))
     return ev.select("batch_id", "page", "ts", "n_metrics", "ip_address", "line")
+
+
+STREAM_WATERMARK = "1 hour"
+
+
+@register("stream_poll_count", with_views(f"""
+SELECT host, window_start, window_end, poll_count FROM (
+  SELECT host, time_bucket(INTERVAL '{REPORT_EVERY}', ts) AS window_start,
+         time_bucket(INTERVAL '{REPORT_EVERY}', ts) + INTERVAL '{REPORT_EVERY}' AS window_end,
+         count(*) AS poll_count
+  FROM wide GROUP BY 1, 2, 3) w
+WHERE window_end <= (SELECT max(ts) FROM wide) - INTERVAL '{STREAM_WATERMARK}'""", wide=WIDE))
+def q_stream_poll_count(spark, sf_dir):
+    """STR-2: samples arrive as a file stream; polls are counted per host
+    and report window with a watermark, in append mode, through Spark's
+    exactly-once Parquet file sink, then read back. Only windows the final
+    watermark has closed are emitted (the no-data batch after the input
+    closes them). The landed files form one micro-batch, so no sample is
+    late; the multi-batch case is in tests/test_streaming.py."""
+    import uuid
+
+    from metricfold.session import checkpoint_root
+    from metricfold.streaming import ingest
+    tag = uuid.uuid4().hex
+    land = f"{checkpoint_root(spark)}/samples-in-{tag}"
+    out = f"{checkpoint_root(spark)}/polls-out-{tag}"
+    w = fx.wide(spark, sf_dir)
+    w.write.parquet(land)
+    stream = spark.readStream.schema(w.schema).parquet(land)
+    counts = ingest.poll_count_stream(stream, every=REPORT_EVERY, watermark=STREAM_WATERMARK)
+    q = counts.writeStream.format("parquet").outputMode("append").option("path", out) \
+        .option("checkpointLocation", ingest.checkpoint_for(spark, f"polls-{tag}")) \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(out).select(
+        "host", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "poll_count")
