@@ -157,7 +157,7 @@ def q_batch_verdicts(spark, sf_dir):
                     "reject_reason")
 
 
-@register("read_update_batch", f"""
+_READ_BATCH_SQL = f"""
 SELECT batch_id, CAST(pos AS INTEGER) AS pos,
        json_extract_string(e, '$.id') AS id, json_extract_string(e, '$.type') AS type,
        TRY_CAST(json_extract_string(e, '$.delta') AS BIGINT) AS delta,
@@ -165,8 +165,28 @@ SELECT batch_id, CAST(pos AS INTEGER) AS pos,
 FROM (SELECT batch_id, pos, json_extract(payload, '$[' || pos || ']') AS e
       FROM (SELECT b.batch_id, b.payload, unnest(range(CAST(json_array_length(b.payload) AS BIGINT))) AS pos
             FROM ({fx.batch_payloads_sql()}) b
-            JOIN ({_BATCH_VERDICT_SQL}) v ON v.batch_id = b.batch_id AND v.accepted) x) y""")
+            JOIN ({_BATCH_VERDICT_SQL}) v ON v.batch_id = b.batch_id AND v.accepted) x) y"""
+
+
+@register("read_update_batch", _READ_BATCH_SQL)
 def q_read_update_batch(spark, sf_dir):
     """SRC-1: update rows of the accepted batch payloads, in array order."""
     ups = src.payload_updates(fx.batch_payloads(spark, sf_dir), keep=["batch_id"])
     return ups.select("batch_id", "pos", "id", "type", "delta", "value")
+
+
+@register("read_update_batch_gz", _READ_BATCH_SQL)
+def q_read_update_batch_gz(spark, sf_dir):
+    """SRC-7 + SRC-1 on files: each batch payload is written as its own gzip
+    text file (one folder per batch), then read back with
+    ``read_update_batch`` (the reader's codec decodes .gz; a file is one
+    payload). Batch ids come from the folder names."""
+    import uuid
+
+    from metricfold.session import checkpoint_root
+    root = f"{checkpoint_root(spark)}/payload-files-{uuid.uuid4().hex}"
+    fx.batch_payloads(spark, sf_dir).select("batch_id", F.col("payload").alias("value")) \
+        .write.option("compression", "gzip").partitionBy("batch_id").text(root)
+    ups, _ = src.read_update_batch(spark, root)
+    bid = F.regexp_extract("batch", r"batch_id=([0-9]+)", 1).cast("bigint")
+    return ups.select(bid.alias("batch_id"), "pos", "id", "type", "delta", "value")
