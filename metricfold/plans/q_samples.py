@@ -76,6 +76,39 @@ def q_build_update_batch(spark, sf_dir):
     return samples.report_batches(fx.wide(spark, sf_dir), F4, every=REPORT_EVERY)
 
 
+_REPORT_SQL = f"""
+WITH RECURSIVE wide AS ({WIDE}),
+s AS (SELECT *, time_bucket(INTERVAL '{REPORT_EVERY}', ts) AS ws,
+             row_number() OVER (PARTITION BY host ORDER BY ord) AS rn FROM wide),
+{_seq_merge_sql()},
+last AS (SELECT host, ws, max(rn) AS rn, count(*) AS polls FROM s GROUP BY host, ws),
+st AS (SELECT l.host, l.ws, {', '.join('m.' + c for c in F4)}
+       FROM last l JOIN m ON m.host = l.host AND m.rn = l.rn),
+rep AS (
+  SELECT host, ws AS window_start, id, 'gauge' AS type, CAST(NULL AS BIGINT) AS delta, value
+  FROM (UNPIVOT st ON {', '.join(F4)} INTO NAME id VALUE value) u
+  UNION ALL
+  SELECT host, ws AS window_start, 'PollCount' AS id, 'counter' AS type, polls AS delta,
+         CAST(NULL AS DOUBLE) AS value
+  FROM last WHERE polls <> 0)"""
+
+
+@register("forward_payloads", _REPORT_SQL + f"""
+SELECT host, window_start, payload, sha256('{fx.TEST_KEY}' || payload) AS sig
+FROM (SELECT host, window_start,
+        '[' || string_agg('{{"id":"' || id || '","type":"' || type || '"'
+              || CASE WHEN delta IS NULL THEN '' ELSE ',"delta":' || CAST(delta AS VARCHAR) END
+              || CASE WHEN value IS NULL THEN '' ELSE ',"value":' || CAST(value AS VARCHAR) END
+              || '}}', ',' ORDER BY id) || ']' AS payload
+      FROM rep GROUP BY host, window_start) p""")
+def q_forward_payloads(spark, sf_dir):
+    """SNK-6: the report batches as the signed JSON payload the agent posts
+    (one per host and report window; signature over the uncompressed text)."""
+    from metricfold.sinks.events import forward_payloads
+    rep = samples.report_batches(fx.wide(spark, sf_dir), F4, every=REPORT_EVERY)
+    return forward_payloads(rep, key=fx.TEST_KEY)
+
+
 @register("poll_count", with_views(f"""
 SELECT host, time_bucket(INTERVAL '{REPORT_EVERY}', ts) AS window_start,
        time_bucket(INTERVAL '{REPORT_EVERY}', ts) + INTERVAL '{REPORT_EVERY}' AS window_end,
