@@ -201,21 +201,23 @@ def q_snapshot_roundtrip(spark, sf_dir):
 @register("stream_fold", with_views(FOLD_STATE_SQL, updates=UPDATES))
 def q_stream_fold(spark, sf_dir):
     """STR-1: the updates arrive as a file stream (one file per trigger);
-    Spark's state store keeps the fold; each micro-batch's changed keys go
-    to a log, and the state is read back as the latest row per key."""
+    Spark's state store keeps the fold; each micro-batch's changed keys are
+    committed to a state table (``set`` commits, compacted every 2), which
+    is read back."""
     import uuid
 
     from metricfold.session import checkpoint_root
+    from metricfold.sinks import state_table as tbl
     from metricfold.streaming import ingest
     tag = uuid.uuid4().hex
     land = f"{checkpoint_root(spark)}/stream-in-{tag}"
-    log = f"{checkpoint_root(spark)}/stream-log-{tag}"
+    root = f"{checkpoint_root(spark)}/stream-state-{tag}"
     u = fx.updates(spark, sf_dir)
     u.repartition(4, "batch_id").write.parquet(land)
     stream = spark.readStream.schema(u.schema).option("maxFilesPerTrigger", 1).parquet(land)
-    q = ingest.start_fold_log(stream, log, f"stream-fold-{tag}")
+    q = ingest.start_fold_table(stream, root, f"stream-fold-{tag}", compact_every=2)
     q.awaitTermination()
-    return ingest.state_from_fold_log(spark, log)
+    return tbl.read_state(spark, root)
 
 
 @register("stream_upsert", with_views(FOLD_STATE_SQL, updates=UPDATES))

@@ -3,7 +3,9 @@
 Parquet has no row-level update. Two commit kinds keep the state:
 
 * ``base``: the whole state (one row per key);
-* ``delta``: one applied batch, already folded (one row per key it touches).
+* ``delta``: one applied batch, already folded (one row per key it touches);
+* ``set``: current values of the keys a batch changed (what a streaming
+  fold emits in update mode); the newest ``set`` or base of a key wins.
 
 Because the fold is mergeable, the current state is the fold of the newest
 base and every later delta: counters add, the gauge of the latest commit
@@ -38,7 +40,7 @@ from metricfold.schemas import COUNTER, GAUGE
 from metricfold.sinks.snapshot import create_marker, delete_path, list_children
 
 _EMPTY_STATE = "id string, mtype string, delta bigint, value double"
-BASE, DELTA = "base", "delta"
+BASE, DELTA, SET = "base", "delta", "set"
 
 
 @dataclass(frozen=True)
@@ -66,7 +68,7 @@ def commits(spark: SparkSession, root: str) -> list[Commit]:
     out = []
     for name in list_children(spark, _commits(root)):
         parts = name.split("-")
-        if len(parts) == 3 and parts[0].isdigit() and parts[2] in (BASE, DELTA):
+        if len(parts) == 3 and parts[0].isdigit() and parts[2] in (BASE, DELTA, SET):
             seq, kind = int(parts[0]), parts[2]
             out.append(Commit(seq, int(parts[1]), kind, _data_path(root, seq)))
     return sorted(out, key=lambda c: c.seq)
@@ -95,9 +97,15 @@ def read_state(spark: SparkSession, root: str) -> DataFrame:
     rows = spark.read.option("basePath", root).parquet(*[c.path for c in live])
     if len(live) == 1:
         return rows.select("id", "mtype", "delta", "value")
+    kinds = {c.kind for c in live if c.kind != BASE}
+    if kinds == {DELTA, SET}:
+        raise ValueError(f"state table {root} mixes additive deltas and value sets")
+    commit = F.col("commit").cast("bigint")
+    if kinds == {SET}:  # newest value of each key wins
+        last = rows.groupBy("id", "mtype").agg(F.max_by(F.struct("delta", "value"), commit).alias("_r"))
+        return last.select("id", "mtype", "_r.delta", "_r.value")
     return rows.groupBy("id", "mtype").agg(
-        F.sum("delta").alias("delta"),
-        F.max_by("value", F.col("commit").cast("bigint")).alias("value"))
+        F.sum("delta").alias("delta"), F.max_by("value", commit).alias("value"))
 
 
 def _write(spark: SparkSession, root: str, rows: DataFrame, kind: str, batch_id: int) -> Commit:
@@ -167,6 +175,19 @@ def apply_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int,
     return _append(spark, root, batch, batch_id, order_col, layout, compact_every)
 
 
+def apply_set(spark: SparkSession, root: str, current: DataFrame, batch_id: int,
+              compact_every: int | None = None) -> Commit | None:
+    """Record the current values of changed keys (id, mtype, delta, value),
+    e.g. one micro-batch of a streaming fold in update mode; None when
+    ``batch_id`` was already applied. Written rows are O(changed keys)."""
+    if already_applied(spark, root, batch_id):
+        return None
+    c = _write(spark, root, current, SET, batch_id)
+    if compact_every and len(_live(spark, root)) > compact_every:
+        c = compact(spark, root) or c
+    return c
+
+
 def strict_batch_plan(state: DataFrame, batch: DataFrame, order_col: str = "seq",
                       kind_col: str = "type") -> tuple[DataFrame, DataFrame]:
     """AGG-4b, table semantics for one batch: (conflicts, effective rows).

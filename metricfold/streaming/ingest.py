@@ -66,24 +66,20 @@ def start_fold(updates: DataFrame, sink: Callable[[DataFrame, int], None], name:
     return _trigger(w, every).start()
 
 
-def start_fold_log(updates: DataFrame, log_dir: str, name: str, every: str | None = None,
-                   order_col: str = "seq") -> StreamingQuery:
-    """STR-1 with a durable sink: every micro-batch of changed keys (update
-    mode: their current values) is appended to ``log_dir`` with its batch
-    id. A replayed batch rewrites only its own ``_batch`` partition."""
+def start_fold_table(updates: DataFrame, root: str, name: str, every: str | None = None,
+                     order_col: str = "seq", compact_every: int | None = 50) -> StreamingQuery:
+    """STR-1 with a durable sink: Spark's state store keeps the fold; every
+    micro-batch of changed keys (update mode: their current values) is
+    committed to the state table at ``root`` as a ``set`` commit, replay-safe
+    by batch id and compacted every ``compact_every`` commits. Read the state
+    with ``sinks.state_table.read_state``."""
+    spark = updates.sparkSession
+
     def sink(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{log_dir.rstrip('/')}/_batch={batch_id}")
+        tbl.apply_set(spark, root, df, batch_id, compact_every)
     return start_fold(updates, sink, name, every, order_col)
 
 
-def state_from_fold_log(spark: SparkSession, log_dir: str) -> DataFrame:
-    """Current state from a fold log: per key, the row of the latest batch."""
-    log = spark.read.option("basePath", log_dir).parquet(log_dir)
-    last = log.groupBy("id", "mtype").agg(
-        F.max_by(F.struct("delta", "value"), F.col("_batch").cast("bigint")).alias("_r"))
-    return last.select("id", "mtype", F.col("_r.delta").alias("delta"), F.col("_r.value").alias("value"))
-
-
 def start_state_writer(updates: DataFrame, root: str, name: str,
                        every: str | None = None, order_col: str = "seq",
                        strict: bool = False, quarantine: str | None = None,

@@ -213,3 +213,23 @@ def test_snapshot_save_fails_on_non_finite_gauge(spark, scratch):
     with pytest.raises(Exception, match="non-finite gauge"):
         save_snapshot(bad, os.path.join(scratch, "snap"), 1)
     assert latest_snapshot(spark, os.path.join(scratch, "snap")) is None
+
+
+def test_set_commits_newest_value_wins(spark, scratch):
+    import pytest
+    root = os.path.join(scratch, "sets")
+    mk = lambda rows: spark.createDataFrame(rows, "id string, mtype string, delta long, value double")
+    tbl.apply_set(spark, root, mk([("c", "counter", 5, None), ("g", "gauge", None, 1.0)]), 0)
+    tbl.apply_set(spark, root, mk([("c", "counter", 9, None)]), 1)          # absolute, not added
+    assert tbl.apply_set(spark, root, mk([("c", "counter", 99, None)]), 1) is None  # replay
+    got = {r.id: (r.delta, r.value) for r in tbl.read_state(spark, root).collect()}
+    assert got == {"c": (9, None), "g": (None, 1.0)}
+    tbl.compact(spark, root)
+    tbl.apply_set(spark, root, mk([("g", "gauge", None, 2.5)]), 2)
+    got = {r.id: (r.delta, r.value) for r in tbl.read_state(spark, root).collect()}
+    assert got == {"c": (9, None), "g": (None, 2.5)}
+    # Additive deltas and absolute sets must not be mixed in one table.
+    tbl.apply_batch(spark, root, spark.createDataFrame([(1, "c", "counter", 1, None)],
+                                                       "seq long, id string, type string, delta long, value double"), 3)
+    with pytest.raises(ValueError, match="mixes"):
+        tbl.read_state(spark, root)
