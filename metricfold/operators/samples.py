@@ -142,12 +142,20 @@ def explode_cpu(samples: DataFrame, ids: list[str] | None = None, cpu: str = CPU
                      F.col("value").cast("double").alias("value"))
 
 
+def _polls(poll_col: str | None) -> Column:
+    # One row per poll by default; with several providers per poll, count
+    # the distinct poll ids instead (the reference counts ticks, not samples).
+    return F.count_distinct(poll_col) if poll_col else F.count(F.lit(1))
+
+
 def poll_count(samples: DataFrame, every: str = "10 seconds", key: str = "host",
-               ts_col: str = "ts", start_time: str | None = None) -> DataFrame:
+               ts_col: str = "ts", start_time: str | None = None,
+               poll_col: str | None = None) -> DataFrame:
     """AGG-5: polls per host per tumbling report window (epoch-aligned; use
-    ``start_time`` for an offset)."""
+    ``start_time`` for an offset). ``poll_col`` counts distinct polls when a
+    poll has several sample rows (one per provider)."""
     w = F.window(ts_col, every, every, start_time) if start_time else F.window(ts_col, every)
-    return samples.groupBy(key, w.alias("w")).agg(F.count(F.lit(1)).alias("poll_count")) \
+    return samples.groupBy(key, w.alias("w")).agg(_polls(poll_col).alias("poll_count")) \
         .select(key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                 "poll_count")
 
@@ -166,7 +174,8 @@ def _carry(prev_k: Column, prev_v: Column, prev_vo: Column,
 
 def report_batches(samples: DataFrame, fields: list[str] | None = None, every: str = "10 seconds",
                    key: str = "host", ts_col: str = "ts",
-                   order_cols: list[str] | None = None, bucket: int = SCAN_BUCKET) -> DataFrame:
+                   order_cols: list[str] | None = None, bucket: int = SCAN_BUCKET,
+                   poll_col: str | None = None) -> DataFrame:
     """SNK-6 / PRJ-3 / SET-2 / FLT-9: the update batch an agent sends at the
     end of each report window: every merged field as a gauge (the merge runs
     over all samples so far, it is never reset) plus the ``PollCount``
@@ -184,7 +193,7 @@ def report_batches(samples: DataFrame, fields: list[str] | None = None, every: s
     fields = fields or [f for f in SAMPLE_FIELDS if f in samples.columns]
     o = _order(order_cols)
     per_window = samples.groupBy(key, F.window(ts_col, every).alias("w")).agg(
-        F.count(F.lit(1)).alias("_polls"), *_merge_parts(samples, fields, o, None))
+        _polls(poll_col).alias("_polls"), *_merge_parts(samples, fields, o, None))
     # Window index arithmetic in the column's own type (no time-zone cast):
     # bucket numbers rise with window start for naive and zoned timestamps.
     epoch = F.lit("1970-01-01 00:00:00").cast(samples.schema[ts_col].dataType)

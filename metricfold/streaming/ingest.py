@@ -157,6 +157,8 @@ def poll_count_stream(samples: DataFrame, every: str = "10 seconds",
                       ts_col: str = "ts") -> DataFrame:
     """STR-2: polls per host per report window over a sample stream; a
     window is emitted once the watermark passes its end (append mode).
-    Naive timestamps are read as UTC instants (watermarks need TIMESTAMP)."""
+    Naive timestamps are read as UTC instants (watermarks need TIMESTAMP).
+    Streaming aggregations cannot count distinct values, so the stream must
+    carry one row per poll (merge providers per poll first)."""
     s = samples.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withWatermark(ts_col, watermark)
     return poll_count(s, every, key, ts_col)

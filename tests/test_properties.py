@@ -156,3 +156,15 @@ def test_report_batches_do_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert local == utc
+
+
+def test_poll_counts_with_several_providers_per_poll(spark):
+    w = fx.wide(spark, SF_SMALL)
+    frames, _ = samples.collect_providers(spark, [
+        w.select("host", "ord", "ts", "Alloc", "Sys", "TotalAlloc"),
+        w.select("host", "ord", "ts", "FreeMemory")])
+    split = samples.read_samples(frames)
+    fields = list(fx.WIDE_FIELDS)
+    assert _rows(samples.poll_count(split, "1 day", poll_col="ord")) == _rows(samples.poll_count(w, "1 day"))
+    got = samples.report_batches(split, fields, every="1 day", order_cols=["ord", "provider"], poll_col="ord")
+    assert _rows(got) == _rows(samples.report_batches(w, fields, every="1 day"))
