@@ -244,3 +244,31 @@ def q_stream_upsert(spark, sf_dir):
                                   audit_sinks={"file": lambda df: ev.write_audit_batch(df, audit)})
     q.awaitTermination()
     return tbl.read_state(spark, root)
+
+
+_STRICT_STATE_SQL = """
+SELECT id, arg_min(k, seq) AS mtype,
+       CASE WHEN arg_min(k, seq) = 'counter'
+            THEN CAST(sum(CASE WHEN k = 'counter' THEN delta END) AS BIGINT) END AS delta,
+       CASE WHEN arg_min(k, seq) = 'gauge'
+            THEN arg_max(value, CASE WHEN k = 'gauge' THEN seq END) END AS value
+FROM (SELECT id, lower(type) AS k, delta, value, seq FROM updates) r
+WHERE (k = 'counter' AND delta IS NOT NULL) OR (k = 'gauge' AND value IS NOT NULL)
+GROUP BY id"""
+
+
+@register("strict_batch", with_views(_STRICT_STATE_SQL, updates=UPDATES))
+def q_strict_batch(spark, sf_dir):
+    """AGG-4b: the updates applied as two all-or-nothing strict batches
+    (before / after the cutoff) to a fresh state table, then read back.
+    Without kind conflicts both batches commit and the table equals the
+    one-pass id-keyed fold; conflicting batches are covered by tests."""
+    import uuid
+
+    from metricfold.session import checkpoint_root
+    from metricfold.sinks import state_table as tbl
+    root = f"{checkpoint_root(spark)}/strict-{uuid.uuid4().hex}"
+    before, after = _split(spark, sf_dir)
+    tbl.apply_strict_batch(spark, root, before, 0)
+    tbl.apply_strict_batch(spark, root, after, 1)
+    return tbl.read_state(spark, root)
