@@ -71,14 +71,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     and registered; on a cluster a missing setting is an error, so no job
     ever writes to a machine-local path.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        if root:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root and sc is not None:
+            root = sc.getConf().get("spark.checkpoint.dir")
+        if root and sc is not None:
             sc.setCheckpointDir(root)
     if not root:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else (spark.conf.get("spark.master", "") or "")
+        if not master.startswith("local") or sc is None:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         sc.setCheckpointDir(root)
