@@ -211,3 +211,32 @@ def q_stream_poll_count(spark, sf_dir):
     return spark.read.parquet(out).select(
         "host", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), "poll_count")
+
+
+@register("audit_fanout", with_views(f"""
+SELECT batch_id, to_json({{'ts': epoch_us(max(ts)) // 1000, 'metrics': list(id ORDER BY seq),
+                          'ip_address': ip_address}}) AS value
+FROM (SELECT *, (seq - (seq % {audit.PAGE_SIZE})) // {audit.PAGE_SIZE} AS page FROM updates) u
+GROUP BY batch_id, ip_address, page""", updates=UPDATES))
+def q_audit_fanout(spark, sf_dir):
+    """SNK-5 + SNK-4: audit events handed to three observers (append file,
+    idempotent per-batch file, one that fails); the failure is isolated and
+    the per-batch file is read back."""
+    import uuid
+
+    from metricfold.session import checkpoint_root
+    from metricfold.sinks import events as ev
+    tag = uuid.uuid4().hex
+    base = checkpoint_root(spark)
+
+    def broken(df):
+        raise OSError("observer unavailable")
+
+    errors = ev.fanout(audit.audit_events(fx.updates(spark, sf_dir)), {
+        "append": lambda df: ev.write_audit(df, f"{base}/audit-append-{tag}"),
+        "batch": lambda df: ev.write_audit_batch(df, f"{base}/audit-batch-{tag}"),
+        "broken": broken})
+    if errors["append"] or errors["batch"] or not errors["broken"]:
+        raise RuntimeError(f"fan-out isolation failed: {errors}")
+    return spark.read.text(f"{base}/audit-batch-{tag}").select(
+        F.col("batch_id").cast("bigint").alias("batch_id"), "value")

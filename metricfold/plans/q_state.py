@@ -272,3 +272,24 @@ def q_strict_batch(spark, sf_dir):
     tbl.apply_strict_batch(spark, root, before, 0)
     tbl.apply_strict_batch(spark, root, after, 1)
     return tbl.read_state(spark, root)
+
+
+@register("stream_snapshot", with_views(FOLD_STATE_SQL, updates=UPDATES))
+def q_stream_snapshot(spark, sf_dir):
+    """SNK-2: the streaming state writer saves a JSON snapshot after each
+    commit (the periodic save); the newest complete snapshot is restored."""
+    import uuid
+
+    from metricfold.session import checkpoint_root
+    from metricfold.sinks.snapshot import latest_snapshot
+    from metricfold.sources.updates import restore_snapshot
+    from metricfold.streaming import ingest
+    tag = uuid.uuid4().hex
+    base = checkpoint_root(spark)
+    land, root, snaps = (f"{base}/{n}-{tag}" for n in ("snap-in", "snap-state", "snaps"))
+    u = fx.updates(spark, sf_dir)
+    u.write.parquet(land)
+    stream = spark.readStream.schema(u.schema).parquet(land)
+    q = ingest.start_state_writer(stream, root, f"snap-{tag}", snapshot_root=snaps)
+    q.awaitTermination()
+    return restore_snapshot(spark, latest_snapshot(spark, snaps))
