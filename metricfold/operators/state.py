@@ -146,3 +146,10 @@ def is_empty(state: DataFrame) -> bool:
     """AGG-8: the listing of an empty store is an error in the reference; we
     expose the test (one-row probe, no full count)."""
     return state.isEmpty()
+
+
+def listing_status(state: DataFrame) -> DataFrame:
+    """AGG-8 as a report row: number of metrics and whether the listing is
+    empty (the reference answers an empty listing with an error)."""
+    return state.agg(F.count(F.lit(1)).alias("n_metrics")) \
+        .withColumn("is_empty", F.col("n_metrics") == 0)

@@ -293,3 +293,11 @@ def q_stream_snapshot(spark, sf_dir):
     q = ingest.start_state_writer(stream, root, f"snap-{tag}", snapshot_root=snaps)
     q.awaitTermination()
     return restore_snapshot(spark, latest_snapshot(spark, snaps))
+
+
+@register("listing_status", with_views("""
+SELECT count(*) AS n_metrics, count(*) = 0 AS is_empty FROM state""", updates=UPDATES,
+                                       state=FOLD_STATE_SQL))
+def q_listing_status(spark, sf_dir):
+    """AGG-8: metric count and emptiness of the listing over the state."""
+    return st.listing_status(fold.fold_state(fx.updates(spark, sf_dir)))

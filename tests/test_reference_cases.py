@@ -170,3 +170,9 @@ def test_state_invariant_detects_bad_rows(spark):
     assert sorted(r.id for r in adm.state_violations(bad).collect()) == ["b", "c", "e"]
     r = adm.check_state(bad).collect()[0]
     assert (r.n_rows, r.n_violations) == (5, 3)
+
+
+def test_listing_status_reports_empty_store(spark):
+    empty = fold.fold_state(spark.createDataFrame([], UPD))
+    r = st.listing_status(empty).collect()[0]
+    assert (r.n_metrics, r.is_empty) == (0, True)
