@@ -116,8 +116,8 @@ SELECT seq, payload, id, delta, value, lower(type) AS mtype,
        WHEN lower(type) = 'counter' AND delta IS NULL THEN 'counter_without_delta' END
     AS reject_reason
 FROM (SELECT seq, payload, ok,
-        CASE WHEN ok THEN json_extract_string(pj, '$.id') END AS id,
-        CASE WHEN ok THEN json_extract_string(pj, '$.type') END AS type,
+        CASE WHEN ok THEN coalesce(json_extract_string(pj, '$.id'), '') END AS id,
+        CASE WHEN ok THEN coalesce(json_extract_string(pj, '$.type'), '') END AS type,
         CASE WHEN ok THEN TRY_CAST(json_extract_string(pj, '$.delta') AS BIGINT) END AS delta,
         CASE WHEN ok THEN TRY_CAST(json_extract_string(pj, '$.value') AS DOUBLE) END AS value
       FROM (SELECT seq, payload, pj,
@@ -159,7 +159,8 @@ def q_batch_verdicts(spark, sf_dir):
 
 _READ_BATCH_SQL = f"""
 SELECT batch_id, CAST(pos AS INTEGER) AS pos,
-       json_extract_string(e, '$.id') AS id, json_extract_string(e, '$.type') AS type,
+       coalesce(json_extract_string(e, '$.id'), '') AS id,
+       coalesce(json_extract_string(e, '$.type'), '') AS type,
        TRY_CAST(json_extract_string(e, '$.delta') AS BIGINT) AS delta,
        TRY_CAST(json_extract_string(e, '$.value') AS DOUBLE) AS value
 FROM (SELECT batch_id, pos, json_extract(payload, '$[' || pos || ']') AS e

@@ -75,9 +75,14 @@ def payload_verdicts(payloads: DataFrame, payload_col: str = "payload",
     return out if keep_parsed else out.drop("_v")
 
 
+def _zero_string(v: Column, path: str) -> Column:
+    # Go decodes a missing or null string field as "" (its zero value).
+    return F.when(v.isNotNull(), F.coalesce(F.try_variant_get(v, path, "string"), F.lit("")))
+
+
 def _decode(v: Column) -> list[Column]:
-    return [F.try_variant_get(v, "$.id", "string").alias("id"),
-            F.try_variant_get(v, "$.type", "string").alias("type"),
+    return [_zero_string(v, "$.id").alias("id"),
+            _zero_string(v, "$.type").alias("type"),
             F.try_variant_get(v, "$.delta", "bigint").alias("delta"),
             F.try_variant_get(v, "$.value", "double").alias("value"),
             F.try_variant_get(v, "$.hash", "string").alias("hash")]

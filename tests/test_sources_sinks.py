@@ -233,3 +233,10 @@ def test_set_commits_newest_value_wins(spark, scratch):
                                                        "seq long, id string, type string, delta long, value double"), 3)
     with pytest.raises(ValueError, match="mixes"):
         tbl.read_state(spark, root)
+
+
+def test_missing_or_null_string_fields_decode_to_empty(spark):
+    df = spark.createDataFrame([('[{"type": "gauge", "value": 1}, {"id": null, "type": "counter", "delta": 2}, null]',)],
+                               "payload string")
+    rows = sorted((r.pos, r.id, r.type) for r in src.payload_updates(df).collect())
+    assert rows == [(0, "", "gauge"), (1, "", "counter"), (2, "", "")]
