@@ -6,6 +6,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +60,15 @@ class Scratch:
             p.getFileSystem(conf).delete(p, True)
 
 
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """pyarrow's file system for a path as Spark spells it."""
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    if "://" not in path:
+        return pafs.LocalFileSystem(), path
+    return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+
+
 def fresh_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not use, ignoring case."""
     used, name = {c.lower() for c in df.columns}, base

@@ -5,14 +5,62 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metricfold.llm import minhash
+from metricfold.llm import (hnsw, langid, linededup, maxent, minhash, mixing, segments, urlrank, warc,
+                            wumanber)
 from metricfold.llm.common import read
 
 
+def op1_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by the hashed maximum-entropy model; see ``maxent``."""
+    return maxent.score_texts(read(spark, sf_dir, "documents"))
+
+
+def op2_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of all documents that repeat an earlier one; see ``segments``."""
+    return segments.repeated_spans(read(spark, sf_dir, "documents"))
+
+
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents within one edit of an earlier line; see ``linededup``."""
+    return linededup.repeated_lines(read(spark, sf_dir, "documents"))
+
+
+def op4_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-dedup of all embeddings over navigable small-world graphs; see ``hnsw``."""
+    return hnsw.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+def op5_wumanber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in all documents by Wu-Manber search; see ``wumanber``."""
+    return wumanber.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, family first; see ``langid``."""
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC files and read back; see ``warc``."""
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MinHash near-dedup of all documents; see ``minhash``."""
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_minhash,)}
-ORACLES: dict[str, str] = {}
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by a low-discrepancy schedule; see ``mixing``."""
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+def op10_urlrank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all pages by rules and link-graph propagation; see ``urlrank``."""
+    return urlrank.verdicts(read(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_maxent, op2_segments, op3_lines, op4_hnsw, op5_wumanber, op6_langid,
+                                   op7_warc, op8_minhash, op9_mixing, op10_urlrank)}
+ORACLES = {"op3_lines": linededup.LINES_SQL, "op5_wumanber": wumanber.CONTAMINATION_SQL,
+           "op9_mixing": mixing.MIX_SQL, "op10_urlrank": urlrank.verdicts_sql()}
