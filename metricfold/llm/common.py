@@ -20,8 +20,16 @@ GOLD = np.uint64(0x9E3779B97F4A7C15)
 S33 = np.uint64(33)
 
 
+#: Ids that a task may hold as a broadcast set (16 bytes each or so).
+BROADCAST_IDS = 1_000_000
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session defaults, with small Arrow batches where the session sets none."""
+    """Session defaults, with small Arrow batches and small measured
+    broadcasts where the session sets none."""
+    key = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, "4m")
     tune(spark)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
@@ -69,6 +77,12 @@ def file_system(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
+def bounded(ids: DataFrame) -> DataFrame:
+    """A table of ids, marked for broadcast if it holds BROADCAST_IDS or fewer.
+    A larger one is joined by a shuffle."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def fresh_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not use, ignoring case."""
     used, name = {c.lower() for c in df.columns}, base

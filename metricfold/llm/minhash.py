@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metricfold.llm.common import GOLD, Scratch, components, mix, prepare, word_hashes
+from metricfold.llm.common import GOLD, Scratch, bounded, components, mix, prepare, word_hashes
 
 SHINGLE = 5
 BINS = 128
@@ -182,8 +182,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .where("lead < last").select("key", "lead")
     shared = scratch.table(keys.join(crowded, "key"), "shared")
 
+    # The full sets of all that share a band, from one more pass over the texts.
+    able = bounded(scratch.table(shared.select(F.col("id").alias("doc_id")).distinct(), "able"))
+    sets = scratch.table(texts.join(able, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text")
+                         .mapInArrow(_sets, "id long, items array<long>"), "sets")
+
     star = shared.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = _verified(scratch, star, reps, texts, percent)
+    links = _verified(scratch, star, reps, sets, percent)
     roots = components(scratch, links)
     # What still shares a band across components. An element held by few sets
     # (RARE) is paired directly, which is linear; sets that share no such
@@ -195,7 +200,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")) \
         .where("x < y").select("key")
     left = scratch.table(rooted.join(mixed, "key"), "left")
-    items = scratch.table(_sets_of(texts, left.select("id"))
+    items = scratch.table(sets.join(left.select("id").distinct(), "id", "left_semi")
                           .select("id", F.explode("items").alias("item")).distinct(), "elements")
     held = items.groupBy("item").agg(F.count("*").alias("held")).where(F.col("held") <= RARE)
     rare = scratch.table(items.join(held, "item"), "rare")
@@ -205,18 +210,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                              (F.col("size") - F.coalesce("alone", F.lit(0))).alias("most"),
                              (F.col("size") - F.coalesce("rare", F.lit(0))).alias("rest"))
     nodes = scratch.table(
-        left.select("id", "root").distinct().join(sizes, "id")
+        left.groupBy("id", "root").agg(F.collect_set("key").alias("keys")).join(sizes, "id")
         .where(f"100 * most >= {percent} * size"), "nodes")
     fits = f"(100 + {percent}) * least(%s, y.%s) >= {percent} * (x.size + y.size)"
     groups = left.select("key", "id").join(nodes, "id")
+    # A pair that shares several bands is made in the first one only.
     by_band = groups.alias("x").join(groups.alias("y"), "key").where(
-        "x.root <> y.root and x.id < y.id and " + fits % ("x.rest", "rest"))
-    few = rare.where("held > 1").select("item", "id").join(nodes, "id")
+        "x.root <> y.root and x.id < y.id and " + fits % ("x.rest", "rest")
+        + " and key = array_min(array_intersect(x.keys, y.keys))")
+    few = rare.where("held > 1").select("item", "id").join(nodes.drop("keys"), "id")
     by_item = few.alias("x").join(few.alias("y"), "item").where(
         "x.root <> y.root and x.id < y.id and " + fits % ("x.most", "most"))
     pair = [F.col("x.id").alias("a"), F.col("y.id").alias("b")]
     cross = by_band.select(*pair).unionAll(by_item.select(*pair)).distinct()
-    more = _verified(scratch, cross, reps, texts, percent)
+    more = _verified(scratch, cross, reps, sets, percent)
     same_id = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")) \
         .where("a <> b").select("a", "b")
     roots = components(scratch, links.unionAll(more).unionAll(same_id))
@@ -228,13 +235,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _sets_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The full sets (id, items) of the documents with these ids."""
-    return texts.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi") \
-        .select(F.col("doc_id").alias("id"), "text").mapInArrow(_sets, "id long, items array<long>")
-
-
-def _verified(scratch: Scratch, pairs: DataFrame, reps: DataFrame, texts: DataFrame,
+def _verified(scratch: Scratch, pairs: DataFrame, reps: DataFrame, sets: DataFrame,
               percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     s = reps.select("id", "sketch")
@@ -242,11 +243,7 @@ def _verified(scratch: Scratch, pairs: DataFrame, reps: DataFrame, texts: DataFr
         pairs.join(s.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a")
         .join(s.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b")
         .select("a", "b", "sa", "sb").mapInArrow(_alike, "a long, b long"), "likely").distinct()
-    ids = likely.select(F.col("a").alias("id")).unionAll(likely.select("b"))
-    sets = scratch.table(_sets_of(texts, ids), "sets")
     full = likely.join(sets.select(F.col("id").alias("a"), F.col("items").alias("ia")), "a") \
         .join(sets.select(F.col("id").alias("b"), F.col("items").alias("ib")), "b") \
         .select("a", "b", "ia", "ib").mapInArrow(_confirm(percent), "a long, b long")
-    out = scratch.table(full, "links")
-    scratch.drop(sets)
-    return out
+    return scratch.table(full, "links")
