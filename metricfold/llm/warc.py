@@ -30,6 +30,7 @@ import uuid
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -280,8 +281,6 @@ def write_archive(pages: DataFrame, root: str, id_col: str = "page_id", url_col:
 
 
 def _shard_of(spread):
-    import pandas as pd
-
     def shard_of(page_id: pd.Series) -> pd.Series:
         ids = page_id.fillna(np.iinfo(np.int64).min).astype("int64")
         return pd.Series(np.searchsorted(spread.value, ids, side="right").astype("int32"))
