@@ -1,10 +1,11 @@
 """Row-level scalar functions (Column -> Column).
 
-All are Spark built-ins except the two text formatters, which need exact
-shortest / fixed-point decimal rendering of doubles: the JVM's
-``Double.toString`` (Java 17) is not always shortest and ``format_number``
-pads with the shortest digits instead of the exact binary expansion. Those
-two run as Arrow-batched pandas UDFs over one column.
+All are Spark built-ins except for rare values in the two text formatters,
+which need exact shortest / fixed-point decimal rendering of doubles: the JVM's
+``Double.toString`` (Java 17) is not always shortest and ``format_number`` pads
+with the shortest digits instead of the exact binary expansion. Values of
+ordinary size with up to 15 digits stay in the JVM; the rest, exact ties among
+them, go through an Arrow-batched pandas UDF that sees NULL for all others.
 """
 
 from __future__ import annotations
@@ -131,22 +132,51 @@ def _fixed(x: float, decimals: int) -> str | None:
     return "%.*f" % (decimals, x)
 
 
-def shortest_text(value: ColumnOrName) -> Column:
-    """SCL-4 for gauges: shortest text without exponent (+Inf/-Inf/NaN)."""
-    v = _c(value)
-    return F.when(v.isNull(), F.lit(None).cast("string")).when(F.isnan(v), F.lit("NaN")) \
-        .otherwise(_shortest_udf(v))
+# Ordinary values are rendered by built-ins; the others (NULL elsewhere) by Python.
+_DIGITS = 15  # a double with a decimal form of so many digits has it as its shortest
+_LOW, _HIGH = 1e-3, 1e8
+
+
+def _plain_decimal(v: Column) -> Column:
+    """The value as decimal(38,18) if 15 significant digits give it exactly and
+    its size is ordinary; else NULL."""
+    text = F.format_string(f"%.{_DIGITS - 1}e", v)
+    size = F.abs(v)
+    usual = (size >= _LOW) & (size < _HIGH)
+    return F.when(usual & (text.try_cast("double") == v), text.try_cast("decimal(38,18)"))
+
+
+def _python_only(f, v: Column, need: Column) -> Column:
+    """``f`` over the values that need it; Python sees NULL for all others."""
+    return f(F.when(need, v))
+
+
+def _map_given(v: pd.Series, f) -> pd.Series:
+    out = pd.Series([None] * len(v), index=v.index, dtype=object)
+    given = v.notna()
+    if given.any():
+        out[given] = v[given].map(f)
+    return out
 
 
 @F.pandas_udf(T.StringType())
 def _shortest_udf(v: pd.Series) -> pd.Series:
-    return v.map(_shortest_plain)
+    return _map_given(v, _shortest_plain)
+
+
+def shortest_text(value: ColumnOrName) -> Column:
+    """SCL-4 for gauges: shortest text without exponent (+Inf/-Inf/NaN)."""
+    v = _c(value)
+    d = _plain_decimal(v)
+    plain = F.regexp_replace(d.cast("string"), r"\.?0+$", "")
+    need = v.isNotNull() & ~F.isnan(v) & d.isNull()
+    return F.when(F.isnan(v), F.lit("NaN")).otherwise(F.coalesce(plain, _python_only(_shortest_udf, v, need)))
 
 
 def _fixed_udf_for(decimals: int):
     @F.pandas_udf(T.StringType())
     def _fixed_udf(v: pd.Series) -> pd.Series:
-        return v.map(lambda x: _fixed(x, decimals))
+        return _map_given(v, lambda x: _fixed(x, decimals))
     return _fixed_udf
 
 
@@ -154,12 +184,24 @@ _FIXED_UDFS: dict[int, object] = {}
 
 
 def fixed_text(value: ColumnOrName, decimals: int = 6) -> Column:
-    """SCL-5: fixed-point text with ``decimals`` places (Go %f / %.2f)."""
+    """SCL-5: fixed-point text with ``decimals`` places (Go %f / %.2f), exact.
+
+    Rounding the shortest decimal form equals rounding the exact binary value
+    unless that form is a tie at the last place; ties, and values of unusual
+    size, go to Python. (Below 1e8 no tie of 7 decimals lies between the two.)
+    """
     if decimals not in _FIXED_UDFS:
         _FIXED_UDFS[decimals] = _fixed_udf_for(decimals)
     v = _c(value)
-    return F.when(v.isNull(), F.lit(None).cast("string")).when(F.isnan(v), F.lit("NaN")) \
-        .otherwise(_FIXED_UDFS[decimals](v))
+    d = _plain_decimal(v) if decimals <= 6 else F.lit(None).cast("decimal(38,18)")
+    part = F.abs(d) * F.lit(10 ** decimals).cast("decimal(7,0)")
+    tie = F.pmod(part, F.lit(1).cast("decimal(1,0)")) == F.lit("0.5").cast("decimal(2,1)")
+    text = F.round(d, decimals).cast(f"decimal(38,{decimals})").cast("string")
+    signed = F.when((v < 0) & ~text.startswith("-"), F.concat(F.lit("-"), text)).otherwise(text)
+    easy = d.isNotNull() & ~tie
+    need = v.isNotNull() & ~F.isnan(v) & ~F.coalesce(easy, F.lit(False))
+    return F.when(F.isnan(v), F.lit("NaN")).otherwise(
+        F.coalesce(F.when(easy, signed), _python_only(_FIXED_UDFS[decimals], v, need)))
 
 
 def value_text(mtype: ColumnOrName, delta: ColumnOrName, value: ColumnOrName) -> Column:
@@ -180,9 +222,13 @@ def listing_line(id_: ColumnOrName, mtype: ColumnOrName, delta: ColumnOrName,
 def encode_update(id_: ColumnOrName = "id", kind: ColumnOrName = "type",
                   delta: ColumnOrName = "delta", value: ColumnOrName = "value",
                   hash_: ColumnOrName | None = None) -> Column:
-    """SCL-9: one update as a JSON object; NULL delta/value/hash are omitted."""
+    """SCL-9: one update as a JSON object; NULL delta/value/hash are omitted.
+    A gauge that is not finite has no JSON form and raises, as in the reference."""
+    v = _c(value).cast("double")
+    finite = F.when(F.isnan(v) | (F.abs(v) == float("inf")),
+                    F.raise_error(F.lit("a gauge that is not finite cannot be encoded")).cast("double")).otherwise(v)
     fields = [_c(id_).alias("id"), _c(kind).alias("type"), _c(delta).alias("delta"),
-              _c(value).alias("value")]
+              finite.alias("value")]
     if hash_ is not None:
         fields.append(F.nullif(_c(hash_), F.lit("")).alias("hash"))
     return F.to_json(F.struct(*fields))

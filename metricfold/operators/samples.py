@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metricfold.schemas import COUNTER, CPU_FIELD, GAUGE, POLL_COUNTER, SAMPLE_FIELDS, ZERO_TEST_FIELDS
-from metricfold.session import checkpoint_root
 
 
 def _order(order_cols: list[str]) -> Column:
@@ -42,7 +41,7 @@ def collect_providers(spark: SparkSession, providers: list[DataFrame | Provider]
     return frames, errors
 
 
-def read_samples(frames: list[DataFrame], with_cpu: bool = False) -> DataFrame:
+def read_samples(frames: list[DataFrame]) -> DataFrame:
     """SRC-6: union recorded samples of any providers by column name and
     conform them to the SAMPLE schema. A field a provider does not report is
     0 (the Go zero value), a missing CPU list is empty."""
@@ -52,10 +51,8 @@ def read_samples(frames: list[DataFrame], with_cpu: bool = False) -> DataFrame:
     for name in SAMPLE_FIELDS:
         v = F.coalesce(F.col(name).cast("double"), F.lit(0.0)) if name in df.columns else F.lit(0.0)
         out.append(v.alias(name))
-    if with_cpu:
-        cpu = F.col(CPU_FIELD) if CPU_FIELD in df.columns else F.lit(None)
-        out.append(F.coalesce(cpu.cast("array<double>"), F.array().cast("array<double>"))
-                   .alias(CPU_FIELD))
+    cpu = F.col(CPU_FIELD) if CPU_FIELD in df.columns else F.lit(None)
+    out.append(F.coalesce(cpu.cast("array<double>"), F.array().cast("array<double>")).alias(CPU_FIELD))
     return df.select(*out)
 
 
@@ -88,7 +85,7 @@ def _merged(c: str, k: Column, last: Column, v: Column, vo: Column, fallback: Co
 
 
 def merge_samples(samples: DataFrame, fields: list[str] | None = None, key: str = "host",
-                  order_cols: list[str] | None = None, cpu: str | None = None) -> DataFrame:
+                  order_cols: list[str] | None = None, cpu: str | None = CPU_FIELD) -> DataFrame:
     """AGG-6: the collector's merge of successive samples, per host.
 
     Sequentially: while the merged sample is "empty" (FLT-8) a new sample
@@ -99,6 +96,7 @@ def merge_samples(samples: DataFrame, fields: list[str] | None = None, key: str
     """
     order_cols = order_cols or ["ord"]
     fields = fields or [f for f in SAMPLE_FIELDS if f in samples.columns]
+    cpu = cpu if cpu in samples.columns else None
     o = _order(order_cols)
     agg = samples.groupBy(key).agg(*_merge_parts(samples, fields, o, cpu))
     k = F.col("_k")
@@ -160,82 +158,51 @@ def poll_count(samples: DataFrame, every: str = "10 seconds", key: str = "host",
                 "poll_count")
 
 
-SCAN_BUCKET = 4096  # report windows per (host, bucket) group in the running merge
-
-
-def _carry(prev_k: Column, prev_v: Column, prev_vo: Column,
-           cur_k: Column, cur_v: Column, cur_vo: Column) -> tuple[Column, Column, Column]:
-    """Combine merge pieces of an earlier span with a later one."""
-    k = F.least(prev_k, cur_k)
-    vo = F.greatest(prev_vo, cur_vo)
-    v = F.when(cur_vo.isNotNull() & (prev_vo.isNull() | (cur_vo >= prev_vo)), cur_v).otherwise(prev_v)
-    return k, v, vo
-
-
 def report_batches(samples: DataFrame, fields: list[str] | None = None, every: str = "10 seconds",
                    key: str = "host", ts_col: str = "ts",
-                   order_cols: list[str] | None = None, bucket: int = SCAN_BUCKET,
-                   poll_col: str | None = None) -> DataFrame:
-    """SNK-6 / PRJ-3 / SET-2 / FLT-9: the update batch an agent sends at the
-    end of each report window: every merged field as a gauge (the merge runs
-    over all samples so far, it is never reset) plus the ``PollCount``
-    counter of that window when non-zero.
-
-    The merge state after each window is a prefix combination of mergeable
-    per-window pieces, computed as a two-level scan so no group grows with
-    the length of a host's history: windows are grouped into buckets of at
-    most ``bucket`` consecutive windows; a running scan over a host's
-    buckets (one row per bucket) gives the carry-in of each bucket, joined
-    back on (host, bucket); a running scan inside each (host, bucket) adds
-    the bucket's own windows. Windows without samples send nothing.
+                   order_cols: list[str] | None = None, poll_col: str | None = None,
+                   cpu: str | None = CPU_FIELD) -> DataFrame:
+    """SNK-6 / PRJ-2 / PRJ-3 / SET-2 / FLT-9: the update batch an agent sends at
+    the end of each report window: every merged field as a gauge (the merge runs
+    over all samples so far, it is never reset), a gauge per core of the merged
+    CPU list, and the ``PollCount`` counter of that window when non-zero.
+
+    The samples are reduced to mergeable pieces per (host, window) first, in a
+    partial aggregate; the merge state after each window is a running
+    combination of a host's pieces. A host has one row for each report interval
+    at most, however many samples it sends, and the running frame spills. One
+    scan, nothing written. Windows without samples send nothing.
     """
     order_cols = order_cols or ["ord"]
     fields = fields or [f for f in SAMPLE_FIELDS if f in samples.columns]
+    cpu = cpu if cpu in samples.columns else None
+    parts = fields + ([cpu] if cpu else [])
     o = _order(order_cols)
     per_window = samples.groupBy(key, F.window(ts_col, every).alias("w")).agg(
-        _polls(poll_col).alias("_polls"), *_merge_parts(samples, fields, o, None))
-    # Window index arithmetic in the column's own type (no time-zone cast):
-    # bucket numbers rise with window start for naive and zoned timestamps.
-    epoch = F.lit("1970-01-01 00:00:00").cast(samples.schema[ts_col].dataType)
-    start_us = F.timestamp_diff("MICROSECOND", epoch, F.col("w.start"))
-    width_us = F.timestamp_diff("MICROSECOND", F.col("w.start"), F.col("w.end"))
-    per_window = per_window.withColumn("window_start", F.col("w.start")) \
-        .withColumn("_b", F.floor(start_us / (width_us * F.lit(bucket)))).drop("w")
-    # The per-window pieces feed both scan levels; write them once to the
-    # shared checkpoint folder instead of scanning the samples twice.
-    checkpoint_root(samples.sparkSession)
-    per_window = per_window.checkpoint(eager=True)
-
-    # Level 1: pieces per (host, bucket), carried over all earlier buckets.
-    per_bucket = per_window.groupBy(key, "_b").agg(
-        F.min("_k").alias("_bk"),
-        *[x for c in fields for x in (F.max_by(f"_v_{c}", f"_vo_{c}").alias(f"_bv_{c}"),
-                                      F.max(f"_vo_{c}").alias(f"_bvo_{c}"))])
-    before = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry_in = per_bucket.select(
-        key, "_b", F.min("_bk").over(before).alias("_pk"),
-        *[x for c in fields for x in (F.max_by(f"_bv_{c}", f"_bvo_{c}").over(before).alias(f"_pv_{c}"),
-                                      F.max(f"_bvo_{c}").over(before).alias(f"_pvo_{c}"))])
-
-    # Level 2: running pieces inside the bucket, combined with the carry-in.
-    run = Window.partitionBy(key, "_b").orderBy("window_start") \
+        _polls(poll_col).alias("_polls"), *_merge_parts(samples, fields, o, cpu)) \
+        .withColumn("window_start", F.col("w.start")).drop("w")
+    run = Window.partitionBy(key).orderBy("window_start") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    j = per_window.join(carry_in, [key, "_b"], "inner")
-    k_in = F.min("_k").over(run)
-    merged = []
-    k_all = None
-    for c in fields:
-        k_all, v, vo = _carry(F.col("_pk"), F.col(f"_pv_{c}"), F.col(f"_pvo_{c}"),
-                              k_in, F.max_by(f"_v_{c}", f"_vo_{c}").over(run),
-                              F.max(f"_vo_{c}").over(run))
-        merged.append(_merged(c, k_all, F.col(f"_l_{c}"), v, vo, F.lit(0.0)))
-    state = j.select(key, "window_start", "_polls", *merged)
+    running = per_window.select(
+        key, "window_start", "_polls", F.min("_k").over(run).alias("_k"), *[f"_l_{c}" for c in parts],
+        *[x for c in parts for x in (F.max_by(f"_v_{c}", f"_vo_{c}").over(run).alias(f"_v_{c}"),
+                                     F.max(f"_vo_{c}").over(run).alias(f"_vo_{c}"))])
+    none = F.array().cast("array<double>")
+    state = running.select(key, "window_start", "_polls", *[
+        _merged(c, F.col("_k"), F.col(f"_l_{c}"), F.col(f"_v_{c}"), F.col(f"_vo_{c}"),
+                none if c == cpu else F.lit(0.0)) for c in parts])
+
+    def gauge(name: Column, value: Column) -> Column:
+        return F.struct(name.alias("id"), F.lit(GAUGE).alias("type"),
+                        F.lit(None).cast("bigint").alias("delta"), value.cast("double").alias("value"))
+
     # Gauges and the poll counter leave in one pass (no second aggregation).
-    items = [F.struct(F.lit(c).alias("id"), F.lit(GAUGE).alias("type"),
-                      F.lit(None).cast("bigint").alias("delta"), F.col(c).alias("value"))
-             for c in fields]
-    items.append(F.struct(F.lit(POLL_COUNTER).alias("id"), F.lit(COUNTER).alias("type"),
-                          F.when(F.col("_polls") != 0, F.col("_polls").cast("bigint")).alias("delta"),
-                          F.lit(None).cast("double").alias("value")))
-    rows = state.select(key, "window_start", F.inline(F.array(*items)))
+    items = F.array(*[gauge(F.lit(c), F.col(c)) for c in fields],
+                    F.struct(F.lit(POLL_COUNTER).alias("id"), F.lit(COUNTER).alias("type"),
+                             F.when(F.col("_polls") != 0, F.col("_polls").cast("bigint")).alias("delta"),
+                             F.lit(None).cast("double").alias("value")))
+    if cpu:
+        items = F.concat(items, F.transform(
+            cpu, lambda x, i: gauge(F.concat(F.lit(cpu), (i + 1).cast("string")), x)))
+    rows = state.select(key, "window_start", F.inline(items))
     return rows.where((F.col("type") == GAUGE) | F.col("delta").isNotNull())

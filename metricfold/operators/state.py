@@ -1,11 +1,13 @@
 """Operations on folded state: upsert, lookups, listings.
 
 State is a DataFrame (id, mtype, delta, value) with one row per (id, mtype).
-Joins are plain equi-joins without hints. With the metricfold session
-defaults nothing is broadcast from plan estimates; AQE broadcasts a side
-only when its measured shuffle output is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold``, otherwise the join stays a
-sort-merge join, and AQE splits skewed partitions of a hot key.
+Joins are equi-joins. With the metricfold session defaults nothing is
+broadcast from plan estimates; AQE broadcasts a side only when its measured
+shuffle output is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``. The
+keys that many requests ask for are counted first (HOT_KEYS at most, so that
+list is small by construction); their requests are dealt over SPREAD tasks and
+only their state rows are replicated. Nothing relies on AQE to split them, which
+it cannot do where the state is an aggregate whose partitioning the join reuses.
 """
 
 from __future__ import annotations
@@ -50,30 +52,36 @@ def _state_side(state: DataFrame) -> DataFrame:
                         F.col("delta").alias("_sd"), F.col("value").alias("_sv"))
 
 
+HOT_KEYS = 64  # keys with the most requests that may be spread
+HOT_REQUESTS = 10_000  # requests from which a key counts as hot
+SPREAD = 32  # tasks for a hot key's requests
+
+
+def _spread(req: DataFrame, side: DataFrame, spread: int, hot_requests: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with ``_salt``: hot requests get one of ``spread`` numbers by
+    their place in the input, hot state rows are there once for each."""
+    keys = ["id", "_kind"]
+    hot = F.broadcast(req.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= hot_requests)
+                      .orderBy(F.desc("_n"), *keys).limit(HOT_KEYS).select(*keys, F.lit(True).alias("_hot")))
+    deal = F.pmod(F.monotonically_increasing_id(), F.lit(spread)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(spread - 1))
+    req = req.withColumn("_deal", deal).join(hot, keys, "left") \
+        .withColumn("_salt", F.when(F.col("_hot"), F.col("_deal")).otherwise(0)).drop("_hot", "_deal")
+    side = side.join(hot, keys, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))).drop("_hot")
+    return req, side, [*keys, "_salt"]
+
+
 def lookup(requests: DataFrame, state: DataFrame, kind_col: str = "type",
-           lower: bool = True, salt: int | None = None) -> DataFrame:
+           lower: bool = True, spread: int = SPREAD, hot_requests: int = HOT_REQUESTS) -> DataFrame:
     """JOIN-2 + PRJ-4: answer many lookups at once.
 
     Requests with an invalid kind are dropped (see ``lookup_rejected``); the
     JSON endpoint lower-cases the kind (``lower=True``), the path endpoint
     does not. Hits echo id and kind exactly as requested and carry the delta
-    (counter) or value (gauge).
-
-    ``salt=N`` (optional) splits hot request keys over N tasks at the cost of
-    replicating the state side N times; meant for a state much smaller than
-    the requests when AQE cannot split the skew itself (e.g. a state folded
-    in the same query, whose partitioning the join reuses).
+    (counter) or value (gauge). Hot keys are spread (see the module text).
     """
-    req = _requests(requests, kind_col, lower)
-    side = _state_side(state)
-    keys = ["id", "_kind"]
-    if salt:
-        # Hot request keys spread over ``salt`` tasks: each request gets a
-        # deterministic salt from its own columns; the (smaller) state side
-        # is replicated once per salt value.
-        req = req.withColumn("_salt", F.pmod(F.xxhash64(*requests.columns), F.lit(salt)))
-        side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
-        keys = keys + ["_salt"]
+    req, side, keys = _spread(_requests(requests, kind_col, lower), _state_side(state), spread, hot_requests)
     hit = req.join(side, keys, "inner")
     return hit.select(
         *[c for c in requests.columns],
@@ -93,11 +101,12 @@ def lookup_text(requests: DataFrame, state: DataFrame, kind_col: str = "type",
 
 
 def lookup_missing(requests: DataFrame, state: DataFrame, kind_col: str = "type",
-                   lower: bool = True) -> DataFrame:
-    """JOIN-3: valid requests with no state row ("not found")."""
-    req = _requests(requests, kind_col, lower)
-    return req.join(_state_side(state).select("id", "_kind"), ["id", "_kind"], "left_anti") \
-        .drop("_kind")
+                   lower: bool = True, spread: int = SPREAD, hot_requests: int = HOT_REQUESTS) -> DataFrame:
+    """JOIN-3: valid requests with no state row ("not found"); hot keys are
+    spread as in ``lookup``."""
+    req, side, keys = _spread(_requests(requests, kind_col, lower),
+                              _state_side(state).select("id", "_kind"), spread, hot_requests)
+    return req.join(side, keys, "left_anti").select(*requests.columns)
 
 
 def lookup_rejected(requests: DataFrame, kind_col: str = "type", lower: bool = True) -> DataFrame:

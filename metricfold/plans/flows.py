@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 
 from metricfold.operators import state as st
 from metricfold.operators.admission import signature_ok
-from metricfold.operators.audit import audit_events
+from metricfold.operators.audit import payload_events
 from metricfold.operators.samples import report_batches
 from metricfold.sinks import events as ev
 from metricfold.sinks import state_table as tbl
 from metricfold.sinks.events import Sink
-from metricfold.sources.updates import payload_updates, payload_verdicts
+from metricfold.sources.updates import payload_ids, payload_updates, payload_verdicts
 
 
 def read_forwarded(spark: SparkSession, path: str) -> DataFrame:
@@ -33,41 +33,46 @@ def read_forwarded(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ingest_payloads(spark: SparkSession, payloads: DataFrame, state_root: str, batch_id: int,
-                    key: str | None = None, audit_sinks: dict[str, Sink] | None = None,
-                    ip_address: str = "") -> dict:
+                    order_col: str, key: str | None = None, audit_sinks: dict[str, Sink] | None = None,
+                    ip_address: str = "", writer: str = "ingest") -> dict:
     """Flow A over a frame of request bodies (``payload``, optional ``sig``).
 
+    ``order_col`` is the bodies' arrival order (an integer, unique per body):
+    later bodies win, and later elements within one. Every accepted body, an
+    empty one too, is one audit event.
+
     Returns accounting: payloads refused by signature, rejected as
-    malformed, accepted, and the committed state version (None = replay).
+    malformed, accepted, the committed state version (None = replay) and the
+    outcome of each audit sink (None or its error).
     """
     sig_ok = signature_ok("payload", "sig", key) if key else F.lit(True)
-    body = payloads.withColumn("_sig_ok", sig_ok).withColumn("_req", F.monotonically_increasing_id())
+    body = payloads.withColumn("_sig_ok", sig_ok).withColumn("_req", F.col(order_col).cast("bigint"))
     # Verdicts once per body (parsed once); the accounting is observed while
     # the state write runs, so it costs no extra job (AGG-9).
     ok, acc = F.col("_sig_ok"), F.col("accepted")
     counts = [F.count_if(~ok).alias("refused"), F.count_if(ok & acc).alias("accepted"),
               F.count_if(ok & ~acc).alias("rejected")]
     obs = Observation(f"ingest-{batch_id}")
-    checked = payload_verdicts(body, keep_parsed=True).observe(obs, *counts)
-    rows = payload_updates(checked.where(ok & acc), keep=["_req"])
-    # Arrival order: request, then position inside it. Assigned after the
-    # explode (which keeps that order inside each task) as one long, so the
-    # fold's max_by keeps a fixed-width buffer and stays a hash aggregation.
-    ordered = rows.withColumn("seq", F.monotonically_increasing_id())
-    commit = tbl.apply_batch(spark, state_root, ordered, batch_id, order_col="seq")
+    checked = payload_verdicts(body, keep_parsed=True)
+    rows = payload_updates(checked.observe(obs, *counts).where(ok & acc), keep=["_req"])
+    # Arrival order: body, then position inside it, as one fixed-width number
+    # (a decimal), so that the fold stays a hash aggregation.
+    ordered = rows.withColumn("seq", F.col("_req").cast("decimal(20,0)") * F.lit(10 ** 10).cast("decimal(11,0)")
+                              + F.col("pos"))
+    commit = tbl.apply_batch(spark, state_root, ordered, batch_id, order_col="seq", writer=writer)
     if commit is not None:
         stats = obs.get
     else:  # replay: nothing ran, so count explicitly
         stats = payload_verdicts(body).agg(*counts).collect()[0].asDict()
+    outcome: dict[str, str | None] = {}
     if commit is not None and audit_sinks:
-        # One event per accepted request body, ids in body order, stamped
-        # with the processing time like the reference service.
-        stamped = rows.withColumn("_ip", F.lit(ip_address)).withColumn("ts", F.current_timestamp())
-        ev.fanout(audit_events(stamped, batch_col="_req", order_col="pos", ip_col="_ip"),
-                  audit_sinks)
+        # Stamped with the processing time like the reference service.
+        events = payload_events(checked.where(ok & acc), "_req", payload_ids(), F.current_timestamp(),
+                                F.lit(ip_address))
+        outcome = ev.fanout(events, audit_sinks)
     return {"refused_signature": stats["refused"] if key else None,
             "accepted": stats["accepted"], "rejected": stats["rejected"],
-            "version": None if commit is None else commit.version}
+            "version": None if commit is None else commit.version, "audit": outcome}
 
 
 def forward_reports(samples: DataFrame, out_path: str, every: str = "10 seconds",

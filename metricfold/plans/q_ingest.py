@@ -104,7 +104,8 @@ def _elem_ok_sql(e: str) -> str:
        AND (coalesce({t('delta')}, 'NULL') IN ('BIGINT', 'NULL')
             OR ({t('delta')} = 'UBIGINT'
                 AND TRY_CAST(json_extract_string({e}, '$.delta') AS BIGINT) IS NOT NULL))
-       AND coalesce({t('value')}, 'NULL') IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'NULL')))"""
+       AND coalesce({t('value')}, 'NULL') IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'NULL')
+       AND coalesce(NOT isinf(TRY_CAST(json_extract_string({e}, '$.value') AS DOUBLE)), true)))"""
 
 
 _SINGLE_SQL = f"""
@@ -140,8 +141,8 @@ SELECT batch_id,
 FROM (
   SELECT batch_id,
     coalesce(json_type(pj) = 'ARRAY'
-      AND list_bool_and(list_transform(json_extract(pj, '$[*]'), lambda e: {_elem_ok_sql('e')}))
-, false) AS ok,
+      AND coalesce(list_bool_and(list_transform(json_extract(pj, '$[*]'), lambda e: {_elem_ok_sql('e')})),
+                   true), false) AS ok,
     json_array_length(pj) AS n
   FROM (SELECT batch_id, CASE WHEN json_valid(payload) THEN payload END AS pj
         FROM ({fx.batch_payloads_sql()}) b0) b) v"""
@@ -191,3 +192,31 @@ def q_read_update_batch_gz(spark, sf_dir):
     ups, _ = src.read_update_batch(spark, root)
     bid = F.regexp_extract("batch", r"batch_id=([0-9]+)", 1).cast("bigint")
     return ups.select(bid.alias("batch_id"), "pos", "id", "type", "delta", "value")
+
+
+@register("ingest_flow", f"""
+SELECT id, type AS mtype, CAST(sum(CASE WHEN type = 'counter' THEN delta END) AS BIGINT) AS delta,
+       arg_max(CASE WHEN type = 'gauge' THEN value END, batch_id * 100000 + pos) AS value
+FROM ({_READ_BATCH_SQL}) r
+WHERE (type = 'counter' AND delta IS NOT NULL) OR (type = 'gauge' AND value IS NOT NULL)
+GROUP BY id, type""")
+def q_ingest_flow(spark, sf_dir):
+    """Flow A: the batch payloads, dealt over files of any order, go through
+    verdicts, batch policy, fold and state commit; later bodies win by their
+    order column. Each accepted body, empty ones too, is one audit event."""
+    import uuid
+
+    from metricfold.plans.flows import ingest_payloads
+    from metricfold.session import checkpoint_root
+    from metricfold.sinks import events as ev
+    from metricfold.sinks import state_table as tbl
+    tag = uuid.uuid4().hex
+    base = checkpoint_root(spark)
+    land, root, audit = (f"{base}/{n}-{tag}" for n in ("flow-in", "flow-state", "flow-audit"))
+    fx.batch_payloads(spark, sf_dir).repartition(3, F.xxhash64("payload")).write.parquet(land)
+    done = ingest_payloads(spark, spark.read.parquet(land), root, 0, order_col="batch_id",
+                           audit_sinks={"file": lambda df: ev.write_audit(df, audit)})
+    events = spark.read.text(audit).count()
+    if done["audit"] != {"file": None} or events != done["accepted"]:
+        raise RuntimeError(f"{events} audit events: {done}")
+    return tbl.read_state(spark, root)

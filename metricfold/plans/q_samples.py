@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from metricfold.operators import audit, samples
 from metricfold.plans.catalog import UPDATES, register, with_views
-from metricfold.schemas import SAMPLE_FIELDS
+from metricfold.schemas import CPU_FIELD, HOST_FIELDS, RUNTIME_FIELDS, SAMPLE_FIELDS
 from metricfold.sources import fixtures as fx
 
 WIDE = fx.wide_sql()
-F4 = list(fx.WIDE_FIELDS)
+FIELDS = list(SAMPLE_FIELDS)
 REPORT_EVERY = "1 day"
 
 
@@ -23,8 +23,10 @@ def _seq_merge_sql() -> str:
     """Recursive replay of the collector merge over `s` (needs rn per host)."""
     zero = "m.Alloc = 0 AND m.Sys = 0 AND m.TotalAlloc = 0"
     step = ",\n    ".join(
-        f"CASE WHEN {zero} THEN s.{c} WHEN s.{c} <> 0 THEN s.{c} ELSE m.{c} END AS {c}" for c in F4)
-    cols = ", ".join(F4)
+        f"CASE WHEN {zero} THEN s.{c} WHEN s.{c} <> 0 THEN s.{c} ELSE m.{c} END AS {c}" for c in FIELDS)
+    step += f""",
+    CASE WHEN {zero} THEN s.{CPU_FIELD} WHEN len(s.{CPU_FIELD}) > 0 THEN s.{CPU_FIELD} ELSE m.{CPU_FIELD} END AS {CPU_FIELD}"""
+    cols = ", ".join([*FIELDS, CPU_FIELD])
     return f"""m AS (
   SELECT host, rn, {cols} FROM s WHERE rn = 1
   UNION ALL
@@ -36,23 +38,24 @@ def _seq_merge_sql() -> str:
 WITH RECURSIVE wide AS ({WIDE}),
 s AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY ord) AS rn FROM wide),
 {_seq_merge_sql()}
-SELECT m.host, {', '.join('m.' + c for c in F4)}
+SELECT m.host, {', '.join('m.' + c for c in FIELDS)}, CAST(to_json(m.{CPU_FIELD}) AS VARCHAR) AS {CPU_FIELD}
 FROM m JOIN (SELECT host, max(rn) AS rn FROM s GROUP BY host) e ON e.host = m.host AND e.rn = m.rn""")
 def q_merge_samples(spark, sf_dir):
-    """AGG-6: merged sample per host over all its samples."""
-    return samples.merge_samples(fx.wide(spark, sf_dir), F4)
+    """AGG-6: merged sample per host over all its samples, all fields and the
+    CPU list (as JSON text)."""
+    return samples.merge_samples(fx.wide(spark, sf_dir), FIELDS).withColumn(CPU_FIELD, F.to_json(CPU_FIELD))
 
 
 @register("sample_summary", f"""
 WITH RECURSIVE wide AS ({WIDE}),
 s AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY ord) AS rn FROM wide),
 {_seq_merge_sql()}
-SELECT m.host, printf('MemoryMetrics{{Alloc: %.2f, HeapAlloc: %.2f, Sys: %.2f}}', m.Alloc, 0.0, m.Sys)
+SELECT m.host, printf('MemoryMetrics{{Alloc: %.2f, HeapAlloc: %.2f, Sys: %.2f}}', m.Alloc, m.HeapAlloc, m.Sys)
          AS summary
 FROM m JOIN (SELECT host, max(rn) AS rn FROM s GROUP BY host) e ON e.host = m.host AND e.rn = m.rn""")
 def q_sample_summary(spark, sf_dir):
     """SCL-5: the two-decimal summary text of each host's merged sample."""
-    merged = samples.merge_samples(fx.wide(spark, sf_dir), F4)
+    merged = samples.merge_samples(fx.wide(spark, sf_dir), FIELDS)
     return merged.select("host", samples.summary_text(merged).alias("summary"))
 
 
@@ -62,10 +65,13 @@ s AS (SELECT *, time_bucket(INTERVAL '{REPORT_EVERY}', ts) AS ws,
              row_number() OVER (PARTITION BY host ORDER BY ord) AS rn FROM wide),
 {_seq_merge_sql()},
 last AS (SELECT host, ws, max(rn) AS rn, count(*) AS polls FROM s GROUP BY host, ws),
-st AS (SELECT l.host, l.ws, {', '.join('m.' + c for c in F4)}
+st AS (SELECT l.host, l.ws, {', '.join('m.' + c for c in FIELDS)}, m.{CPU_FIELD}
        FROM last l JOIN m ON m.host = l.host AND m.rn = l.rn)
 SELECT host, ws AS window_start, id, 'gauge' AS type, CAST(NULL AS BIGINT) AS delta, value
-FROM (UNPIVOT st ON {', '.join(F4)} INTO NAME id VALUE value) u
+FROM (UNPIVOT (SELECT * EXCLUDE ({CPU_FIELD}) FROM st) ON {', '.join(FIELDS)} INTO NAME id VALUE value) u
+UNION ALL
+SELECT host, ws, '{CPU_FIELD}' || CAST(i AS VARCHAR), 'gauge', CAST(NULL AS BIGINT), {CPU_FIELD}[i]
+FROM st, unnest(generate_series(1, len({CPU_FIELD}))) AS t(i)
 UNION ALL
 SELECT host, ws AS window_start, 'PollCount' AS id, 'counter' AS type, polls AS delta,
        CAST(NULL AS DOUBLE) AS value
@@ -73,7 +79,7 @@ FROM last WHERE polls <> 0""")
 def q_build_update_batch(spark, sf_dir):
     """SNK-6: per host and report window, the merged gauges (long form) plus
     the PollCount counter -- the update batch the agent forwards."""
-    return samples.report_batches(fx.wide(spark, sf_dir), F4, every=REPORT_EVERY)
+    return samples.report_batches(fx.wide(spark, sf_dir), FIELDS, every=REPORT_EVERY)
 
 
 _REPORT_SQL = f"""
@@ -82,11 +88,14 @@ s AS (SELECT *, time_bucket(INTERVAL '{REPORT_EVERY}', ts) AS ws,
              row_number() OVER (PARTITION BY host ORDER BY ord) AS rn FROM wide),
 {_seq_merge_sql()},
 last AS (SELECT host, ws, max(rn) AS rn, count(*) AS polls FROM s GROUP BY host, ws),
-st AS (SELECT l.host, l.ws, {', '.join('m.' + c for c in F4)}
+st AS (SELECT l.host, l.ws, {', '.join('m.' + c for c in FIELDS)}, m.{CPU_FIELD}
        FROM last l JOIN m ON m.host = l.host AND m.rn = l.rn),
 rep AS (
   SELECT host, ws AS window_start, id, 'gauge' AS type, CAST(NULL AS BIGINT) AS delta, value
-  FROM (UNPIVOT st ON {', '.join(F4)} INTO NAME id VALUE value) u
+  FROM (UNPIVOT (SELECT * EXCLUDE ({CPU_FIELD}) FROM st) ON {', '.join(FIELDS)} INTO NAME id VALUE value) u
+  UNION ALL
+  SELECT host, ws, '{CPU_FIELD}' || CAST(i AS VARCHAR), 'gauge', CAST(NULL AS BIGINT), {CPU_FIELD}[i]
+  FROM st, unnest(generate_series(1, len({CPU_FIELD}))) AS t(i)
   UNION ALL
   SELECT host, ws AS window_start, 'PollCount' AS id, 'counter' AS type, polls AS delta,
          CAST(NULL AS DOUBLE) AS value
@@ -105,7 +114,7 @@ def q_forward_payloads(spark, sf_dir):
     """SNK-6: the report batches as the signed JSON payload the agent posts
     (one per host and report window; signature over the uncompressed text)."""
     from metricfold.sinks.events import forward_payloads
-    rep = samples.report_batches(fx.wide(spark, sf_dir), F4, every=REPORT_EVERY)
+    rep = samples.report_batches(fx.wide(spark, sf_dir), FIELDS, every=REPORT_EVERY)
     return forward_payloads(rep, key=fx.TEST_KEY)
 
 
@@ -128,11 +137,11 @@ def q_is_zero_sample(spark, sf_dir):
 
 
 @register("unpivot_samples", with_views(f"""
-SELECT host, ord, id, value FROM (UNPIVOT wide ON {', '.join(F4)} INTO NAME id VALUE value) u""",
-                                        wide=WIDE))
+SELECT host, ord, id, value FROM (UNPIVOT wide ON {', '.join(FIELDS)} INTO NAME id VALUE value) u""",
+                                        wide=f"SELECT * EXCLUDE ({CPU_FIELD}) FROM ({WIDE}) w"))
 def q_unpivot_samples(spark, sf_dir):
     """PRJ-1: wide samples to (id, value) rows, zeros included."""
-    return samples.unpivot_samples(fx.wide(spark, sf_dir).drop("ts"), F4)
+    return samples.unpivot_samples(fx.wide(spark, sf_dir).drop("ts", CPU_FIELD), FIELDS)
 
 
 @register("explode_cpu", """
@@ -145,54 +154,61 @@ def q_explode_cpu(spark, sf_dir):
 
 
 def _read_samples_sql() -> str:
-    def sel(provider: int, present: tuple[str, ...]) -> str:
+    def sel(provider: int, present: tuple[str, ...], cpu: str) -> str:
         cols = ["host", "ord", f"{provider} AS provider", "ts"] + [
             (f"CAST({f} AS DOUBLE) AS {f}" if f in present else f"CAST(0.0 AS DOUBLE) AS {f}")
-            for f in SAMPLE_FIELDS]
+            for f in SAMPLE_FIELDS] + [f"{cpu} AS {CPU_FIELD}"]
         return f"SELECT {', '.join(cols)} FROM ({WIDE}) w"
-    return sel(0, ("Alloc", "Sys", "TotalAlloc")) + "\nUNION ALL\n" + sel(1, ("FreeMemory",))
+    return sel(0, RUNTIME_FIELDS, "'[]'") + "\nUNION ALL\n" \
+        + sel(1, HOST_FIELDS, f"CAST(to_json({CPU_FIELD}) AS VARCHAR)")
 
 
 @register("read_samples", _read_samples_sql())
 def q_read_samples(spark, sf_dir):
-    """SRC-6: recorded samples of two providers (runtime fields; host
-    fields) unioned by name and conformed to the full SAMPLE schema."""
+    """SRC-6: recorded samples of two providers (runtime fields; host fields
+    and the CPU list) unioned by name and conformed to the full SAMPLE
+    schema; the list is shown as JSON text."""
     w = fx.wide(spark, sf_dir)
-    runtime = w.select("host", "ord", F.lit(0).alias("provider"), "ts", "Alloc", "Sys", "TotalAlloc")
-    host = w.select("host", "ord", F.lit(1).alias("provider"), "ts", "FreeMemory")
-    return samples.read_samples([runtime, host])
+    runtime = w.select("host", "ord", F.lit(0).alias("provider"), "ts", *RUNTIME_FIELDS)
+    host = w.select("host", "ord", F.lit(1).alias("provider"), "ts", *HOST_FIELDS, CPU_FIELD)
+    return samples.read_samples([runtime, host]).withColumn(CPU_FIELD, F.to_json(CPU_FIELD))
+
+
+_AUDIT_SQL = """
+SELECT batch_id, epoch_us(max(ts)) // 1000 AS ts, count(*) AS n_metrics, arg_min(ip_address, seq) AS ip_address,
+       to_json({'ts': epoch_us(max(ts)) // 1000, 'metrics': list(id ORDER BY seq),
+                'ip_address': arg_min(ip_address, seq)}) AS line
+FROM (SELECT * EXCLUDE (batch_id), (seq + 10) // 20 AS batch_id FROM updates) u GROUP BY batch_id"""
+
 
+def _audited(spark, sf_dir):
+    # Batches of 20 rows that begin anywhere, across round numbers too.
+    return fx.updates(spark, sf_dir).withColumn("batch_id", F.expr("(seq + 10) div 20"))
 
-@register("audit_events", with_views(f"""
-SELECT batch_id, page, epoch_us(max(ts)) // 1000 AS ts, count(*) AS n_metrics, ip_address,
-       to_json({{'ts': epoch_us(max(ts)) // 1000, 'metrics': list(id ORDER BY seq),
-                 'ip_address': ip_address}}) AS line
-FROM (SELECT *, (seq - (seq % {audit.PAGE_SIZE})) // {audit.PAGE_SIZE} AS page FROM updates) u
-GROUP BY batch_id, ip_address, page""", updates=UPDATES))
+
+@register("audit_events", with_views(_AUDIT_SQL, updates=UPDATES))
 def q_audit_events(spark, sf_dir):
     """AGG-7 + SCL-8 + SNK-4: one audit record per update batch (ids in
     arrival order, skipped rows included), as the JSON line appended."""
-    ev = audit.audit_events(fx.updates(spark, sf_dir))
-    return ev.select("batch_id", "page", "ts", "n_metrics", "ip_address", "line")
+    ev = audit.audit_events(_audited(spark, sf_dir))
+    return ev.select("batch_id", "ts", "n_metrics", "ip_address", "line")
 
 
 STREAM_WATERMARK = "1 hour"
 
 
 @register("stream_poll_count", with_views(f"""
-SELECT host, window_start, window_end, poll_count FROM (
-  SELECT host, time_bucket(INTERVAL '{REPORT_EVERY}', ts) AS window_start,
-         time_bucket(INTERVAL '{REPORT_EVERY}', ts) + INTERVAL '{REPORT_EVERY}' AS window_end,
-         count(*) AS poll_count
-  FROM wide GROUP BY 1, 2, 3) w
-WHERE window_end <= (SELECT max(ts) FROM wide) - INTERVAL '{STREAM_WATERMARK}'""", wide=WIDE))
+SELECT host, time_bucket(INTERVAL '{REPORT_EVERY}', ts) AS window_start,
+       time_bucket(INTERVAL '{REPORT_EVERY}', ts) + INTERVAL '{REPORT_EVERY}' AS window_end,
+       count(*) AS poll_count
+FROM wide GROUP BY 1, 2, 3""", wide=WIDE))
 def q_stream_poll_count(spark, sf_dir):
     """STR-2: samples arrive as a file stream; polls are counted per host
     and report window with a watermark, in append mode, through Spark's
-    exactly-once Parquet file sink, then read back. Only windows the final
-    watermark has closed are emitted (the no-data batch after the input
-    closes them). The landed files form one micro-batch, so no sample is
-    late; the multi-batch case is in tests/test_streaming.py."""
+    exactly-once Parquet file sink, then read back. The windows that the
+    final watermark leaves open are counted by the closing flush. The landed
+    files form one micro-batch, so no sample is late; the multi-batch case is
+    in tests/test_streaming.py."""
     import uuid
 
     from metricfold.session import checkpoint_root
@@ -208,16 +224,15 @@ def q_stream_poll_count(spark, sf_dir):
         .option("checkpointLocation", ingest.checkpoint_for(spark, f"polls-{tag}")) \
         .trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(out).select(
+    emitted = spark.read.parquet(out)
+    rest = ingest.flush_poll_windows(spark.read.parquet(land), emitted, every=REPORT_EVERY)
+    return emitted.unionByName(rest).select(
         "host", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), "poll_count")
 
 
-@register("audit_fanout", with_views(f"""
-SELECT batch_id, to_json({{'ts': epoch_us(max(ts)) // 1000, 'metrics': list(id ORDER BY seq),
-                          'ip_address': ip_address}}) AS value
-FROM (SELECT *, (seq - (seq % {audit.PAGE_SIZE})) // {audit.PAGE_SIZE} AS page FROM updates) u
-GROUP BY batch_id, ip_address, page""", updates=UPDATES))
+@register("audit_fanout", with_views("SELECT batch_id, line AS value FROM events_of_batches",
+                                     updates=UPDATES, events_of_batches=_AUDIT_SQL))
 def q_audit_fanout(spark, sf_dir):
     """SNK-5 + SNK-4: audit events handed to three observers (append file,
     idempotent per-batch file, one that fails); the failure is isolated and
@@ -232,7 +247,7 @@ def q_audit_fanout(spark, sf_dir):
     def broken(df):
         raise OSError("observer unavailable")
 
-    errors = ev.fanout(audit.audit_events(fx.updates(spark, sf_dir)), {
+    errors = ev.fanout(audit.audit_events(_audited(spark, sf_dir)), {
         "append": lambda df: ev.write_audit(df, f"{base}/audit-append-{tag}"),
         "batch": lambda df: ev.write_audit_batch(df, f"{base}/audit-batch-{tag}"),
         "broken": broken})

@@ -55,24 +55,36 @@ def q_lookup_many(spark, sf_dir):
     return st.lookup(u.select("seq", "id", "type"), fold.fold_state(u))
 
 
+# Only some users' metrics are stored; the others' requests find nothing.
+_SOME = "CAST(split_part(id, '.u', 2) AS BIGINT) % 3 <> 0"
+
+
 @register("lookup_missing", with_views("""
 SELECT r.seq, r.id, r.type FROM req r
 WHERE lower(r.type) IN ('gauge', 'counter')
   AND NOT EXISTS (SELECT 1 FROM state s WHERE s.id = r.id AND s.mtype = lower(r.type))""",
-                                       updates=UPDATES, req=_REQ_SQL, state=FOLD_STATE_SQL))
+                                       updates=UPDATES, req=_REQ_SQL,
+                                       state=FOLD_STATE_SQL.replace("FROM updates", f"FROM (SELECT * FROM updates WHERE {_SOME}) u")))
 def q_lookup_missing(spark, sf_dir):
-    """JOIN-3: valid lookups with no stored metric (not found)."""
+    """JOIN-3: valid lookups with no stored metric (not found); a third of
+    the users have none."""
     u = fx.updates(spark, sf_dir)
-    return st.lookup_missing(u.select("seq", "id", "type"), fold.fold_state(u))
+    return st.lookup_missing(u.select("seq", "id", "type"), fold.fold_state(u.where(_SOME)))
 
 
 @register("lookup_point", with_views("""
 SELECT * FROM state WHERE (id = 'purchase.u7' AND mtype = 'gauge')
    OR (id = 'click.u7' AND mtype = 'counter')""", updates=UPDATES, state=FOLD_STATE_SQL))
 def q_lookup_point(spark, sf_dir):
-    """FLT-5: the two point reads (one gauge, one counter)."""
-    s = fold.fold_state(fx.updates(spark, sf_dir))
-    return st.lookup_point(s, points=[("purchase.u7", "gauge"), ("click.u7", "counter")])
+    """FLT-5: two point reads (one gauge, one counter) on a stored state table,
+    whose scan gets the filters and prunes the kinds."""
+    import uuid
+
+    from metricfold.session import checkpoint_root
+    from metricfold.sinks import state_table as tbl
+    root = f"{checkpoint_root(spark)}/state-point-{uuid.uuid4().hex}"
+    tbl.commit_state(spark, fold.fold_state(fx.updates(spark, sf_dir)), root, batch_id=0)
+    return st.lookup_point(tbl.read_state(spark, root), points=[("purchase.u7", "gauge"), ("click.u7", "counter")])
 
 
 @register("union_kinds", with_views("""
@@ -220,19 +232,13 @@ def q_stream_fold(spark, sf_dir):
     return tbl.read_state(spark, root)
 
 
-@register("stream_upsert", with_views(FOLD_STATE_SQL, updates=UPDATES))
-def q_stream_upsert(spark, sf_dir):
-    """STR-1/3/4 + SNK-3: the updates arrive as a file stream and the state
-    writer folds each micro-batch into the state table (commit markers,
-    audit events to an idempotent sink after the commit); the committed
-    state is read back. The landed files form one micro-batch (across
-    micro-batches arrival order decides gauges; that case is in
-    tests/test_streaming.py)."""
+def _upsert_run(spark, sf_dir):
+    """The updates as a file stream through the state writer, in one
+    micro-batch; returns the state's root and the audit folder."""
     import uuid
 
     from metricfold.session import checkpoint_root
     from metricfold.sinks import events as ev
-    from metricfold.sinks import state_table as tbl
     from metricfold.streaming import ingest
     tag = uuid.uuid4().hex
     base = checkpoint_root(spark)
@@ -240,44 +246,107 @@ def q_stream_upsert(spark, sf_dir):
     u = fx.updates(spark, sf_dir)
     u.write.parquet(land)
     stream = spark.readStream.schema(u.schema).parquet(land)
+    outcomes = {}
     q = ingest.start_state_writer(stream, root, f"upsert-{tag}",
-                                  audit_sinks={"file": lambda df: ev.write_audit_batch(df, audit)})
+                                  audit_sinks={"file": lambda df: ev.write_audit_batch(df, audit)},
+                                  on_audit=outcomes.__setitem__)
     q.awaitTermination()
-    return tbl.read_state(spark, root)
+    failed = {b: o for b, o in outcomes.items() if any(o.values())}
+    if failed or not outcomes:
+        raise RuntimeError(f"audit failed: {failed}")
+    return root, audit
+
+
+@register("stream_upsert", with_views(FOLD_STATE_SQL, updates=UPDATES))
+def q_stream_upsert(spark, sf_dir):
+    """STR-1 + SNK-3: the updates arrive as a file stream and the state writer
+    folds each micro-batch into the state table; the committed state is read
+    back. (Across micro-batches arrival order decides gauges; that case is in
+    tests/test_streaming.py.)"""
+    from metricfold.sinks import state_table as tbl
+    return tbl.read_state(spark, _upsert_run(spark, sf_dir)[0])
 
 
-_STRICT_STATE_SQL = """
-SELECT id, arg_min(k, seq) AS mtype,
-       CASE WHEN arg_min(k, seq) = 'counter'
-            THEN CAST(sum(CASE WHEN k = 'counter' THEN delta END) AS BIGINT) END AS delta,
-       CASE WHEN arg_min(k, seq) = 'gauge'
-            THEN arg_max(value, CASE WHEN k = 'gauge' THEN seq END) END AS value
-FROM (SELECT id, lower(type) AS k, delta, value, seq FROM updates) r
-WHERE (k = 'counter' AND delta IS NOT NULL) OR (k = 'gauge' AND value IS NOT NULL)
-GROUP BY id"""
+@register("stream_audit", with_views("""
+SELECT CAST(0 AS BIGINT) AS batch_id,
+       to_json({'ts': epoch_us(max(ts)) // 1000, 'metrics': list(id ORDER BY seq),
+                'ip_address': arg_min(ip_address, seq)}) AS value
+FROM updates""", updates=UPDATES))
+def q_stream_audit(spark, sf_dir):
+    """STR-3 + SNK-4: the audit file that the state writer leaves after its
+    commits: one event per micro-batch."""
+    return spark.read.text(_upsert_run(spark, sf_dir)[1]).select(
+        F.col("batch_id").cast("bigint").alias("batch_id"), "value")
 
 
-@register("strict_batch", with_views(_STRICT_STATE_SQL, updates=UPDATES))
+@register("stream_replay", with_views(f"""
+{FOLD_STATE_SQL}
+UNION ALL
+SELECT id, 'counter' AS mtype, CAST(sum(delta) AS BIGINT) AS delta, CAST(NULL AS DOUBLE) AS value
+FROM lines GROUP BY id""", updates=UPDATES, lines=fx.lineitem_counters_sql()))
+def q_stream_replay(spark, sf_dir):
+    """STR-4: a feed's micro-batches are replayed from the start after its
+    checkpoint is lost, and change nothing; a second feed with the same batch
+    numbers is applied."""
+    import uuid
+
+    from metricfold.session import checkpoint_root
+    from metricfold.sinks import state_table as tbl
+    from metricfold.streaming import ingest
+    tag = uuid.uuid4().hex
+    base = checkpoint_root(spark)
+    land, other, root = (f"{base}/{n}-{tag}" for n in ("replay-in", "replay-other", "replay-state"))
+    u = fx.updates(spark, sf_dir)
+    u.write.parquet(land)
+    fx.lineitem_counters(spark, sf_dir).withColumn("seq", F.monotonically_increasing_id()).write.parquet(other)
+    for run, path, feed in ((0, land, "updates"), (1, land, "updates"), (2, other, "lines"), (3, other, "lines")):
+        rows = spark.read.parquet(path)
+        stream = spark.readStream.schema(rows.schema).parquet(path)
+        ingest.start_state_writer(stream, root, f"replay-{tag}-{run}", writer=feed).awaitTermination()
+    return tbl.read_state(spark, root)
+
+
+# Four strict batches: counters of even users; gauges of all users, which
+# conflict with them; gauges of odd users; the other counters.
+_STRICT_BATCHES = ("event_type = 'click' AND user_id % 2 = 0", "event_type = 'purchase'",
+                   "event_type = 'purchase' AND user_id % 2 = 1", "event_type = 'view'")
+_STRICT_SQL = with_views("""
+SELECT coalesce(a.id, v.id) AS id, 'counter' AS mtype,
+       CAST(coalesce(a.n, 0) + coalesce(v.n, 0) AS BIGINT) AS delta, CAST(NULL AS DOUBLE) AS value
+FROM clicks a FULL JOIN (SELECT * FROM views WHERE id NOT IN (SELECT id FROM gauges)) v ON a.id = v.id
+UNION ALL SELECT id, 'gauge', CAST(NULL AS BIGINT), last FROM gauges""",
+    u=fx.updates_sql("untyped").replace("event_id AS seq", "event_id AS seq, event_type, user_id", 1),
+    clicks="""SELECT id, sum(delta) AS n FROM u WHERE event_type = 'click' AND user_id % 2 = 0
+              AND delta IS NOT NULL GROUP BY id""",
+    views="SELECT id, sum(delta) AS n FROM u WHERE event_type = 'view' AND type = 'counter' AND delta IS NOT NULL GROUP BY id",
+    gauges="""SELECT id, arg_max(value, seq) AS last FROM u WHERE event_type = 'purchase' AND user_id % 2 = 1
+              AND value IS NOT NULL GROUP BY id""")
+
+
+@register("strict_batch", _STRICT_SQL)
 def q_strict_batch(spark, sf_dir):
-    """AGG-4b: the updates applied as two all-or-nothing strict batches
-    (before / after the cutoff) to a fresh state table, then read back.
-    Without kind conflicts both batches commit and the table equals the
-    one-pass id-keyed fold; conflicting batches are covered by tests."""
+    """AGG-4b: four all-or-nothing strict batches on a fresh state table, then
+    read back. The second one sends gauges to counters and leaves nothing; the
+    last one's counters sent to gauges, and those whose kind is not spelled
+    exactly, change nothing."""
     import uuid
 
     from metricfold.session import checkpoint_root
     from metricfold.sinks import state_table as tbl
     root = f"{checkpoint_root(spark)}/strict-{uuid.uuid4().hex}"
-    before, after = _split(spark, sf_dir)
-    tbl.apply_strict_batch(spark, root, before, 0)
-    tbl.apply_strict_batch(spark, root, after, 1)
+    rows = fx.conflict_updates(spark, sf_dir).join(
+        fx.table(spark, sf_dir, "events").selectExpr("event_id AS seq", "event_type", "user_id"), "seq")
+    done = [tbl.apply_strict_batch(spark, root, rows.where(which), i) is not None
+            for i, which in enumerate(_STRICT_BATCHES)]
+    if done != [True, False, True, True]:
+        raise RuntimeError(f"strict batches committed: {done}")
     return tbl.read_state(spark, root)
 
 
 @register("stream_snapshot", with_views(FOLD_STATE_SQL, updates=UPDATES))
 def q_stream_snapshot(spark, sf_dir):
-    """SNK-2: the streaming state writer saves a JSON snapshot after each
-    commit (the periodic save); the newest complete snapshot is restored."""
+    """SNK-2: the streaming state writer saves a JSON snapshot at its interval
+    (0 s here: with each commit); the newest complete snapshot is restored."""
     import uuid
 
     from metricfold.session import checkpoint_root
@@ -290,14 +359,17 @@ def q_stream_snapshot(spark, sf_dir):
     u = fx.updates(spark, sf_dir)
     u.write.parquet(land)
     stream = spark.readStream.schema(u.schema).parquet(land)
-    q = ingest.start_state_writer(stream, root, f"snap-{tag}", snapshot_root=snaps)
+    q = ingest.start_state_writer(stream, root, f"snap-{tag}", snapshot_root=snaps, snapshot_seconds=0)
     q.awaitTermination()
     return restore_snapshot(spark, latest_snapshot(spark, snaps))
 
 
 @register("listing_status", with_views("""
-SELECT count(*) AS n_metrics, count(*) = 0 AS is_empty FROM state""", updates=UPDATES,
+SELECT count(*) AS n_metrics, count(*) = 0 AS is_empty FROM state
+UNION ALL SELECT count(*), count(*) = 0 FROM state WHERE mtype = 'histogram'""", updates=UPDATES,
                                        state=FOLD_STATE_SQL))
 def q_listing_status(spark, sf_dir):
-    """AGG-8: metric count and emptiness of the listing over the state."""
-    return st.listing_status(fold.fold_state(fx.updates(spark, sf_dir)))
+    """AGG-8: metric count and emptiness of the listing over the state, and
+    over that of a kind that is never stored (an empty listing)."""
+    state = fold.fold_state(fx.updates(spark, sf_dir))
+    return st.listing_status(state).unionAll(st.listing_status(state.where("mtype = 'histogram'")))

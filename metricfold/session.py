@@ -28,6 +28,8 @@ _DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # A JSON key that occurs twice keeps its last value.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Coalesce shuffle partitions to the advisory size (bytes), not to the
     # largest task count: with a high spark.sql.shuffle.partitions on a
     # cluster, AQE then right-sizes every stage from measured output.

@@ -58,7 +58,9 @@ def forward_payloads(batches: DataFrame, key: str | None = None,
     A report holds at most one row per sample field plus the poll counter,
     so each group is small by construction (the SAMPLE schema bounds it).
     """
-    item = F.struct("id", "type", "delta", "value")
+    value = F.when(F.isnan("value") | (F.abs("value") == float("inf")),
+                   F.raise_error(F.lit("a gauge that is not finite cannot be encoded")).cast("double")).otherwise(F.col("value"))
+    item = F.struct("id", "type", "delta", value.alias("value"))
     p = batches.groupBy(*group).agg(
         F.to_json(F.sort_array(F.collect_list(item))).alias("payload"))
     sig = sign_payload("payload", key) if key else F.lit(None).cast("string")

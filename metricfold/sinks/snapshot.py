@@ -8,6 +8,7 @@ store the session can reach.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +38,31 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(s.getPath().getName()) for s in fs.listStatus(p))
 
 
-def create_marker(spark: SparkSession, path: str) -> None:
-    """Create an empty file atomically; fails if it already exists."""
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file exclusively; False if it already exists."""
     fs, p = _fs_path(spark, path)
-    fs.create(p, False).close()
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as exc:
+        if fs.exists(p):
+            return False
+        raise exc
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if there is none."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        data = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
+        return bytes(data).decode()
+    finally:
+        stream.close()
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

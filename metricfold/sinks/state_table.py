@@ -13,34 +13,41 @@ wins. Appending a batch therefore writes only O(batch) rows
 (``layout="delta"``); ``compact`` (or ``compact_every``) folds the deltas
 into a new base. ``layout="rewrite"`` writes a full new base per batch.
 
-Every commit is written to its own directory ``<root>/commit=<seq>``
-(partitioned by ``mtype``: the kind index of the reference becomes partition
-pruning; ``commit`` is itself a partition column, so the newest gauge is
-``max_by(value, commit)``), then made visible by atomically creating the empty marker
-``<root>/_commits/<seq>-<batch_id>-<kind>``; creation fails if another writer
-got there first. Readers list ``_commits`` once -- no Spark job -- so they
-never see a half-written directory, and no job overwrites a path it reads.
-A directory left by a failed attempt has no marker and is rewritten on
-retry. The marker carries the streaming ``batch_id``: a replayed micro-batch
-finds its id committed and is skipped, so counters apply effectively once.
+Every attempt writes to a directory of its own, ``<root>/data/<attempt>``,
+partitioned by ``mtype`` (the kind index of the reference becomes partition
+pruning). It becomes visible by creating the marker
+``<root>/_commits/<seq>``, a small JSON file that holds the attempt's path, the
+writer, its batch and the kind. Creation fails if that number is taken; the
+writer then tries the next number, so two writers lose nothing of each other's.
+(On HDFS and local file systems creation is exclusive; object stores without an
+exclusive create need a single writer.) A marker is a commit once its text is
+complete; a half-written one makes readers wait, then fail and name it.
+
+A batch is known by (writer, batch_id): a replayed micro-batch of the same feed
+is skipped, and other feeds may use the same numbers. Readers list ``_commits``
+once -- no Spark job. Compaction writes a new base, which carries the batches
+folded so far as ranges, and prunes what lies before the previous base, so the
+listing stays short.
 """
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from metricfold.functions.scalars import normalize_kind
-from metricfold.operators.admission import applies
-from metricfold.operators.fold import fold_state
+from metricfold.operators.fold import checked_long, fold_kinds, fold_state
 from metricfold.operators.state import upsert_state
 from metricfold.schemas import COUNTER, GAUGE
-from metricfold.sinks.snapshot import create_marker, delete_path, list_children
+from metricfold.sinks.snapshot import create_file, delete_path, list_children, read_file
 
-_EMPTY_STATE = "id string, mtype string, delta bigint, value double"
+_STATE = "id string, mtype string, delta bigint, value double"
 BASE, DELTA, SET = "base", "delta", "set"
+COMPACT_EVERY = 50  # live commits; keeps the listing and the reads bounded
 
 
 @dataclass(frozen=True)
@@ -49,6 +56,8 @@ class Commit:
     batch_id: int
     kind: str
     path: str
+    writer: str = ""
+    applied: dict | None = None  # of a base: writer -> [[first, last], ...]
 
     @property
     def version(self) -> int:
@@ -59,19 +68,30 @@ def _commits(root: str) -> str:
     return f"{root.rstrip('/')}/_commits"
 
 
-def _data_path(root: str, seq: int) -> str:
-    return f"{root.rstrip('/')}/commit={seq:012d}"
+def _marker(root: str, seq: int) -> str:
+    return f"{_commits(root)}/{seq:012d}"
+
+
+def _load(spark: SparkSession, root: str, seq: int) -> Commit | None:
+    for wait in (0.05, 0.2, 1.0, 4.0, None):
+        text = read_file(spark, _marker(root, seq))
+        if text is None:
+            return None  # pruned since the listing
+        try:
+            m = json.loads(text)
+            return Commit(seq, m["batch_id"], m["kind"], f"{root.rstrip('/')}/{m['path']}", m["writer"],
+                          m.get("applied"))
+        except ValueError:
+            if wait is None:
+                raise RuntimeError(f"unfinished commit marker {_marker(root, seq)}") from None
+            time.sleep(wait)
 
 
 def commits(spark: SparkSession, root: str) -> list[Commit]:
-    """All commits, oldest first (one file-system listing)."""
-    out = []
-    for name in list_children(spark, _commits(root)):
-        parts = name.split("-")
-        if len(parts) == 3 and parts[0].isdigit() and parts[2] in (BASE, DELTA, SET):
-            seq, kind = int(parts[0]), parts[2]
-            out.append(Commit(seq, int(parts[1]), kind, _data_path(root, seq)))
-    return sorted(out, key=lambda c: c.seq)
+    """All commits, oldest first."""
+    names = [n for n in list_children(spark, _commits(root)) if n.isdigit()]
+    found = [_load(spark, root, int(n)) for n in sorted(names)]
+    return [c for c in found if c is not None]
 
 
 def latest_commit(spark: SparkSession, root: str) -> Commit | None:
@@ -79,9 +99,8 @@ def latest_commit(spark: SparkSession, root: str) -> Commit | None:
     return c[-1] if c else None
 
 
-def _live(spark: SparkSession, root: str) -> list[Commit]:
+def _live(cs: list[Commit]) -> list[Commit]:
     """Newest base and the deltas after it: the commits that make the state."""
-    cs = commits(spark, root)
     bases = [i for i, c in enumerate(cs) if c.kind == BASE]
     return cs[bases[-1]:] if bases else cs
 
@@ -91,45 +110,121 @@ def read_state(spark: SparkSession, root: str) -> DataFrame:
     was committed. A lone base is a plain scan (filters on id/mtype reach
     Parquet, ``mtype`` prunes partitions); with deltas it is one mergeable
     aggregation over base + deltas, which the same filters pass through."""
-    live = _live(spark, root)
+    return _state_of(spark, root, _live(commits(spark, root)))
+
+
+def _state_of(spark: SparkSession, root: str, live: list[Commit]) -> DataFrame:
     if not live:
-        return spark.createDataFrame([], _EMPTY_STATE)
-    rows = spark.read.option("basePath", root).parquet(*[c.path for c in live])
+        return spark.createDataFrame([], _STATE)
+    rows = None
+    for c in live:
+        part = spark.read.schema("id string, delta bigint, value double, mtype string") \
+            .parquet(c.path).withColumn("commit", F.lit(c.seq).cast("bigint"))
+        rows = part if rows is None else rows.unionAll(part)
     if len(live) == 1:
         return rows.select("id", "mtype", "delta", "value")
     kinds = {c.kind for c in live if c.kind != BASE}
     if kinds == {DELTA, SET}:
         raise ValueError(f"state table {root} mixes additive deltas and value sets")
-    commit = F.col("commit").cast("bigint")
     if kinds == {SET}:  # newest value of each key wins
-        last = rows.groupBy("id", "mtype").agg(F.max_by(F.struct("delta", "value"), commit).alias("_r"))
-        return last.select("id", "mtype", "_r.delta", "_r.value")
+        return rows.groupBy("id", "mtype").agg(F.max_by("delta", "commit").alias("delta"),
+                                               F.max_by("value", "commit").alias("value"))
     return rows.groupBy("id", "mtype").agg(
-        F.sum("delta").alias("delta"), F.max_by("value", commit).alias("value"))
-
-
-def _write(spark: SparkSession, root: str, rows: DataFrame, kind: str, batch_id: int) -> Commit:
-    prev = latest_commit(spark, root)
-    seq = 0 if prev is None else prev.seq + 1
-    path = _data_path(root, seq)
-    rows.select("id", "mtype", "delta", "value") \
-        .write.mode("overwrite").partitionBy("mtype").parquet(path)
-    create_marker(spark, f"{_commits(root)}/{seq:012d}-{int(batch_id)}-{kind}")
-    return Commit(seq, int(batch_id), kind, path)
-
-
-def commit_state(spark: SparkSession, state: DataFrame, root: str, batch_id: int) -> Commit:
+        checked_long(F.sum(F.col("delta").cast("decimal(38,0)"))).alias("delta"),
+        F.max_by("value", "commit").alias("value"))
+
+
+def _ranges(ids: set[int] | list[int]) -> list[list[int]]:
+    out: list[list[int]] = []
+    for i in sorted(ids):
+        if out and i == out[-1][1] + 1:
+            out[-1][1] = i
+        else:
+            out.append([i, i])
+    return out
+
+
+def _applied(cs: list[Commit]) -> dict[str, list[list[int]]]:
+    """Ranges of batch ids applied by each writer."""
+    known: dict[str, list[list[int]]] = {}
+    single: dict[str, set[int]] = {}
+    for c in cs:
+        if c.applied is not None:
+            known = {w: [list(r) for r in rs] for w, rs in c.applied.items()}
+            single = {}
+        elif c.batch_id is not None:
+            single.setdefault(c.writer, set()).add(c.batch_id)
+    for w, ids in single.items():
+        merged = sorted(known.get(w, []) + _ranges(ids))
+        out: list[list[int]] = []
+        for lo, hi in merged:
+            if out and lo <= out[-1][1] + 1:
+                out[-1][1] = max(out[-1][1], hi)
+            else:
+                out.append([lo, hi])
+        known[w] = out
+    return known
+
+
+def already_applied(spark: SparkSession, root: str, batch_id: int, writer: str = "") -> bool:
+    """Whether this writer's batch is part of the state."""
+    return any(lo <= batch_id <= hi for lo, hi in _applied(commits(spark, root)).get(writer, []))
+
+
+class BatchRefused(Exception):
+    """A batch that must not be committed (its files are deleted)."""
+
+
+def _write(spark: SparkSession, root: str, rows: DataFrame, kind: str, batch_id: int, writer: str = "",
+           check=None) -> Commit:
+    """Writes one attempt and commits it under the first free number. ``check``
+    runs between the two and may raise BatchRefused."""
+    cs = commits(spark, root)
+    seq = cs[-1].seq + 1 if cs else 0
+    path = f"data/{uuid.uuid4().hex}"
+    full = f"{root.rstrip('/')}/{path}"
+    rows.select("id", "mtype", "delta", "value").hint("rebalance", "mtype") \
+        .write.partitionBy("mtype").parquet(full)
+    if check is not None:
+        try:
+            check()
+        except BatchRefused:
+            delete_path(spark, full)
+            raise
+    entry = {"path": path, "writer": writer, "batch_id": int(batch_id), "kind": kind}
+    while True:
+        if kind == BASE:
+            entry["applied"] = _applied([*cs, Commit(seq, int(batch_id), DELTA, full, writer)])
+        if create_file(spark, _marker(root, seq), json.dumps(entry)):
+            return Commit(seq, int(batch_id), kind, full, writer, entry.get("applied"))
+        if kind == BASE:  # it would hide what came in between
+            delete_path(spark, full)
+            raise BatchRefused(f"commit {seq} was taken while a base was written")
+        cs = commits(spark, root)
+        seq = cs[-1].seq + 1
+        if any(lo <= batch_id <= hi for lo, hi in _applied(cs).get(writer, [])):
+            delete_path(spark, full)
+            raise BatchRefused(f"batch {batch_id} of {writer!r} was applied meanwhile")
+
+
+def commit_state(spark: SparkSession, state: DataFrame, root: str, batch_id: int, writer: str = "") -> Commit:
     """Write ``state`` as a new base."""
-    return _write(spark, root, state, BASE, batch_id)
+    return _write(spark, root, state, BASE, batch_id, writer)
 
 
 def compact(spark: SparkSession, root: str) -> Commit | None:
-    """Fold the live deltas into a new base (None if there is nothing to
-    fold). Readers keep using the old commits until the marker appears."""
-    live = _live(spark, root)
+    """Fold the live deltas into a new base, and prune what lies before the
+    previous one (None if there is nothing to fold, or another commit came in
+    between). Readers keep using the old commits until the marker appears."""
+    live = _live(commits(spark, root))
     if len(live) <= 1:
         return None
-    return _write(spark, root, read_state(spark, root), BASE, live[-1].batch_id)
+    try:
+        c = _write(spark, root, _state_of(spark, root, live), BASE, live[-1].batch_id, live[-1].writer)
+    except BatchRefused:
+        return None
+    prune_versions(spark, root, keep=2)
+    return c
 
 
 def prune_versions(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
@@ -141,89 +236,95 @@ def prune_versions(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
         return []
     cut = bases[-keep]
     for c in cs[:cut]:
-        delete_path(spark, f"{_commits(root)}/{c.seq:012d}-{c.batch_id}-{c.kind}")
+        delete_path(spark, _marker(root, c.seq))
         delete_path(spark, c.path)
     return [c.path for c in cs[:cut]]
 
 
-def already_applied(spark: SparkSession, root: str, batch_id: int) -> bool:
-    cs = commits(spark, root)
-    return bool(cs) and max(c.batch_id for c in cs) >= batch_id
-
-
-def _append(spark: SparkSession, root: str, rows: DataFrame, batch_id: int, order_col: str,
-            layout: str, compact_every: int | None) -> Commit:
-    if layout == "rewrite":
-        return commit_state(spark, upsert_state(read_state(spark, root), rows, order_col), root, batch_id)
-    c = _write(spark, root, fold_state(rows, order_col), DELTA, batch_id)
-    if compact_every and len(_live(spark, root)) > compact_every:
-        c = compact(spark, root) or c
+def _compacted(spark: SparkSession, root: str, c: Commit, compact_every: int | None) -> Commit:
+    if compact_every and len(_live(commits(spark, root))) > compact_every:
+        return compact(spark, root) or c
     return c
 
 
 def apply_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int,
                 order_col: str = "seq", layout: str = DELTA,
-                compact_every: int | None = None) -> Commit | None:
+                compact_every: int | None = COMPACT_EVERY, writer: str = "") -> Commit | None:
     """SNK-3 + JOIN-1: apply one batch (memory semantics, keyed (id, mtype));
-    None when ``batch_id`` was already applied (replay).
+    None when ``writer`` already applied ``batch_id`` (replay).
 
     ``layout="delta"`` appends the folded batch (O(batch) written);
     ``layout="rewrite"`` upserts into a full new base (O(state) written).
     """
-    if already_applied(spark, root, batch_id):
+    if already_applied(spark, root, batch_id, writer):
+        return None
+    if layout == "rewrite":
+        return commit_state(spark, upsert_state(read_state(spark, root), batch, order_col), root, batch_id, writer)
+    try:
+        c = _write(spark, root, fold_state(batch, order_col), DELTA, batch_id, writer)
+    except BatchRefused:
         return None
-    return _append(spark, root, batch, batch_id, order_col, layout, compact_every)
+    return _compacted(spark, root, c, compact_every)
 
 
 def apply_set(spark: SparkSession, root: str, current: DataFrame, batch_id: int,
-              compact_every: int | None = None) -> Commit | None:
+              compact_every: int | None = COMPACT_EVERY, writer: str = "") -> Commit | None:
     """Record the current values of changed keys (id, mtype, delta, value),
-    e.g. one micro-batch of a streaming fold in update mode; None when
-    ``batch_id`` was already applied. Written rows are O(changed keys)."""
-    if already_applied(spark, root, batch_id):
+    e.g. one micro-batch of a streaming fold in update mode; None when the
+    batch was already applied. Written rows are O(changed keys)."""
+    if already_applied(spark, root, batch_id, writer):
         return None
-    c = _write(spark, root, current, SET, batch_id)
-    if compact_every and len(_live(spark, root)) > compact_every:
-        c = compact(spark, root) or c
-    return c
+    try:
+        c = _write(spark, root, current, SET, batch_id, writer)
+    except BatchRefused:
+        return None
+    return _compacted(spark, root, c, compact_every)
 
 
 def strict_batch_plan(state: DataFrame, batch: DataFrame, order_col: str = "seq",
-                      kind_col: str = "type") -> tuple[DataFrame, DataFrame]:
-    """AGG-4b, table semantics for one batch: (conflicts, effective rows).
-
-    A row's kind must match the id's established kind: the stored one, else
-    the first valid kind of the id inside the batch. A gauge sent to a
-    counter is a conflict (the whole batch rolls back); a counter sent to a
-    gauge is a no-op and dropped. ``effective`` holds the rows to apply.
+                      kind_col: str = "type") -> DataFrame:
+    """AGG-4b, table semantics for one batch, one row per id: id, mtype, delta,
+    value to apply, and ``conflicts``, the gauges sent to a counter (any
+    rolls the whole batch back). The batch policy holds: kinds are compared
+    as written, and rows of unknown kind or without a value are skipped.
+
+    An id's kind is the stored one, else that of its first row in the batch; a
+    counter sent to a gauge changes nothing. The batch is folded once per id
+    and only the folded rows meet the state.
     """
-    rows = batch.withColumn("_k", normalize_kind(kind_col)) \
-        .where(applies("_k", "delta", "value"))
-    code = F.when(F.col("_k") == COUNTER, F.lit(0)).otherwise(F.lit(1))  # fixed-width buffer
-    first = rows.groupBy("id").agg(F.min_by(code, order_col).alias("_c")).select(
-        "id", F.when(F.col("_c") == 0, F.lit(COUNTER)).otherwise(F.lit(GAUGE)).alias("_first"))
+    b = fold_kinds(batch, F.col(kind_col), order_col)
     # Table semantics: the stored state holds one row per id.
     stored = state.select("id", F.col("mtype").alias("_stored"))
-    kinds = first.join(stored, "id", "left") \
-        .select("id", F.coalesce("_stored", "_first").alias("_est"))
-    tagged = rows.join(kinds, "id", "inner")
-    conflicts = tagged.where((F.col("_est") == COUNTER) & (F.col("_k") == GAUGE))
-    effective = tagged.where(F.col("_k") == F.col("_est")) \
-        .withColumn(kind_col, F.col("_k")).drop("_k", "_est")
-    return conflicts.drop("_est"), effective
+    first = F.when(F.col("first") == 0, F.lit(COUNTER)).otherwise(F.lit(GAUGE))
+    j = b.join(stored, "id", "left").withColumn("mtype", F.coalesce("_stored", first))
+    counter = F.col("mtype") == COUNTER
+    return j.select(
+        "id", "mtype", F.when(counter, F.col("total")).alias("delta"), F.when(~counter, F.col("last")).alias("value"),
+        F.when(counter, F.col("gauges")).otherwise(F.lit(0)).alias("conflicts"),
+        (F.when(counter, F.col("counters")).otherwise(F.col("gauges")) > 0).alias("effective"))
 
 
 def apply_strict_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int,
                        order_col: str = "seq", quarantine: str | None = None,
-                       layout: str = DELTA, compact_every: int | None = None) -> Commit | None:
+                       compact_every: int | None = COMPACT_EVERY, writer: str = "") -> Commit | None:
     """AGG-4b: all-or-nothing apply. One conflicting gauge quarantines the
     whole batch (written to ``quarantine``/batch_id=N when given) and nothing
-    is committed; otherwise the effective rows are applied."""
-    if already_applied(spark, root, batch_id):
+    is committed. The plan runs once: conflicts are observed while the folded
+    rows are written, before the commit."""
+    if already_applied(spark, root, batch_id, writer):
         return None
-    conflicts, effective = strict_batch_plan(read_state(spark, root), batch, order_col)
-    if not conflicts.isEmpty():
+    seen = Observation(f"strict-{uuid.uuid4().hex}")
+    plan = strict_batch_plan(read_state(spark, root), batch, order_col) \
+        .observe(seen, F.sum("conflicts").alias("conflicts"))
+
+    def check() -> None:
+        if seen.get["conflicts"]:
+            raise BatchRefused(f"batch {batch_id} has conflicts")
+
+    try:
+        c = _write(spark, root, plan.where("effective"), DELTA, batch_id, writer, check)
+    except BatchRefused:
         if quarantine:
             batch.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch_id={batch_id}")
         return None
-    return _append(spark, root, effective, batch_id, order_col, layout, compact_every)
+    return _compacted(spark, root, c, compact_every)

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from metricfold.schemas import CPU_FIELD, SAMPLE_FIELDS
+
 # Key used by the reference's known-answer signature tests (fixed value).
 TEST_KEY = "test_key"
 
@@ -88,39 +90,41 @@ _PATH_FROM_UPDATES = [
     """'/update/' || type || '/' || id || '/' ||
        CASE WHEN seq % 17 = 0 THEN 'invalid'
             WHEN delta IS NOT NULL THEN CAST(delta AS STRING)
-            ELSE CAST(value AS STRING) END AS path""",
+            ELSE coalesce(CAST(value AS STRING), '') END AS path""",
 ]
 
 
 def paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`paths`: one `/update/{type}/{name}/{value}` text per update."""
-    return updates(spark, sf_dir).where("delta IS NOT NULL OR value IS NOT NULL") \
-        .selectExpr(*_PATH_FROM_UPDATES)
+    """`paths`: one `/update/{type}/{name}/{value}` text per update; an update
+    without a value has an empty last part."""
+    return updates(spark, sf_dir).selectExpr(*_PATH_FROM_UPDATES)
 
 
 def paths_sql() -> str:
-    return (f"SELECT {', '.join(_PATH_FROM_UPDATES)} FROM ({updates_sql()}) u "
-            "WHERE delta IS NOT NULL OR value IS NOT NULL")
+    return f"SELECT {', '.join(_PATH_FROM_UPDATES)} FROM ({updates_sql()}) u"
 
 
 # ---------------------------------------------------------------- wide -----
-_WIDE = [
-    "user_id AS host", "event_id AS ord", "ts",
-    "CASE event_type WHEN 'click' THEN value ELSE 0 END AS Alloc",
-    "CASE event_type WHEN 'view' THEN value ELSE 0 END AS Sys",
-    "CASE event_type WHEN 'signup' THEN value ELSE 0 END AS TotalAlloc",
-    "CASE event_type WHEN 'purchase' THEN value ELSE 0 END AS FreeMemory",
-]
-WIDE_FIELDS = ("Alloc", "Sys", "TotalAlloc", "FreeMemory")
+_BY_TYPE = {"Alloc": "click", "Sys": "view", "TotalAlloc": "signup", "FreeMemory": "purchase"}
+WIDE_FIELDS = SAMPLE_FIELDS
+_CPU = {"spark": "slice(array(value, value / 2.0D), 1, CAST(event_id % 3 AS INT))",
+        "duckdb": "list_slice([value, value / 2.0::DOUBLE], 1, event_id % 3)"}
+
+
+def _wide_exprs(dialect: str) -> list[str]:
+    fields = [f"CASE event_type WHEN '{_BY_TYPE[f]}' THEN value ELSE 0 END AS {f}" if f in _BY_TYPE
+              else f"CASE WHEN (event_id * 7 + {j}) % 4 = 0 THEN value + {j} ELSE 0 END AS {f}"
+              for j, f in enumerate(SAMPLE_FIELDS)]
+    return ["user_id AS host", "event_id AS ord", "ts", *fields, f"{_CPU[dialect]} AS {CPU_FIELD}"]
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`wide`: reduced host samples, one non-zero field per row."""
-    return table(spark, sf_dir, "events").selectExpr(*_WIDE)
+    """`wide`: host samples with all fields and a list of 0 to 2 cores."""
+    return table(spark, sf_dir, "events").selectExpr(*_wide_exprs("spark"))
 
 
 def wide_sql() -> str:
-    return "SELECT " + ", ".join(_WIDE) + " FROM events"
+    return "SELECT " + ", ".join(_wide_exprs("duckdb")) + " FROM events"
 
 
 # -------------------------------------------------------------- signed -----
@@ -154,6 +158,7 @@ _PAYLOAD = [
             WHEN seq % 23 = 0 THEN '{"id": "' || id || '", "type": "counter", "delta": "5"}'
             WHEN seq % 29 = 0 THEN '{"id": "' || id || '", "type": "counter", "delta": 1.5}'
             WHEN seq % 37 = 0 THEN '[{"id": "' || id || '"}]'
+            WHEN seq % 41 = 0 THEN '{"id": "' || id || '", "type": "gauge", "value": -1e999}'
             ELSE '{"id": "' || id || '", "type": "' || type || '"'
                  || CASE WHEN delta IS NULL THEN '' ELSE ', "delta": ' || CAST(delta AS STRING) END
                  || CASE WHEN value IS NULL THEN '' ELSE ', "value": ' || CAST(value AS STRING) END
@@ -179,7 +184,8 @@ _ELEMENT = """'{"id": "' || id || '", "type": "' || type || '"'
              WHEN batch_id % 7 = 5 AND seq % 500 = 250 THEN ', "delta": "5"'
              WHEN batch_id % 9 = 4 AND seq % 500 = 250 THEN ', "delta": 9223372036854775808'
              ELSE ', "delta": ' || CAST(delta AS STRING) END
-     || CASE WHEN value IS NULL THEN '' ELSE ', "value": ' || CAST(value AS STRING) END
+     || CASE WHEN batch_id % 13 = 8 AND seq % 500 = 251 THEN ', "value": 1e400'
+             WHEN value IS NULL THEN '' ELSE ', "value": ' || CAST(value AS STRING) END
      || '}'"""
 _ELEMENT_ID5 = """CASE WHEN batch_id % 7 = 6 AND seq % 500 = 100
                   THEN '{"id": 5, "type": "gauge", "value": 1}' ELSE {el} END"""
@@ -202,12 +208,13 @@ def batch_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  lambda x: x["el"]), ", ").alias("body"))
     return arr.selectExpr(
         "batch_id",
-        "CASE WHEN batch_id % 11 = 4 THEN 'not json' ELSE '[' || body || ']' END AS payload")
+        "CASE WHEN batch_id % 11 = 4 THEN 'not json' WHEN batch_id % 11 = 9 THEN '[]' "
+        "ELSE '[' || body || ']' END AS payload")
 
 
 def batch_payloads_sql() -> str:
     return f"""SELECT batch_id,
-      CASE WHEN batch_id % 11 = 4 THEN 'not json'
+      CASE WHEN batch_id % 11 = 4 THEN 'not json' WHEN batch_id % 11 = 9 THEN '[]'
            ELSE '[' || string_agg(el, ', ' ORDER BY seq) || ']' END AS payload
     FROM (SELECT batch_id, seq, {_element_expr()} AS el FROM ({updates_sql()}) u) e
     GROUP BY batch_id"""

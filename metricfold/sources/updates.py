@@ -1,9 +1,9 @@
 """Update sources: JSON batches, single JSON updates, path texts, snapshots.
 
-Payload validation runs on the VARIANT type: ``try_parse_json`` then the
-element/field type rule with higher-order functions on each payload row --
-no explode, no shuffle, and a bad element rejects its whole payload, as the
-batch endpoint does. Only accepted payloads are exploded into update rows.
+Payload validation runs on the VARIANT type: ``try_parse_json``, then each
+element is typed and decoded once with higher-order functions on the payload's
+row -- no explode, no shuffle, and a bad element rejects its whole payload, as
+the batch endpoint does. Only accepted payloads are exploded into update rows.
 """
 
 from __future__ import annotations
@@ -15,51 +15,85 @@ from metricfold.operators.admission import BAD_PATH, EMPTY_BODY, MALFORMED_JSON,
 from metricfold.functions.scalars import normalize_kind
 from metricfold.schemas import COUNTER, GAUGE, UPDATE
 
-_STRING_OK = ("STRING", "VOID")
-_DELTA_OK = ("BIGINT", "VOID")
+# VARIANT types that a field may have; any other type rejects the update.
+_TYPES = {"id": "STRING|VOID", "type": "STRING|VOID", "hash": "STRING|VOID", "delta": "BIGINT|VOID",
+          "value": r"BIGINT|DOUBLE|VOID|DECIMAL\([0-9]+, ?[0-9]+\)"}
+# The type text of an object of scalars whose known fields are spelled exactly
+# and well typed: the common case, settled by one look at one text.
+_PLAIN = (r"^OBJECT<(?:(?:" + "|".join(f"{f}: (?:{t})" for f, t in _TYPES.items())
+          + r"|(?!(?i:id|type|hash|delta|value): )[A-Za-z0-9_]+: [A-Z_]+(?:\([0-9]+, ?[0-9]+\))?)(?:, (?=[A-Za-z0-9_])|(?=>$)))*>$")
+_KINDS_OF = {"id": "string", "type": "string", "hash": "string", "delta": "bigint", "value": "double"}
 
 
-def _field_type(v: Column, field: str) -> Column:
-    """VARIANT type name of ``v.field``; NULL when the key is absent."""
-    return F.schema_of_variant(F.try_variant_get(v, f"$.{field}", "variant"))
+def _typed(v: Column) -> Column:
+    """A JSON value with its type, looked up once."""
+    t = F.schema_of_variant(v)
+    return F.struct(v.alias("v"), t.alias("kind"), F.coalesce(t.rlike(_PLAIN), F.lit(False)).alias("plain"))
 
 
-def _object_ok(v: Column) -> Column:
-    """Type rule for one update object (Go's decoder into the update struct).
+def _spelled(x: Column) -> Column:
+    """Adds the fields of an object that is not plain, for keys that differ in
+    case (a field is known by its name in any case)."""
+    entries = F.map_entries(F.try_variant_get(x["v"], "$", "map<string,variant>"))
+    odd = ~x["plain"] & x["kind"].startswith("OBJECT")
+    return F.struct(x["v"].alias("v"), x["kind"].alias("kind"), x["plain"].alias("plain"),
+                    F.when(odd, entries).alias("fields"))
 
-    id/type/hash: string or null; delta: integer within int64 or null;
-    value: any JSON number or null. Unknown keys are ignored. A JSON null
-    element decodes to an empty update (later skipped), so it passes.
+
+def _decode(x: Column) -> Column:
+    """One update (Go's decoder into the update struct) as a struct with ``ok``.
+
+    id/type/hash: string or null; delta: integer within int64 or null; value:
+    any finite JSON number or null. Unknown keys are ignored; keys match in any
+    case, and two keys that differ in case only make the update ill-formed (their
+    order is not kept). A missing or null string is "", the zero value; a JSON
+    null is an empty update (later skipped).
     """
-    kind = F.schema_of_variant(v)
-    typ = {f: _field_type(v, f) for f in ("id", "type", "hash", "delta", "value")}
+    def spelled(f: str) -> Column:
+        return F.filter(x["fields"], lambda e: F.lower(e["key"]) == f)
 
-    def ok(t: Column, allowed: tuple[str, ...]) -> Column:
-        return t.isNull() | t.isin(*allowed)
+    named = {f: spelled(f) for f in _TYPES}
 
-    value_ok = typ["value"].isNull() | typ["value"].isin("BIGINT", "DOUBLE", "VOID") \
-        | typ["value"].startswith("DECIMAL")
-    return (kind == "VOID") | (kind.startswith("OBJECT")
-                               & ok(typ["id"], _STRING_OK) & ok(typ["type"], _STRING_OK)
-                               & ok(typ["hash"], _STRING_OK) & ok(typ["delta"], _DELTA_OK)
-                               & value_ok)
+    def get(f: str) -> Column:
+        kind = _KINDS_OF[f]
+        return F.when(x["plain"], F.try_variant_get(x["v"], f"$.{f}", kind)) \
+            .otherwise(F.try_variant_get(F.get(named[f], F.lit(0))["value"], "$", kind))
 
+    def well(f: str) -> Column:
+        t = F.schema_of_variant(F.get(named[f], F.lit(0))["value"])
+        return (F.size(named[f]) == 0) | ((F.size(named[f]) == 1) & t.rlike(f"^(?:{_TYPES[f]})$"))
 
-def _parsed(payloads: DataFrame, payload_col: str) -> DataFrame:
-    """Parse each payload once into a VARIANT column ``_v``; later checks and
-    the decode reuse it (an expensive expression referenced many times is
-    kept in its own projection by the optimizer, so it is not re-parsed)."""
-    return payloads.withColumn("_v", F.try_parse_json(F.col(payload_col)))
+    slow = x["fields"].isNotNull()
+    for f in _TYPES:
+        slow = slow & well(f)
+    value = get("value")
+    finite = value.isNull() | ((F.abs(value) < float("inf")) & ~F.isnan(value))
+    ok = (x["kind"] == "VOID") | ((x["plain"] | F.coalesce(slow, F.lit(False))) & finite)
+    text = lambda f: F.coalesce(get(f), F.lit(""))
+    return F.struct(ok.alias("ok"), text("id").alias("id"), text("type").alias("type"), get("delta").alias("delta"),
+                    value.alias("value"), get("hash").alias("hash"))
 
 
-def _verdict_cols(v: Column) -> tuple[Column, Column, Column]:
+def _parsed(payloads: DataFrame, payload_col: str) -> DataFrame:
+    """Parses each payload once and decodes its elements once, into ``_d`` (an
+    array of updates, NULL for a payload that is no array); verdicts, rows and
+    audit ids all read it. (An expensive expression referenced many times is
+    kept in its own projection by the optimizer.)"""
+    v = F.col("_v")
     elems = F.try_variant_get(v, "$", "array<variant>")
-    is_null_doc = F.schema_of_variant(v) == "VOID"
-    good = F.when(is_null_doc, F.lit(True)).otherwise(
-        elems.isNotNull() & F.forall(elems, _object_ok))
-    reason = F.when(v.isNull() | ~good, F.lit(MALFORMED_JSON))
-    n = F.when(is_null_doc, F.lit(0)).otherwise(F.size(elems)).cast("bigint")
-    return reason, n, elems
+    each = F.transform(F.transform(F.transform(elems, _typed), _spelled), _decode)
+    null_doc = F.schema_of_variant(v) == "VOID"
+    nothing = F.array().cast(f"array<struct<ok:boolean,{_FIELDS}>>")
+    return payloads.withColumn("_v", F.try_parse_json(F.col(payload_col))) \
+        .withColumn("_d", F.when(null_doc, nothing).otherwise(each)).drop("_v")
+
+
+_FIELDS = "id:string,type:string,delta:bigint,value:double,hash:string"
+
+
+def _reason() -> Column:
+    good = F.col("_d").isNotNull() & F.forall("_d", lambda x: x["ok"])
+    return F.when(~F.coalesce(good, F.lit(False)), F.lit(MALFORMED_JSON))
 
 
 def payload_verdicts(payloads: DataFrame, payload_col: str = "payload",
@@ -67,25 +101,16 @@ def payload_verdicts(payloads: DataFrame, payload_col: str = "payload",
     """SRC-1 rule per payload row: adds ``accepted`` (bool), ``n_elements``
     and ``reject_reason``. ``null`` is an empty batch; a non-array, an
     unparsable text or one ill-typed element rejects the payload.
-    ``keep_parsed`` keeps the parsed VARIANT ``_v`` for ``payload_updates``."""
-    p = payloads if "_v" in payloads.columns else _parsed(payloads, payload_col)
-    reason, n, _ = _verdict_cols(F.col("_v"))
-    out = p.withColumn("reject_reason", reason).withColumn("accepted", reason.isNull()) \
-        .withColumn("n_elements", n)
-    return out if keep_parsed else out.drop("_v")
+    ``keep_parsed`` keeps the decoded elements ``_d`` for ``payload_updates``."""
+    p = payloads if "_d" in payloads.columns else _parsed(payloads, payload_col)
+    out = p.withColumn("reject_reason", _reason()).withColumn("accepted", F.col("reject_reason").isNull()) \
+        .withColumn("n_elements", F.when(F.col("_d").isNotNull(), F.size("_d")).cast("bigint"))
+    return out if keep_parsed else out.drop("_d")
 
 
-def _zero_string(v: Column, path: str) -> Column:
-    # Go decodes a missing or null string field as "" (its zero value).
-    return F.when(v.isNotNull(), F.coalesce(F.try_variant_get(v, path, "string"), F.lit("")))
-
-
-def _decode(v: Column) -> list[Column]:
-    return [_zero_string(v, "$.id").alias("id"),
-            _zero_string(v, "$.type").alias("type"),
-            F.try_variant_get(v, "$.delta", "bigint").alias("delta"),
-            F.try_variant_get(v, "$.value", "double").alias("value"),
-            F.try_variant_get(v, "$.hash", "string").alias("hash")]
+def payload_ids() -> Column:
+    """The ids of a decoded payload in order, empty for an empty batch."""
+    return F.transform("_d", lambda x: x["id"])
 
 
 def payload_updates(payloads: DataFrame, payload_col: str = "payload",
@@ -95,10 +120,9 @@ def payload_updates(payloads: DataFrame, payload_col: str = "payload",
     payload row (e.g. a batch id) are carried along. Parsed once; the array
     is exploded only for accepted payloads, without any shuffle."""
     keep = keep or []
-    p = payloads if "_v" in payloads.columns else _parsed(payloads, payload_col)
-    reason, _, elems = _verdict_cols(F.col("_v"))
-    ex = p.where(reason.isNull()).select(*keep, F.posexplode(elems).alias("pos", "_e"))
-    return ex.select(*keep, "pos", *_decode(F.col("_e")))
+    p = payloads if "_d" in payloads.columns else _parsed(payloads, payload_col)
+    ex = p.where(_reason().isNull()).select(*keep, F.posexplode("_d").alias("pos", "_e"))
+    return ex.select(*keep, "pos", *[F.col("_e")[f].alias(f) for f in ("id", "type", "delta", "value", "hash")])
 
 
 def read_update_batch(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -116,24 +140,23 @@ def parse_json_update(payloads: DataFrame, payload_col: str = "payload") -> Data
 
     Adds id, mtype (lower-cased kind), delta, value and ``reject_reason``:
     empty body, malformed/ill-typed JSON (also: not an object), then the
-    single-update rule (unknown kind, missing value/delta). Keys must be the
-    canonical lower-case ones; unknown keys are ignored.
+    single-update rule (unknown kind, missing value/delta). Keys match in any
+    case; unknown keys are ignored.
     """
     text = F.col(payload_col)
-    p = _parsed(payloads, payload_col)
-    v = F.col("_v")
-    well_typed = v.isNotNull() & F.schema_of_variant(v).startswith("OBJECT") & _object_ok(v)
+    one = F.transform(F.transform(F.transform(F.array("_v"), _typed), _spelled), _decode)
+    p = payloads.withColumn("_v", F.try_parse_json(text)) \
+        .withColumn("_d", F.when(F.schema_of_variant("_v").startswith("OBJECT"), F.get(one, F.lit(0))))
     # Fields are only decoded from a well-typed object (a failed decode in
     # the reference yields no update at all).
-    checked = p.withColumn("_ok", well_typed)
-    v_ok = F.when(F.col("_ok"), v)
-    out = checked.select("*", *_decode(v_ok)[:4])
+    checked = p.withColumn("_ok", F.coalesce(F.col("_d")["ok"], F.lit(False)))
+    out = checked.select("*", *[F.when(F.col("_ok"), F.col("_d")[f]).alias(f) for f in ("id", "type", "delta", "value")])
     mtype = normalize_kind("type")
     reason = (F.when(F.coalesce(F.length(text), F.lit(0)) == 0, F.lit(EMPTY_BODY))
               .when(~F.col("_ok"), F.lit(MALFORMED_JSON))
               .otherwise(update_reason(mtype, "delta", "value")))
     return out.withColumn("mtype", mtype).withColumn("reject_reason", reason) \
-        .drop("type", "_v", "_ok")
+        .drop("type", "_v", "_d", "_ok")
 
 
 def parse_path_update(paths: DataFrame, path_col: str = "path") -> DataFrame:

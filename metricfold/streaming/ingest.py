@@ -9,13 +9,16 @@ SNK-2, AGG-4b).
   stamped with its ``batch_id`` so a replay after restart is skipped, then
   its audit events go to every sink. Triggered every N seconds (the periodic
   snapshot) or ``availableNow`` in tests.
-* ``poll_count_stream``: watermark + tumbling window, append mode.
+* ``poll_count_stream``: watermark + tumbling window, append mode;
+  ``flush_poll_windows`` counts the windows still open when a stream ends.
 
 Checkpoints live under the session's ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
+import logging
+import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -32,6 +35,11 @@ from metricfold.sinks.events import Sink, fanout
 from metricfold.sinks.snapshot import save_snapshot
 
 
+log = logging.getLogger(__name__)
+
+SNAPSHOT_SECONDS = 300.0  # between periodic snapshots, whatever the trigger
+
+
 def checkpoint_for(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/streams/{name}"
 
@@ -71,12 +79,12 @@ def start_fold_table(updates: DataFrame, root: str, name: str, every: str | None
     """STR-1 with a durable sink: Spark's state store keeps the fold; every
     micro-batch of changed keys (update mode: their current values) is
     committed to the state table at ``root`` as a ``set`` commit, replay-safe
-    by batch id and compacted every ``compact_every`` commits. Read the state
+    by (``name``, batch id) and compacted every ``compact_every`` commits. Read the state
     with ``sinks.state_table.read_state``."""
     spark = updates.sparkSession
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        tbl.apply_set(spark, root, df, batch_id, compact_every)
+        tbl.apply_set(spark, root, df, batch_id, compact_every, writer=name)
     return start_fold(updates, sink, name, every, order_col)
 
 
@@ -85,28 +93,37 @@ def start_state_writer(updates: DataFrame, root: str, name: str,
                        strict: bool = False, quarantine: str | None = None,
                        audit_sinks: dict[str, Sink] | None = None,
                        snapshot_root: str | None = None,
+                       snapshot_seconds: float = SNAPSHOT_SECONDS,
                        ip_col: str = "ip_address", layout: str = "delta",
-                       compact_every: int | None = 50,
-                       replay_audit: bool = False) -> StreamingQuery:
+                       compact_every: int | None = tbl.COMPACT_EVERY,
+                       replay_audit: bool = False, writer: str | None = None,
+                       on_audit: Callable[[int, dict], None] | None = None) -> StreamingQuery:
     """STR-1/3/4 + SNK-2/3/5 + AGG-4b: micro-batch upsert into the state
     table, then audit events to the sinks (only after the state commit).
 
+    A micro-batch is known by (``writer``, its id); the writer is the stream's
+    ``name`` unless given, so feeds with ids of their own share a table.
+
     Audit events are at-most-once per batch by default (a crash between the
     state commit and the audit write loses that batch's event, as the
     reference's fire-and-forget publish does). With idempotent sinks (e.g.
     ``write_audit_batch``) pass ``replay_audit=True``: a replayed batch then
     re-emits its events, which makes the audit effectively-once like the
-    state.
+    state. Each batch's outcome by sink (None or the error) goes to
+    ``on_audit(batch_id, outcome)``; errors are logged as warnings too.
 
-    ``every`` is the trigger interval (the reference saves every 300 s);
-    ``snapshot_root`` additionally writes a JSON snapshot per commit. With
-    ``layout="delta"`` a micro-batch writes only its folded rows and every
+    ``every`` is the trigger interval. ``snapshot_root`` additionally gets a
+    JSON snapshot when ``snapshot_seconds`` have passed since the last one (the
+    reference saves every 300 s), and a last one from ``close_state_writer``.
+    With ``layout="delta"`` a micro-batch writes only its folded rows and every
     ``compact_every`` commits are folded into a new base.
     """
     spark = updates.sparkSession
+    feed = writer or name
+    saved = [time.monotonic() if snapshot_seconds else 0.0]
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        replay = tbl.already_applied(spark, root, batch_id)
+        replay = tbl.already_applied(spark, root, batch_id, feed)
         if replay and not (replay_audit and audit_sinks):
             return  # replayed micro-batch: state already holds it
         batch.persist(StorageLevel.MEMORY_AND_DISK)  # read by apply, checks and audit
@@ -119,22 +136,26 @@ def start_state_writer(updates: DataFrame, root: str, name: str,
         if not replay:
             if strict:
                 commit = tbl.apply_strict_batch(spark, root, batch, batch_id, order_col,
-                                                quarantine, layout, compact_every)
+                                                quarantine, compact_every, feed)
             else:
                 commit = tbl.apply_batch(spark, root, batch, batch_id, order_col, layout,
-                                         compact_every)
+                                         compact_every, feed)
             if commit is None:
                 return
-            if snapshot_root:
+            if snapshot_root and time.monotonic() - saved[0] >= snapshot_seconds:
                 save_snapshot(tbl.read_state(spark, root), snapshot_root, commit.version)
-        elif strict and not any(c.batch_id == batch_id for c in tbl.commits(spark, root)):
-            return  # a quarantined batch emits no audit on replay either
+                saved[0] = time.monotonic()
         if audit_sinks:
             stamped = batch.withColumn("_micro_batch", F.lit(batch_id))
             ip = F.col(ip_col) if ip_col in batch.columns else F.lit("")
             ev = audit_events(stamped.withColumn("_ip", ip), batch_col="_micro_batch",
                               order_col=order_col, ip_col="_ip")
-            fanout(ev, audit_sinks)
+            outcome = fanout(ev, audit_sinks)
+            for sink, error in outcome.items():
+                if error:
+                    log.warning("audit sink %s failed on batch %s: %s", sink, batch_id, error)
+            if on_audit:
+                on_audit(batch_id, outcome)
 
     w = updates.writeStream.option("checkpointLocation", checkpoint_for(spark, name)) \
         .foreachBatch(per_batch)
@@ -162,3 +183,16 @@ def poll_count_stream(samples: DataFrame, every: str = "10 seconds",
     carry one row per poll (merge providers per poll first)."""
     s = samples.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withWatermark(ts_col, watermark)
     return poll_count(s, every, key, ts_col)
+
+
+def flush_poll_windows(samples: DataFrame, emitted: DataFrame, every: str = "10 seconds",
+                       key: str = "host", ts_col: str = "ts") -> DataFrame:
+    """STR-2, when a stream ends: the poll counts of the windows that its
+    watermark has not closed, as a batch job. ``samples`` is the recorded input,
+    ``emitted`` what the stream wrote; windows from the last emitted end on are
+    open."""
+    last = emitted.agg(F.max("window_end")).first()[0]
+    s = samples.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
+    if last is not None:
+        s = s.where(F.col(ts_col) >= F.lit(last))
+    return poll_count(s, every, key, ts_col)

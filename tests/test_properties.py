@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from metricfold.functions.scalars import _fixed, _shortest_plain, fixed_text, shortest_text
 from metricfold.operators import fold, samples
 from metricfold.operators import state as st
+from metricfold.schemas import HOST_FIELDS, RUNTIME_FIELDS
 from metricfold.sources import fixtures as fx
 from tests.conftest import SF_SMALL
 
@@ -83,7 +84,7 @@ def test_report_batches_follow_running_merge(spark):
     last_window = rep.groupBy("host").agg(F.max("window_start").alias("window_start"))
     final = rep.join(last_window, ["host", "window_start"]).where(F.col("type") == "gauge") \
         .groupBy("host").pivot("id", list(fx.WIDE_FIELDS)).agg(F.first("value"))
-    merged = samples.merge_samples(w, list(fx.WIDE_FIELDS))
+    merged = samples.merge_samples(w, list(fx.WIDE_FIELDS)).drop("CPUutilization")
     assert _rows(final.select("host", *fx.WIDE_FIELDS)) == _rows(merged)
     polls = rep.where(F.col("type") == "counter").agg(F.sum("delta")).collect()[0][0]
     assert polls == w.count()
@@ -115,13 +116,18 @@ def test_formatting_exact(spark):
     assert _fixed(float("inf"), 2) == "+Inf" and _shortest_plain(float("-inf")) == "-Inf"
 
 
-def test_report_batches_bucket_size_does_not_matter(spark):
-    # The two-level scan gives the same reports for any bucket size,
-    # including buckets of one window (every carry comes from level 1).
+def test_report_batches_is_lazy_with_one_scan(spark):
+    # No job runs while the plan is built, and the samples are read once.
     w = fx.wide(spark, SF_SMALL)
-    base = _rows(samples.report_batches(w, list(fx.WIDE_FIELDS), every="1 hour"))
-    for b in (1, 3, 50):
-        assert _rows(samples.report_batches(w, list(fx.WIDE_FIELDS), every="1 hour", bucket=b)) == base
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy-report", "plan only")
+    rep = samples.report_batches(w, every="1 hour")
+    assert list(tracker.getJobIdsForGroup("lazy-report")) == []
+    spark.sparkContext.setJobGroup("rest", "")
+    assert rep._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    # A list of two cores gives two rows of its own.
+    cores = rep.where("id like 'CPUutilization%'").select("id").distinct()
+    assert sorted(r.id for r in cores.collect()) == ["CPUutilization1", "CPUutilization2"]
 
 
 def test_providers_merge_in_poll_then_provider_order(spark):
@@ -129,10 +135,10 @@ def test_providers_merge_in_poll_then_provider_order(spark):
     w = fx.wide(spark, SF_SMALL)
 
     def runtime(s):
-        return w.select("host", "ord", "ts", "Alloc", "Sys", "TotalAlloc")
+        return w.select("host", "ord", "ts", *RUNTIME_FIELDS)
 
     def host(s):
-        return w.select("host", "ord", "ts", "FreeMemory")
+        return w.select("host", "ord", "ts", *HOST_FIELDS, "CPUutilization")
 
     def broken(s):
         raise OSError("sensor unavailable")
@@ -149,22 +155,22 @@ def test_providers_merge_in_poll_then_provider_order(spark):
 
 def test_report_batches_do_not_depend_on_session_time_zone(spark):
     w = fx.wide(spark, SF_SMALL)
-    utc = _rows(samples.report_batches(w, list(fx.WIDE_FIELDS), every="1 hour", bucket=5))
+    utc = _rows(samples.report_batches(w, list(fx.WIDE_FIELDS), every="1 hour"))
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        local = _rows(samples.report_batches(w, list(fx.WIDE_FIELDS), every="1 hour", bucket=5))
+        local = _rows(samples.report_batches(w, list(fx.WIDE_FIELDS), every="1 hour"))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert local == utc
 
 
 def test_poll_counts_with_several_providers_per_poll(spark):
-    w = fx.wide(spark, SF_SMALL)
+    fields = ["Alloc", "Sys", "TotalAlloc", "FreeMemory"]
+    w = fx.wide(spark, SF_SMALL).select("host", "ord", "ts", *fields)
     frames, _ = samples.collect_providers(spark, [
-        w.select("host", "ord", "ts", "Alloc", "Sys", "TotalAlloc"),
-        w.select("host", "ord", "ts", "FreeMemory")])
+        w.select("host", "ord", "ts", *fields[:3]),
+        w.select("host", "ord", "ts", fields[3])])
     split = samples.read_samples(frames)
-    fields = list(fx.WIDE_FIELDS)
     assert _rows(samples.poll_count(split, "1 day", poll_col="ord")) == _rows(samples.poll_count(w, "1 day"))
     got = samples.report_batches(split, fields, every="1 day", order_cols=["ord", "provider"], poll_col="ord")
     assert _rows(got) == _rows(samples.report_batches(w, fields, every="1 day"))

@@ -73,27 +73,34 @@ def test_hot_lookup_key_is_split_by_aqe(spark, scratch):
     assert n == len(rows) and sum(1 for r in rows if r.id == "click.u7") >= u.count() // 3
 
 
-def test_salted_lookup_equals_plain_and_spreads_hot_key(spark):
+def test_hot_lookup_key_spreads_without_a_flag(spark, tmp_path):
+    """A key with a third of the requests is answered by several tasks, for a
+    state folded in the query and for a table with live deltas; misses too."""
+    from metricfold.sinks import state_table as tbl
     u = fx.updates(spark, SF_MID)
-    state = fold.fold_state(u)
+    folded = fold.fold_state(u)
+    root = str(tmp_path / "state")
+    tbl.apply_batch(spark, root, u.where("seq % 2 = 0"), 0, compact_every=None)
+    tbl.apply_batch(spark, root, u.where("seq % 2 = 1"), 1, compact_every=None)
     hot = u.select("seq", F.when(F.col("seq") % 3 == 0, F.lit("click.u7")).otherwise(F.col("id")).alias("id"),
                    F.when(F.col("seq") % 3 == 0, F.lit("counter")).otherwise(F.col("type")).alias("type"))
-    plain = sorted(map(tuple, st.lookup(hot, state).collect()))
-    salted_df = st.lookup(hot, state, salt=8)
-    assert sorted(map(tuple, salted_df.collect())) == plain
-    # With a shuffled join (no broadcast, no coalescing), the hot key's
-    # requests land in several join tasks instead of one.
+    plain = sorted(map(tuple, st.lookup(hot, folded, hot_requests=10 ** 9).collect()))
+    lost = hot.withColumn("id", F.when(F.col("id") == "click.u7", "gone").otherwise(F.col("id")))
     conf = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        tasks = {}
-        for n in (None, 8):
-            df = st.lookup(hot, state, salt=n).where("id = 'click.u7'")
-            tasks[n] = len(df.groupBy(F.spark_partition_id()).count().collect())
+        for state in (folded, tbl.read_state(spark, root)):
+            found = st.lookup(hot, state, hot_requests=1000)
+            assert len(found.where("id = 'click.u7'").groupBy(F.spark_partition_id()).count().collect()) > 3
+            if state is folded:
+                assert sorted(map(tuple, found.collect())) == plain
+            by_task = st.lookup_missing(lost, state, hot_requests=1000) \
+                .groupBy("id", F.spark_partition_id().alias("p")).count().collect()
+            gone = [r["count"] for r in by_task if r.id == "gone"]
+            assert len(gone) > 3 and sum(gone) == hot.where("id = 'click.u7' and type = 'counter'").count()
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    assert tasks[None] == 1 and tasks[8] > 1

@@ -5,8 +5,11 @@ import gzip
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
+from metricfold.operators.fold import fold_state
 from metricfold.operators import audit, fold, samples
 from metricfold.operators.admission import filter_signed
 from metricfold.sinks import events as ev
@@ -150,14 +153,100 @@ def test_audit_lines_and_fanout(spark, scratch):
     assert first["metrics"] == b0
 
 
-def test_audit_pages_bound_hot_batch(spark):
-    # One batch holding every row: pages keep each group and row bounded.
-    u = fx.updates(spark, SF_SMALL).withColumn("batch_id", F.lit(0))
-    evs = audit.audit_events(u, page_size=100).collect()
-    assert max(r.n_metrics for r in evs) <= 100
-    assert sum(r.n_metrics for r in evs) == u.count()
-    ids = [i for r in sorted(evs, key=lambda r: r.page) for i in r.metrics]
-    assert ids == [r.id for r in u.orderBy("seq").collect()]
+def test_audit_one_event_per_batch(spark):
+    # Order keys across a round number, and a batch of every row.
+    u = fx.updates(spark, SF_SMALL)
+    evs = audit.audit_events(u.withColumn("batch_id", F.lit(0))).collect()
+    assert [r.n_metrics for r in evs] == [u.count()]
+    assert evs[0].metrics == [r.id for r in u.orderBy("seq").collect()]
+    few = spark.createDataFrame([(i, f"m{i}", 7, "ip") for i in range(9990, 10010)],
+                                "seq long, id string, batch_id long, ip_address string") \
+        .withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    ev = audit.audit_events(few).collect()
+    assert len(ev) == 1 and ev[0].metrics == [f"m{i}" for i in range(9990, 10010)]
+    assert audit.audit_rows(few).count() == 20
+
+
+def test_two_feeds_and_stale_writers(spark, scratch):
+    root = os.path.join(scratch, "two")
+    row = lambda i, d: spark.createDataFrame([(i, "counter", d, None, 0)],
+                                             "id string, type string, delta long, value double, seq long")
+    assert tbl.apply_batch(spark, root, row("a", 1), 10, writer="A").seq == 0
+    assert tbl.apply_batch(spark, root, row("b", 2), 0, writer="B").seq == 1
+    assert tbl.apply_batch(spark, root, row("a", 4), 10, writer="A") is None
+    assert tbl.apply_batch(spark, root, row("a", 8), 3, writer="A").seq == 2  # lower, but unseen
+    assert {r.id: r.delta for r in tbl.read_state(spark, root).collect()} == {"a": 9, "b": 2}
+    # Both writers saw the same last commit: the second takes the next number.
+    stale = tbl.commits(spark, root)
+    real, calls = tbl.commits, []
+
+    def held(s, r):
+        calls.append(1)
+        return stale if len(calls) <= 2 else real(s, r)
+    tbl.apply_batch(spark, root, row("a", 16), 11, writer="A")
+    try:
+        tbl.commits = held
+        c = tbl.apply_batch(spark, root, row("b", 32), 1, writer="B", compact_every=None)
+    finally:
+        tbl.commits = real
+    assert c.seq == 4
+    assert {r.id: r.delta for r in tbl.read_state(spark, root).collect()} == {"a": 25, "b": 34}
+    tbl.compact(spark, root)
+    assert tbl.apply_batch(spark, root, row("b", 32), 1, writer="B") is None
+    assert tbl.already_applied(spark, root, 3, "A") and not tbl.already_applied(spark, root, 4, "A")
+
+
+def test_empty_first_commit_reads_back(spark, scratch):
+    root = os.path.join(scratch, "empty")
+    none = spark.createDataFrame([("x", "histogram", None, None, 0)],
+                                 "id string, type string, delta long, value double, seq long")
+    assert tbl.apply_batch(spark, root, none, 0).seq == 0
+    assert tbl.read_state(spark, root).collect() == []
+
+
+def test_listing_stays_short(spark, scratch):
+    root = os.path.join(scratch, "short")
+    for b in range(7):
+        one = spark.createDataFrame([("x", "counter", 1, None, 0)],
+                                    "id string, type string, delta long, value double, seq long")
+        tbl.apply_batch(spark, root, one, b, compact_every=2)
+    assert tbl.read_state(spark, root).first().delta == 7 and len(tbl.commits(spark, root)) <= 6
+
+
+def test_counter_sum_ignores_order(spark):
+    top = (1 << 63) - 1
+    for deltas in ((top, 1, -10), (top, -10, 1)):
+        u = spark.createDataFrame([("a", "counter", d, None, i) for i, d in enumerate(deltas)],
+                                  "id string, type string, delta long, value double, seq long").coalesce(1)
+        assert fold_state(u).first().delta == top - 9
+
+
+def test_strict_batch_compares_kinds_as_written(spark, scratch):
+    u = spark.createDataFrame([("a", "Counter", 5, None, 0), ("b", "counter", 1, None, 1)],
+                              "id string, type string, delta long, value double, seq long")
+    root = os.path.join(scratch, "strict")
+    tbl.apply_strict_batch(spark, root, u, 0)
+    assert [(r.id, r.delta) for r in tbl.read_state(spark, root).collect()] == [("b", 1)]
+
+
+def test_payload_keys_and_numbers(spark):
+    rows = [(0, '[{"ID":"a","Type":"counter","Delta":1}]'), (1, '[{"id":"a","ID":"b"}]'), (2, '[{"id":"a","value":1e400}]'),
+            (3, '[{"id":"a","id":"z","type":"gauge","value":2}]'), (4, "[]"), (5, '[{"note":{"id":5,"x":[1]},"id":"n"}]'),
+            (6, '[{"ID":5}]'), (7, '[null]'), (8, '[{"a b":1,"id":"q"}]')]
+    d = spark.createDataFrame(rows, "n int, payload string")
+    ok = {r.n: r.accepted for r in src.payload_verdicts(d).collect()}
+    assert ok == {0: True, 1: False, 2: False, 3: True, 4: True, 5: True, 6: False, 7: True, 8: True}
+    got = {r.n: (r.id, r.type, r.delta, r.value) for r in src.payload_updates(d, keep=["n"]).collect()}
+    assert got == {0: ("a", "counter", 1, None), 3: ("z", "gauge", None, 2.0), 5: ("n", "", None, None),
+                   7: ("", "", None, None), 8: ("q", "", None, None)}
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), float("-inf")])
+def test_non_finite_gauges_do_not_encode(spark, bad):
+    from metricfold.functions.scalars import encode_update
+    d = spark.createDataFrame([("a", "gauge", None, bad)], "id string, type string, delta long, value double")
+    with pytest.raises(Exception, match="not finite"):
+        d.select(encode_update()).collect()
 
 
 def test_forward_payloads_roundtrip(spark, scratch):
@@ -203,7 +292,7 @@ def test_delta_and_rewrite_layouts_agree(spark, scratch):
     for m, r in roots.items():
         assert sorted(map(tuple, tbl.read_state(spark, r).collect())) == expect, m
     kinds = [c.kind for c in tbl.commits(spark, roots["compacting"])]
-    assert "base" in kinds and len(tbl._live(spark, roots["compacting"])) <= 2
+    assert "base" in kinds and len(tbl._live(tbl.commits(spark, roots["compacting"]))) <= 2
 
 
 def test_snapshot_save_fails_on_non_finite_gauge(spark, scratch):

@@ -55,7 +55,7 @@ def test_state_writer_replay_and_audit(spark, scratch):
     got = sorted(map(tuple, tbl.read_state(spark, root).collect()))
     assert got == sorted(map(tuple, fold.fold_state(u).collect()))
     # Replay: re-running a committed batch id changes nothing.
-    again = tbl.apply_batch(spark, root, u.where("batch_id = 0"), c.batch_id)
+    again = tbl.apply_batch(spark, root, u.where("batch_id = 0"), c.batch_id, writer=name)
     assert again is None and tbl.latest_commit(spark, root) == c
 
 
@@ -87,7 +87,8 @@ def test_periodic_snapshot_per_commit(spark, scratch):
     land, root, snaps = (os.path.join(scratch, n) for n in ("land", "state", "snaps"))
     _land_batches(spark, u, land)
     q = ingest.start_state_writer(_stream_of(spark, land, u.schema), root,
-                                  "snap-" + os.path.basename(scratch), snapshot_root=snaps)
+                                  "snap-" + os.path.basename(scratch), snapshot_root=snaps,
+                                  snapshot_seconds=0)
     q.awaitTermination()
     last = latest_snapshot(spark, snaps)
     assert last is not None and last.endswith(f"{tbl.latest_commit(spark, root).version:012d}")
@@ -183,3 +184,25 @@ def test_replayed_batch_reemits_audit_once_with_idempotent_sink(spark, scratch):
     assert spark.read.text(audit).count() == expected
     got = sorted(map(tuple, tbl.read_state(spark, root).collect()))
     assert got == sorted(map(tuple, fold.fold_state(u.where("batch_id = 0")).collect()))
+
+
+def test_snapshot_interval_is_not_the_trigger(spark, scratch):
+    from metricfold.sinks.snapshot import latest_snapshot
+    u = fx.updates(spark, SF_SMALL)
+    land, root, snaps = (os.path.join(scratch, n) for n in ("land", "state", "snaps"))
+    _land_batches(spark, u, land)
+    q = ingest.start_state_writer(_stream_of(spark, land, u.schema), root, "late-" + os.path.basename(scratch),
+                                  snapshot_root=snaps)
+    q.awaitTermination()
+    assert latest_snapshot(spark, snaps) is None  # 300 s have not passed
+    assert ingest.close_state_writer(spark, q, root, snaps) == latest_snapshot(spark, snaps)
+
+
+def test_flush_counts_open_windows(spark):
+    w = fx.wide(spark, SF_SMALL)
+    every = samples.poll_count(w, "1 day")
+    ts = lambda d: d.withColumns({c: F.col(c).cast("timestamp") for c in ("window_start", "window_end")})
+    half = ts(every).where("window_end <= timestamp '2024-01-15'")
+    rest = ingest.flush_poll_windows(w, half, "1 day")
+    assert sorted(map(tuple, half.unionByName(rest).collect())) == sorted(map(tuple, ts(every).collect()))
+    assert ingest.flush_poll_windows(w, half.limit(0), "1 day").count() == every.count()
