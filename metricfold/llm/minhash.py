@@ -247,3 +247,20 @@ def _verified(scratch: Scratch, pairs: DataFrame, reps: DataFrame, sets: DataFra
         .join(sets.select(F.col("id").alias("b"), F.col("items").alias("ib")), "b") \
         .select("a", "b", "ia", "ib").mapInArrow(_confirm(percent), "a long, b long")
     return scratch.table(full, "links")
+
+
+#: The contract's result in DuckDB SQL, by joining the shingles themselves.
+COMPONENTS_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS sh
+      FROM w, unnest(generate_series(1, greatest(len(ws) - 4, 1))) AS t(i) WHERE len(ws) > 0),
+z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS met FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM p JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b WHERE 100 * met >= 75 * (x.n + y.n - met)),
+r AS (SELECT doc_id AS n, doc_id AS m FROM documents UNION SELECT l.b, r.m FROM r JOIN l ON l.a = r.n),
+c AS (SELECT n, min(m) AS component_id FROM r GROUP BY n)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN c ON c.n = d.doc_id LEFT JOIN z ON z.doc_id = d.doc_id
+"""

@@ -62,5 +62,6 @@ def op10_urlrank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_maxent, op2_segments, op3_lines, op4_hnsw, op5_wumanber, op6_langid,
                                    op7_warc, op8_minhash, op9_mixing, op10_urlrank)}
-ORACLES = {"op3_lines": linededup.LINES_SQL, "op5_wumanber": wumanber.CONTAMINATION_SQL,
-           "op9_mixing": mixing.MIX_SQL, "op10_urlrank": urlrank.verdicts_sql()}
+ORACLES = {"op3_lines": linededup.LINES_SQL, "op4_hnsw": hnsw.LINKS_SQL,
+           "op5_wumanber": wumanber.CONTAMINATION_SQL, "op7_warc": warc.RECORDS_SQL,
+           "op8_minhash": minhash.COMPONENTS_SQL, "op9_mixing": mixing.MIX_SQL, "op10_urlrank": urlrank.verdicts_sql()}

@@ -301,3 +301,21 @@ def round_trip(pages: DataFrame, root: str | None = None, **options) -> DataFram
     root = root or Scratch(prepare(spark), "archive").path("warc")
     write_archive(pages, root, **options)
     return read_archive(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: What the archive must hold, in DuckDB SQL (base32 spelled out from the digest's bits).
+RECORDS_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, body, octet_length(encode(body)) AS n, min(page_id) OVER (PARTITION BY body) AS first,
+             string_split(sha1(body), '') AS hex FROM p),
+b AS (SELECT *, array_to_string(list_transform(hex, lambda c: lpad(bin(strpos('0123456789abcdef', c) - 1), 4, '0')), '')
+             AS bits FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1
+         + 16 * CAST(substr(bits, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT)
+         + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INT)
+         + CAST(substr(bits, 5 * i + 5, 1) AS INT) AS INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM b
+"""
