@@ -33,16 +33,19 @@ def main(argv: list[str]) -> None:
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     out = argv[2] if len(argv) > 2 else "PLANS.md"
     sys.path.insert(0, ".")
-    import __spark_entry__ as E
+    from metricfold.plans import catalog
     from metricfold.session import build_session
     spark = build_session("local[8]", 16, app="metricfold-plans")
     parts = ["# Physical plans of the registered queries", "",
              f"Input: `{sf_dir}`. Plans are shown before execution (AQE may still coalesce "
              "partitions, switch a sort-merge join to broadcast from measured sizes, or split "
-             "skewed partitions).", "",
+             "skewed partitions). Queries that write tables or run streams while they are built "
+             "(audit_fanout, ingest_flow, lookup_point, read_update_batch_gz, scan_state, "
+             "snapshot_roundtrip, strict_batch and stream_*) show their last step only: the plan "
+             "that reads the result back.", "",
              "| query | shuffles | broadcasts | scans | Arrow UDF |", "|---|---|---|---|---|"]
     bodies = []
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(catalog.queries().items()):
         text = plan_text(fn(spark, sf_dir))
         s = summary(text)
         parts.append(f"| {name} | {s['exchanges']} | {s['broadcasts']} | {s['scans']} | {s['python_udf']} |")
