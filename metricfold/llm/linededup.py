@@ -32,8 +32,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from metricfold.llm.common import Scratch, fresh_name, prepare
+from metricfold.llm.common import Scratch, bounded, fresh_name, prepare
 
 MIN_CHARS = 16
 #: Bits taken off a 64-bit hash, so that sums over 30 million characters fit.
@@ -102,14 +103,14 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = scratch.table(starts, "classes")
     # 2. Classes that share a half with another class.
     halves = occ.select("h1", F.explode("halves").alias("half"))
-    crowded = halves.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")) \
-        .where("a < b").select("half")
+    crowded = bounded(scratch.table(
+        halves.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a < b").select("half"),
+        "crowded"))
     near = occ.select("h1", "h2", F.explode("halves").alias("half")).join(crowded, "half", "left_semi") \
         .select("h1", "h2").distinct()
     near = scratch.table(near.join(classes, ["h1", "h2"]), "near")
-    texts = _keyed(_lines(docs.join(near.select(F.col("first_doc").alias("_near_doc")).distinct(),
-                                    F.col(id_col).cast("long") == F.col("_near_doc"), "left_semi"),
-                          id_col, text_col)) \
+    origins = bounded(scratch.table(near.select(F.col("first_doc").alias("_near_doc")).distinct(), "origins"))
+    texts = _keyed(_lines(docs.join(origins, F.col(id_col).cast("long") == F.col("_near_doc"), "left_semi"), id_col, text_col)) \
         .join(near.select("first_doc", "first_line", "h1", "h2"), ["h1", "h2"]) \
         .where("doc_id = first_doc and line_no = first_line") \
         .select("h1", "h2", "first_doc", "first_line", "line").dropDuplicates(["h1", "h2"])
@@ -122,15 +123,15 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     chars = F.concat(F.array(F.lit("")), F.split("line", ""), F.array(F.lit("")))
     emitted = ranked.select("rank", chars.alias("chars")).withColumn("n", count).withColumn("total", total) \
         .select("rank", F.inline(variants))
-    emitted = emitted.repartition("v")
-    alike = emitted.where("pos > 0").groupBy("v", "pos").agg(F.min("rank").alias("lead"), F.max("rank").alias("last")) \
-        .where("lead < last").select("v", "pos", "lead")
-    by_place = emitted.join(alike, ["v", "pos"]).where("rank > lead").select("rank", F.col("lead").alias("other"))
-    whole = emitted.where("pos = 0").select("v", F.col("rank").alias("whole"))
-    cut = emitted.where("pos > 0").join(whole, "v")
-    by_cut = cut.select(F.greatest("rank", "whole").alias("rank"), F.least("rank", "whole").alias("other")) \
-        .where("rank <> other")
-    found = scratch.table(by_place.unionAll(by_cut).distinct(), "candidates")
+    # One shuffle serves both groupings; classes are distinct, so groups are small.
+    met = emitted.repartition("v") \
+        .withColumn("lead", F.min("rank").over(Window.partitionBy("v", "pos"))) \
+        .withColumn("whole", F.min(F.when(F.col("pos") == 0, F.col("rank"))).over(Window.partitionBy("v"))) \
+        .where("pos > 0")
+    found = scratch.table(met.select(F.inline(F.array(
+        F.struct("rank", F.col("lead").alias("other")),
+        F.struct(F.greatest("rank", "whole").alias("rank"), F.least("rank", "whole").alias("other")))))
+        .where("other < rank").distinct(), "candidates")
     # 5.
     x = ranked.select("rank", F.col("line").alias("x"), "h1", "h2")
     y = ranked.select(F.col("rank").alias("other"), F.col("line").alias("y"))
