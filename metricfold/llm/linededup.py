@@ -12,9 +12,11 @@ difference. Lines of fewer than MIN_CHARS characters stay.
    another are done: the join below could not match them. (Two lengths of L
    per line cover partners that are longer or shorter by one.)
 3. The others emit a key for the line and for each variant with one character
-   deleted. Keys are sums of hashes of neighbouring characters: a deletion
-   takes two terms off and adds one, so that a line of n characters costs
-   n steps however long it is. Equal variants have equal keys.
+   deleted. A key is the XOR of 64-bit hashes of each character with its place,
+   so that it depends on the order. A deletion keeps the terms before it and
+   moves those after it by one place; running XORs (in blocks of BLOCK) give
+   both, so that a line of n characters costs n steps however long it is.
+   Equal keys mean equal variants, but for collisions of 64 bits.
 4. Variants are joined by grouping: lines with equal variants of the same
    deleted position differ by a substitution there, all of them from one
    another; a line equal to a variant of others is one insertion from them.
@@ -37,8 +39,8 @@ from pyspark.sql.window import Window
 from metricfold.llm.common import Scratch, bounded, fresh_name, prepare
 
 MIN_CHARS = 16
-#: Bits taken off a 64-bit hash, so that sums over 30 million characters fit.
-TERM_SHIFT = 26
+#: Characters of a line whose running XORs are appended to one array.
+BLOCK = 64
 SPACE = " \t\r\x0b\x0c"
 
 
@@ -68,23 +70,44 @@ def _halves(n):
     return F.array_distinct(F.concat(pair(F.floor(n / 2).cast("int")), pair(F.floor((n - 1) / 2).cast("int"))))
 
 
-def _term(x, y):
-    return F.shiftrightunsigned(F.xxhash64(x, y), TERM_SHIFT)
+def _let(value, body):
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _variants():
+def _xor(values):
+    return F.aggregate(values, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(x))
+
+
+def _running(values, start):
+    """``start``, and its XOR with each longer head of the values."""
+    return F.aggregate(values, F.array(start), lambda acc, x: F.concat(
+        acc, F.array(F.element_at(acc, -1).bitwiseXOR(x))))
+
+
+def _before(values):
+    """For each value, the XOR of those before it."""
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int")),
+                         lambda b: F.slice(values, b * BLOCK + 1, BLOCK))
+    return _let(blocks, lambda bs: _let(
+        _running(F.transform(bs, _xor), F.lit(0).cast("long")),
+        lambda bases: F.flatten(F.transform(bs, lambda x, b: F.slice(
+            _running(x, F.element_at(bases, b + 1)), 1, F.size(x))))))
+
+
+def _variants(chars):
     """(pos, v) of the line itself (pos 0) and of its single deletions."""
-    c = F.col("chars")  # with an empty string before and after
-    n = F.size(c) - 2
-    at = lambda i: F.element_at(c, i)
-    total = F.aggregate(F.sequence(F.lit(1), n + 1), F.lit(0).cast("long"),
-                        lambda acc, i: acc + _term(at(i), at(i + 1)))
-    own = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64("total", "n").alias("v")))
-    cut = F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.struct(
-        i.alias("pos"),
-        F.xxhash64(F.col("total") - _term(at(i), at(i + 1)) - _term(at(i + 1), at(i + 2))
-                   + _term(at(i), at(i + 2)), F.col("n") - 1).alias("v")))
-    return n, total, F.concat(own, cut)
+    def both(here, left):  # terms of the characters at their places, and one place to the left
+        n = F.size(here)
+        own = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64(_xor(here), n).alias("v")))
+        cut = _let(_xor(left), lambda rest: F.transform(
+            F.zip_with(_before(F.zip_with(here, left, lambda x, y: x.bitwiseXOR(y))), left,
+                       lambda x, y: x.bitwiseXOR(y)),
+            lambda x, i: F.struct((i + 1).alias("pos"), F.xxhash64(rest.bitwiseXOR(x), n - 1).alias("v"))))
+        return F.concat(own, cut)
+    return _let(chars, lambda c: _let(
+        F.transform(c, lambda x, i: F.xxhash64(x, i + 1)),
+        lambda here: _let(F.transform(c, lambda x, i: F.xxhash64(x, i)), lambda left: both(here, left))))
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -119,10 +142,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         texts.repartitionByRange("first_doc", "first_line").sortWithinPartitions("first_doc", "first_line", "h1", "h2")
         .withColumn("rank", F.monotonically_increasing_id()), "ranked")
     # 3. and 4.
-    count, total, variants = _variants()
-    chars = F.concat(F.array(F.lit("")), F.split("line", ""), F.array(F.lit("")))
-    emitted = ranked.select("rank", chars.alias("chars")).withColumn("n", count).withColumn("total", total) \
-        .select("rank", F.inline(variants))
+    emitted = ranked.select("rank", F.inline(_variants(F.split("line", ""))))
     # One shuffle serves both groupings; classes are distinct, so groups are small.
     met = emitted.repartition("v") \
         .withColumn("lead", F.min("rank").over(Window.partitionBy("v", "pos"))) \

@@ -267,6 +267,37 @@ def test_lines_edits_everywhere(spark):
             x for k, x in enumerate(text.split("\n")) if k not in gone))
 
 
+def test_lines_permuted_words(spark):
+    """Lines of the same words in another order do not hide one another's partners."""
+    line = lambda a, b, n: f"see {a} {b} list posted by the editorial staff {n}"
+    rng = random.Random(12)
+    rows = [(0, line("alpha", "beta", 1)), (1, line("beta", "alpha", 1)), (2, line("beta", "alpha", 2)),
+            (3, line("alpha", "beta", 12)), (4, line("beta", "alpha", 12))]
+    for i in range(5, 90):
+        words = "abab baba bcbc cbcb acac caca".split()
+        rng.shuffle(words)
+        rows.append((i, f"of the {' '.join(words[:3])} and so on until the end {rng.choice(('', 'x', 'y', 'zz'))}."))
+    want = brute_lines(rows)
+    assert (2, 0, 1, 0, 1) in want and (4, 0, 1, 0, 1) in want
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(r) for r in linededup.repeated_lines(d).collect()} == want
+
+
+def test_lines_variant_keys_follow_the_order(spark):
+    """A deletion's key is the key of the line without that character, and of no other line."""
+    rng = random.Random(13)
+    lines = {"".join(rng.choice("abé") for _ in range(rng.choice((3, 64, 65, 200)))) for _ in range(60)}
+    lines |= {x[:i] + x[i + 1:] for x in lines for i in range(len(x))}
+    lines = sorted(lines)
+    d = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = d.select("line", F.inline(linededup._variants(F.split("line", "")))).collect()
+    keys = {r.line: r.v for r in got if r.pos == 0}
+    assert len(set(keys.values())) == len(lines) and len(got) == sum(len(x) + 1 for x in lines)
+    for r in got:
+        without = r.line[:r.pos - 1] + r.line[r.pos:]
+        assert r.pos == 0 or keys.get(without, r.v) == r.v
+
+
 # --- Mixing -------------------------------------------------------------------
 
 def brute_mix(rows):
