@@ -10,6 +10,26 @@ runs between ASCII white space, A-Z lower-cased; so units that differ only in
 case or spacing have equal digests (128 bits). Units of fewer than MIN_WORDS
 words stay: short phrases repeat by chance.
 
+Whole units alone lose the ends of a passage, and all of one that is set in
+short lines. So repeated_spans works on grams, the runs of MIN_WORDS words at
+every word, across lines, in two steps:
+
+1. Anchors: of any NEAR neighbouring grams the one with the least hash, and the
+   first gram of every unit. Both copies of a passage of REACH words or more
+   hold a common anchor, and a further one within NEAR words of each. A link is
+   the text from an anchor to the end of the next one. Where a link has as many
+   copies as both its anchors, all copies go on alike; such links join to
+   chains. Counts show where to look; they decide nothing.
+2. Chains, and the grams less than NEAR words from the ends of each chain, are
+   grouped by their digests (128 bits). One with an earlier occurrence is a
+   repeat. Overlapping and adjoining repeats are one span, whose ends are exact
+   to the word. But one word at an end that fewer than half of the copies
+   share goes on to other text and agrees by chance: it stays, unless a unit
+   begins or ends there.
+
+So a repeated passage of REACH words or more is found whole, a shorter one (of
+MIN_WORDS or more) whole if one of its anchors is common.
+
 The rank of an occurrence is (doc_id, offset). Digests are grouped by a partial
 aggregate, so a line in a third of all documents is reduced before the shuffle;
 digests that repeat go to a table, which keeps their join open to splitting.
@@ -28,11 +48,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from metricfold.llm.common import GOLD, Scratch, mix, prepare, word_hashes, word_spans
+from metricfold.llm.common import GOLD, Scratch, bounded, fresh_name, mix, prepare, word_hashes, word_spans
 
 SPREAD = 6
 MIN_WORDS = 8
-GAP = 2  # characters between neighbouring units
+NEAR = 25  # neighbouring grams of which one at least is an anchor
+REACH = NEAR + MIN_WORDS - 1  # words that hold NEAR grams
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 
 
@@ -57,27 +78,37 @@ def units(text: bytes | None, spread: int = SPREAD, min_words: int = MIN_WORDS):
     h = word_hashes(text)
     if not len(h):
         return (np.empty(0, np.int64),) * 5
-    raw = np.frombuffer(text, np.uint8)
     start, end = word_spans(text)
-    breaks = np.flatnonzero((raw == 10) | (raw == 13))
-    line = np.searchsorted(breaks, start)
-    first = np.ones(len(h), bool)
-    first[1:] = line[1:] != line[:-1]
-    cut = _line_cuts(h, first, spread)
+    cut = _line_cuts(h, _line_starts(text, start), spread)
     stop = np.append(cut[1:], len(h))
     n = stop - cut
     place = (np.arange(len(h)) - np.repeat(cut, n) + 1).astype(np.uint64)
     digests = [mix(np.add.reduceat(mix(h + place * p), cut) + n.astype(np.uint64)) for p in _ODD]
     keep = n >= min_words
     cut, stop = cut[keep], stop[keep]
-    a, b = start[cut], end[stop - 1]
-    if raw.max() >= 128:  # bytes to characters: count those that begin one
-        begins = np.zeros(len(raw) + 1, np.int64)
-        np.cumsum((raw & 0xC0) != 0x80, out=begins[1:])
-        a, b = begins[a], begins[b]
+    a, b = _characters(text, start[cut], end[stop - 1])
     return a, b, n[keep], digests[0][keep].view(np.int64), digests[1][keep].view(np.int64)
 
 
+def _characters(text: bytes, *offsets: np.ndarray) -> list[np.ndarray]:
+    """Byte offsets as character offsets."""
+    raw = np.frombuffer(text, np.uint8)
+    if raw.max() < 128:
+        return list(offsets)
+    begins = np.zeros(len(raw) + 1, np.int64)  # count the bytes that begin a character
+    np.cumsum((raw & 0xC0) != 0x80, out=begins[1:])
+    return [begins[x] for x in offsets]
+
+
+def _line_starts(text: bytes, start: np.ndarray) -> np.ndarray:
+    """Whether each word is the first of its line."""
+    raw = np.frombuffer(text, np.uint8)
+    line = np.searchsorted(np.flatnonzero((raw == 10) | (raw == 13)), start)
+    first = np.ones(len(start), bool)
+    first[1:] = line[1:] != line[:-1]
+    return first
+
+
 def _line_cuts(h: np.ndarray, first: np.ndarray, spread: int) -> np.ndarray:
     if len(h) <= 2 * spread:
         return np.flatnonzero(first)
@@ -87,6 +118,113 @@ def _line_cuts(h: np.ndarray, first: np.ndarray, spread: int) -> np.ndarray:
     return np.flatnonzero((_least(h, spread) & inside) | first)
 
 
+def _grams(h: np.ndarray, odd: np.uint64) -> np.ndarray:
+    """A digest of the MIN_WORDS words from each word on."""
+    n = len(h) - MIN_WORDS + 1
+    places = np.arange(1, MIN_WORDS + 1, dtype=np.uint64) * odd
+    total = np.zeros(n, np.uint64)
+    for i in range(MIN_WORDS):
+        total += mix(h[i:i + n] + places[i])
+    return mix(total + np.uint64(MIN_WORDS))
+
+
+def _unit_words(text: bytes, h: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first word of each unit of MIN_WORDS words or more, and the one after its last."""
+    cut = _line_cuts(h, _line_starts(text, start), SPREAD)
+    stop = np.append(cut[1:], len(h))
+    keep = stop - cut >= MIN_WORDS
+    return cut[keep], stop[keep]
+
+
+def _sliding(x: np.ndarray, size: int, pick) -> np.ndarray:
+    """np.minimum or np.maximum of every ``size`` neighbours."""
+    have = 1
+    while have < size:
+        step = min(have, size - have)
+        x = pick(x[:-step], x[step:])
+        have += step
+    return x
+
+
+def anchors(text: bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words at which the anchors of a text begin, the anchors' hashes and
+    those of the links to the next (for the last one, to nothing)."""
+    h = word_hashes(text)
+    n = len(h) - MIN_WORDS + 1
+    if n < 1:
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+    g = _grams(h, _ODD[0])
+    size = min(NEAR, n)
+    edge = np.zeros(size - 1, np.uint64)
+    least = _sliding(g, size, np.minimum)
+    chosen = _sliding(np.concatenate([edge, least, edge]), size, np.maximum) == g  # the least of some NEAR grams
+    chosen[_unit_words(text, h, word_spans(text)[0])[0]] = True
+    at = np.flatnonzero(chosen)
+    g = g[at]
+    place = np.arange(at[0], len(h)) - np.repeat(at, np.diff(np.append(at, len(h)))) + 1
+    link = np.add.reduceat(mix(h[at[0]:] + place.astype(np.uint64) * _ODD[1]), at - at[0])
+    return at, g, mix(link + np.append(g[1:], GOLD) * _ODD[0])
+
+
+def _emit_anchors(batches):
+    for batch in batches:
+        found = [anchors(t.as_py()) for t in batch.column(1)]
+        owner = np.repeat(np.arange(len(found)), [len(x[0]) for x in found])
+        at, g, link = (np.concatenate([x[i] for x in found] + [np.empty(0, kind)])
+                       for i, kind in enumerate((np.int64, np.uint64, np.uint64)))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(owner)), pa.array(at.astype(np.int32)), pa.array(g.view(np.int64)),
+             pa.array(link.view(np.int64))], names=["key", "at", "g", "link"])
+
+
+def pieces(text: bytes, at: np.ndarray, copies: np.ndarray, links: np.ndarray):
+    """Arrays (at, words, start, stop, edge, digest, digest) of the chains of a
+    text and the grams near their ends, from its repeated anchors and the copies
+    of them and of their links. edge: whether a unit begins or ends with it."""
+    h = word_hashes(text)
+    n = len(h) - MIN_WORDS + 1
+    on = (copies[:-1] == copies[1:]) & (links[:-1] == copies[:-1])  # goes on to the next anchor
+    head, tail = at[np.append(True, ~on)], at[np.append(~on, True)]
+    opens = np.zeros(n + 1, np.int64)
+    for x in (head, tail):
+        outer = (np.maximum(x - NEAR + 1, 0), x + 1) if x is head else (x, np.minimum(x + NEAR, n))
+        np.add.at(opens, outer[0], 1)
+        np.add.at(opens, outer[1], -1)
+    grams = np.flatnonzero(np.cumsum(opens[:-1]) > 0)
+    long = tail > head
+    head, tail = head[long], tail[long]
+    first = np.concatenate([grams, head])
+    words = np.concatenate([np.full(len(grams), MIN_WORDS), tail + MIN_WORDS - head])
+    digests = []
+    for p in _ODD:
+        total = np.empty(len(head), np.uint64)
+        for i, (a, b) in enumerate(zip(head, tail + MIN_WORDS)):
+            total[i] = mix(h[a:b] + np.arange(1, b - a + 1, dtype=np.uint64) * p).sum()
+        total = mix(total + (tail + MIN_WORDS - head).astype(np.uint64))
+        digests.append(np.concatenate([_grams(h, p)[grams], total]).view(np.int64))
+    start, end = word_spans(text)
+    opening, closing = _unit_words(text, h, start)
+    edge = np.zeros(n, bool)
+    edge[opening] = edge[closing - MIN_WORDS] = True
+    a, b = _characters(text, start[first], end[first + words - 1])
+    return first, words, a, b, edge[first], *digests
+
+
+def _emit_pieces(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            near = batch.column(3)[i].values
+            at, copies, links = (near.field(c).to_numpy() for c in ("at", "copies", "links"))
+            order = np.argsort(at, kind="stable")
+            order = order[np.append(True, np.diff(at[order]) > 0)]  # equal rows of one doc_id share them
+            got = pieces(batch.column(2)[i].as_py(), at[order].astype(np.int64), copies[order], links[order])
+            rows = pa.array(np.full(len(got[0]), i))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows), batch.column(1).take(rows)]
+                + [pa.array(x if x.dtype == bool else x.astype(np.int64)) for x in got],
+                names=["doc_id", "key", "at", "words", "start", "stop", "edge", "d1", "d2"])
+
+
 def _emit(batches):
     for batch in batches:
         cols = [[] for _ in range(5)]
@@ -127,35 +265,88 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select("doc_id", "start", "stop", "words", "first_doc", "first_start").distinct()
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``repeated_units`` with neighbours joined to one row: doc_id, start,
-    stop, n_units, n_words and first_doc (smallest id that keeps one of them).
-    Units of a document are neighbours if nothing but white space (GAP
-    characters at most) lies between them."""
-    u = repeated_units(docs, id_col, text_col)
-    order = Window.partitionBy("doc_id").orderBy("start")
-    opens = F.coalesce(F.col("start") - F.lag("stop").over(order) > GAP, F.lit(True)).cast("long")
+def _spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``repeated_spans`` with a hash of id and text, key."""
+    spark = prepare(docs.sparkSession)
+    scratch = Scratch(spark, "spans")
+    doc_id = F.col(id_col).cast("long")
+    texts = docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, text_col).alias("key"),
+                        F.col(text_col).cast("binary").alias("text")).where("doc_id is not null")
+    # 1. Copies of anchors that repeat, and of their links.
+    found = scratch.table(texts.select("key", "text")
+                          .mapInArrow(_emit_anchors, "key long, at int, g long, link long"), "anchors")
+    twice = scratch.table(found.groupBy("g").agg(F.count("*").alias("copies")).where("copies > 1"), "repeated")
+    every, found = found, scratch.table(found.join(twice, "g").select("key", "at", "link", "copies"), "found")
+    scratch.drop(every, twice)
+    links = scratch.table(found.groupBy("link").agg(F.count("*").alias("links")).where("links > 1"), "links")
+    near = scratch.table(found.join(links, "link", "left").groupBy("key").agg(F.collect_list(F.struct(
+        "at", "copies", F.coalesce("links", F.lit(1)).alias("links"))).alias("near")), "near")
+    ids = bounded(scratch.table(near.select("key"), "ids"))
+    # 2. Chains and the grams at their ends.
+    parts = scratch.table(
+        texts.join(ids, "key", "left_semi").join(near, "key").select("doc_id", "key", "text", "near")
+        .mapInArrow(_emit_pieces, "doc_id long, key long, at long, words long, start long, stop long, "
+                                  "edge boolean, d1 long, d2 long"), "pieces")
+    scratch.drop(found, links, near)
+    rank = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 40).cast("decimal(13,0)") + F.col("start").cast("decimal(12,0)")
+    ahead = scratch.table(parts.groupBy("d1", "d2").agg(
+        F.min(rank).alias("first"), F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"))
+        .where("copies > 1"), "ahead")
+    # One shuffle serves distinct rows and windows.
+    again = parts.join(ahead, ["d1", "d2"]).where(rank != F.col("first")) \
+        .select("doc_id", "key", "at", (F.col("at") + F.col("words")).alias("end"), "start", "stop", "edge",
+                "first_doc", "copies").repartition("doc_id", "key").distinct()
+    order = Window.partitionBy("doc_id", "key").orderBy("at", "end")
+    past = order.rowsBetween(Window.unboundedPreceding, -1)
+    opens = F.coalesce(F.col("at") > F.max("end").over(past), F.lit(True)).cast("long")
     run = F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return u.withColumn("opens", opens).withColumn("run", run) \
-        .groupBy("doc_id", "run").agg(
+    again = again.withColumn("opens", opens).withColumn("run", run)
+    inner = Window.partitionBy("doc_id", "key", "run").orderBy("at", "end")
+    for side in (F.lag, F.lead):  # an end is a gram with nothing on one side
+        for c in ("at", "copies"):
+            again = again.withColumn(f"{side.__name__}_{c}", side(c).over(inner))
+    chance = F.expr("not edge and (lag_at is null and lead_at = at + 1 and lead_copies > 2 * copies "
+                    "or lead_at is null and lag_at = at - 1 and lag_copies > 2 * copies)")
+    return again.where(~F.coalesce(chance, F.lit(False))) \
+        .groupBy("doc_id", "key", "run").agg(
             F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("n_units"),
-            F.sum("words").alias("n_words"), F.min("first_doc").alias("first_doc")) \
+            (F.max("end") - F.min("at")).alias("n_words"), F.min("first_doc").alias("first_doc")) \
         .drop("run")
 
 
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The passages to remove, exact to the word: doc_id, start, stop
+    (characters), n_units (repeated chains and grams in it), n_words and first_doc
+    (smallest id that keeps one of them)."""
+    return _spans(docs, id_col, text_col).drop("key").distinct()
+
+
+def remove_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the repeated spans cut out of the text."""
+    return _without(docs, _spans(docs, id_col, text_col), id_col, text_col)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the removed units cut out of the text."""
-    spans = repeated_units(docs, id_col, text_col).groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("cut"))  # within one document
-    key = "_segments_doc"
-    joined = docs.join(spans.withColumnRenamed("doc_id", key), docs[id_col] == F.col(key), "left")
+    return _without(docs, repeated_units(docs, id_col, text_col), id_col, text_col)
+
+
+def _without(docs: DataFrame, pieces: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the pieces of their doc_id, and key if it is given."""
+    names = {c: fresh_name(docs, f"_segments_{c}") for c in ("doc_id", "key") if c in pieces.columns}
+    cut = fresh_name(docs, "_segments_cut")
+    spans = pieces.groupBy(*names).agg(
+        F.array_sort(F.collect_list(F.struct("start", "stop"))).alias(cut)).withColumnsRenamed(names)  # within one document
+    doc_id = F.col(id_col).cast("long")
+    mine = {"doc_id": doc_id, "key": F.xxhash64(doc_id, text_col)}
+    joined = docs.join(spans, [mine[c] == F.col(x) for c, x in names.items()], "left")
     kept = F.aggregate(
-        "cut", F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("at")),
+        cut, F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("at")),
         lambda acc, x: F.struct(
-            F.concat(acc["text"], F.substring(docs[text_col], (acc["at"] + 1).cast("int"),
+            F.concat(acc["text"], F.substring(F.col(text_col), (acc["at"] + 1).cast("int"),
                                               (x["start"] - acc["at"]).cast("int"))).alias("text"),
             x["stop"].alias("at")),
-        lambda acc: F.concat(acc["text"], F.substring(docs[text_col], (acc["at"] + 1).cast("int"),
-                                                      F.length(docs[text_col]))))
-    new = F.when(F.col("cut").isNull(), docs[text_col]).otherwise(kept)
-    return joined.select(*[new.alias(c) if c == text_col else docs[c] for c in docs.columns])
+        lambda acc: F.concat(acc["text"], F.substring(F.col(text_col), (acc["at"] + 1).cast("int"),
+                                                      F.length(text_col))))
+    new = F.when(F.col(cut).isNull(), F.col(text_col)).otherwise(kept)
+    return joined.withColumn(text_col, new).select(*docs.columns)

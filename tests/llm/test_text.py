@@ -211,6 +211,76 @@ def test_segments_brute_force(docs, empty):
     assert segments.repeated_spans(empty).collect() == []
 
 
+def brute_spans(rows):
+    """Runs of words that lie in a gram with an earlier occurrence."""
+    k, seen, out = segments.MIN_WORDS, {}, []
+    for i, text in sorted(rows):
+        spans = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        w = words_ws(text)
+        hit = set()
+        for a in range(len(w) - k + 1):
+            if seen.setdefault(tuple(w[a:a + k]), (i, a)) != (i, a):
+                hit |= set(range(a, a + k))
+        for a in sorted(hit):
+            if a - 1 not in hit:
+                b = next(b for b in range(a, len(w) + 1) if b not in hit)
+                out.append((i, spans[a][0], spans[b - 1][1], b - a))
+    return out
+
+
+@pytest.mark.parametrize("ends", [" ", "\n"])
+def test_segments_are_exact_to_the_word(spark, ends):
+    """Passages of REACH words and more are found whole, also in lines of a few words."""
+    rng = random.Random(14)
+    broken = lambda w: "".join(x + (ends if n % 4 == 3 else " ") for n, x in enumerate(w))
+    passages = [prose(rng, n).split() for n in (segments.REACH, 30, 51, 60, 120)]
+    rows = []
+    for i in range(80):
+        words = prose(rng, rng.randint(0, 60)).split() + [f"ß{i}"] + passages[i % 5] + [f"é{i}"] + prose(rng, 20).split()
+        rows.append((i, broken(words)))
+    want = brute_spans(rows)
+    assert len(want) == 75 and {w[3] for w in want} >= {segments.REACH, 30, 51, 60, 120}
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = segments.repeated_spans(d).collect()
+    assert sorted((r.doc_id, r.start, r.stop, r.n_words) for r in got) == want
+    assert all(r.first_doc == r.doc_id % 5 for r in got)
+    clean = {r.doc_id: r.text for r in segments.remove_spans(d).collect()}
+    for i, text in rows:
+        a, b = next(((w[1], w[2]) for w in want if w[0] == i), (0, 0))
+        assert clean[i] == text[:a] + text[b:]
+
+
+def test_segments_copies_that_part(spark):
+    """A copy may end, or begin, within what other copies share longer."""
+    rng = random.Random(17)
+    whole = prose(rng, 150).split()
+    rows = []
+    for i in range(60):
+        a, n = rng.randrange(110), rng.randint(segments.REACH, 100)
+        words = whole[a:a + n] if i > 1 else whole
+        rows.append((i, " ".join([f"ß{i}", f"ü{i}"] + words + [f"é{i}"] + prose(rng, 20).split())))
+    want = brute_spans(rows)
+    got = segments.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.doc_id, r.start, r.stop, r.n_words) for r in got) == want
+
+
+def test_segments_chance_word_at_an_end(spark):
+    """A word that few of the copies go on with stays; two copies are compared to their ends."""
+    a, b = prose(random.Random(15), 40), prose(random.Random(16), 40)
+    rows = [(0, f"u0 {a} so v0"), (1, f"u1 {a} so v1"), *[(i, f"u{i} {a} no{i} v{i}") for i in (2, 5, 6)],
+            (3, f"{b} so v3"), (4, f"u4 {b} so v4")]
+    got = segments.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.start, r.n_words, r.first_doc) for r in got) == \
+        [(1, 3, 40, 0), (2, 3, 40, 0), (4, 3, 41, 3), (5, 3, 40, 0), (6, 3, 40, 0)]
+
+
+def test_segments_spans_hold_the_units(docs):
+    """What whole units find is in the spans."""
+    spans = segments.repeated_spans(docs).collect()
+    for u in segments.repeated_units(docs).collect():
+        assert any(s.doc_id == u.doc_id and s.start <= u.start and u.stop <= s.stop for s in spans)
+
+
 # --- Lines --------------------------------------------------------------------
 
 def within_one(x, y):
