@@ -4,11 +4,12 @@ and SQL functions only.
 Hosts are nodes. A page's links to other hosts are edges, weighted by the
 pages that hold them; a host and its parent domain (of two labels or more) are
 joined both ways, so that the graph also spans sites whose links are all
-relative. Trust starts at the hosts of pages that a rule allows, and follows
+relative. Trust starts at the hosts of urls that a rule allows, and follows
 the edges (personalised PageRank, DAMPING, ROUNDS rounds); distrust starts at
-the hosts of pages that a rule blocks, and follows the edges backwards, from a
-blocked host to those that link to it. Both start with mass 1 in proportion to
-pages; mass that reaches a host without edges ends there. A host whose distrust
+the hosts of urls that a rule blocks, and follows the edges backwards, from a
+blocked host to those that link to it. These urls are the pages' own and those
+that pages link to on other hosts and that are no page themselves. Both start
+with mass 1 in proportion to pages and such urls; mass that reaches a host without edges ends there. A host whose distrust
 exceeds THRESHOLD times its trust is blocked; any other is allowed.
 
 Edges, seeds and rank sums are partial aggregates, so a host with a third of
@@ -35,6 +36,7 @@ DAMPING = 0.85
 ROUNDS = 8
 THRESHOLD = 1.0
 LINK = r"""(?i)\shref\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
+TARGET = r"""(?i)\shref\s*=\s*["']?(?:https?:)?(//[^/?#"'\s>]+[^?#"'\s>]*)"""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -68,6 +70,19 @@ def host_edges(pages: DataFrame, html_col: str = "html") -> DataFrame:
     return links
 
 
+def target_seeds(judged: DataFrame, rules=RULES, html_col: str = "html") -> DataFrame:
+    """host, ruled of every url that a rule fits, that a page of another host
+    links to, and that is no page; judged has host, path and ruled."""
+    urls = judged.select(F.col("host").alias("src"), F.explode(F.array_distinct(
+        F.regexp_extract_all(F.col(html_col), F.lit(TARGET), F.lit(1)))).alias("url")) \
+        .select("src", F.concat(F.lit("x:"), "url").alias("url")) \
+        .select("src", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
+    urls = urls.withColumn("ruled", rule_columns(F.col("host"), F.col("path"), rules)[1]) \
+        .where("ruled is not null and src <> '' and src <> host").select("host", "path", "ruled").distinct()
+    pages = judged.where("ruled is not null").select("host", "path").distinct()
+    return urls.join(pages, ["host", "path"], "left_anti").select("host", "ruled")
+
+
 def parent_edges(hosts: DataFrame) -> DataFrame:
     """Both ways between each host and its parent domains of two labels or more."""
     labels = F.split("host", r"\.")
@@ -114,15 +129,18 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
                          F.col(html_col).alias("html"))
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     judged = named.withColumn("rule", rule).withColumn("ruled", verdict)
-    counts = judged.groupBy("host").agg(F.expr("count_if(ruled = 'allow')").cast("double").alias("trust"),
-                                        F.expr("count_if(ruled = 'block')").cast("double").alias("distrust"))
+    marks = judged.select("host", "ruled", F.lit(True).alias("page")) \
+        .unionAll(target_seeds(judged, rules).withColumn("page", F.lit(False)))
+    counts = marks.groupBy("host").agg(F.max("page").alias("page"),
+                                       F.expr("count_if(ruled = 'allow')").cast("double").alias("trust"),
+                                       F.expr("count_if(ruled = 'block')").cast("double").alias("distrust"))
     counts = scratch.table(counts.where("host <> ''"), "hosts")
     sums = counts.agg(F.sum("trust"), F.sum("distrust")).first()
     seeds = counts.select(F.lit("trust").alias("kind"), "host", (F.col("trust") / float(sums[0] or 1)).alias("mass")) \
         .unionAll(counts.select(F.lit("distrust"), "host", F.col("distrust") / float(sums[1] or 1))) \
         .where("mass > 0")
     edges = scratch.table(
-        host_edges(named).unionAll(parent_edges(counts.select("host")))
+        host_edges(named).unionAll(parent_edges(counts.where("page").select("host")))
         .groupBy("src", "dst").agg(F.sum("weight").alias("weight")), "edges")
     rank = propagate(scratch, edges, seeds)
     scores = rank.groupBy("host").agg(F.sum(F.expr("if(kind = 'trust', score, 0.0D)")).alias("trust"),

@@ -185,6 +185,21 @@ def test_url_propagation(spark):
             assert abs(getattr(r, name) - rank.get(r.host, 0.0)) < 1e-12
 
 
+def test_url_seeds_from_link_targets(spark):
+    """A blocked or allowed url that is only linked to is a seed too."""
+    rows = [(1, "http://spam.io/", '<a href="http://X.net/y?q"> <a href=//x.net/y#z>'), (2, "http://alone.io/", '<a href="/a">'),
+            (3, "http://mixed.io/", '<a href="https://sub.org/fr/b"><a href="/">'),
+            (4, "http://good.io/", '<a href="//x.net"> <a href="//example.com/fr/">')]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in urlrank.judge(d).collect()}
+    assert {i: r.verdict for i, r in got.items()} == {1: "block", 2: "allow", 3: "allow", 4: "block"}
+    assert got[1].distrust > 0 and got[1].rule is None and got[2].distrust == 0
+    seeds = urlrank.target_seeds(spark.createDataFrame(
+        [("spam.io", "/", None, rows[0][2]), ("mixed.io", "/", None, rows[2][2]), ("x.net", "/y", "block", None)],
+        "host string, path string, ruled string, html string")).collect()
+    assert [tuple(r) for r in seeds] == [("sub.org", "allow")]
+
+
 # --- Native operators run no Python -------------------------------------------
 
 @pytest.mark.parametrize("name", ["op3_lines", "op10_urlrank"])
