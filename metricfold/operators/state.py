@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from metricfold.functions.scalars import (is_valid_kind, listing_line, normalize_kind,
                                           value_text)
-from metricfold.operators.fold import fold_counters, fold_gauges, fold_state
+from metricfold.operators.fold import fold_counters, fold_gauges, fold_kinds, fold_state
 from metricfold.schemas import COUNTER, GAUGE
 
 
@@ -30,8 +30,12 @@ def upsert_state(state: DataFrame, batch: DataFrame, order_col: str = "seq") ->
     no skew even when one id dominates the batch. Splitting updates into
     state + batch gives the same result as one fold over all of them.
     """
-    b = fold_state(batch, order_col).select(
-        "id", "mtype", F.col("delta").alias("_bd"), F.col("value").alias("_bv"))
+    return upsert_folded(state, fold_state(batch, order_col))
+
+
+def upsert_folded(state: DataFrame, folded: DataFrame) -> DataFrame:
+    """JOIN-1 with a batch that is folded already (one row per key)."""
+    b = folded.select("id", "mtype", F.col("delta").alias("_bd"), F.col("value").alias("_bv"))
     s = state.select("id", "mtype", F.col("delta").alias("_sd"), F.col("value").alias("_sv"))
     j = s.join(b, ["id", "mtype"], "full_outer")
     delta = (F.when(F.col("mtype") != COUNTER, F.lit(None).cast("bigint"))
@@ -42,6 +46,29 @@ def upsert_state(state: DataFrame, batch: DataFrame, order_col: str = "seq") ->
     return j.select("id", "mtype", delta.alias("delta"), value.alias("value"))
 
 
+def strict_batch_plan(state: DataFrame, batch: DataFrame, order_col: str = "seq",
+                      kind_col: str = "type") -> DataFrame:
+    """AGG-4b, table semantics for one batch, one row per id: id, mtype, delta,
+    value to apply, and ``conflicts``, the gauges sent to a counter (any
+    rolls the whole batch back). The batch policy holds: kinds are compared
+    as written, and rows of unknown kind or without a value are skipped.
+
+    An id's kind is the stored one, else that of its first row in the batch; a
+    counter sent to a gauge changes nothing. The batch is folded once per id
+    and only the folded rows meet the state.
+    """
+    b = fold_kinds(batch, F.col(kind_col), order_col)
+    # Table semantics: the stored state holds one row per id.
+    stored = state.select("id", F.col("mtype").alias("_stored"))
+    first = F.when(F.col("first") == 0, F.lit(COUNTER)).otherwise(F.lit(GAUGE))
+    j = b.join(stored, "id", "left").withColumn("mtype", F.coalesce("_stored", first))
+    counter = F.col("mtype") == COUNTER
+    return j.select(
+        "id", "mtype", F.when(counter, F.col("total")).alias("delta"), F.when(~counter, F.col("last")).alias("value"),
+        F.when(counter, F.col("gauges")).otherwise(F.lit(0)).alias("conflicts"),
+        (F.when(counter, F.col("counters")).otherwise(F.col("gauges")) > 0).alias("effective"))
+
+
 def _requests(requests: DataFrame, kind_col: str, lower: bool) -> DataFrame:
     kind = normalize_kind(kind_col) if lower else F.col(kind_col)
     return requests.withColumn("_kind", kind).where(is_valid_kind("_kind"))

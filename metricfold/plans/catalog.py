@@ -52,7 +52,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # Importing the query modules fills the registry.
-    from metricfold.plans import q_fold, q_ingest, q_samples, q_state  # noqa: F401
+    from metricfold.plans import q_fold, q_ingest, q_requests, q_samples, q_state  # noqa: F401
 
 
 # Shared oracle fragments -----------------------------------------------------

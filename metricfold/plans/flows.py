@@ -12,7 +12,8 @@ These functions only chain library operators; each step is a Spark plan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricfold.operators import state as st
@@ -34,45 +35,46 @@ def read_forwarded(spark: SparkSession, path: str) -> DataFrame:
 
 def ingest_payloads(spark: SparkSession, payloads: DataFrame, state_root: str, batch_id: int,
                     order_col: str, key: str | None = None, audit_sinks: dict[str, Sink] | None = None,
-                    ip_address: str = "", writer: str = "ingest") -> dict:
+                    ip_address: str = "", ts_col: str | None = None, ip_col: str | None = None,
+                    replay_audit: bool = False) -> dict:
     """Flow A over a frame of request bodies (``payload``, optional ``sig``).
 
     ``order_col`` is the bodies' arrival order (an integer, unique per body):
     later bodies win, and later elements within one. Every accepted body, an
-    empty one too, is one audit event.
+    empty one too, is one audit event, named by its order; it carries the time
+    of ``ts_col`` (the processing time if there is none) and the address of
+    ``ip_col``. A batch id that was applied before changes nothing;
+    ``replay_audit`` sends its events again, for sinks that replace them.
 
     Returns accounting: payloads refused by signature, rejected as
-    malformed, accepted, the committed state version (None = replay) and the
+    malformed, accepted, the stored version (None = replay) and the
     outcome of each audit sink (None or its error).
     """
     sig_ok = signature_ok("payload", "sig", key) if key else F.lit(True)
     body = payloads.withColumn("_sig_ok", sig_ok).withColumn("_req", F.col(order_col).cast("bigint"))
-    # Verdicts once per body (parsed once); the accounting is observed while
-    # the state write runs, so it costs no extra job (AGG-9).
-    ok, acc = F.col("_sig_ok"), F.col("accepted")
-    counts = [F.count_if(~ok).alias("refused"), F.count_if(ok & acc).alias("accepted"),
-              F.count_if(ok & ~acc).alias("rejected")]
-    obs = Observation(f"ingest-{batch_id}")
-    checked = payload_verdicts(body, keep_parsed=True)
-    rows = payload_updates(checked.observe(obs, *counts).where(ok & acc), keep=["_req"])
-    # Arrival order: body, then position inside it, as one fixed-width number
-    # (a decimal), so that the fold stays a hash aggregation.
-    ordered = rows.withColumn("seq", F.col("_req").cast("decimal(20,0)") * F.lit(10 ** 10).cast("decimal(11,0)")
-                              + F.col("pos"))
-    commit = tbl.apply_batch(spark, state_root, ordered, batch_id, order_col="seq", writer=writer)
-    if commit is not None:
-        stats = obs.get
-    else:  # replay: nothing ran, so count explicitly
-        stats = payload_verdicts(body).agg(*counts).collect()[0].asDict()
-    outcome: dict[str, str | None] = {}
-    if commit is not None and audit_sinks:
-        # Stamped with the processing time like the reference service.
-        events = payload_events(checked.where(ok & acc), "_req", payload_ids(), F.current_timestamp(),
-                                F.lit(ip_address))
-        outcome = ev.fanout(events, audit_sinks)
-    return {"refused_signature": stats["refused"] if key else None,
-            "accepted": stats["accepted"], "rejected": stats["rejected"],
-            "version": None if commit is None else commit.version, "audit": outcome}
+    # Each body is parsed once: rows, accounting (AGG-9) and events read the
+    # kept verdicts.
+    checked = payload_verdicts(body, keep_parsed=True).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ok, acc = F.col("_sig_ok"), F.col("accepted")
+        rows = payload_updates(checked.where(ok & acc), keep=["_req"])
+        # Arrival order: body, then position inside it, as one fixed-width number
+        # (a decimal), so that the fold stays a hash aggregation.
+        ordered = rows.withColumn("seq", F.col("_req").cast("decimal(20,0)") * F.lit(10 ** 10).cast("decimal(11,0)")
+                                  + F.col("pos"))
+        version = tbl.apply_batch(spark, state_root, ordered, batch_id, order_col="seq")
+        stats = checked.agg(F.count_if(~ok).alias("refused"), F.count_if(ok & acc).alias("accepted"),
+                            F.count_if(ok & ~acc).alias("rejected")).first()
+        outcome: dict[str, str | None] = {}
+        if audit_sinks and (version is not None or replay_audit):
+            events = payload_events(checked.where(ok & acc), "_req", payload_ids(),
+                                    F.col(ts_col) if ts_col else F.current_timestamp(),
+                                    F.col(ip_col) if ip_col else F.lit(ip_address))
+            outcome = ev.fanout(events, audit_sinks)
+    finally:
+        checked.unpersist()
+    return {"refused_signature": stats["refused"] if key else None, "accepted": stats["accepted"],
+            "rejected": stats["rejected"], "version": version, "audit": outcome}
 
 
 def forward_reports(samples: DataFrame, out_path: str, every: str = "10 seconds",

@@ -165,13 +165,24 @@ def _read_samples_sql() -> str:
 
 @register("read_samples", _read_samples_sql())
 def q_read_samples(spark, sf_dir):
-    """SRC-6: recorded samples of two providers (runtime fields; host fields
-    and the CPU list) unioned by name and conformed to the full SAMPLE
-    schema; the list is shown as JSON text."""
+    """SRC-6: two providers (runtime fields; host fields and the CPU list) record
+    their samples as files; each is read through the provider data source, and
+    a third that cannot be read is skipped. They are unioned by name and
+    conformed to the full SAMPLE schema; the list is shown as JSON text."""
+    import uuid
+
+    from metricfold.session import checkpoint_root
+    from metricfold.sources.recorded import recorded
+    base = f"{checkpoint_root(spark)}/recorded-{uuid.uuid4().hex}"
     w = fx.wide(spark, sf_dir)
-    runtime = w.select("host", "ord", F.lit(0).alias("provider"), "ts", *RUNTIME_FIELDS)
-    host = w.select("host", "ord", F.lit(1).alias("provider"), "ts", *HOST_FIELDS, CPU_FIELD)
-    return samples.read_samples([runtime, host]).withColumn(CPU_FIELD, F.to_json(CPU_FIELD))
+    w.select("host", "ord", "ts", *RUNTIME_FIELDS).write.parquet(f"{base}/runtime")
+    w.select("host", "ord", "ts", *HOST_FIELDS, CPU_FIELD).write.parquet(f"{base}/host")
+    frames, errors = samples.collect_providers(spark, [
+        recorded(f"{base}/runtime", 0, list(RUNTIME_FIELDS)), recorded(f"{base}/host", 1, [*HOST_FIELDS, CPU_FIELD]),
+        recorded(f"{base}/gone", 2)])
+    if list(errors) != [2]:
+        raise RuntimeError(f"providers skipped: {errors}")
+    return samples.read_samples(frames).withColumn(CPU_FIELD, F.to_json(CPU_FIELD))
 
 
 _AUDIT_SQL = """
@@ -203,12 +214,12 @@ SELECT host, time_bucket(INTERVAL '{REPORT_EVERY}', ts) AS window_start,
        count(*) AS poll_count
 FROM wide GROUP BY 1, 2, 3""", wide=WIDE))
 def q_stream_poll_count(spark, sf_dir):
-    """STR-2: samples arrive as a file stream; polls are counted per host
-    and report window with a watermark, in append mode, through Spark's
-    exactly-once Parquet file sink, then read back. The windows that the
-    final watermark leaves open are counted by the closing flush. The landed
-    files form one micro-batch, so no sample is late; the multi-batch case is
-    in tests/test_streaming.py."""
+    """STR-2: samples of two providers, a row each for every poll, arrive as a
+    file stream; distinct polls are counted per host and report window with a
+    watermark, in append mode, through Spark's exactly-once Parquet file sink,
+    then read back. A closing row lets every window close. The landed files form
+    one micro-batch, so no sample is late; the multi-batch case is in
+    tests/test_streaming.py."""
     import uuid
 
     from metricfold.session import checkpoint_root
@@ -216,17 +227,16 @@ def q_stream_poll_count(spark, sf_dir):
     tag = uuid.uuid4().hex
     land = f"{checkpoint_root(spark)}/samples-in-{tag}"
     out = f"{checkpoint_root(spark)}/polls-out-{tag}"
-    w = fx.wide(spark, sf_dir)
+    w = fx.wide(spark, sf_dir).select("host", "ord", "ts", F.explode(F.array(F.lit(0), F.lit(1))).alias("provider"))
     w.write.parquet(land)
+    ingest.closing_row(spark, w.schema).write.mode("append").parquet(land)
     stream = spark.readStream.schema(w.schema).parquet(land)
-    counts = ingest.poll_count_stream(stream, every=REPORT_EVERY, watermark=STREAM_WATERMARK)
+    counts = ingest.poll_count_stream(stream, every=REPORT_EVERY, watermark=STREAM_WATERMARK, poll_col="ord")
     q = counts.writeStream.format("parquet").outputMode("append").option("path", out) \
         .option("checkpointLocation", ingest.checkpoint_for(spark, f"polls-{tag}")) \
         .trigger(availableNow=True).start()
     q.awaitTermination()
-    emitted = spark.read.parquet(out)
-    rest = ingest.flush_poll_windows(spark.read.parquet(land), emitted, every=REPORT_EVERY)
-    return emitted.unionByName(rest).select(
+    return spark.read.parquet(out).select(
         "host", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), "poll_count")
 

@@ -76,15 +76,16 @@ def q_lookup_missing(spark, sf_dir):
 SELECT * FROM state WHERE (id = 'purchase.u7' AND mtype = 'gauge')
    OR (id = 'click.u7' AND mtype = 'counter')""", updates=UPDATES, state=FOLD_STATE_SQL))
 def q_lookup_point(spark, sf_dir):
-    """FLT-5: two point reads (one gauge, one counter) on a stored state table,
-    whose scan gets the filters and prunes the kinds."""
+    """FLT-5: two point reads (one gauge, one counter) on a stored state table:
+    only the files of the ids' buckets are opened, the kinds prune folders and
+    the ids reach Parquet and its bloom filters."""
     import uuid
 
     from metricfold.session import checkpoint_root
     from metricfold.sinks import state_table as tbl
     root = f"{checkpoint_root(spark)}/state-point-{uuid.uuid4().hex}"
-    tbl.commit_state(spark, fold.fold_state(fx.updates(spark, sf_dir)), root, batch_id=0)
-    return st.lookup_point(tbl.read_state(spark, root), points=[("purchase.u7", "gauge"), ("click.u7", "counter")])
+    tbl.apply_set(spark, root, fold.fold_state(fx.updates(spark, sf_dir)), 0)
+    return tbl.lookup_point(spark, root, [("purchase.u7", "gauge"), ("click.u7", "counter")])
 
 
 @register("union_kinds", with_views("""
@@ -182,17 +183,16 @@ def q_lookup_text(spark, sf_dir):
 @register("scan_state", with_views(FOLD_STATE_SQL, updates=UPDATES))
 def q_scan_state(spark, sf_dir):
     """SNK-3 + SRC-5 through the stored table: the earlier updates are folded
-    and committed as a base, the later ones appended as a folded delta, and
-    the state is read back (one aggregation over base + delta). Written to a
-    fresh folder under the session's checkpoint root."""
+    and stored, the later ones upserted as the next batch (which rewrites the
+    buckets of its ids), and the state is read back."""
     import uuid
 
     from metricfold.session import checkpoint_root
     from metricfold.sinks import state_table as tbl
     root = f"{checkpoint_root(spark)}/state-scan-{uuid.uuid4().hex}"
     before, after = _split(spark, sf_dir)
-    tbl.commit_state(spark, fold.fold_state(before), root, batch_id=0)
-    tbl.apply_batch(spark, root, after, batch_id=1, layout="delta")
+    tbl.apply_set(spark, root, fold.fold_state(before), 0)
+    tbl.apply_batch(spark, root, after, 1)
     return tbl.read_state(spark, root)
 
 
@@ -213,9 +213,8 @@ def q_snapshot_roundtrip(spark, sf_dir):
 @register("stream_fold", with_views(FOLD_STATE_SQL, updates=UPDATES))
 def q_stream_fold(spark, sf_dir):
     """STR-1: the updates arrive as a file stream (one file per trigger);
-    Spark's state store keeps the fold; each micro-batch's changed keys are
-    committed to a state table (``set`` commits, compacted every 2), which
-    is read back."""
+    Spark's state store keeps the fold; each micro-batch's changed keys
+    replace those of a state table, which is read back."""
     import uuid
 
     from metricfold.session import checkpoint_root
@@ -227,56 +226,37 @@ def q_stream_fold(spark, sf_dir):
     u = fx.updates(spark, sf_dir)
     u.repartition(4, "batch_id").write.parquet(land)
     stream = spark.readStream.schema(u.schema).option("maxFilesPerTrigger", 1).parquet(land)
-    q = ingest.start_fold_table(stream, root, f"stream-fold-{tag}", compact_every=2)
+    q = ingest.start_fold_table(stream, root, f"stream-fold-{tag}")
     q.awaitTermination()
     return tbl.read_state(spark, root)
 
 
-def _upsert_run(spark, sf_dir):
-    """The updates as a file stream through the state writer, in one
-    micro-batch; returns the state's root and the audit folder."""
+@register("stream_upsert", with_views(FOLD_STATE_SQL, updates=UPDATES))
+def q_stream_upsert(spark, sf_dir):
+    """STR-1 + SNK-3: the updates arrive as a file stream and the state writer
+    upserts each micro-batch into the state table, with an audit event for each
+    request; the stored state is read back. (Across micro-batches arrival order
+    decides gauges; that case is in tests/test_streaming.py.)"""
     import uuid
 
     from metricfold.session import checkpoint_root
     from metricfold.sinks import events as ev
+    from metricfold.sinks import state_table as tbl
     from metricfold.streaming import ingest
     tag = uuid.uuid4().hex
     base = checkpoint_root(spark)
     land, root, audit = (f"{base}/{n}-{tag}" for n in ("upsert-in", "upsert-state", "upsert-audit"))
     u = fx.updates(spark, sf_dir)
     u.write.parquet(land)
-    stream = spark.readStream.schema(u.schema).parquet(land)
     outcomes = {}
-    q = ingest.start_state_writer(stream, root, f"upsert-{tag}",
+    q = ingest.start_state_writer(spark.readStream.schema(u.schema).parquet(land), root, f"upsert-{tag}",
                                   audit_sinks={"file": lambda df: ev.write_audit_batch(df, audit)},
                                   on_audit=outcomes.__setitem__)
     q.awaitTermination()
     failed = {b: o for b, o in outcomes.items() if any(o.values())}
     if failed or not outcomes:
         raise RuntimeError(f"audit failed: {failed}")
-    return root, audit
-
-
-@register("stream_upsert", with_views(FOLD_STATE_SQL, updates=UPDATES))
-def q_stream_upsert(spark, sf_dir):
-    """STR-1 + SNK-3: the updates arrive as a file stream and the state writer
-    folds each micro-batch into the state table; the committed state is read
-    back. (Across micro-batches arrival order decides gauges; that case is in
-    tests/test_streaming.py.)"""
-    from metricfold.sinks import state_table as tbl
-    return tbl.read_state(spark, _upsert_run(spark, sf_dir)[0])
-
-
-@register("stream_audit", with_views("""
-SELECT CAST(0 AS BIGINT) AS batch_id,
-       to_json({'ts': epoch_us(max(ts)) // 1000, 'metrics': list(id ORDER BY seq),
-                'ip_address': arg_min(ip_address, seq)}) AS value
-FROM updates""", updates=UPDATES))
-def q_stream_audit(spark, sf_dir):
-    """STR-3 + SNK-4: the audit file that the state writer leaves after its
-    commits: one event per micro-batch."""
-    return spark.read.text(_upsert_run(spark, sf_dir)[1]).select(
-        F.col("batch_id").cast("bigint").alias("batch_id"), "value")
+    return tbl.read_state(spark, root)
 
 
 @register("stream_replay", with_views(f"""
@@ -285,9 +265,9 @@ UNION ALL
 SELECT id, 'counter' AS mtype, CAST(sum(delta) AS BIGINT) AS delta, CAST(NULL AS DOUBLE) AS value
 FROM lines GROUP BY id""", updates=UPDATES, lines=fx.lineitem_counters_sql()))
 def q_stream_replay(spark, sf_dir):
-    """STR-4: a feed's micro-batches are replayed from the start after its
-    checkpoint is lost, and change nothing; a second feed with the same batch
-    numbers is applied."""
+    """STR-4: two feeds, each with a state table of its own, are replayed from
+    the start after their checkpoints are lost; the batch ids alone show that
+    the state holds them, and nothing changes. Both states are listed."""
     import uuid
 
     from metricfold.session import checkpoint_root
@@ -295,40 +275,43 @@ def q_stream_replay(spark, sf_dir):
     from metricfold.streaming import ingest
     tag = uuid.uuid4().hex
     base = checkpoint_root(spark)
-    land, other, root = (f"{base}/{n}-{tag}" for n in ("replay-in", "replay-other", "replay-state"))
-    u = fx.updates(spark, sf_dir)
-    u.write.parquet(land)
-    fx.lineitem_counters(spark, sf_dir).withColumn("seq", F.monotonically_increasing_id()).write.parquet(other)
-    for run, path, feed in ((0, land, "updates"), (1, land, "updates"), (2, other, "lines"), (3, other, "lines")):
-        rows = spark.read.parquet(path)
-        stream = spark.readStream.schema(rows.schema).parquet(path)
-        ingest.start_state_writer(stream, root, f"replay-{tag}-{run}", writer=feed).awaitTermination()
-    return tbl.read_state(spark, root)
-
-
-# Four strict batches: counters of even users; gauges of all users, which
-# conflict with them; gauges of odd users; the other counters.
+    fx.updates(spark, sf_dir).write.parquet(f"{base}/replay-updates-{tag}")
+    fx.lineitem_counters(spark, sf_dir).withColumn("seq", F.monotonically_increasing_id()) \
+        .write.parquet(f"{base}/replay-lines-{tag}")
+    states = []
+    for feed in ("updates", "lines"):
+        land, root = f"{base}/replay-{feed}-{tag}", f"{base}/replay-state-{feed}-{tag}"
+        schema = spark.read.parquet(land).schema
+        for run in range(2):
+            stream = spark.readStream.schema(schema).parquet(land)
+            ingest.start_state_writer(stream, root, f"replay-{feed}-{run}-{tag}").awaitTermination()
+        states.append(tbl.read_state(spark, root))
+    return states[0].unionAll(states[1])
+
+
+# Strict batches: counters of even users; gauges of all users, which conflict
+# with them; gauges of odd users; then counters again, which change nothing
+# where an id is a gauge; gauges of errors, which conflict; and all the rest.
 _STRICT_BATCHES = ("event_type = 'click' AND user_id % 2 = 0", "event_type = 'purchase'",
-                   "event_type = 'purchase' AND user_id % 2 = 1", "event_type = 'view'")
+                   "event_type = 'purchase' AND user_id % 2 = 1", "event_type = 'view'",
+                   "event_type = 'click' AND user_id % 2 = 1", "event_type = 'error'",
+                   "event_type IS NULL OR event_type NOT IN ('click', 'view', 'purchase', 'error')")
 _STRICT_SQL = with_views("""
-SELECT coalesce(a.id, v.id) AS id, 'counter' AS mtype,
-       CAST(coalesce(a.n, 0) + coalesce(v.n, 0) AS BIGINT) AS delta, CAST(NULL AS DOUBLE) AS value
-FROM clicks a FULL JOIN (SELECT * FROM views WHERE id NOT IN (SELECT id FROM gauges)) v ON a.id = v.id
+SELECT id, 'counter' AS mtype, CAST(sum(delta) AS BIGINT) AS delta, CAST(NULL AS DOUBLE) AS value FROM u
+WHERE event_type IN ('click', 'view') AND type = 'counter' AND delta IS NOT NULL AND id NOT IN (SELECT id FROM gauges)
+GROUP BY id
 UNION ALL SELECT id, 'gauge', CAST(NULL AS BIGINT), last FROM gauges""",
     u=fx.updates_sql("untyped").replace("event_id AS seq", "event_id AS seq, event_type, user_id", 1),
-    clicks="""SELECT id, sum(delta) AS n FROM u WHERE event_type = 'click' AND user_id % 2 = 0
-              AND delta IS NOT NULL GROUP BY id""",
-    views="SELECT id, sum(delta) AS n FROM u WHERE event_type = 'view' AND type = 'counter' AND delta IS NOT NULL GROUP BY id",
     gauges="""SELECT id, arg_max(value, seq) AS last FROM u WHERE event_type = 'purchase' AND user_id % 2 = 1
               AND value IS NOT NULL GROUP BY id""")
 
 
 @register("strict_batch", _STRICT_SQL)
 def q_strict_batch(spark, sf_dir):
-    """AGG-4b: four all-or-nothing strict batches on a fresh state table, then
-    read back. The second one sends gauges to counters and leaves nothing; the
-    last one's counters sent to gauges, and those whose kind is not spelled
-    exactly, change nothing."""
+    """AGG-4b: all events as seven all-or-nothing strict batches on a fresh
+    state table, then read back. The second and the sixth send gauges to
+    counters and leave nothing; counters sent to gauges, and those whose kind is
+    not spelled exactly, change nothing."""
     import uuid
 
     from metricfold.session import checkpoint_root
@@ -338,7 +321,7 @@ def q_strict_batch(spark, sf_dir):
         fx.table(spark, sf_dir, "events").selectExpr("event_id AS seq", "event_type", "user_id"), "seq")
     done = [tbl.apply_strict_batch(spark, root, rows.where(which), i) is not None
             for i, which in enumerate(_STRICT_BATCHES)]
-    if done != [True, False, True, True]:
+    if done != [True, False, True, True, True, False, True]:
         raise RuntimeError(f"strict batches committed: {done}")
     return tbl.read_state(spark, root)
 

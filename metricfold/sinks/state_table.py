@@ -1,330 +1,148 @@
-"""Stored state as committed Parquet directories (SNK-3, AGG-4b, STR-4).
-
-Parquet has no row-level update. Two commit kinds keep the state:
-
-* ``base``: the whole state (one row per key);
-* ``delta``: one applied batch, already folded (one row per key it touches);
-* ``set``: current values of the keys a batch changed (what a streaming
-  fold emits in update mode); the newest ``set`` or base of a key wins.
-
-Because the fold is mergeable, the current state is the fold of the newest
-base and every later delta: counters add, the gauge of the latest commit
-wins. Appending a batch therefore writes only O(batch) rows
-(``layout="delta"``); ``compact`` (or ``compact_every``) folds the deltas
-into a new base. ``layout="rewrite"`` writes a full new base per batch.
-
-Every attempt writes to a directory of its own, ``<root>/data/<attempt>``,
-partitioned by ``mtype`` (the kind index of the reference becomes partition
-pruning). It becomes visible by creating the marker
-``<root>/_commits/<seq>``, a small JSON file that holds the attempt's path, the
-writer, its batch and the kind. Creation fails if that number is taken; the
-writer then tries the next number, so two writers lose nothing of each other's.
-(On HDFS and local file systems creation is exclusive; object stores without an
-exclusive create need a single writer.) A marker is a commit once its text is
-complete; a half-written one makes readers wait, then fail and name it.
-
-A batch is known by (writer, batch_id): a replayed micro-batch of the same feed
-is skipped, and other feeds may use the same numbers. Readers list ``_commits``
-once -- no Spark job. Compaction writes a new base, which carries the batches
-folded so far as ranges, and prunes what lies before the previous base, so the
-listing stays short.
+"""Stored state: one Parquet version for each batch of one writer (SNK-3,
+SRC-5, AGG-4b, STR-4).
+
+The state is dealt over buckets by a hash of the id. A batch reads and writes
+only the buckets of its ids: it leaves one version, ``<root>/of=<buckets>/
+batch=<id>``, with the new content of those buckets, by kind. The state is the
+newest version of every bucket. A version counts once Spark has written its
+``_SUCCESS`` file, so readers never see half of one and a failed attempt is
+simply written again.
+
+The batch id is Spark's own (``foreachBatch``), which only grows, and the table
+has one writer: a batch is part of the state if its version or a later one is
+there, and is then skipped. Feeds that run side by side have a table each.
+Bucket versions with ``KEEP`` newer ones are deleted, so at most that many
+copies of a bucket are stored; a reader may go on with the one it opened.
 """
 
 from __future__ import annotations
 
-import json
-import time
-import uuid
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricfold.operators.fold import checked_long, fold_kinds, fold_state
-from metricfold.operators.state import upsert_state
-from metricfold.schemas import COUNTER, GAUGE
-from metricfold.sinks.snapshot import create_file, delete_path, list_children, read_file
-
-_STATE = "id string, mtype string, delta bigint, value double"
-BASE, DELTA, SET = "base", "delta", "set"
-COMPACT_EVERY = 50  # live commits; keeps the listing and the reads bounded
-
-
-@dataclass(frozen=True)
-class Commit:
-    seq: int
-    batch_id: int
-    kind: str
-    path: str
-    writer: str = ""
-    applied: dict | None = None  # of a base: writer -> [[first, last], ...]
-
-    @property
-    def version(self) -> int:
-        return self.seq
-
-
-def _commits(root: str) -> str:
-    return f"{root.rstrip('/')}/_commits"
-
-
-def _marker(root: str, seq: int) -> str:
-    return f"{_commits(root)}/{seq:012d}"
-
-
-def _load(spark: SparkSession, root: str, seq: int) -> Commit | None:
-    for wait in (0.05, 0.2, 1.0, 4.0, None):
-        text = read_file(spark, _marker(root, seq))
-        if text is None:
-            return None  # pruned since the listing
-        try:
-            m = json.loads(text)
-            return Commit(seq, m["batch_id"], m["kind"], f"{root.rstrip('/')}/{m['path']}", m["writer"],
-                          m.get("applied"))
-        except ValueError:
-            if wait is None:
-                raise RuntimeError(f"unfinished commit marker {_marker(root, seq)}") from None
-            time.sleep(wait)
-
-
-def commits(spark: SparkSession, root: str) -> list[Commit]:
-    """All commits, oldest first."""
-    names = [n for n in list_children(spark, _commits(root)) if n.isdigit()]
-    found = [_load(spark, root, int(n)) for n in sorted(names)]
-    return [c for c in found if c is not None]
-
-
-def latest_commit(spark: SparkSession, root: str) -> Commit | None:
-    c = commits(spark, root)
-    return c[-1] if c else None
-
-
-def _live(cs: list[Commit]) -> list[Commit]:
-    """Newest base and the deltas after it: the commits that make the state."""
-    bases = [i for i, c in enumerate(cs) if c.kind == BASE]
-    return cs[bases[-1]:] if bases else cs
-
-
-def read_state(spark: SparkSession, root: str) -> DataFrame:
-    """SRC-5: the current state (id, mtype, delta, value); empty when nothing
-    was committed. A lone base is a plain scan (filters on id/mtype reach
-    Parquet, ``mtype`` prunes partitions); with deltas it is one mergeable
-    aggregation over base + deltas, which the same filters pass through."""
-    return _state_of(spark, root, _live(commits(spark, root)))
-
-
-def _state_of(spark: SparkSession, root: str, live: list[Commit]) -> DataFrame:
-    if not live:
-        return spark.createDataFrame([], _STATE)
-    rows = None
-    for c in live:
-        part = spark.read.schema("id string, delta bigint, value double, mtype string") \
-            .parquet(c.path).withColumn("commit", F.lit(c.seq).cast("bigint"))
-        rows = part if rows is None else rows.unionAll(part)
-    if len(live) == 1:
-        return rows.select("id", "mtype", "delta", "value")
-    kinds = {c.kind for c in live if c.kind != BASE}
-    if kinds == {DELTA, SET}:
-        raise ValueError(f"state table {root} mixes additive deltas and value sets")
-    if kinds == {SET}:  # newest value of each key wins
-        return rows.groupBy("id", "mtype").agg(F.max_by("delta", "commit").alias("delta"),
-                                               F.max_by("value", "commit").alias("value"))
-    return rows.groupBy("id", "mtype").agg(
-        checked_long(F.sum(F.col("delta").cast("decimal(38,0)"))).alias("delta"),
-        F.max_by("value", "commit").alias("value"))
-
-
-def _ranges(ids: set[int] | list[int]) -> list[list[int]]:
-    out: list[list[int]] = []
-    for i in sorted(ids):
-        if out and i == out[-1][1] + 1:
-            out[-1][1] = i
-        else:
-            out.append([i, i])
+from metricfold.operators.fold import fold_state
+from metricfold.operators.state import lookup_point as point_read
+from metricfold.operators.state import strict_batch_plan, upsert_folded
+from metricfold.sinks.snapshot import delete_path, list_children, path_exists
+
+STATE = "id string, mtype string, delta bigint, value double"
+BUCKETS, KEEP = 16, 2  # buckets of a new table: about one for each GB of state
+
+
+def _home(spark: SparkSession, root: str, buckets: int = BUCKETS) -> tuple[str, int]:
+    """The versions' folder and the number of buckets, which a table keeps."""
+    n = next((int(c[3:]) for c in list_children(spark, root) if c.startswith("of=")), buckets)
+    return f"{root.rstrip('/')}/of={n}", n
+
+
+def _bucket(id_: Column, n: int) -> Column:
+    return F.pmod(F.xxhash64(id_), F.lit(n)).cast("int")
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Ids of the batches whose versions are there, oldest first."""
+    home, _ = _home(spark, root)
+    return [int(c[6:]) for c in list_children(spark, home)
+            if c.startswith("batch=") and path_exists(spark, f"{home}/{c}/_SUCCESS")]
+
+
+def latest(spark: SparkSession, root: str) -> int | None:
+    return max(versions(spark, root), default=None)
+
+
+def already_applied(spark: SparkSession, root: str, batch_id: int) -> bool:
+    """Whether this batch is part of the state."""
+    return batch_id <= max(versions(spark, root), default=-1)
+
+
+def _copies(spark: SparkSession, root: str) -> dict[int, list[str]]:
+    """The folders of each bucket, oldest first."""
+    home, out = _home(spark, root)[0], {}
+    for v in versions(spark, root):
+        path = f"{home}/batch={v:012d}"
+        for c in list_children(spark, path):
+            if c.startswith("bucket="):
+                out.setdefault(int(c[7:]), []).append(f"{path}/{c}")
     return out
 
 
-def _applied(cs: list[Commit]) -> dict[str, list[list[int]]]:
-    """Ranges of batch ids applied by each writer."""
-    known: dict[str, list[list[int]]] = {}
-    single: dict[str, set[int]] = {}
-    for c in cs:
-        if c.applied is not None:
-            known = {w: [list(r) for r in rs] for w, rs in c.applied.items()}
-            single = {}
-        elif c.batch_id is not None:
-            single.setdefault(c.writer, set()).add(c.batch_id)
-    for w, ids in single.items():
-        merged = sorted(known.get(w, []) + _ranges(ids))
-        out: list[list[int]] = []
-        for lo, hi in merged:
-            if out and lo <= out[-1][1] + 1:
-                out[-1][1] = max(out[-1][1], hi)
-            else:
-                out.append([lo, hi])
-        known[w] = out
-    return known
-
-
-def already_applied(spark: SparkSession, root: str, batch_id: int, writer: str = "") -> bool:
-    """Whether this writer's batch is part of the state."""
-    return any(lo <= batch_id <= hi for lo, hi in _applied(commits(spark, root)).get(writer, []))
-
-
-class BatchRefused(Exception):
-    """A batch that must not be committed (its files are deleted)."""
-
-
-def _write(spark: SparkSession, root: str, rows: DataFrame, kind: str, batch_id: int, writer: str = "",
-           check=None) -> Commit:
-    """Writes one attempt and commits it under the first free number. ``check``
-    runs between the two and may raise BatchRefused."""
-    cs = commits(spark, root)
-    seq = cs[-1].seq + 1 if cs else 0
-    path = f"data/{uuid.uuid4().hex}"
-    full = f"{root.rstrip('/')}/{path}"
-    rows.select("id", "mtype", "delta", "value").hint("rebalance", "mtype") \
-        .write.partitionBy("mtype").parquet(full)
-    if check is not None:
-        try:
-            check()
-        except BatchRefused:
-            delete_path(spark, full)
-            raise
-    entry = {"path": path, "writer": writer, "batch_id": int(batch_id), "kind": kind}
-    while True:
-        if kind == BASE:
-            entry["applied"] = _applied([*cs, Commit(seq, int(batch_id), DELTA, full, writer)])
-        if create_file(spark, _marker(root, seq), json.dumps(entry)):
-            return Commit(seq, int(batch_id), kind, full, writer, entry.get("applied"))
-        if kind == BASE:  # it would hide what came in between
-            delete_path(spark, full)
-            raise BatchRefused(f"commit {seq} was taken while a base was written")
-        cs = commits(spark, root)
-        seq = cs[-1].seq + 1
-        if any(lo <= batch_id <= hi for lo, hi in _applied(cs).get(writer, [])):
-            delete_path(spark, full)
-            raise BatchRefused(f"batch {batch_id} of {writer!r} was applied meanwhile")
-
-
-def commit_state(spark: SparkSession, state: DataFrame, root: str, batch_id: int, writer: str = "") -> Commit:
-    """Write ``state`` as a new base."""
-    return _write(spark, root, state, BASE, batch_id, writer)
-
-
-def compact(spark: SparkSession, root: str) -> Commit | None:
-    """Fold the live deltas into a new base, and prune what lies before the
-    previous one (None if there is nothing to fold, or another commit came in
-    between). Readers keep using the old commits until the marker appears."""
-    live = _live(commits(spark, root))
-    if len(live) <= 1:
-        return None
-    try:
-        c = _write(spark, root, _state_of(spark, root, live), BASE, live[-1].batch_id, live[-1].writer)
-    except BatchRefused:
-        return None
-    prune_versions(spark, root, keep=2)
-    return c
-
-
-def prune_versions(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
-    """Delete commits older than the ``keep`` newest bases, with their data.
-    The live base and its deltas are never touched. Returns deleted paths."""
-    cs = commits(spark, root)
-    bases = [i for i, c in enumerate(cs) if c.kind == BASE]
-    if keep <= 0 or len(bases) < keep:
-        return []
-    cut = bases[-keep]
-    for c in cs[:cut]:
-        delete_path(spark, _marker(root, c.seq))
-        delete_path(spark, c.path)
-    return [c.path for c in cs[:cut]]
-
-
-def _compacted(spark: SparkSession, root: str, c: Commit, compact_every: int | None) -> Commit:
-    if compact_every and len(_live(commits(spark, root))) > compact_every:
-        return compact(spark, root) or c
-    return c
-
-
-def apply_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int,
-                order_col: str = "seq", layout: str = DELTA,
-                compact_every: int | None = COMPACT_EVERY, writer: str = "") -> Commit | None:
-    """SNK-3 + JOIN-1: apply one batch (memory semantics, keyed (id, mtype));
-    None when ``writer`` already applied ``batch_id`` (replay).
-
-    ``layout="delta"`` appends the folded batch (O(batch) written);
-    ``layout="rewrite"`` upserts into a full new base (O(state) written).
-    """
-    if already_applied(spark, root, batch_id, writer):
-        return None
-    if layout == "rewrite":
-        return commit_state(spark, upsert_state(read_state(spark, root), batch, order_col), root, batch_id, writer)
+def read_state(spark: SparkSession, root: str, buckets: set[int] | None = None) -> DataFrame:
+    """SRC-5: the current state (id, mtype, delta, value), empty when nothing
+    was stored; of some buckets only if given. Filters on the kind prune
+    folders, those on the id reach Parquet and its bloom filters."""
+    paths = [c[-1] for b, c in sorted(_copies(spark, root).items()) if buckets is None or b in buckets]
+    if not paths:
+        return spark.createDataFrame([], STATE)
+    home, _ = _home(spark, root)
+    return spark.read.option("basePath", home).schema(f"{STATE}, batch string, bucket int").parquet(*paths) \
+        .select("id", "mtype", "delta", "value")
+
+
+def _touched(spark: SparkSession, root: str, ids: DataFrame, buckets: int = BUCKETS) -> set[int]:
+    """The buckets of some ids (no more numbers than there are buckets)."""
+    n = _home(spark, root, buckets)[1]
+    return {r[0] for r in ids.select(_bucket(F.col("id"), n)).distinct().collect()}
+
+
+def lookup_point(spark: SparkSession, root: str, points: list[tuple[str, str]]) -> DataFrame:
+    """FLT-5 on the stored table: only the files of the points' buckets are opened."""
+    ids = spark.createDataFrame([(i,) for i, _ in points], "id string")
+    return point_read(read_state(spark, root, _touched(spark, root, ids)), points=points)
+
+
+def _apply(spark: SparkSession, root: str, changes: DataFrame, batch_id: int, buckets: int, merge) -> int:
+    """Writes ``merge(stored rows of the touched buckets, changes)`` as the
+    batch's version. ``changes`` has one row per key."""
+    home, n = _home(spark, root, buckets)
+    changes.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        c = _write(spark, root, fold_state(batch, order_col), DELTA, batch_id, writer)
-    except BatchRefused:
+        old = read_state(spark, root, _touched(spark, root, changes, buckets))
+        merge(old, changes).withColumn("bucket", _bucket(F.col("id"), n)) \
+            .repartition("bucket").sortWithinPartitions("bucket", "mtype", "id").write.mode("overwrite") \
+            .option("parquet.bloom.filter.enabled#id", "true").partitionBy("bucket", "mtype") \
+            .parquet(f"{home}/batch={batch_id:012d}")
+    finally:
+        changes.unpersist()
+    for copies in _copies(spark, root).values():
+        for path in copies[:-KEEP]:
+            delete_path(spark, path)
+    return batch_id
+
+
+def apply_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int, order_col: str = "seq",
+                buckets: int = BUCKETS) -> int | None:
+    """SNK-3 + JOIN-1: fold one batch and upsert it (keyed (id, mtype)); its id,
+    or None when it was applied before."""
+    if already_applied(spark, root, batch_id):
         return None
-    return _compacted(spark, root, c, compact_every)
+    return _apply(spark, root, fold_state(batch, order_col), batch_id, buckets, upsert_folded)
 
 
 def apply_set(spark: SparkSession, root: str, current: DataFrame, batch_id: int,
-              compact_every: int | None = COMPACT_EVERY, writer: str = "") -> Commit | None:
-    """Record the current values of changed keys (id, mtype, delta, value),
-    e.g. one micro-batch of a streaming fold in update mode; None when the
-    batch was already applied. Written rows are O(changed keys)."""
-    if already_applied(spark, root, batch_id, writer):
-        return None
-    try:
-        c = _write(spark, root, current, SET, batch_id, writer)
-    except BatchRefused:
+              buckets: int = BUCKETS) -> int | None:
+    """Replace the values of the keys in ``current`` (id, mtype, delta, value),
+    e.g. what a streaming fold emits in update mode."""
+    if already_applied(spark, root, batch_id):
         return None
-    return _compacted(spark, root, c, compact_every)
-
-
-def strict_batch_plan(state: DataFrame, batch: DataFrame, order_col: str = "seq",
-                      kind_col: str = "type") -> DataFrame:
-    """AGG-4b, table semantics for one batch, one row per id: id, mtype, delta,
-    value to apply, and ``conflicts``, the gauges sent to a counter (any
-    rolls the whole batch back). The batch policy holds: kinds are compared
-    as written, and rows of unknown kind or without a value are skipped.
-
-    An id's kind is the stored one, else that of its first row in the batch; a
-    counter sent to a gauge changes nothing. The batch is folded once per id
-    and only the folded rows meet the state.
-    """
-    b = fold_kinds(batch, F.col(kind_col), order_col)
-    # Table semantics: the stored state holds one row per id.
-    stored = state.select("id", F.col("mtype").alias("_stored"))
-    first = F.when(F.col("first") == 0, F.lit(COUNTER)).otherwise(F.lit(GAUGE))
-    j = b.join(stored, "id", "left").withColumn("mtype", F.coalesce("_stored", first))
-    counter = F.col("mtype") == COUNTER
-    return j.select(
-        "id", "mtype", F.when(counter, F.col("total")).alias("delta"), F.when(~counter, F.col("last")).alias("value"),
-        F.when(counter, F.col("gauges")).otherwise(F.lit(0)).alias("conflicts"),
-        (F.when(counter, F.col("counters")).otherwise(F.col("gauges")) > 0).alias("effective"))
-
-
-def apply_strict_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int,
-                       order_col: str = "seq", quarantine: str | None = None,
-                       compact_every: int | None = COMPACT_EVERY, writer: str = "") -> Commit | None:
-    """AGG-4b: all-or-nothing apply. One conflicting gauge quarantines the
-    whole batch (written to ``quarantine``/batch_id=N when given) and nothing
-    is committed. The plan runs once: conflicts are observed while the folded
-    rows are written, before the commit."""
-    if already_applied(spark, root, batch_id, writer):
-        return None
-    seen = Observation(f"strict-{uuid.uuid4().hex}")
-    plan = strict_batch_plan(read_state(spark, root), batch, order_col) \
-        .observe(seen, F.sum("conflicts").alias("conflicts"))
+    return _apply(spark, root, current.select("id", "mtype", "delta", "value"), batch_id, buckets,
+                  lambda old, new: old.join(new, ["id", "mtype"], "left_anti").unionByName(new))
 
-    def check() -> None:
-        if seen.get["conflicts"]:
-            raise BatchRefused(f"batch {batch_id} has conflicts")
 
-    try:
-        c = _write(spark, root, plan.where("effective"), DELTA, batch_id, writer, check)
-    except BatchRefused:
-        if quarantine:
-            batch.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch_id={batch_id}")
+def apply_strict_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int, order_col: str = "seq",
+                       quarantine: str | None = None, buckets: int = BUCKETS) -> int | None:
+    """AGG-4b: all or nothing. One conflicting gauge sends the whole batch to
+    ``quarantine``/batch_id=N (when given) and leaves no version."""
+    if already_applied(spark, root, batch_id):
         return None
-    return _compacted(spark, root, c, compact_every)
+    stored = read_state(spark, root, _touched(spark, root, batch, buckets))
+    plan = strict_batch_plan(stored, batch, order_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if plan.agg(F.sum("conflicts")).first()[0]:
+            if quarantine:
+                batch.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch_id={batch_id}")
+            return None
+        effective = plan.where("effective").select("id", "mtype", "delta", "value")
+        return _apply(spark, root, effective, batch_id, buckets, upsert_folded)
+    finally:
+        plan.unpersist()

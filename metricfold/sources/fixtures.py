@@ -220,6 +220,21 @@ def batch_payloads_sql() -> str:
     GROUP BY batch_id"""
 
 
+def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch payloads as requests: ``arrival`` (the batch id), ``payload``,
+    ``ts`` and ``ip_address``."""
+    from pyspark.sql import functions as F
+    sent = updates(spark, sf_dir).groupBy("batch_id").agg(F.max("ts").alias("ts"), F.min("ip_address").alias("ip_address"))
+    return batch_payloads(spark, sf_dir).join(sent, "batch_id") \
+        .select(F.col("batch_id").alias("arrival"), "payload", "ts", "ip_address")
+
+
+def request_bodies_sql() -> str:
+    return f"""SELECT p.batch_id, p.payload, s.ts, s.ip_address FROM ({batch_payloads_sql()}) p
+    JOIN (SELECT batch_id, max(ts) AS ts, min(ip_address) AS ip_address FROM ({updates_sql()}) u GROUP BY batch_id) s
+      ON s.batch_id = p.batch_id"""
+
+
 # ---------------------------------------------------------- CPU arrays -----
 def cpu_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-core utilisation arrays: the `embeddings` vectors as samples."""

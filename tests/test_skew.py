@@ -49,7 +49,7 @@ def test_hot_lookup_key_is_split_by_aqe(spark, scratch):
     # sides are shuffled, so AQE can split the hot request partition.
     u = fx.updates(spark, SF_MID)
     root = os.path.join(scratch, "state")
-    tbl.commit_state(spark, fold.fold_state(u), root, 0)
+    tbl.apply_set(spark, root, fold.fold_state(u), 0)
     state = tbl.read_state(spark, root)
     hot = u.select("seq", F.when(F.col("seq") % 3 == 0, F.lit("click.u7")).otherwise(F.col("id")).alias("id"),
                    F.when(F.col("seq") % 3 == 0, F.lit("counter")).otherwise(F.col("type")).alias("type"))
@@ -75,13 +75,13 @@ def test_hot_lookup_key_is_split_by_aqe(spark, scratch):
 
 def test_hot_lookup_key_spreads_without_a_flag(spark, tmp_path):
     """A key with a third of the requests is answered by several tasks, for a
-    state folded in the query and for a table with live deltas; misses too."""
+    state folded in the query and for a stored table; misses too."""
     from metricfold.sinks import state_table as tbl
     u = fx.updates(spark, SF_MID)
     folded = fold.fold_state(u)
     root = str(tmp_path / "state")
-    tbl.apply_batch(spark, root, u.where("seq % 2 = 0"), 0, compact_every=None)
-    tbl.apply_batch(spark, root, u.where("seq % 2 = 1"), 1, compact_every=None)
+    tbl.apply_batch(spark, root, u.where("seq % 2 = 0"), 0)
+    tbl.apply_batch(spark, root, u.where("seq % 2 = 1"), 1)
     hot = u.select("seq", F.when(F.col("seq") % 3 == 0, F.lit("click.u7")).otherwise(F.col("id")).alias("id"),
                    F.when(F.col("seq") % 3 == 0, F.lit("counter")).otherwise(F.col("type")).alias("type"))
     plain = sorted(map(tuple, st.lookup(hot, folded, hot_requests=10 ** 9).collect()))

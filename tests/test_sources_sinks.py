@@ -167,50 +167,78 @@ def test_audit_one_event_per_batch(spark):
     assert audit.audit_rows(few).count() == 20
 
 
-def test_two_feeds_and_stale_writers(spark, scratch):
-    root = os.path.join(scratch, "two")
-    row = lambda i, d: spark.createDataFrame([(i, "counter", d, None, 0)],
-                                             "id string, type string, delta long, value double, seq long")
-    assert tbl.apply_batch(spark, root, row("a", 1), 10, writer="A").seq == 0
-    assert tbl.apply_batch(spark, root, row("b", 2), 0, writer="B").seq == 1
-    assert tbl.apply_batch(spark, root, row("a", 4), 10, writer="A") is None
-    assert tbl.apply_batch(spark, root, row("a", 8), 3, writer="A").seq == 2  # lower, but unseen
-    assert {r.id: r.delta for r in tbl.read_state(spark, root).collect()} == {"a": 9, "b": 2}
-    # Both writers saw the same last commit: the second takes the next number.
-    stale = tbl.commits(spark, root)
-    real, calls = tbl.commits, []
-
-    def held(s, r):
-        calls.append(1)
-        return stale if len(calls) <= 2 else real(s, r)
-    tbl.apply_batch(spark, root, row("a", 16), 11, writer="A")
-    try:
-        tbl.commits = held
-        c = tbl.apply_batch(spark, root, row("b", 32), 1, writer="B", compact_every=None)
-    finally:
-        tbl.commits = real
-    assert c.seq == 4
-    assert {r.id: r.delta for r in tbl.read_state(spark, root).collect()} == {"a": 25, "b": 34}
-    tbl.compact(spark, root)
-    assert tbl.apply_batch(spark, root, row("b", 32), 1, writer="B") is None
-    assert tbl.already_applied(spark, root, 3, "A") and not tbl.already_applied(spark, root, 4, "A")
-
-
-def test_empty_first_commit_reads_back(spark, scratch):
+def _row(spark, i, d):
+    return spark.createDataFrame([(i, "counter", d, None, 0)], "id string, type string, delta long, value double, seq long")
+
+
+def test_batch_ids_alone_make_replay_safe(spark, scratch):
+    root = os.path.join(scratch, "one")
+    assert tbl.apply_batch(spark, root, _row(spark, "a", 1), 3) == 3
+    assert tbl.apply_batch(spark, root, _row(spark, "a", 2), 4) == 4
+    for old in (2, 3, 4):  # Spark's ids only grow: at or below the newest is a replay
+        assert tbl.apply_batch(spark, root, _row(spark, "a", 9), old) is None and tbl.already_applied(spark, root, old)
+    assert tbl.latest(spark, root) == 4 and not tbl.already_applied(spark, root, 5)
+    assert [tuple(r) for r in tbl.read_state(spark, root).collect()] == [("a", "counter", 3, None)]
+
+
+def test_unfinished_version_is_not_read_and_written_again(spark, scratch):
+    root = os.path.join(scratch, "torn")
+    tbl.apply_batch(spark, root, _row(spark, "a", 1), 0)
+    tbl.apply_batch(spark, root, _row(spark, "a", 2), 1)
+    mark = os.path.join(root, f"of={tbl.BUCKETS}", "batch=000000000001", "_SUCCESS")
+    os.remove(mark)  # as if the job died before its commit
+    assert tbl.read_state(spark, root).first().delta == 1 and tbl.latest(spark, root) == 0
+    assert tbl.apply_batch(spark, root, _row(spark, "a", 2), 1) == 1
+    assert tbl.read_state(spark, root).first().delta == 3
+
+
+def test_empty_first_version_reads_back(spark, scratch):
     root = os.path.join(scratch, "empty")
     none = spark.createDataFrame([("x", "histogram", None, None, 0)],
                                  "id string, type string, delta long, value double, seq long")
-    assert tbl.apply_batch(spark, root, none, 0).seq == 0
-    assert tbl.read_state(spark, root).collect() == []
+    assert tbl.apply_batch(spark, root, none, 0) == 0
+    assert tbl.read_state(spark, root).collect() == [] and tbl.already_applied(spark, root, 0)
 
 
-def test_listing_stays_short(spark, scratch):
+def test_old_versions_go(spark, scratch):
     root = os.path.join(scratch, "short")
-    for b in range(7):
-        one = spark.createDataFrame([("x", "counter", 1, None, 0)],
-                                    "id string, type string, delta long, value double, seq long")
-        tbl.apply_batch(spark, root, one, b, compact_every=2)
-    assert tbl.read_state(spark, root).first().delta == 7 and len(tbl.commits(spark, root)) <= 6
+    for b in range(5):
+        tbl.apply_batch(spark, root, _row(spark, "x", 1), b, buckets=2)
+    assert tbl.read_state(spark, root).first().delta == 5
+    assert [len(c) for c in tbl._copies(spark, root).values()] == [tbl.KEEP]
+
+
+def test_buckets_bound_reads_and_writes(spark, scratch):
+    """A point read opens its bucket's files; a batch rewrites touched buckets only."""
+    root = os.path.join(scratch, "wide")
+    u = fx.updates(spark, SF_SMALL)
+    tbl.apply_batch(spark, root, u, 0, buckets=32)
+    everything = tbl.read_state(spark, root)
+    point = tbl.lookup_point(spark, root, [("click.u7", "counter")])
+    assert 0 < len(point.inputFiles()) < len(everything.inputFiles()) / 8
+    assert [r.id for r in point.collect()] == ["click.u7"]
+    plan = point._jdf.queryExecution().executedPlan().toString()
+    assert "mtype" in plan.split("PartitionFilters")[1].split("]")[0] and "EqualTo(id,click.u7)" in plan
+    before = {b: c[-1] for b, c in tbl._copies(spark, root).items()}
+    tbl.apply_batch(spark, root, _row(spark, "click.u7", 5), 1)  # the table keeps its 32 buckets
+    changed = {b for b, c in tbl._copies(spark, root).items() if c[-1] != before.get(b)}
+    assert len(changed) == 1 and len(before) > 8
+    want = {(r.id, r.mtype): r.delta for r in fold.fold_state(u).collect()}
+    want["click.u7", "counter"] += 5
+    assert {(r.id, r.mtype): r.delta for r in tbl.read_state(spark, root).collect()} == want
+
+
+def test_state_files_carry_bloom_filters(spark, scratch):
+    import pyarrow.parquet as pq
+    root = os.path.join(scratch, "bloom")
+    tbl.apply_batch(spark, root, fx.updates(spark, SF_SMALL), 0, buckets=1)
+    files = [f.replace("file:", "").replace("///", "/") for f in tbl.read_state(spark, root).inputFiles()]
+    assert files and all(b"id" in open(f, "rb").read() and pq.ParquetFile(f).metadata.num_rows for f in files)
+    # A block of filter bits lies between the pages and the footer of each file.
+    for f in files:
+        meta = pq.ParquetFile(f).metadata.row_group(0)
+        end = max(meta.column(c).file_offset + meta.column(c).total_compressed_size for c in range(meta.num_columns))
+        assert os.path.getsize(f) - end > 1024
 
 
 def test_counter_sum_ignores_order(spark):
@@ -264,37 +292,6 @@ def test_forward_payloads_roundtrip(spark, scratch):
     assert ups.where("id = 'PollCount'").agg(F.sum("delta")).collect()[0][0] == w.count()
 
 
-def test_commit_markers_and_pruning(spark, scratch):
-    u = fx.updates(spark, SF_SMALL)
-    root = os.path.join(scratch, "state")
-    for b in range(3):
-        tbl.apply_batch(spark, root, u.where(F.col("batch_id") == b), b)
-    assert [(c.seq, c.kind) for c in tbl.commits(spark, root)] == [(0, "delta"), (1, "delta"), (2, "delta")]
-    assert tbl.compact(spark, root).kind == "base"
-    tbl.apply_batch(spark, root, u.where(F.col("batch_id") == 3), 3)
-    gone = tbl.prune_versions(spark, root, keep=1)
-    assert len(gone) == 3 and not any(os.path.exists(p.replace("file:", "")) for p in gone)
-    assert [c.kind for c in tbl.commits(spark, root)] == ["base", "delta"]
-    expect = sorted(map(tuple, fold.fold_state(u.where("batch_id < 4")).collect()))
-    assert sorted(map(tuple, tbl.read_state(spark, root).collect())) == expect
-
-
-def test_delta_and_rewrite_layouts_agree(spark, scratch):
-    u = fx.updates(spark, SF_SMALL)
-    batches = sorted(r.batch_id for r in u.select("batch_id").distinct().collect())
-    roots = {m: os.path.join(scratch, m) for m in ("delta", "rewrite", "compacting")}
-    for b in batches:
-        part = u.where(F.col("batch_id") == b)
-        tbl.apply_batch(spark, roots["delta"], part, b, layout="delta")
-        tbl.apply_batch(spark, roots["rewrite"], part, b, layout="rewrite")
-        tbl.apply_batch(spark, roots["compacting"], part, b, compact_every=1)
-    expect = sorted(map(tuple, fold.fold_state(u).collect()))
-    for m, r in roots.items():
-        assert sorted(map(tuple, tbl.read_state(spark, r).collect())) == expect, m
-    kinds = [c.kind for c in tbl.commits(spark, roots["compacting"])]
-    assert "base" in kinds and len(tbl._live(tbl.commits(spark, roots["compacting"]))) <= 2
-
-
 def test_snapshot_save_fails_on_non_finite_gauge(spark, scratch):
     import pytest
     bad = spark.createDataFrame([("g", "gauge", None, float("nan")), ("c", "counter", 1, None)],
@@ -304,8 +301,7 @@ def test_snapshot_save_fails_on_non_finite_gauge(spark, scratch):
     assert latest_snapshot(spark, os.path.join(scratch, "snap")) is None
 
 
-def test_set_commits_newest_value_wins(spark, scratch):
-    import pytest
+def test_set_replaces_values(spark, scratch):
     root = os.path.join(scratch, "sets")
     mk = lambda rows: spark.createDataFrame(rows, "id string, mtype string, delta long, value double")
     tbl.apply_set(spark, root, mk([("c", "counter", 5, None), ("g", "gauge", None, 1.0)]), 0)
@@ -313,15 +309,9 @@ def test_set_commits_newest_value_wins(spark, scratch):
     assert tbl.apply_set(spark, root, mk([("c", "counter", 99, None)]), 1) is None  # replay
     got = {r.id: (r.delta, r.value) for r in tbl.read_state(spark, root).collect()}
     assert got == {"c": (9, None), "g": (None, 1.0)}
-    tbl.compact(spark, root)
     tbl.apply_set(spark, root, mk([("g", "gauge", None, 2.5)]), 2)
     got = {r.id: (r.delta, r.value) for r in tbl.read_state(spark, root).collect()}
     assert got == {"c": (9, None), "g": (None, 2.5)}
-    # Additive deltas and absolute sets must not be mixed in one table.
-    tbl.apply_batch(spark, root, spark.createDataFrame([(1, "c", "counter", 1, None)],
-                                                       "seq long, id string, type string, delta long, value double"), 3)
-    with pytest.raises(ValueError, match="mixes"):
-        tbl.read_state(spark, root)
 
 
 def test_missing_or_null_string_fields_decode_to_empty(spark):
