@@ -2,11 +2,16 @@
 
 Slot i of the schedule lies at the golden-ratio point frac(i * 0.618...) of
 the line [0, 1), on which every source owns an interval as long as its share of
-the mix. So each source gets its share of any run of slots but for a few. The
-slots of a source are ranked, and slot k takes block k of the source: the
-source's documents, shuffled by a digest of their id and read in that order
-(again from the start in a second epoch), are cut into as many equal blocks of
-words as it has slots, which add up to its target.
+the mix. So each source gets its share of any run of slots but for a few. A
+slot takes one block of words, of one size for all sources (BLOCK, or fewer so
+that a small mix has SLOTS slots or so). The slots of a source are ranked, and
+slot k takes block k of the source: its documents, shuffled by a digest of
+their id and read in that order (again from the start in a second epoch), cut
+into blocks. What a source gives is what the points give it: its slots' blocks,
+the last one cut at its target. The schedule runs on a little (SURPLUS) beyond the
+blocks of the mix, so that sources which the points left short by a block or two
+catch up; slots of a source that has its words are void. A source too small to
+own a point gets one slot at the end.
 
 Ranks and word offsets are two-level prefix sums (inside digest or slot
 ranges, and over them), so that a source with a third of all rows is spread
@@ -32,7 +37,9 @@ from metricfold.llm.common import Scratch, prepare
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5  # of all words
 REPEATS = 2  # times a document is taken at most
-BLOCK = 512  # words a slot takes, about
+BLOCK = 512  # words a slot takes
+SLOTS = 1 << 14  # a mix has as many slots or so, if its words suffice
+SURPLUS = 64  # the schedule is longer by one part in so many, and by 4
 CELLS = 4096  # of the line, to match slots with sources
 CHUNK = 4096  # slots ranked together
 GOLDEN = (math.sqrt(5) - 1) / 2
@@ -86,14 +93,15 @@ def word_offsets(scratch: Scratch, sizes: DataFrame, seed: str) -> DataFrame:
         (F.col("before") + F.col("run")).alias("stop"))
 
 
-def ranked_slots(scratch: Scratch, targets: DataFrame, block: int = BLOCK) -> DataFrame:
+def ranked_slots(scratch: Scratch, targets: DataFrame, block: int, step: float = GOLDEN) -> DataFrame:
     """slot, source, rank (from 0 within the source), of as many slots as
-    blocks make up the mix, and one more, at the end, for a source too small
-    to own a point."""
+    blocks make up the mix, with the surplus, and one more, at the end, for a
+    source too small to own a point."""
     spark = scratch.spark
     live = targets.where("target > 0")
     total = live.agg(F.sum("target")).first()[0] or 0.0
-    n = max(1, math.ceil(total / block)) if total else 0
+    n = math.ceil(total / block) if total else 0
+    n += n // SURPLUS + 4 if n else 0
     below = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     line = live.withColumn("low", F.coalesce(F.sum("target").over(below), F.lit(0.0)) / total) \
         .withColumn("high", F.lead("low").over(Window.orderBy(F.col("source").asc_nulls_last()))) \
@@ -102,7 +110,7 @@ def ranked_slots(scratch: Scratch, targets: DataFrame, block: int = BLOCK) -> Da
     line = scratch.table(line.select("source", "low", "high"), "line")
     cells = line.withColumn("cell", F.explode(F.sequence(
         F.floor(F.col("low") * CELLS), F.least(F.floor(F.col("high") * CELLS), F.lit(CELLS - 1)))))
-    point = F.col("id") * F.lit(GOLDEN) - F.floor(F.col("id") * F.lit(GOLDEN))
+    point = F.col("id") * F.lit(step) - F.floor(F.col("id") * F.lit(step))
     slots = spark.range(n).select(F.col("id").alias("slot"), point.alias("point")) \
         .withColumn("cell", F.floor(F.col("point") * CELLS))
     own = scratch.table(slots.join(cells, "cell").where("low <= point and point < high")
@@ -123,8 +131,8 @@ def ranked_slots(scratch: Scratch, targets: DataFrame, block: int = BLOCK) -> Da
 
 
 def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-             weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS, block: int = BLOCK,
-             seed: str = "mix") -> tuple[DataFrame, DataFrame, DataFrame]:
+             weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS, block: int | None = None,
+             step: float = GOLDEN, seed: str = "mix") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sizes, targets, takes). sizes has doc_id, source, size of every row;
     targets has source, source_size, weight, target; takes is the schedule: slot,
     source, doc_id, epoch and the words [from_word, to_word) of that document."""
@@ -134,27 +142,24 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     sizes = scratch.table(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                                       size.alias("size")), "sizes")
     targets = scratch.table(source_targets(scratch, sizes, weights, share, repeats), "targets")
-    slots = scratch.table(ranked_slots(scratch, targets, block), "ranked")
+    whole = targets.agg(F.sum("target")).first()[0] or 0.0
+    block = block or max(1, min(BLOCK, math.floor(whole / SLOTS)))
+    slots = scratch.table(ranked_slots(scratch, targets, block, step), "ranked")
     counts = slots.groupBy("source").agg(F.count("*").alias("blocks"))
     plan = scratch.table(
         targets.join(counts.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
         .where("target >= 1")
         .select(F.col("source").alias("s"), F.col("source_size").alias("all"),
-                F.floor("target").alias("quota"), "blocks")
-        .withColumn("width", F.expr("quota div blocks"))
-        .withColumn("wider", F.expr("quota % blocks")), "plan")
+                F.least(F.floor("target"), F.col("blocks") * block).alias("quota")), "plan")
     spans = word_offsets(scratch, sizes, seed).join(plan, F.col("source").eqNullSafe(F.col("s")))
     epochs = spans.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))) \
         .withColumn("begin", F.col("start") + F.col("epoch") * F.col("all")) \
         .withColumn("end", F.least(F.col("stop") + F.col("epoch") * F.col("all"), "quota")) \
         .where("begin < end")
-    # Equal blocks: the first ``wider`` ones hold width + 1 words, the others width.
-    block_of = ("if({0} < wider * (width + 1), {0} div (width + 1), "
-                "wider + ({0} - wider * (width + 1)) div greatest(width, 1))")
     pieces = epochs.withColumn("k", F.explode(F.sequence(
-        F.expr(block_of.format("begin")), F.expr(block_of.format("(end - 1)"))))) \
-        .withColumn("from_word", F.expr("greatest(begin, k * width + least(k, wider))")) \
-        .withColumn("to_word", F.expr("least(end, (k + 1) * width + least(k + 1, wider))"))
+        F.expr(f"begin div {block}"), F.expr(f"(end - 1) div {block}")))) \
+        .withColumn("from_word", F.greatest("begin", F.col("k") * block)) \
+        .withColumn("to_word", F.least("end", (F.col("k") + 1) * block))
     base = F.col("start") + F.col("epoch") * F.col("all")
     takes = pieces.join(slots.withColumnRenamed("source", "o"),
                         F.col("source").eqNullSafe(F.col("o")) & (F.col("k") == F.col("rank"))) \
@@ -185,8 +190,9 @@ def mix(docs: DataFrame, **options) -> DataFrame:
         .select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
-#: The same in DuckDB SQL: targets by the sorted caps, and each document's
-#: overlap with its source's quota in two epochs.
+#: The same in DuckDB SQL: targets by the sorted caps, the points and whose
+#: interval each lies in, and each document's overlap with its source's blocks
+#: in two epochs.
 MIX_SQL = r"""
 WITH z AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))
                   AS BIGINT) AS size FROM documents),
@@ -201,10 +207,22 @@ q AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECED
 l AS (SELECT (total - caps) / rest AS level FROM q
       WHERE weight * ((total - caps) / rest) <= cap ORDER BY k LIMIT 1),
 t AS (SELECT source, source_size, CAST(least(cap, weight * (SELECT level FROM l)) AS DOUBLE) AS target FROM r),
+n AS (SELECT source, target, sum(target) OVER () AS whole, coalesce(sum(target) OVER (ORDER BY encode(source) NULLS LAST
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(target) OVER () AS low,
+             row_number() OVER (ORDER BY encode(source) NULLS LAST) AS place FROM t WHERE target > 0),
+i AS (SELECT *, coalesce(lead(low) OVER (ORDER BY place), 2.0) AS high FROM n),
+y AS (SELECT greatest(1, least(BLOCK, CAST(floor(max(whole) / SLOTS) AS BIGINT))) AS block, max(whole) AS whole FROM n),
+x AS (SELECT CAST(ceil(whole / block) AS BIGINT) AS blocks FROM y),
+p AS (SELECT CAST(k AS DOUBLE) * GOLDEN - floor(CAST(k AS DOUBLE) * GOLDEN) AS point
+      FROM unnest(generate_series(0, (SELECT blocks + blocks // SURPLUS + 3 FROM x))) AS g(k)),
+b AS (SELECT place, count(*) AS slots FROM p JOIN i ON low <= point AND point < high GROUP BY place),
+w AS (SELECT i.source, CAST(least(floor(i.target), (SELECT block FROM y) * coalesce(b.slots, 1)) AS BIGINT) AS quota
+      FROM i LEFT JOIN b ON b.place = i.place),
 o AS (SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source
              ORDER BY md5('mix|' || CAST(doc_id AS VARCHAR)), doc_id, size) - size AS a FROM z)
 SELECT o.doc_id, o.source, o.size, t.source_size, t.target,
-       CAST(greatest(0, least(a + o.size, floor(target)) - a)
-          + greatest(0, least(a + o.size, floor(target) - source_size) - a) AS BIGINT) AS taken
-FROM o JOIN t ON o.source IS NOT DISTINCT FROM t.source
-"""
+       CAST(greatest(0, least(a + o.size, coalesce(quota, 0)) - a)
+          + greatest(0, least(a + o.size, coalesce(quota, 0) - source_size) - a) AS BIGINT) AS taken
+FROM o JOIN t ON o.source IS NOT DISTINCT FROM t.source LEFT JOIN w ON o.source IS NOT DISTINCT FROM w.source
+""".replace("GOLDEN", f"CAST({GOLDEN!r} AS DOUBLE)").replace("BLOCK", str(BLOCK)).replace("SLOTS", str(SLOTS)) \
+    .replace("SURPLUS", str(SURPLUS))
