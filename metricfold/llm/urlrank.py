@@ -5,12 +5,15 @@ Hosts are nodes. A page's links to other hosts are edges, weighted by the
 pages that hold them; a host and its parent domain (of two labels or more) are
 joined both ways, so that the graph also spans sites whose links are all
 relative. Trust starts at the hosts of urls that a rule allows, and follows
-the edges (personalised PageRank, DAMPING, ROUNDS rounds); distrust starts at
+the edges (personalised PageRank, DAMPING); distrust starts at
 the hosts of urls that a rule blocks, and follows the edges backwards, from a
 blocked host to those that link to it. These urls are the pages' own and those
 that pages link to on other hosts and that are no page themselves. Both start
-with mass 1 in proportion to pages and such urls; mass that reaches a host without edges ends there. A host whose distrust
-exceeds THRESHOLD times its trust is blocked; any other is allowed.
+with mass 1 in proportion to pages and such urls; mass that reaches a host
+without edges ends there. Rounds go on until the mass still on its way is at
+most TOLERANCE, so that no score misses more than that (85 rounds, or fewer where
+mass ends early). A host whose distrust exceeds THRESHOLD times its trust, by
+more than one part in a million, is blocked; any other is allowed.
 
 Edges, seeds and rank sums are partial aggregates, so a host with a third of
 all pages is reduced before the shuffle. Every round is a table in the shared
@@ -33,8 +36,10 @@ from metricfold.llm.common import Scratch, prepare
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
          ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 DAMPING = 0.85
-ROUNDS = 8
+TOLERANCE = 1e-6
+TOGETHER = 4  # rounds between two looks at the mass left
 THRESHOLD = 1.0
+MARGIN = 1 + 1e-6  # sums of equal scores may differ in their last digits
 LINK = r"""(?i)\shref\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
 TARGET = r"""(?i)\shref\s*=\s*["']?(?:https?:)?(//[^/?#"'\s>]+[^?#"'\s>]*)"""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -98,25 +103,32 @@ def parent_edges(hosts: DataFrame) -> DataFrame:
 
 
 def propagate(scratch: Scratch, edges: DataFrame, seeds: DataFrame, damping: float = DAMPING,
-              rounds: int = ROUNDS) -> DataFrame:
+              tolerance: float = TOLERANCE) -> DataFrame:
     """kind, host, score. seeds has kind, host, mass; kind 'trust' moves from
-    src to dst, kind 'distrust' from dst to src."""
+    src to dst, kind 'distrust' from dst to src. A score is the sum over all
+    rounds of the mass that stops at the host; rows carry that sum and the mass
+    that arrived last. The driver sees one sum every TOGETHER rounds."""
     flow = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b"), "weight") \
         .unionAll(edges.select(F.lit("distrust"), F.col("dst"), F.col("src"), "weight"))
     out = flow.groupBy("kind", "a").agg(F.sum("weight").alias("all"))
     flow = scratch.table(flow.join(out, ["kind", "a"])
                          .select("kind", "a", "b", (F.col("weight") / F.col("all")).alias("part")), "flow")
-    seeds = scratch.table(seeds, "seeds")
-    rank = seeds.select("kind", "host", F.col("mass").alias("score"))
-    for i in range(rounds):
-        moved = flow.join(rank.withColumnRenamed("host", "a"), ["kind", "a"]) \
-            .select("kind", F.col("b").alias("host"), (damping * F.col("part") * F.col("score")).alias("score"))
-        back = seeds.select("kind", "host", ((1 - damping) * F.col("mass")).alias("score"))
-        new = scratch.table(moved.unionAll(back).groupBy("kind", "host").agg(F.sum("score").alias("score")), "rank")
-        if i:
-            scratch.drop(rank)
+    rank = scratch.table(seeds.select("kind", "host", F.col("mass").alias("moving"),
+                                      ((1 - damping) * F.col("mass")).alias("score")), "rank")
+    while (rank.groupBy("kind").agg(F.sum("moving").alias("m")).agg(F.max("m")).first()[0] or 0.0) > tolerance:
+        new = rank
+        for _ in range(TOGETHER):
+            sent = new.where("moving > 0").select("kind", F.col("host").alias("a"), "moving")
+            moved = flow.join(sent, ["kind", "a"]) \
+                .select("kind", F.col("b").alias("host"), (damping * F.col("part") * F.col("moving")).alias("moving"),
+                        F.lit(0.0).alias("score"))
+            new = moved.unionAll(new.select("kind", "host", F.lit(0.0), "score")) \
+                .groupBy("kind", "host").agg(F.sum("moving").alias("moving"), F.sum("score").alias("score")) \
+                .withColumn("score", F.col("score") + (1 - damping) * F.col("moving"))
+        new = scratch.table(new, "rank")
+        scratch.drop(rank)
         rank = new
-    return rank
+    return rank.select("kind", "host", "score")
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -146,7 +158,7 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     scores = rank.groupBy("host").agg(F.sum(F.expr("if(kind = 'trust', score, 0.0D)")).alias("trust"),
                                       F.sum(F.expr("if(kind = 'distrust', score, 0.0D)")).alias("distrust"))
     scores = scratch.table(scores.withColumnRenamed("host", "_host"), "scores")
-    bad = F.coalesce(F.col("distrust"), F.lit(0.0)) > threshold * F.coalesce(F.col("trust"), F.lit(0.0))
+    bad = F.coalesce(F.col("distrust"), F.lit(0.0)) > threshold * MARGIN * F.coalesce(F.col("trust"), F.lit(0.0))
     return judged.select("page_id", "host", "path", "rule", "ruled") \
         .join(scores, F.col("host") == F.col("_host"), "left") \
         .select("page_id", "host", "path", "rule",
@@ -159,23 +171,33 @@ def verdicts(pages: DataFrame, **options) -> DataFrame:
     return judge(pages, **options).drop("trust", "distrust")
 
 
-def verdicts_sql() -> str:
-    """The same in DuckDB SQL, the rounds written out."""
+def verdicts_sql(rounds: int = 100) -> str:
+    """The same in DuckDB SQL: the rounds are a recursive query, as many as
+    leave less than a tenth of the tolerance on its way."""
     order = sorted(RULES, key=lambda r: -len(r[0] + r[1]))
     fits = [f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))" for h, p, _ in order]
     rule = " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (h, p, _) in zip(fits, order))
     ruled = " ".join(f"WHEN {f} THEN '{v}'" for f, (_, _, v) in zip(fits, order))
-    ctes = [rf"""
-u AS (SELECT page_id, html, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{UPPER}', '{LOWER}') AS host,
-             coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
-j AS (SELECT page_id, host, path, CASE {rule} END AS rule, CASE {ruled} END AS ruled FROM u),
+    host = "translate(coalesce(regexp_extract({0}, '://([^/?#]*)', 1), ''), '" + f"{UPPER}', '{LOWER}')"
+    path = "coalesce(regexp_extract({0}, '://[^/?#]*([^?#]*)', 1), '')"
+    return rf"""
+WITH RECURSIVE
+u AS (SELECT page_id, html, {host.format("url")} AS host, {path.format("url")} AS path FROM pages),
+j AS (SELECT page_id, html, host, path, CASE {rule} END AS rule, CASE {ruled} END AS ruled FROM u),
+v AS (SELECT DISTINCT src, {host.format("url")} AS host, {path.format("url")} AS path FROM (
+        SELECT host AS src, 'x:' || unnest(regexp_extract_all(html,
+          '\shref\s*=\s*["'']?(?:https?:)?(//[^/?#"''\s>]+[^?#"''\s>]*)', 1, 'i')) AS url FROM u) y),
+x AS (SELECT DISTINCT host, path, CASE {ruled} END AS ruled FROM v WHERE src <> '' AND src <> host),
+m AS (SELECT host, ruled FROM j UNION ALL
+      SELECT host, ruled FROM x WHERE ruled IS NOT NULL AND NOT EXISTS (
+        SELECT 1 FROM j WHERE j.ruled IS NOT NULL AND j.host = x.host AND j.path = x.path)),
 n AS (SELECT host, count(*) FILTER (ruled = 'allow') AS good, count(*) FILTER (ruled = 'block') AS bad
-      FROM j WHERE host <> '' GROUP BY host),
+      FROM m WHERE host <> '' GROUP BY host),
 s AS (SELECT 'trust' AS kind, host, good / CAST((SELECT sum(good) FROM n) AS DOUBLE) AS mass FROM n WHERE good > 0
       UNION ALL SELECT 'distrust', host, bad / CAST((SELECT sum(bad) FROM n) AS DOUBLE) FROM n WHERE bad > 0),
 k AS (SELECT DISTINCT page_id, host AS src, translate(unnest(regexp_extract_all(html,
       '\shref\s*=\s*["'']?(?:https?:)?//([^/?#"''\s>]+)', 1, 'i')), '{UPPER}', '{LOWER}') AS dst FROM u),
-c AS (SELECT string_split(host, '.') AS p FROM n),
+c AS (SELECT DISTINCT host, string_split(host, '.') AS p FROM u WHERE host <> ''),
 d AS (SELECT DISTINCT array_to_string(p[i:], '.') AS src, array_to_string(p[i + 1:], '.') AS dst
       FROM c, unnest(generate_series(1, len(p) - 2)) AS t(i)),
 e AS (SELECT src, dst, sum(w) AS w FROM (
@@ -183,15 +205,12 @@ e AS (SELECT src, dst, sum(w) AS w FROM (
         UNION ALL SELECT src, dst, 1.0 FROM d UNION ALL SELECT dst, src, 1.0 FROM d) GROUP BY src, dst),
 g AS (SELECT kind, a, b, w / sum(w) OVER (PARTITION BY kind, a) AS part FROM (
         SELECT 'trust' AS kind, src AS a, dst AS b, w FROM e UNION ALL SELECT 'distrust', dst, src, w FROM e)),
-r0 AS (SELECT kind, host, mass AS score FROM s)"""]
-    for i in range(ROUNDS):
-        ctes.append(f"""
-r{i + 1} AS (SELECT kind, host, sum(score) AS score FROM (
-        SELECT g.kind, b AS host, {DAMPING} * part * score AS score FROM g JOIN r{i} r ON g.kind = r.kind AND g.a = r.host
-        UNION ALL SELECT kind, host, (1 - {DAMPING}) * mass FROM s) GROUP BY kind, host)""")
-    return "WITH " + ",".join(ctes) + f"""
-SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN coalesce(b.score, 0) > {THRESHOLD} * coalesce(a.score, 0)
+r AS (SELECT kind, host, mass AS moving, 0 AS round FROM s UNION ALL
+      SELECT r.kind, g.b, sum({DAMPING} * g.part * r.moving), max(r.round) + 1
+      FROM r JOIN g ON g.kind = r.kind AND g.a = r.host WHERE r.round < {rounds} GROUP BY r.kind, g.b),
+f AS (SELECT kind, host, (1 - {DAMPING}) * sum(moving) AS score FROM r GROUP BY kind, host)
+SELECT page_id, j.host, path, rule, coalesce(ruled, CASE WHEN coalesce(b.score, 0) > {THRESHOLD * MARGIN!r} * coalesce(a.score, 0)
        THEN 'block' ELSE 'allow' END) AS verdict
-FROM j LEFT JOIN (SELECT host, score FROM r{ROUNDS} WHERE kind = 'trust') a USING (host)
-       LEFT JOIN (SELECT host, score FROM r{ROUNDS} WHERE kind = 'distrust') b USING (host)
+FROM j LEFT JOIN (SELECT host, score FROM f WHERE kind = 'trust') a ON a.host = j.host
+       LEFT JOIN (SELECT host, score FROM f WHERE kind = 'distrust') b ON b.host = j.host
 """

@@ -176,13 +176,44 @@ def test_url_propagation(spark):
         for (a, _), w in flow.items():
             out[a] += w
         rank = {seed: 1.0}
-        for _ in range(urlrank.ROUNDS):
+        for _ in range(300):
             new = collections.Counter({seed: 1 - urlrank.DAMPING})
             for (a, b), w in flow.items():
                 new[b] += urlrank.DAMPING * w / out[a] * rank.get(a, 0)
             rank = new
         for r in got.values():
-            assert abs(getattr(r, name) - rank.get(r.host, 0.0)) < 1e-12
+            assert abs(getattr(r, name) - rank.get(r.host, 0.0)) <= urlrank.TOLERANCE
+
+
+def test_url_propagation_reaches_the_end_of_a_chain(spark):
+    """Fourteen hosts, each linking to the next, the last to a blocked one."""
+    rows = [(i, f"http://h{i}.io/", f'<a href="http://h{i + 1}.io/">' if i < 14 else '<a href="http://bad.net/">')
+            for i in range(1, 15)] + [(99, "http://apart.io/", None)]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in urlrank.verdicts(d).collect()}
+    assert got.pop(99) == "allow" and set(got.values()) == {"block"} and len(got) == 14
+
+
+def test_url_sql_on_absolute_links(spark):
+    """The SQL's link-target seeds and rounds, on a random web with absolute links."""
+    import random
+
+    import duckdb
+    rng = random.Random(12)
+    hosts = [f"{a}{b}" for a in ("", "www.", "m.") for b in ("a.io", "b.org", "c.net", "example.net", "example.com", "d.de", "e.co.uk")]
+    paths = ["", "/", "/en/x", "/de/y", "/fr/z?q", "/a#f"]
+    link = lambda: f'<a href={rng.choice(["", chr(34)])}{rng.choice(["http:", "https:", ""])}//{rng.choice(hosts)}{rng.choice(paths)}>'
+    rows = [(i, None if i % 31 == 0 else f"http://{rng.choice(hosts)}{rng.choice(paths)}",
+             None if i % 17 == 0 else " ".join([link() for _ in range(rng.randint(0, 3))] + ['<a href="/own">'])) for i in range(150)]
+    got = sorted(map(repr, map(tuple, urlrank.verdicts(spark.createDataFrame(
+        rows, "page_id long, url string, html string")).collect())))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    rel = con.sql(urlrank.verdicts_sql())
+    order = [rel.columns.index(c) for c in ("page_id", "host", "path", "rule", "verdict")]
+    assert got == sorted(repr(tuple(r[i] for i in order)) for r in rel.fetchall())
+    assert len({r.split(",")[-1] for r in got}) == 2
 
 
 def test_url_seeds_from_link_targets(spark):
