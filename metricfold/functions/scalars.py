@@ -1,35 +1,14 @@
-"""Row-level scalar functions (Column -> Column).
-
-All are Spark built-ins except for rare values in the two text formatters,
-which need exact shortest / fixed-point decimal rendering of doubles: the JVM's
-``Double.toString`` (Java 17) is not always shortest and ``format_number`` pads
-with the shortest digits instead of the exact binary expansion. Values of
-ordinary size with up to 15 digits stay in the JVM; the rest, exact ties among
-them, go through an Arrow-batched pandas UDF that sees NULL for all others.
-"""
+"""Row-level scalar functions (Column -> Column), all of them Spark built-ins.
+The exact texts of doubles are worked out in ``functions.decimals``."""
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from metricfold.functions import decimals as dec
 from metricfold.schemas import COUNTER, GAUGE, KINDS
 
-# The two formatting UDFs run in Python workers: ship this module's code with
-# the task (pickle by value) so executors need no installed copy of the
-# package.
-try:
-    import sys as _sys
-
-    from pyspark import cloudpickle as _cloudpickle
-    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-except (ImportError, AttributeError, ValueError):  # older cloudpickle: needs --py-files
-    pass
-
 ColumnOrName = Column | str
 
 
@@ -101,107 +80,15 @@ def unix_millis(ts: ColumnOrName) -> Column:
 
 
 # ------------------------------------------------------------ formatting ---
-def _shortest_plain(x: float) -> str | None:
-    # Go FormatFloat(x, 'f', -1, 64): shortest round-trip digits, no exponent.
-    if x is None:
-        return None
-    if x != x:
-        return "NaN"
-    if x == float("inf"):
-        return "+Inf"
-    if x == float("-inf"):
-        return "-Inf"
-    r = repr(float(x))
-    if "e" in r:
-        r = format(Decimal(r), "f")
-    if "." in r:
-        r = r.rstrip("0").rstrip(".")
-    return r
-
-
-def _fixed(x: float, decimals: int) -> str | None:
-    # Go/C '%.Nf': exact binary value, round half to even.
-    if x is None:
-        return None
-    if x != x:
-        return "NaN"
-    if x == float("inf"):
-        return "+Inf"
-    if x == float("-inf"):
-        return "-Inf"
-    return "%.*f" % (decimals, x)
-
-
-# Ordinary values are rendered by built-ins; the others (NULL elsewhere) by Python.
-_DIGITS = 15  # a double with a decimal form of so many digits has it as its shortest
-_LOW, _HIGH = 1e-3, 1e8
-
-
-def _plain_decimal(v: Column) -> Column:
-    """The value as decimal(38,18) if 15 significant digits give it exactly and
-    its size is ordinary; else NULL."""
-    text = F.format_string(f"%.{_DIGITS - 1}e", v)
-    size = F.abs(v)
-    usual = (size >= _LOW) & (size < _HIGH)
-    return F.when(usual & (text.try_cast("double") == v), text.try_cast("decimal(38,18)"))
-
-
-def _python_only(f, v: Column, need: Column) -> Column:
-    """``f`` over the values that need it; Python sees NULL for all others."""
-    return f(F.when(need, v))
-
-
-def _map_given(v: pd.Series, f) -> pd.Series:
-    out = pd.Series([None] * len(v), index=v.index, dtype=object)
-    given = v.notna()
-    if given.any():
-        out[given] = v[given].map(f)
-    return out
-
-
-@F.pandas_udf(T.StringType())
-def _shortest_udf(v: pd.Series) -> pd.Series:
-    return _map_given(v, _shortest_plain)
-
-
 def shortest_text(value: ColumnOrName) -> Column:
     """SCL-4 for gauges: shortest text without exponent (+Inf/-Inf/NaN)."""
-    v = _c(value)
-    d = _plain_decimal(v)
-    plain = F.regexp_replace(d.cast("string"), r"\.?0+$", "")
-    need = v.isNotNull() & ~F.isnan(v) & d.isNull()
-    return F.when(F.isnan(v), F.lit("NaN")).otherwise(F.coalesce(plain, _python_only(_shortest_udf, v, need)))
-
-
-def _fixed_udf_for(decimals: int):
-    @F.pandas_udf(T.StringType())
-    def _fixed_udf(v: pd.Series) -> pd.Series:
-        return _map_given(v, lambda x: _fixed(x, decimals))
-    return _fixed_udf
-
-
-_FIXED_UDFS: dict[int, object] = {}
+    return dec.shortest(_c(value))
 
 
 def fixed_text(value: ColumnOrName, decimals: int = 6) -> Column:
-    """SCL-5: fixed-point text with ``decimals`` places (Go %f / %.2f), exact.
-
-    Rounding the shortest decimal form equals rounding the exact binary value
-    unless that form is a tie at the last place; ties, and values of unusual
-    size, go to Python. (Below 1e8 no tie of 7 decimals lies between the two.)
-    """
-    if decimals not in _FIXED_UDFS:
-        _FIXED_UDFS[decimals] = _fixed_udf_for(decimals)
-    v = _c(value)
-    d = _plain_decimal(v) if decimals <= 6 else F.lit(None).cast("decimal(38,18)")
-    part = F.abs(d) * F.lit(10 ** decimals).cast("decimal(7,0)")
-    tie = F.pmod(part, F.lit(1).cast("decimal(1,0)")) == F.lit("0.5").cast("decimal(2,1)")
-    text = F.round(d, decimals).cast(f"decimal(38,{decimals})").cast("string")
-    signed = F.when((v < 0) & ~text.startswith("-"), F.concat(F.lit("-"), text)).otherwise(text)
-    easy = d.isNotNull() & ~tie
-    need = v.isNotNull() & ~F.isnan(v) & ~F.coalesce(easy, F.lit(False))
-    return F.when(F.isnan(v), F.lit("NaN")).otherwise(
-        F.coalesce(F.when(easy, signed), _python_only(_FIXED_UDFS[decimals], v, need)))
+    """SCL-5: fixed-point text with ``decimals`` places (Go %f / %.2f), the
+    exact binary value rounded half to even."""
+    return dec.fixed(_c(value), decimals)
 
 
 def value_text(mtype: ColumnOrName, delta: ColumnOrName, value: ColumnOrName) -> Column:

@@ -18,8 +18,18 @@ from pyspark.sql import functions as F
 from metricfold.schemas import COUNTER, CPU_FIELD, GAUGE, POLL_COUNTER, SAMPLE_FIELDS, ZERO_TEST_FIELDS
 
 
-def _order(order_cols: list[str]) -> Column:
-    return F.col(order_cols[0]) if len(order_cols) == 1 else F.struct(*order_cols)
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _order(df: DataFrame, order_cols: list[str]) -> Column:
+    """The order as one fixed-width value, so that aggregates over it stay hash
+    aggregates: whole numbers of several columns become one decimal (the first
+    counts most; the others lie within 32 bits)."""
+    if len(order_cols) == 1:
+        return F.col(order_cols[0])
+    if len(order_cols) > 2 or any(df.schema[c].dataType.simpleString() not in _WHOLE for c in order_cols):
+        return F.struct(*order_cols)
+    return F.col(order_cols[0]).cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col(order_cols[1])
 
 
 Provider = Callable[[SparkSession], DataFrame]
@@ -64,24 +74,40 @@ def is_zero_sample(df: DataFrame | None = None) -> Column:
 
 
 def _merge_parts(df: DataFrame, fields: list[str], o: Column, cpu: str | None) -> list[Column]:
-    """Mergeable pieces of the sample merge for one group (see merge_samples)."""
-    nonzero_triple = ~is_zero_sample(df)
-    parts = [F.min(F.when(nonzero_triple, o)).alias("_k")]
+    """Mergeable pieces of the sample merge for one group (see merge_samples),
+    all of fixed width: ``_k`` the first place with a non-empty sample, ``_last``
+    the last place, for each field the last non-zero value and its place, and
+    the place of the last non-empty CPU list (the list itself is fetched later)."""
+    parts = [F.min(F.when(~is_zero_sample(df), o)).alias("_k"), F.max(o).alias("_last")]
     for c in fields:
         x = F.coalesce(F.col(c), F.lit(0.0))
-        parts += [F.max_by(x, o).alias(f"_l_{c}"),
-                  F.max_by(x, F.when(x != 0, o)).alias(f"_v_{c}"),
-                  F.max(F.when(x != 0, o)).alias(f"_vo_{c}")]
+        held = F.when(x != 0, o)
+        parts += [F.max_by(x, held).alias(f"_v_{c}"), F.max(held).alias(f"_vo_{c}")]
     if cpu:
-        a = F.col(cpu)
-        parts += [F.max_by(a, o).alias(f"_l_{cpu}"),
-                  F.max_by(a, F.when(F.size(a) > 0, o)).alias(f"_v_{cpu}"),
-                  F.max(F.when(F.size(a) > 0, o)).alias(f"_vo_{cpu}")]
+        parts.append(F.max(F.when(F.size(cpu) > 0, o)).alias(f"_vo_{cpu}"))
     return parts
 
 
-def _merged(c: str, k: Column, last: Column, v: Column, vo: Column, fallback: Column) -> Column:
-    return F.when(k.isNull(), last).when(vo >= k, v).otherwise(fallback).alias(c)
+def _since() -> Column:
+    # While all samples are empty each replaces the one before: the last counts.
+    return F.coalesce("_k", "_last")
+
+
+def _merged(c: str) -> Column:
+    return F.when(F.col(f"_vo_{c}") >= _since(), F.col(f"_v_{c}")).otherwise(F.lit(0.0)).alias(c)
+
+
+def _with_cpu(state: DataFrame, samples: DataFrame, key: str, o: Column, cpu: str) -> DataFrame:
+    """Late materialisation: ``state`` knows the place of each CPU list
+    (``_cpu_at``); the lists are fetched by an equi-join on host and place."""
+    lists = samples.where(F.size(cpu) > 0).select(F.col(key).alias("_h"), o.alias("_o"), F.col(cpu).alias("_list"))
+    none = F.array().cast("array<double>")
+    return state.join(lists, F.col(key).eqNullSafe(F.col("_h")) & (F.col("_cpu_at") == F.col("_o")), "left") \
+        .withColumn(cpu, F.coalesce("_list", none)).drop("_h", "_o", "_list", "_cpu_at")
+
+
+def _cpu_at(cpu: str) -> Column:
+    return F.when(F.col(f"_vo_{cpu}") >= _since(), F.col(f"_vo_{cpu}")).alias("_cpu_at")
 
 
 def merge_samples(samples: DataFrame, fields: list[str] | None = None, key: str = "host",
@@ -91,22 +117,17 @@ def merge_samples(samples: DataFrame, fields: list[str] | None = None, key: str
     Sequentially: while the merged sample is "empty" (FLT-8) a new sample
     replaces it whole; afterwards a field takes the new value only when it
     is non-zero (the CPU list only when non-empty). Closed form, one pass:
-    ``k`` = first position with a non-empty sample; per field the last value
-    (no ``k``), else the last non-zero value at or after ``k``, else 0.
+    ``k`` = first position with a non-empty sample (the last position if there
+    is none); per field the last non-zero value at or after ``k``, else 0. The
+    order is unique per host.
     """
     order_cols = order_cols or ["ord"]
     fields = fields or [f for f in SAMPLE_FIELDS if f in samples.columns]
     cpu = cpu if cpu in samples.columns else None
-    o = _order(order_cols)
+    o = _order(samples, order_cols)
     agg = samples.groupBy(key).agg(*_merge_parts(samples, fields, o, cpu))
-    k = F.col("_k")
-    out = [F.col(key)]
-    for c in fields:
-        out.append(_merged(c, k, F.col(f"_l_{c}"), F.col(f"_v_{c}"), F.col(f"_vo_{c}"), F.lit(0.0)))
-    if cpu:
-        out.append(_merged(cpu, k, F.col(f"_l_{cpu}"), F.col(f"_v_{cpu}"), F.col(f"_vo_{cpu}"),
-                           F.array().cast("array<double>")))
-    return agg.select(*out)
+    out = agg.select(key, *[_merged(c) for c in fields], *([_cpu_at(cpu)] if cpu else []))
+    return _with_cpu(out, samples, key, o, cpu) if cpu else out
 
 
 # Fixed value: layout of the sample summary text (fields Alloc, HeapAlloc, Sys).
@@ -170,27 +191,28 @@ def report_batches(samples: DataFrame, fields: list[str] | None = None, every: s
     The samples are reduced to mergeable pieces per (host, window) first, in a
     partial aggregate; the merge state after each window is a running
     combination of a host's pieces. A host has one row for each report interval
-    at most, however many samples it sends, and the running frame spills. One
-    scan, nothing written. Windows without samples send nothing.
+    at most, however many samples it sends, and the running frame spills. Nothing
+    is written; the fields are read once, the CPU lists of the chosen samples by
+    a narrow second scan. Windows without samples send nothing.
     """
     order_cols = order_cols or ["ord"]
     fields = fields or [f for f in SAMPLE_FIELDS if f in samples.columns]
     cpu = cpu if cpu in samples.columns else None
-    parts = fields + ([cpu] if cpu else [])
-    o = _order(order_cols)
+    o = _order(samples, order_cols)
     per_window = samples.groupBy(key, F.window(ts_col, every).alias("w")).agg(
         _polls(poll_col).alias("_polls"), *_merge_parts(samples, fields, o, cpu)) \
         .withColumn("window_start", F.col("w.start")).drop("w")
     run = Window.partitionBy(key).orderBy("window_start") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = per_window.select(
-        key, "window_start", "_polls", F.min("_k").over(run).alias("_k"), *[f"_l_{c}" for c in parts],
-        *[x for c in parts for x in (F.max_by(f"_v_{c}", f"_vo_{c}").over(run).alias(f"_v_{c}"),
-                                     F.max(f"_vo_{c}").over(run).alias(f"_vo_{c}"))])
-    none = F.array().cast("array<double>")
-    state = running.select(key, "window_start", "_polls", *[
-        _merged(c, F.col("_k"), F.col(f"_l_{c}"), F.col(f"_v_{c}"), F.col(f"_vo_{c}"),
-                none if c == cpu else F.lit(0.0)) for c in parts])
+        key, "window_start", "_polls", F.min("_k").over(run).alias("_k"), F.max("_last").over(run).alias("_last"),
+        *[x for c in fields for x in (F.max_by(f"_v_{c}", f"_vo_{c}").over(run).alias(f"_v_{c}"),
+                                      F.max(f"_vo_{c}").over(run).alias(f"_vo_{c}"))],
+        *([F.max(f"_vo_{cpu}").over(run).alias(f"_vo_{cpu}")] if cpu else []))
+    state = running.select(key, "window_start", "_polls", *[_merged(c) for c in fields],
+                           *([_cpu_at(cpu)] if cpu else []))
+    if cpu:
+        state = _with_cpu(state, samples, key, o, cpu)
 
     def gauge(name: Column, value: Column) -> Column:
         return F.struct(name.alias("id"), F.lit(GAUGE).alias("type"),

@@ -191,22 +191,23 @@ def restore_snapshot(spark: SparkSession, path: str) -> DataFrame:
     from metricfold.sinks.snapshot import is_directory, path_exists  # avoids a cycle
     if not path_exists(spark, path):
         return spark.createDataFrame([], "id string, mtype string, delta bigint, value double")
+    # A record's place as one fixed-width number, so that the last one is found
+    # by a hash aggregate: part, start of the block and row in it.
     if is_directory(spark, path):
+        part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-([0-9]+)", 1).try_cast("bigint")
+        row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+        place = F.coalesce(part, F.lit(0)).cast("decimal(20,0)") * F.lit(1 << 47).cast("decimal(15,0)") \
+            + F.col("_metadata.file_block_start")
         rows = spark.read.schema(UPDATE).option("mode", "FAILFAST").json(path).select(
-            "*", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
-                          F.monotonically_increasing_id()).alias("_pos"))
-    else:
-        files = spark.read.option("wholetext", True).text(path) \
-            .select(F.col("_metadata.file_path").alias("_file"), F.col("value").alias("payload"))
+            "*", (place.cast("decimal(27,0)") * F.lit(1 << 33).cast("decimal(10,0)") + row).alias("_pos"))
+    else:  # one file, one document
+        files = spark.read.option("wholetext", True).text(path).select(F.col("value").alias("payload"))
         bad = payload_verdicts(files).where(~F.col("accepted"))
         if not bad.isEmpty():
             raise ValueError(f"malformed snapshot: {path}")
-        rows = payload_updates(files, keep=["_file"]).select(
-            "*", F.struct("_file", "pos").alias("_pos"))
+        rows = payload_updates(files).withColumn("_pos", F.col("pos"))
     kept = rows.where(((F.col("type") == COUNTER) & F.col("delta").isNotNull())
                       | ((F.col("type") == GAUGE) & F.col("value").isNotNull()))
-    last = kept.groupBy("id", F.col("type").alias("mtype")).agg(
-        F.max_by(F.struct("delta", "value"), "_pos").alias("_r"))
-    return last.select("id", "mtype",
-                       F.when(F.col("mtype") == COUNTER, F.col("_r.delta")).alias("delta"),
-                       F.when(F.col("mtype") == GAUGE, F.col("_r.value")).alias("value"))
+    return kept.groupBy("id", F.col("type").alias("mtype")).agg(
+        F.max_by(F.when(F.col("type") == COUNTER, F.col("delta")), "_pos").alias("delta"),
+        F.max_by(F.when(F.col("type") == GAUGE, F.col("value")), "_pos").alias("value"))

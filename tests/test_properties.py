@@ -4,10 +4,11 @@ sequential loop, and the text formatters are exact."""
 
 import random
 import struct
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from metricfold.functions.scalars import _fixed, _shortest_plain, fixed_text, shortest_text
+from metricfold.functions.scalars import fixed_text, shortest_text
 from metricfold.operators import fold, samples
 from metricfold.operators import state as st
 from metricfold.schemas import HOST_FIELDS, RUNTIME_FIELDS
@@ -101,30 +102,51 @@ def _random_doubles(n, seed):
         [2.675, 0.125, 1e23, 2e-3, 1e7, 1e-3, 5e-324, -0.0, 0.0, 1.0, 0.1 + 0.2]
 
 
+def _shortest_plain(x):
+    # Shortest round-trip digits, no exponent.
+    r = repr(float(x))
+    if "e" in r:
+        r = format(Decimal(r), "f")
+    return r.rstrip("0").rstrip(".") if "." in r else r
+
+
 def test_formatting_exact(spark):
-    vals = _random_doubles(3000, 11)
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    out = df.select("v", shortest_text("v").alias("s"), fixed_text("v", 2).alias("f2"),
-                    fixed_text("v", 6).alias("f6")).collect()
-    for r in out:
+    rng = random.Random(5)
+    vals = _random_doubles(600, 11) + [rng.randint(0, 10 ** 6) / 8 for _ in range(500)] \
+        + [2.0 ** k for k in range(-1074, 1024, 7)] + [float(f"1e{k}") for k in range(-323, 309, 5)] \
+        + [rng.randint(1, 3000) * 5e-324 for _ in range(300)] + [0.5, 1.5, 2.5, 5e-7, 4.9999999e-7, 0.9999995, 0.995,
+                                                                2.0 ** 63, 2.0 ** 63 - 1024, 9.892985009487028e17]
+    df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(8)
+    texts = df.select("v", shortest_text("v").alias("s"), fixed_text("v", 2).alias("f2"),
+                      fixed_text("v", 6).alias("f6"), fixed_text("v", 0).alias("f0"))
+    assert "Python" not in texts._jdf.queryExecution().executedPlan().toString()
+    for r in texts.collect():
         assert float(r.s) == r.v and "e" not in r.s.lower()
         assert r.s == _shortest_plain(r.v)
-        assert r.f2 == "%.2f" % r.v and r.f6 == "%f" % r.v
-    assert _shortest_plain(1e23) == "100000000000000000000000"
-    assert _shortest_plain(-0.0) == "-0" and _shortest_plain(3.0) == "3"
-    assert _fixed(2.675, 2) == "2.67" and _fixed(0.125, 2) == "0.12"
-    assert _fixed(float("inf"), 2) == "+Inf" and _shortest_plain(float("-inf")) == "-Inf"
+        assert (r.f2, r.f6, r.f0) == ("%.2f" % r.v, "%f" % r.v, "%.0f" % r.v)
+
+
+def test_formatting_special_values(spark):
+    df = spark.createDataFrame([(0, float("nan")), (1, float("inf")), (2, float("-inf")), (3, None), (4, -0.0), (5, 1e23),
+                                (6, 2.675), (7, 0.125)], "i int, v double")
+    got = [tuple(r) for r in df.select(shortest_text("v"), fixed_text("v", 2)).orderBy("i").collect()]
+    assert got == [("NaN", "NaN"), ("+Inf", "+Inf"), ("-Inf", "-Inf"), (None, None), ("-0", "-0.00"),
+                   ("100000000000000000000000", "99999999999999991611392.00"), ("2.675", "2.67"), ("0.125", "0.12")]
 
 
-def test_report_batches_is_lazy_with_one_scan(spark):
-    # No job runs while the plan is built, and the samples are read once.
+def test_report_batches_is_lazy_and_reads_fields_once(spark):
+    # No job runs while the plan is built; the fields are read once, and the
+    # CPU lists by a scan of what they are made of only. Nothing wide is sorted.
     w = fx.wide(spark, SF_SMALL)
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("lazy-report", "plan only")
     rep = samples.report_batches(w, every="1 hour")
     assert list(tracker.getJobIdsForGroup("lazy-report")) == []
     spark.sparkContext.setJobGroup("rest", "")
-    assert rep._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    plan = rep._jdf.queryExecution().executedPlan().toString()
+    reads = [x.split(">")[0] for x in plan.split("ReadSchema: ")[1:]]
+    assert len(reads) == 2 and sum("ts:" in x for x in reads) == 1 and "SortAggregate" not in plan
+    assert "SortAggregate" not in samples.merge_samples(w)._jdf.queryExecution().executedPlan().toString()
     # A list of two cores gives two rows of its own.
     cores = rep.where("id like 'CPUutilization%'").select("id").distinct()
     assert sorted(r.id for r in cores.collect()) == ["CPUutilization1", "CPUutilization2"]
