@@ -36,6 +36,7 @@ import hashlib
 import itertools
 import os
 import re
+import string
 
 import numpy as np
 import pandas as pd
@@ -50,10 +51,12 @@ from metricfold.llm.common import Scratch, prepare
 #: and pieces that a task remembers.
 BLOCK_DOCS, BLOCK_CHARS = 1 << 14, 1 << 24
 SLICE, WORDS = 200_000, 400_000
+TOGETHER = 64  # new pieces encoded as one text
 
 _PLACE = 15  # binary digits of a document's place in its block
 _ID = 24     # binary digits of a token id
 _MARKS = r"[\w.,;:!?'\"()\-]"
+_EDGES = frozenset(string.ascii_letters + string.digits + "_.,;:!?'\"()-")
 BREAK = re.compile(f"(?<={_MARKS}) (?={_MARKS})")
 
 
@@ -84,6 +87,9 @@ class Pair:
         self.b_bytes = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i in range(self.b.get_piece_size()) for p in [self.b.id_to_piece(i)]]
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        # Texts of all ids with what may follow them: a comma, a bar, a semicolon, nothing.
+        names = [str(i) for size in (len(self.a_bytes), len(self.b_bytes)) for i in range(size)]
+        self.texts = np.array([n + after for after in (",", "|", ";", "") for n in names], object)
         self.forget()
 
     def forget(self) -> None:
@@ -97,48 +103,67 @@ class Pair:
         self.total = 0
 
     def learn(self, pieces: list[str]) -> None:
-        """Encodes pieces not met before."""
-        in_a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)]
-        in_b = self.b.encode(pieces, num_threads=1)
-        of_a, of_b = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        """Encodes pieces not met before, some of them joined by the spaces that
+        both tokenizers break at; where the tokens then do not end at the
+        pieces' ends, or their bytes differ, each on its own."""
+        joined = [p for p in pieces if p[0] in _EDGES and p[-1] in _EDGES or p[0].isalnum() and p[-1].isalnum()]
+        if len(joined) < len(pieces):
+            apart = set(joined)
+            pieces = joined + [p for p in pieces if p not in apart]
         raw = [b" " + p.encode() for p in pieces]
-        good = [len(r) > 1 and b"".join(map(of_a, xa)) == r == b"".join(map(of_b, xb))
-                for r, xa, xb in zip(raw, in_a, in_b)]
-        if not all(good):  # without tokens, so that they add nothing
-            in_a = [x if g else [] for x, g in zip(in_a, good)]
-            in_b = [x if g else [] for x, g in zip(in_b, good)]
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (in_a, in_b))
-        a, b = (np.fromiter(itertools.chain.from_iterable(x), np.int64, n.sum()) for x, n in ((in_a, n_a), (in_b, n_b)))
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        good = np.array(["\u2581" not in p for p in pieces])  # U+2581 is a space to B
+        texts = [p for p, g in zip(joined, good.tolist()) if g]
+        texts = [" ".join(texts[i:i + TOGETHER]) for i in range(0, len(texts), TOGETHER)] \
+            + [p for p, g in zip(pieces[len(joined):], good[len(joined):].tolist()) if g]
+        a, b = (_flat(x)[0] for x in self._encode(texts))
         ends_a, ends_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
-        cut = np.union1d(ends_a, ends_b)  # before each cut lie one A and one B token
+        borders = np.cumsum(sizes * good)
+        at = borders[good]
+        if len(at) and not (len(a) and len(b) and np.isin(at, ends_a).all() and np.isin(at, ends_b).all()
+                            and b"".join(map(self.a_bytes.__getitem__, a.tolist()))
+                            == b"".join([r for r, g in zip(raw, good.tolist()) if g])
+                            == b"".join(map(self.b_bytes.__getitem__, b.tolist()))):
+            in_a, in_b = self._encode(pieces)
+            good &= np.array([b"".join(map(self.a_bytes.__getitem__, xa)) == r == b"".join(map(self.b_bytes.__getitem__, xb))
+                              for r, xa, xb in zip(raw, in_a, in_b)])
+            a, b = (_flat([x if g else [] for x, g in zip(y, good.tolist())])[0] for y in (in_a, in_b))
+            ends_a, ends_b, borders = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]), np.cumsum(sizes * good)
+        n_a, n_b = (np.diff(np.searchsorted(ends, borders, side="right"), prepend=0) for ends in (ends_a, ends_b))
+        cut = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        cut = cut[np.diff(cut, prepend=-1) > 0]  # before each cut lie one A and one B token
         at_a, at_b = np.searchsorted(ends_a, cut), np.searchsorted(ends_b, cut)
-        borders = np.concatenate([[0], np.cumsum([len(r) if g else 0 for r, g in zip(raw, good)])])
-        to = np.searchsorted(cut, borders[1:], side="right")
-        both = np.zeros(len(cut) + 1, np.int64)
-        if len(cut):
-            both[1:] = np.cumsum((ends_a[at_a] == cut) & (ends_b[at_b] == cut))
-        n_groups = np.diff(both[to], prepend=0)
-        for i, (xa, xb, g) in enumerate(zip(in_a, in_b, n_groups.tolist())):
-            self.known[pieces[i]] = len(self.groups)
-            self.groups.append(f"{','.join(map(str, xa))}|{','.join(map(str, xb))}" if g < 2 else self._grouped(xa, xb))
-        self._sizes.append(np.column_stack([n_a, n_b, n_groups, ~np.array(good)]))
+        to = np.searchsorted(cut, borders, side="right")
+        shared = (ends_a[at_a] == cut) & (ends_b[at_b] == cut) if len(cut) else np.zeros(0, bool)
+        before = np.concatenate([[0], np.cumsum(shared)])
+        n_groups = np.diff(before[to], prepend=0)
+        first = len(self.groups)
+        self.groups += self._grouped(a, b, ends_a, ends_b, cut[shared], n_a, n_b, borders)
+        self.known.update(zip(pieces, range(first, len(self.groups))))
+        self._sizes.append(np.column_stack([n_a, n_b, n_groups, ~good]))
         self._links.append(a[at_a] << _ID | b[at_b])
         self._starts.append(to + self.total)
         self.total += len(cut)
 
-    def _grouped(self, xa: list[int], xb: list[int]) -> str:
-        """The groups of a piece that has several."""
-        out, i, j, i0, j0, da, db = [], 0, 0, 0, 0, 0, 0
-        while i < len(xa):
-            da += self.a_size[xa[i]]
-            i += 1
-            while j < len(xb) and db + self.b_size[xb[j]] <= da:
-                db += self.b_size[xb[j]]
-                j += 1
-            if da == db:
-                out.append(f"{','.join(map(str, xa[i0:i]))}|{','.join(map(str, xb[j0:j]))}")
-                i0, j0 = i, j
-        return ";".join(out)
+    def _encode(self, texts: list[str]) -> tuple[list, list]:
+        """The ids of some texts: A reads a space before each, B adds it."""
+        return ([e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)],
+                self.b.encode(texts, num_threads=1))
+
+    def _grouped(self, a, b, ends_a, ends_b, shared, n_a, n_b, borders) -> list[str]:
+        """The groups of each piece as text: each token's id with what follows it."""
+        group = np.concatenate([np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)])
+        side = np.repeat([0, 1], [len(a), len(b)])
+        order = np.argsort(group * 2 + side, kind="stable")
+        group, side = group[order], side[order]
+        ids = np.concatenate([a, b + len(self.a_bytes)])[order]
+        piece_end = np.isin(shared, borders)[group]
+        same_group = np.append(group[1:] == group[:-1], False)
+        same_side = np.append(side[1:] == side[:-1], False)
+        after = np.where(same_group, np.where(same_side, 0, 1), np.where(piece_end, 3, 2))
+        words = self.texts[after * (len(self.texts) // 4) + ids].tolist()
+        ends = np.cumsum(n_a + n_b).tolist()
+        return ["".join(words[i:j]) for i, j in zip([0, *ends[:-1]], ends)]
 
     def lookup(self, pieces: list[str]) -> np.ndarray:
         new = [p for p in dict.fromkeys(pieces) if p not in self.known]
@@ -154,6 +179,12 @@ class Pair:
         return self._sizes[0], self._links[0], self._starts[0]
 
 
+def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The rows' numbers one after the other, and how many each row has."""
+    n = np.fromiter(map(len, rows), np.int64, len(rows))
+    return np.fromiter(itertools.chain.from_iterable(rows), np.int64, n.sum()), n
+
+
 def _gather(flat: np.ndarray, starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The stretches of ``flat`` named by ``which``, and their lengths."""
     n = starts[which + 1] - starts[which]
