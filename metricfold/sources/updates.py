@@ -1,9 +1,12 @@
 """Update sources: JSON batches, single JSON updates, path texts, snapshots.
 
-Payload validation runs on the VARIANT type: ``try_parse_json``, then each
-element is typed and decoded once with higher-order functions on the payload's
-row -- no explode, no shuffle, and a bad element rejects its whole payload, as
-the batch endpoint does. Only accepted payloads are exploded into update rows.
+Payload validation runs on the VARIANT type: ``try_parse_json``, then one look
+at the type of the whole payload, which merges those of its elements. Where it
+shows known fields that are exactly spelled and well typed, as in most payloads,
+one cast decodes all elements. Any other payload is decoded element by element
+with higher-order functions on its row. No explode, no shuffle, and a bad element
+rejects its whole payload, as the batch endpoint does. Only accepted payloads are
+exploded into update rows.
 """
 
 from __future__ import annotations
@@ -19,9 +22,11 @@ from metricfold.schemas import COUNTER, GAUGE, UPDATE
 _TYPES = {"id": "STRING|VOID", "type": "STRING|VOID", "hash": "STRING|VOID", "delta": "BIGINT|VOID",
           "value": r"BIGINT|DOUBLE|VOID|DECIMAL\([0-9]+, ?[0-9]+\)"}
 # The type text of an object of scalars whose known fields are spelled exactly
-# and well typed: the common case, settled by one look at one text.
-_PLAIN = (r"^OBJECT<(?:(?:" + "|".join(f"{f}: (?:{t})" for f, t in _TYPES.items())
-          + r"|(?!(?i:id|type|hash|delta|value): )[A-Za-z0-9_]+: [A-Z_]+(?:\([0-9]+, ?[0-9]+\))?)(?:, (?=[A-Za-z0-9_])|(?=>$)))*>$")
+# and well typed (of an array: the merged type of its elements): the common
+# case, settled by one look at one text.
+_OBJECT = (r"OBJECT<(?:(?:" + "|".join(f"{f}: (?:{t})" for f, t in _TYPES.items())
+          + r"|(?!(?i:id|type|hash|delta|value): )[A-Za-z0-9_]+: [A-Z_]+(?:\([0-9]+, ?[0-9]+\))?)(?:, (?=[A-Za-z0-9_])|(?=>)))*>")
+_PLAIN, _PLAIN_ARRAY = f"^{_OBJECT}$", f"^ARRAY<(?:VOID|{_OBJECT})>$"
 _KINDS_OF = {"id": "string", "type": "string", "hash": "string", "delta": "bigint", "value": "double"}
 
 
@@ -46,8 +51,7 @@ def _decode(x: Column) -> Column:
     id/type/hash: string or null; delta: integer within int64 or null; value:
     any finite JSON number or null. Unknown keys are ignored; keys match in any
     case, and two keys that differ in case only make the update ill-formed (their
-    order is not kept). A missing or null string is "", the zero value; a JSON
-    null is an empty update (later skipped).
+    order is not kept).
     """
     def spelled(f: str) -> Column:
         return F.filter(x["fields"], lambda e: F.lower(e["key"]) == f)
@@ -69,31 +73,45 @@ def _decode(x: Column) -> Column:
     value = get("value")
     finite = value.isNull() | ((F.abs(value) < float("inf")) & ~F.isnan(value))
     ok = (x["kind"] == "VOID") | ((x["plain"] | F.coalesce(slow, F.lit(False))) & finite)
-    text = lambda f: F.coalesce(get(f), F.lit(""))
-    return F.struct(ok.alias("ok"), text("id").alias("id"), text("type").alias("type"), get("delta").alias("delta"),
-                    value.alias("value"), get("hash").alias("hash"))
+    return F.struct(ok.alias("ok"), F.struct(get("id").alias("id"), get("type").alias("type"), get("delta").alias("delta"),
+                                             value.alias("value"), get("hash").alias("hash")).alias("update"))
+
+
+_FIELDS = "struct<id:string,type:string,delta:bigint,value:double,hash:string>"
+
+
+def _infinite(value: Column) -> Column:
+    return F.coalesce(F.abs(value) == float("inf"), F.lit(False))
 
 
 def _parsed(payloads: DataFrame, payload_col: str) -> DataFrame:
-    """Parses each payload once and decodes its elements once, into ``_d`` (an
-    array of updates, NULL for a payload that is no array); verdicts, rows and
-    audit ids all read it. (An expensive expression referenced many times is
-    kept in its own projection by the optimizer.)"""
-    v = F.col("_v")
+    """Parses and decodes each payload once, into ``_d`` (an array of updates,
+    NULL for a payload that is no array) and ``_ok`` (whether all are well
+    formed); verdicts, rows and audit ids all read them."""
+    v, none = F.col("_v"), F.array().cast(f"array<{_FIELDS}>")
+    kinds = F.schema_of_variant(v)
+    p = payloads.withColumn("_v", F.try_parse_json(F.col(payload_col))).withColumn("_t", kinds) \
+        .withColumn("_plain", F.coalesce(F.col("_t").rlike(_PLAIN_ARRAY), F.lit(False)))
     elems = F.try_variant_get(v, "$", "array<variant>")
     each = F.transform(F.transform(F.transform(elems, _typed), _spelled), _decode)
-    null_doc = F.schema_of_variant(v) == "VOID"
-    nothing = F.array().cast(f"array<struct<ok:boolean,{_FIELDS}>>")
-    return payloads.withColumn("_v", F.try_parse_json(F.col(payload_col))) \
-        .withColumn("_d", F.when(null_doc, nothing).otherwise(each)).drop("_v")
+    odd = F.when(~F.col("_plain") & F.col("_t").startswith("ARRAY"), each)
+    p = p.withColumn("_odd", odd).withColumn("_d", F.when(F.col("_t") == "VOID", none).when(
+        F.col("_plain"), F.try_variant_get(v, "$", f"array<{_FIELDS}>")).otherwise(F.transform("_odd", lambda x: x["update"])))
+    ok = F.when(F.col("_plain"), ~F.exists("_d", lambda x: _infinite(x["value"]))) \
+        .otherwise((F.col("_t") == "VOID") | F.forall("_odd", lambda x: x["ok"]))
+    return p.withColumn("_ok", F.coalesce(ok, F.lit(False))).drop("_v", "_t", "_plain", "_odd")
 
 
-_FIELDS = "id:string,type:string,delta:bigint,value:double,hash:string"
+def _reason() -> Column:
+    return F.when(~(F.col("_ok") & F.col("_d").isNotNull()), F.lit(MALFORMED_JSON))
 
 
-def _reason() -> Column:
-    good = F.col("_d").isNotNull() & F.forall("_d", lambda x: x["ok"])
-    return F.when(~F.coalesce(good, F.lit(False)), F.lit(MALFORMED_JSON))
+def _update(col: str) -> list[Column]:
+    """The fields of a decoded update; a missing or null id or kind is "", the
+    zero value (a JSON null is an update of nothing, later skipped)."""
+    u = F.col(col)
+    return [F.coalesce(u["id"], F.lit("")).alias("id"), F.coalesce(u["type"], F.lit("")).alias("type"),
+            u["delta"].alias("delta"), u["value"].alias("value"), u["hash"].alias("hash")]
 
 
 def payload_verdicts(payloads: DataFrame, payload_col: str = "payload",
@@ -101,16 +119,16 @@ def payload_verdicts(payloads: DataFrame, payload_col: str = "payload",
     """SRC-1 rule per payload row: adds ``accepted`` (bool), ``n_elements``
     and ``reject_reason``. ``null`` is an empty batch; a non-array, an
     unparsable text or one ill-typed element rejects the payload.
-    ``keep_parsed`` keeps the decoded elements ``_d`` for ``payload_updates``."""
+    ``keep_parsed`` keeps what is decoded (``_d``, ``_ok``) for ``payload_updates``."""
     p = payloads if "_d" in payloads.columns else _parsed(payloads, payload_col)
     out = p.withColumn("reject_reason", _reason()).withColumn("accepted", F.col("reject_reason").isNull()) \
         .withColumn("n_elements", F.when(F.col("_d").isNotNull(), F.size("_d")).cast("bigint"))
-    return out if keep_parsed else out.drop("_d")
+    return out if keep_parsed else out.drop("_d", "_ok")
 
 
 def payload_ids() -> Column:
     """The ids of a decoded payload in order, empty for an empty batch."""
-    return F.transform("_d", lambda x: x["id"])
+    return F.transform("_d", lambda x: F.coalesce(x["id"], F.lit("")))
 
 
 def payload_updates(payloads: DataFrame, payload_col: str = "payload",
@@ -122,7 +140,7 @@ def payload_updates(payloads: DataFrame, payload_col: str = "payload",
     keep = keep or []
     p = payloads if "_d" in payloads.columns else _parsed(payloads, payload_col)
     ex = p.where(_reason().isNull()).select(*keep, F.posexplode("_d").alias("pos", "_e"))
-    return ex.select(*keep, "pos", *[F.col("_e")[f].alias(f) for f in ("id", "type", "delta", "value", "hash")])
+    return ex.select(*keep, "pos", *_update("_e"))
 
 
 def read_update_batch(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -144,19 +162,24 @@ def parse_json_update(payloads: DataFrame, payload_col: str = "payload") -> Data
     case; unknown keys are ignored.
     """
     text = F.col(payload_col)
-    one = F.transform(F.transform(F.transform(F.array("_v"), _typed), _spelled), _decode)
-    p = payloads.withColumn("_v", F.try_parse_json(text)) \
-        .withColumn("_d", F.when(F.schema_of_variant("_v").startswith("OBJECT"), F.get(one, F.lit(0))))
+    p = payloads.withColumn("_v", F.try_parse_json(text)).withColumn("_t", F.schema_of_variant("_v")) \
+        .withColumn("_plain", F.coalesce(F.col("_t").rlike(_PLAIN), F.lit(False)))
+    one = F.get(F.transform(F.transform(F.transform(F.array("_v"), _typed), _spelled), _decode), F.lit(0))
+    odd = F.when(~F.col("_plain") & F.col("_t").startswith("OBJECT"), one)
+    p = p.withColumn("_odd", odd).withColumn("_d", F.when(F.col("_plain"), F.try_variant_get("_v", "$", _FIELDS))
+                                             .otherwise(F.col("_odd.update")))
     # Fields are only decoded from a well-typed object (a failed decode in
     # the reference yields no update at all).
-    checked = p.withColumn("_ok", F.coalesce(F.col("_d")["ok"], F.lit(False)))
-    out = checked.select("*", *[F.when(F.col("_ok"), F.col("_d")[f]).alias(f) for f in ("id", "type", "delta", "value")])
+    ok = F.when(F.col("_plain"), ~_infinite(F.col("_d.value"))).otherwise(F.coalesce(F.col("_odd.ok"), F.lit(False)))
+    checked = p.withColumn("_ok", ok).withColumn("_d", F.when(F.col("_ok"), F.col("_d")))
+    fields = [F.when(F.col("_ok"), f).alias(n) for f, n in zip(_update("_d"), ("id", "type", "delta", "value"))]
+    out = checked.select("*", *fields)
     mtype = normalize_kind("type")
     reason = (F.when(F.coalesce(F.length(text), F.lit(0)) == 0, F.lit(EMPTY_BODY))
               .when(~F.col("_ok"), F.lit(MALFORMED_JSON))
               .otherwise(update_reason(mtype, "delta", "value")))
     return out.withColumn("mtype", mtype).withColumn("reject_reason", reason) \
-        .drop("type", "_v", "_d", "_ok")
+        .drop("type", "_v", "_t", "_plain", "_odd", "_d", "_ok")
 
 
 def parse_path_update(paths: DataFrame, path_col: str = "path") -> DataFrame:
