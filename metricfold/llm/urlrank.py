@@ -11,7 +11,7 @@ blocked host to those that link to it. These urls are the pages' own and those
 that pages link to on other hosts and that are no page themselves. Both start
 with mass 1 in proportion to pages and such urls; mass that reaches a host
 without edges ends there. Rounds go on until the mass still on its way is at
-most TOLERANCE, so that no score misses more than that (85 rounds, or fewer where
+most TOLERANCE, so that no score misses more than that (20 rounds, or fewer where
 mass ends early). A host whose distrust exceeds THRESHOLD times its trust, by
 more than one part in a million, is blocked; any other is allowed.
 
@@ -35,9 +35,9 @@ from metricfold.llm.common import Scratch, prepare
 # Fixed values of the contract: (host, path, verdict).
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
          ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-DAMPING = 0.85
+DAMPING = 0.5  # a link carries half of a host's trust or distrust on
 TOLERANCE = 1e-6
-TOGETHER = 4  # rounds between two looks at the mass left
+TOGETHER = 2  # rounds between two looks at the mass left
 THRESHOLD = 1.0
 MARGIN = 1 + 1e-6  # sums of equal scores may differ in their last digits
 LINK = r"""(?i)\shref\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
@@ -171,7 +171,7 @@ def verdicts(pages: DataFrame, **options) -> DataFrame:
     return judge(pages, **options).drop("trust", "distrust")
 
 
-def verdicts_sql(rounds: int = 100) -> str:
+def verdicts_sql(rounds: int = 40) -> str:
     """The same in DuckDB SQL: the rounds are a recursive query, as many as
     leave less than a tenth of the tolerance on its way."""
     order = sorted(RULES, key=lambda r: -len(r[0] + r[1]))
