@@ -77,6 +77,40 @@ def test_hnsw_brute_force(spark):
         assert got[i] == want[i]
 
 
+def test_hnsw_crowds_write_rows_in_proportion(spark, monkeypatch):
+    """Near-equal vectors: all are linked, with rows linear in their number; files are opened once a task."""
+    written = {}
+
+    class Counting(Scratch):
+        def table(self, df, name):
+            out = super().table(df, name)
+            written[name] = out.count()
+            return out
+    monkeypatch.setattr(hnsw, "Scratch", Counting)
+    rng = np.random.default_rng(9)
+    rows = {}
+    for n in (300, 900, 2700):
+        base = rng.normal(size=8)
+        data = [(i, (base + rng.normal(size=8) * 1e-3).tolist()) for i in range(n)] + [(n, (-base).tolist())]
+        got = hnsw.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<double>"), crowd=16).collect()
+        assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(i, n - 1, 0) for i in range(n)} | {(n, 0, n)}
+        rows[n] = written["found"]
+    assert rows[900] <= 3.2 * rows[300] and rows[2700] <= 3.2 * rows[900] and rows[2700] < 2700 * 8 * 3
+
+
+def test_hnsw_crowds_and_pairs_agree(spark):
+    """What a crowd's queries count equals what pairs give, whatever the bound between the two."""
+    rng = np.random.default_rng(10)
+    base = rng.normal(size=(30, 8))
+    data = [(i, (base[i % 7 if i % 3 else i % 30] + rng.normal(size=8) * 0.05).tolist()) for i in range(600)]
+    data += [(1000 + i, data[i][1]) for i in range(0, 60, 2)]
+    d = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    want = brute_links(data)
+    for crowd in (0, 3, 10 ** 9):
+        got = {r.vec_id: (r.n_links, r.component_id) for r in hnsw.near_duplicates(d, crowd=crowd).collect()}
+        assert sum(got[i] == want[i] for i in want) >= 0.99 * len(want)
+
+
 def test_hnsw_recall_on_table(spark):
     d = spark.read.parquet(f"{SF}/embeddings.parquet")
     rows = [(r.vec_id, list(r.embedding)) for r in d.collect()]
