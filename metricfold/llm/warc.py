@@ -1,8 +1,8 @@
 """Deterministic sharded WARC writer, and its reader.
 
-Pages are range-sorted by id: a histogram of payload bytes over the ids, made
-finer where a range holds more than one shard's bytes, gives shard borders that
-depend on the data alone. One task writes a shard's records in id order as gzip
+Pages are range-sorted by id: running sums of payload bytes over the ids, in a
+Spark table, give shard borders that depend on the data alone. Each shard is one
+partition; its task writes the records in id order as gzip
 members and starts a new file when the next record would bring a file over
 ``roll_bytes`` compressed. Headers, lengths and digests are made anew; record
 ids and dates depend on the record alone, so that equal input gives equal bytes.
@@ -33,14 +33,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metricfold.llm.common import Scratch, file_system, prepare
 
 SHARD_BYTES = 32 << 20  # of payload
 ROLL_BYTES = 8 << 20  # of a compressed file
-BINS = 4096  # of ids in a histogram
 DATE = "2000-01-01T00:00:00Z"
 READ = 1 << 20
 
@@ -220,33 +219,21 @@ def _reader(root: str, payloads: bool):
     return run
 
 
-def shard_borders(sized: DataFrame, shard_bytes: int, bins: int = BINS) -> list[int]:
-    """First ids of the shards after the first. sized has page_id and n (bytes)."""
-    low, high = sized.agg(F.min("page_id"), F.max("page_id")).first()
-    if low is None:
-        return []
-    # Ranges (first id, width, bytes); those over a shard's bytes are cut again.
-    width = -(-(high - low + 1) // bins)
-    hist = sized.where("page_id is not null").groupBy(
-        F.expr(f"cast((page_id - {low}BD) div {width} as long)").alias("bin")).agg(F.sum("n").alias("n")).collect()
-    ranges = [(low + r["bin"] * width, width, r["n"]) for r in hist]
-    while any(w > 1 and n > shard_bytes for _, w, n in ranges):
-        big = [(a, w) for a, w, n in ranges if w > 1 and n > shard_bytes]
-        ranges = [x for x in ranges if not (x[1] > 1 and x[2] > shard_bytes)]
-        w = big[0][1]  # of equal width at each level
-        finer = -(-w // bins)
-        starts = sized.sparkSession.createDataFrame([(a,) for a, _ in big], "first long")
-        inside = sized.where("page_id is not null").withColumn(
-            "first", F.expr(f"cast({low}BD + ((page_id - {low}BD) div {w}) * {w} as long)")).join(starts, "first")
-        ranges += [(r["first"] + r["bin"] * finer, finer, r["n"]) for r in inside.groupBy(
-            "first", F.expr(f"(page_id - first) div {finer}").alias("bin")).agg(F.sum("n").alias("n")).collect()]
-    borders, held = [], 0
-    for a, _, n in sorted(ranges):
-        if held and held + n > shard_bytes:
-            borders.append(a)
-            held = 0
-        held += n
-    return borders
+def shard_borders(scratch: Scratch, sized: DataFrame, shard_bytes: int) -> list[int]:
+    """First ids of the shards after the first. sized has page_id and n (bytes).
+    A shard begins at the first id before which a multiple of ``shard_bytes``
+    lies that no id before has passed. Sums run inside ranges of ids and over
+    the ranges; the driver sees one number for each shard."""
+    ids = sized.where("page_id is not null").groupBy("page_id").agg(F.sum("n").alias("n"))
+    ranged = scratch.table(ids.repartitionByRange("page_id").withColumn("part", F.spark_partition_id()), "ranged")
+    parts = ranged.groupBy("part").agg(F.sum("n").alias("n"))
+    earlier = parts.withColumn("base", F.coalesce(F.sum("n").over(
+        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "base")
+    inside = Window.partitionBy("part").orderBy("page_id").rowsBetween(Window.unboundedPreceding, -1)
+    before = ranged.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(earlier, "part") \
+        .select("page_id", F.expr(f"(base + before) div {int(shard_bytes)}").alias("shard"))
+    firsts = before.groupBy("shard").agg(F.min("page_id").alias("first")).orderBy("first").collect()
+    return [r["first"] for r in firsts[1:]]
 
 
 def write_archive(pages: DataFrame, root: str, id_col: str = "page_id", url_col: str = "url",
@@ -263,15 +250,14 @@ def write_archive(pages: DataFrame, root: str, id_col: str = "page_id", url_col:
         sized.where(F.col("n") >= min_bytes).groupBy("digest", "n")
         .agg(F.min("page_id").alias("first"), F.max("page_id").alias("last"))
         .where("first < last").select("digest", "first"), "repeated")
-    borders = np.array(shard_borders(sized, shard_bytes), np.int64)
+    borders = np.array(shard_borders(scratch, sized, shard_bytes), np.int64)
     spread = spark.sparkContext.broadcast(borders)  # eight bytes for each shard
 
     shard_of = F.pandas_udf(_shard_of(spread), "int")
     revisit = F.when(F.col("page_id") != F.col("first"), F.col("first"))
     ready = base.withColumn("digest", F.sha1("payload")).join(twice, "digest", "left") \
         .select(shard_of("page_id").alias("shard"), "page_id", revisit.alias("refers_to"), "url", "payload", "digest")
-    parts = min(len(borders) + 1, max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * 4))
-    rows = ready.repartition(parts, "shard").sortWithinPartitions("shard", "page_id", "digest", "url") \
+    rows = ready.repartitionById(len(borders) + 1, "shard").sortWithinPartitions("shard", "page_id", "digest", "url") \
         .select("shard", "page_id", "refers_to", "url", "payload")
     written = scratch.table(rows.mapInArrow(_writer(root, roll_bytes), MANIFEST), "written")
     width = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
