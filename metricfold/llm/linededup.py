@@ -4,7 +4,8 @@ SQL functions only.
 A line is removed if an earlier line, by (doc_id, line number), is equal to it
 or within edit distance 1 of it, after trimming white space at both ends and
 lower-casing A-Z. Whether that earlier line is removed itself makes no
-difference. Lines of fewer than MIN_CHARS characters stay.
+difference. Lines of fewer than MIN_CHARS characters are compared for equality
+only: one edit makes other words of them. Blank lines stay.
 
 1. Equal lines are one class; its rank is its earliest occurrence.
 2. Two lines one edit apart agree in their first or their last L characters,
@@ -41,6 +42,8 @@ from metricfold.llm.common import Scratch, bounded, fresh_name, prepare
 MIN_CHARS = 16
 #: Characters of a line whose running XORs are appended to one array.
 BLOCK = 64
+#: Characters of the lines that one task turns into variants.
+PART_CHARS = 1 << 20
 SPACE = " \t\r\x0b\x0c"
 
 
@@ -55,7 +58,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         .where("doc_id is not null")
     return parts.select("doc_id", F.col("line_no").cast("long").alias("line_no"),
                         normal(F.col("line")).alias("line")) \
-        .where(F.length("line") >= MIN_CHARS)
+        .where("line <> ''")
 
 
 def _keyed(lines: DataFrame) -> DataFrame:
@@ -117,9 +120,11 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch = Scratch(spark, "lines")
     keyed = _keyed(_lines(docs, id_col, text_col))
     n = F.length("line")
-    occ = scratch.table(keyed.select("doc_id", "line_no", "h1", "h2", _halves(n).alias("halves")), "lines")
+    occ = scratch.table(keyed.select("doc_id", "line_no", "h1", "h2", F.when(n >= MIN_CHARS, _halves(n)).alias("halves")),
+                        "lines")
     # 1. Classes of equal lines, and their earliest occurrence by two plain minima.
-    first = occ.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc"))
+    # (A table, so that the join of a line that many documents hold can be split.)
+    first = scratch.table(occ.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc")), "first")
     starts = occ.select("doc_id", "line_no", "h1", "h2").join(first, ["h1", "h2"]) \
         .where("doc_id = first_doc").groupBy("h1", "h2") \
         .agg(F.first("first_doc").alias("first_doc"), F.min("line_no").alias("first_line"))
@@ -137,9 +142,11 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .join(near.select("first_doc", "first_line", "h1", "h2"), ["h1", "h2"]) \
         .where("doc_id = first_doc and line_no = first_line") \
         .select("h1", "h2", "first_doc", "first_line", "line").dropDuplicates(["h1", "h2"])
-    # A number that rises with the rank.
+    texts = scratch.table(texts, "texts")
+    chars = texts.agg(F.sum(F.length("line"))).first()[0] or 0
+    # A number that rises with the rank. Parts by characters, each of which becomes a row below.
     ranked = scratch.table(
-        texts.repartitionByRange("first_doc", "first_line").sortWithinPartitions("first_doc", "first_line", "h1", "h2")
+        texts.repartitionByRange(1 + chars // PART_CHARS, "first_doc", "first_line").sortWithinPartitions("first_doc", "first_line", "h1", "h2")
         .withColumn("rank", F.monotonically_increasing_id()), "ranked")
     # 3. and 4.
     emitted = ranked.select("rank", F.inline(_variants(F.split("line", ""))))
@@ -176,7 +183,7 @@ def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     key, cut = fresh_name(docs, "_line_doc"), fresh_name(docs, "_line_gone")
     gone = gone.withColumnsRenamed({"doc_id": key, "gone": cut})
     kept = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains(
-        F.col(cut), i.cast("long")) | (F.length(normal(x)) < MIN_CHARS)), "\n")
+        F.col(cut), i.cast("long"))), "\n")
     new = F.when(F.col(cut).isNull() | F.col(text_col).isNull(), F.col(text_col)).otherwise(kept)
     return docs.join(gone, F.col(id_col).cast("long") == F.col(key), "left") \
         .withColumn(text_col, new).select(*docs.columns)
@@ -187,12 +194,12 @@ LINES_SQL = r"""
 WITH l AS (SELECT doc_id, CAST(i - 1 AS BIGINT) AS line_no, translate(trim(p[i], chr(32) || chr(9) || chr(13)
              || chr(11) || chr(12)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line
       FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents), unnest(generate_series(1, len(p))) AS t(i)),
-k AS (SELECT * FROM l WHERE length(line) >= 16),
+k AS (SELECT * FROM l WHERE line <> ''),
 c AS (SELECT line, first_doc, first_line, row_number() OVER (ORDER BY first_doc, first_line) AS r
       FROM (SELECT line, min(s).doc_id AS first_doc, min(s).line_no AS first_line
             FROM (SELECT line, {'doc_id': doc_id, 'line_no': line_no} AS s FROM k) GROUP BY line)),
-h AS (SELECT r, line, z, left(line, z) AS part, 0 AS side FROM c, unnest([length(line) // 2, (length(line) - 1) // 2]) AS t(z)
-      UNION SELECT r, line, z, right(line, z), 1 FROM c, unnest([length(line) // 2, (length(line) - 1) // 2]) AS t(z)),
+h AS (SELECT r, line, z, left(line, z) AS part, 0 AS side FROM c, unnest([length(line) // 2, (length(line) - 1) // 2]) AS t(z) WHERE length(line) >= 16
+      UNION SELECT r, line, z, right(line, z), 1 FROM c, unnest([length(line) // 2, (length(line) - 1) // 2]) AS t(z) WHERE length(line) >= 16),
 e AS (SELECT b.r, min(a.r) AS other FROM h a JOIN h b ON a.part = b.part AND a.side = b.side AND a.z = b.z AND a.r < b.r
         AND abs(length(a.line) - length(b.line)) <= 1
       WHERE levenshtein(a.line, b.line) = 1 GROUP BY b.r),

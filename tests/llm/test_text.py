@@ -298,13 +298,14 @@ def brute_lines(rows):
     for i, text, *_ in rows:
         if text is not None and i is not None:
             lines += [(i, k, x.strip(linededup.SPACE).translate(LOWER)) for k, x in enumerate(text.split("\n"))]
-    lines = sorted({x for x in lines if len(x[2]) >= linededup.MIN_CHARS})
+    lines = sorted({x for x in lines if x[2]})
+    long = lambda x: len(x) >= linededup.MIN_CHARS
     first = {}
     for i, k, x in lines:
         first.setdefault(x, (i, k))
     out = set()
     for i, k, x in lines:
-        near = [r for y, r in first.items() if r < first[x] and within_one(x, y)]
+        near = [r for y, r in first.items() if r < first[x] and long(x) and long(y) and within_one(x, y)]
         if near:
             out.add((i, k, *min(near), 1))
         elif first[x] != (i, k):
