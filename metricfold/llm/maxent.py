@@ -1,14 +1,16 @@
 """LM scoring by a hashed maximum-entropy model with a class-factored softmax.
 
 Tokens are words (ASCII white space between, A-Z lower-cased) and one end per
-text. The VOCABULARY most frequent training tokens form classes of WIDTH by
-falling frequency; every other token, seen or not, belongs to one more class.
-The probability of a token is that of its class given the words before it,
-times that of the token in its class: for vocabulary tokens by a second softmax
-over the class, for the rest by their count (c + 1) / (N' + V' + 1) among the
-tokens of that class, so that the whole sums to 1. Both softmaxes add weights of
-hashed features: the previous word, the pair of previous words, and the word
-before the previous one (a skip).
+text. The vocabulary grows with the input: the most frequent training tokens, as
+many as the square root of all training tokens (VOCABULARY at least); every
+other token, seen or not, belongs to one more class. Classes are nested: a tree
+of WIDTH outcomes a node, built from the counts so that frequent tokens lie near
+its root (WIDTH-ary Huffman). The probability of a token is the product of the
+outcomes on its path given the words before it, and for the class of the others
+also (c + 1) / (N' + V' + 1) among its tokens, so that the whole sums to 1. Each
+node's softmax starts from the counts and adds weights of hashed features: the
+previous word, the pair of previous words, and the word before the previous one
+(a skip). The root has a table of rows of its own, all other nodes share one.
 
 Training runs in ROUNDS rounds over disjoint halves of the training documents.
 In a round every task starts from the same weights and takes gradient steps on
@@ -19,8 +21,11 @@ at most FAN per group. Scoring is sparse: a batch gathers only its own rows.
 Counts are exact and distributed. Vocabulary tokens are counted where they
 stand. The others travel as packed (token hash, document, number) arrays to the
 bucket of their hash, which counts them; the documents' sums of log10(c + 1)
-return packed as well and are added up for each document. Only the vocabulary, the weights and totals (all of fixed size)
-reach the driver. Tokens are known by 64-bit hashes.
+return packed as well and are added up for each document. Only the vocabulary
+(about 100 bytes a token, for the square root of the corpus), the weights (of
+fixed size) and totals reach the driver. Which tokens make up the vocabulary is
+decided by sums over the chunks of a task in which a token occurs OFTEN times or
+more; what they count is exact. Tokens are known by 64-bit hashes.
 
 Defined results: null text is the end alone; a row with null id is learned
 from; rows that are equal in id and text get equal results; without training
@@ -29,6 +34,9 @@ documents both scores are 0. Extra columns are ignored.
 
 from __future__ import annotations
 
+import heapq
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -37,10 +45,11 @@ from pyspark.sql import functions as F
 
 from metricfold.llm.common import GOLD, Scratch, mix, prepare, word_hashes
 
-VOCABULARY = 992
+VOCABULARY = 992  # tokens at least
 WIDTH = 32
-ROWS = 1 << 15  # hashed rows of weights, for each softmax
-SHIFT = np.uint64(64 - 15)
+OFTEN = 4  # in a chunk of CHUNK tokens; in proportion in a smaller one
+ROWS = 1 << 16  # hashed rows of weights, for the root and for all other nodes
+SHIFT = np.uint64(64 - 16)
 ROUNDS = 2
 STEP = 4096  # tokens of a gradient step
 RATE = 0.25
@@ -57,36 +66,62 @@ def tokens(text: bytes | None) -> np.ndarray:
     return np.append(word_hashes(text), END)
 
 
-class Vocabulary:
-    """The tokens that the second softmax knows, and their places."""
+class Places:
+    """The places of some tokens, by their hashes."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, others: int):
-        """In falling order of counts; others: the rest of the training tokens."""
-        self.hashes, self.counts = hashes, counts
+    def __init__(self, hashes: np.ndarray):
         self.sorted = np.argsort(hashes)
         self.keys = hashes[self.sorted]
-        groups = -(-len(hashes) // WIDTH)
-        self.classes = groups + 1  # the last one holds every other token
-        mass = np.zeros(self.classes)
-        place = np.arange(len(hashes))
-        np.add.at(mass, place // WIDTH, counts + 1.0)
-        mass[-1] = others + 1.0
-        self.class_bias = np.log(mass / mass.sum()).astype(np.float32)
-        bias = np.full((max(groups, 1), WIDTH), -np.inf)
-        bias[place // WIDTH, place % WIDTH] = np.log(counts + 1.0)
-        peak = bias.max(1, keepdims=True)
-        peak[~np.isfinite(peak)] = 0
-        total = np.exp(bias - peak).sum(1, keepdims=True)
-        self.word_bias = (bias - peak - np.log(np.maximum(total, 1e-300))).astype(np.float32)
 
     def place(self, h: np.ndarray) -> np.ndarray:
-        """The place of each token in the vocabulary, or -1."""
+        """The place of each token, or -1."""
         if not len(self.keys):
             return np.full(len(h), -1, np.int64)
         at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
         return np.where(self.keys[at] == h, self.sorted[at], -1)
 
 
+class Vocabulary(Places):
+    """The tokens of the vocabulary and the tree of classes over them and the
+    others (which have the last place)."""
+
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, others: int):
+        super().__init__(hashes)
+        self.hashes, self.counts = hashes, counts
+        masses = np.append(counts, others) + 1.0
+        # Merge the WIDTH lightest, again and again; the root is made last. The
+        # first merge takes as few as make all later ones full.
+        heap = [(m, i) for i, m in enumerate(masses.tolist())]
+        heapq.heapify(heap)
+        children, take = [], (len(heap) - 2) % (WIDTH - 1) + 2 if len(heap) > 1 else 1
+        while len(heap) > 1 or not children:
+            kids = [heapq.heappop(heap) for _ in range(min(take, len(heap)))]
+            heapq.heappush(heap, (sum(m for m, _ in kids), len(masses) + len(children)))
+            children.append(kids)
+            take = WIDTH
+        n = len(children)
+        self.bias = np.full((n, WIDTH), -np.inf, np.float32)
+        up, branch = np.full(len(masses) + n, -1), np.zeros(len(masses) + n, np.int64)
+        for k, kids in enumerate(children):  # nodes are numbered from the root on
+            whole = sum(m for m, _ in kids)
+            for j, (m, child) in enumerate(kids):
+                up[child], branch[child] = n - 1 - k, j
+                self.bias[n - 1 - k, j] = np.log(m / whole)
+        steps, at = [], np.arange(len(masses))
+        while (at >= 0).any():  # from the leaves up
+            parent = np.where(at >= 0, up[at], -1)
+            steps.append((parent, branch[at]))
+            at = np.where(parent >= 0, len(masses) + n - 1 - parent, -1)
+            at = np.where(parent == 0, -1, at)
+        self.length = sum((p >= 0).astype(np.int64) for p, _ in steps)
+        depth = int(self.length.max())
+        self.node, self.branch = np.zeros((2, depth, len(masses)), np.int32)
+        for i, (p, j) in enumerate(steps):
+            has = np.flatnonzero(p >= 0)
+            self.node[self.length[has] - 1 - i, has] = p[has]
+            self.branch[self.length[has] - 1 - i, has] = j[has]
+
+
 def contexts(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All tokens of some texts, and for each the one before and before that."""
     h = np.concatenate(texts)
@@ -101,84 +136,107 @@ def contexts(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return h, before, skip
 
 
+def _row_max(x: np.ndarray) -> np.ndarray:
+    """The largest of each row, by halves of the columns."""
+    while x.shape[1] > 1 and x.shape[1] % 2 == 0:
+        half = x.shape[1] // 2
+        x = np.maximum(x[:, :half], x[:, half:])
+    return x if x.shape[1] == 1 else x.max(1, keepdims=True)
+
+
 class Model:
     """Weights of the two softmaxes over hashed rows."""
 
     def __init__(self, vocabulary: Vocabulary, weights: np.ndarray | None = None):
         self.v = vocabulary
-        # weights[0] for classes, weights[1] for words of a class
+        # weights[0] for the root, weights[1] for all other nodes
         self.w = np.zeros((2, ROWS, WIDTH), np.float32) if weights is None else weights.astype(np.float32)
         self.square = np.full((2, ROWS), 1.0, np.float32)
         self.steps = np.zeros((2, ROWS), np.float32)
+        self.spare = np.empty((STEP, WIDTH), np.float32)
 
     @staticmethod
     def rows(before: np.ndarray, skip: np.ndarray) -> np.ndarray:
         """Hashes of the three features of each token: (tokens, 3)."""
         return np.stack([mix(before + ODD[0]), mix(before * ODD[1] + skip * ODD[2]), mix(skip + ODD[3])], 1)
 
-    def _softmax(self, table: int, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
-        """Log probabilities over WIDTH outcomes; bias is -inf where there is none."""
-        w = self.w[table]
-        x = w[rows[:, 0]] + w[rows[:, 1]]
-        x += w[rows[:, 2]]
-        x = x[:, :bias.shape[-1]] + bias
-        x -= x.max(1, keepdims=True)
-        x -= np.log(np.exp(x).sum(1, keepdims=True))
-        return x
-
-    def _learn(self, table: int, rows: np.ndarray, log_p: np.ndarray, truth: np.ndarray):
-        g = np.exp(log_p)
-        g[np.arange(len(g)), truth] -= 1
-        if g.shape[1] < WIDTH:
-            g = np.hstack([g, np.zeros((len(g), WIDTH - g.shape[1]), np.float32)])
+    def _softmax(self, table: int, rows: np.ndarray, bias: np.ndarray, truth: np.ndarray):
+        """The log probability of the true outcome of WIDTH (bias is -inf where
+        there is none), and what the gradient is made of: all exponentials, their sums."""
+        w, spare = self.w[table], self.spare[:len(rows)]
+        x = np.take(w, rows[:, 0], axis=0, mode="clip")
+        for k in (1, 2):
+            x += np.take(w, rows[:, k], axis=0, mode="clip", out=spare)
+        x += bias
+        x -= _row_max(x)
+        own = x[np.arange(len(x)), truth]
+        e = np.exp(x, out=x)
+        total = e @ np.ones(e.shape[1], np.float32)
+        return own - np.log(total), e, total
+
+    def _learn(self, table: int, rows: np.ndarray, e: np.ndarray, total: np.ndarray, truth: np.ndarray):
+        e *= (1 / total)[:, None]
+        e[np.arange(len(e)), truth] -= 1
         flat = rows.astype(np.uint16).ravel()
         order = np.argsort(flat, kind="stable")
-        key = flat[order]
+        key, of = flat[order], order // 3
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        total = np.add.reduceat(g[order // 3], first, axis=0)
+        n = np.diff(np.append(first, len(key)))
+        grad = np.take(e, of[first], axis=0, mode="clip")  # rows that occur once are done; a second one is added, more are summed
+        two = first[n == 2] + 1
+        grad[n == 2] += np.take(e, of[two], axis=0)
+        many = n > 2
+        if many.any():
+            starts = np.append(0, np.cumsum(n[many])[:-1])
+            grad[many] = np.add.reduceat(np.take(e, of[np.repeat(many, n)], axis=0), starts, axis=0)
         at = key[first].astype(np.int64)
-        self.square[table, at] += np.einsum("ij,ij->i", total, total) / WIDTH
-        self.w[table, at] -= (RATE / np.sqrt(self.square[table, at]))[:, None] * total
-        self.steps[table, at] += np.diff(np.append(first, len(key)))
-
-    def _class_rows(self, hashes: np.ndarray, group: np.ndarray) -> np.ndarray:
-        return (mix(hashes + ((group + 1).astype(np.uint64) * GOLD)[:, None]) >> SHIFT).astype(np.int64)
+        square, w = self.square[table], self.w[table]
+        square[at] += np.einsum("ij,ij->i", grad, grad) / WIDTH
+        grad *= (RATE / np.sqrt(square[at]))[:, None]
+        new = np.take(w, at, axis=0, mode="clip")
+        new -= grad
+        w[at] = new
+        self.steps[table, at] += n
 
     def log10(self, h: np.ndarray, before: np.ndarray, skip: np.ndarray, learn: bool = False):
-        """log10 of each token's class, times that of the token in its class
-        if it is in the vocabulary; and the tokens' places."""
+        """log10 of the outcomes on each token's path, and the tokens' places."""
         v = self.v
         place = v.place(h)
+        leaf = np.where(place >= 0, place, len(v.hashes))
         out = np.zeros(len(h))
         for a in range(0, len(h), STEP):
-            part = slice(a, a + STEP)
-            hashes = self.rows(before[part], skip[part])
-            rows = (hashes >> SHIFT).astype(np.int64)
-            p = place[part]
-            group = np.where(p >= 0, p // WIDTH, v.classes - 1)
-            log_p = self._softmax(0, rows, v.class_bias)
-            out[part] = log_p[np.arange(len(p)), group]
-            if learn:
-                self._learn(0, rows, log_p, group)
-            known = np.flatnonzero(p >= 0)
-            if len(known):
-                group, word = p[known] // WIDTH, p[known] % WIDTH
-                rows = self._class_rows(hashes[known], group)
-                log_p = self._softmax(1, rows, v.word_bias[group])
-                out[a + known] += log_p[np.arange(len(known)), word]
+            part = leaf[a:a + STEP]
+            hashes = self.rows(before[a:a + STEP], skip[a:a + STEP])
+            live = np.arange(len(part))
+            for d in range(len(v.node)):
+                if d:
+                    live = live[v.length[part[live]] > d]
+                    if not len(live):
+                        break
+                node, branch = v.node[d, part[live]], v.branch[d, part[live]]
+                if d:
+                    own = mix(hashes[live] + (node.astype(np.uint64) * GOLD)[:, None])
+                    bias = np.take(v.bias, node, axis=0)
+                else:
+                    own, bias = hashes, v.bias[0]
+                rows = (own >> SHIFT).astype(np.int64)
+                log_p, e, total = self._softmax(min(d, 1), rows, bias, branch)
+                out[a + live] += log_p
                 if learn:
-                    self._learn(1, rows, log_p, word)
+                    self._learn(min(d, 1), rows, e, total, branch)
         return out / np.log(10), place
 
 
 def _local_counts(batches):
-    """(token, n) of tokens frequent in a chunk of a task's texts."""
+    """(token, n) of tokens frequent in a chunk of a task's texts, and (START, n)
+    for all of its tokens."""
     held, size = [], 0
 
     def flush():
         h, n = np.unique(np.concatenate(held), return_counts=True)
-        often = n * 20_000 >= size
-        return pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often])], names=["h", "n"])
+        often = n * CHUNK >= OFTEN * size
+        h, n = np.append(h[often], START), np.append(n[often], size)
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
     for batch in batches:
         for text in batch.column(0):
             held.append(tokens(text.as_py()))
@@ -198,7 +256,7 @@ def row_key(doc_id: str | None, text: bytes | None) -> int:
 def _scatter(hashes: np.ndarray, buckets: int):
     """Rows (bucket, body) of the tokens outside the vocabulary, packed, and
     one row (-1, counts of the vocabulary in training texts)."""
-    vocabulary = Vocabulary(hashes, np.zeros(len(hashes)), 0)
+    vocabulary = Places(hashes)
 
     def run(batches):
         counts = np.zeros(len(hashes), np.int64)
@@ -416,7 +474,7 @@ def held_out(id_col: str):
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                vocabulary: int = VOCABULARY, rounds: int = ROUNDS) -> DataFrame:
+                vocabulary: int | None = None, rounds: int = ROUNDS) -> DataFrame:
     """One row per row: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score (add-one unigrams) and score (the model), both log10 of the text's
     probability. Rows with crc32(id) mod 7 = 2 are held out of the training."""
@@ -426,9 +484,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        F.col(text_col).cast("binary").alias("text"))
     taught = rows.where("not held_out")
     # The vocabulary: tokens frequent somewhere, by their sum, and the end.
-    top = taught.select("text").mapInArrow(_local_counts, "h long, n long").groupBy("h") \
-        .agg(F.sum("n").alias("n")).where(F.col("h") != int(END.view(np.int64))) \
-        .orderBy(F.desc("n"), "h").limit(vocabulary - 1).collect()
+    often = scratch.table(taught.select("text").mapInArrow(_local_counts, "h long, n long").groupBy("h")
+                          .agg(F.sum("n").alias("n")), "often")
+    whole = often.where(F.col("h") == int(START.view(np.int64))).agg(F.sum("n")).first()[0] or 0
+    size = vocabulary or max(VOCABULARY, math.isqrt(whole))
+    top = often.where(~F.col("h").isin(int(END.view(np.int64)), int(START.view(np.int64)))) \
+        .orderBy(F.desc("n"), "h").limit(size - 1).collect()
     some = not taught.isEmpty()
     hashes = np.array([int(END)] * some + [r["h"] % (1 << 64) for r in top], np.uint64)
     # Exact counts.

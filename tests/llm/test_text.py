@@ -518,6 +518,75 @@ def test_maxent_sums_to_one():
     assert abs((10 ** out).sum() - 1) < 1e-4
 
 
+@pytest.mark.parametrize("size", [1, 20, 31, 32, 33, 500, 3000])
+def test_maxent_tree_against_brute_force(size):
+    """Paths, probabilities and one gradient step, node by node and feature by feature."""
+    rng = np.random.default_rng(size)
+    h = np.unique(rng.integers(1, 1 << 62, size).astype(np.uint64))
+    counts = np.sort(rng.zipf(1.4, len(h)).clip(1, 10 ** 6))[::-1]
+    v = maxent.Vocabulary(h, counts, 11)
+    masses = np.append(counts, 11) + 1.0
+    assert (np.diff(v.length[np.lexsort((v.length, -masses))]) >= 0).all()  # frequent tokens lie higher
+    for node in range(len(v.bias)):  # each node's outcomes start from the counts
+        under = [masses[[i for i in range(len(masses)) for d in range(v.length[i])
+                         if v.node[d, i] == node and v.branch[d, i] == j]].sum() for j in range(maxent.WIDTH)]
+        with np.errstate(divide="ignore"):
+            assert np.allclose(np.exp(v.bias[node]), np.array(under) / max(sum(under), 1), atol=1e-5)
+        if node > 3:
+            break
+    m = maxent.Model(v, rng.normal(size=(2, maxent.ROWS, maxent.WIDTH)) * 0.5)
+    w = m.w.astype(np.float64)
+    every = np.append(h, np.uint64(5))[:40]
+    before, skip = (rng.integers(1, 1 << 62, len(every)).astype(np.uint64) for _ in range(2))
+    features = maxent.Model.rows(before, skip)
+    grad, want = np.zeros_like(w), []
+    for i, token in enumerate(every):
+        leaf = int(np.flatnonzero(h == token)[0]) if token in h else len(h)
+        log = 0.0
+        for d in range(v.length[leaf]):
+            node, t = int(v.node[d, leaf]), min(d, 1)
+            at = [int((maxent.mix(f + np.uint64(node) * maxent.GOLD) if d else f) >> maxent.SHIFT) for f in features[i]]
+            x = v.bias[node].astype(np.float64) + sum(w[t, a] for a in at)
+            p = np.exp(x - x.max())
+            p /= p.sum()
+            log += np.log10(p[v.branch[d, leaf]])
+            p[v.branch[d, leaf]] -= 1
+            for a in at:
+                grad[t, a] += p
+        want.append(log)
+    got, _ = m.log10(every, before, skip, learn=True)
+    assert np.allclose(got, want, atol=1e-4)
+    square = 1 + (grad ** 2).sum(2) / maxent.WIDTH
+    assert np.allclose(m.w, w - maxent.RATE / np.sqrt(square)[:, :, None] * grad, atol=1e-4)
+
+
+def test_maxent_vocabulary_grows_with_the_input():
+    """A larger vocabulary scores held-out text better; its size follows the square root of the tokens."""
+    rng = np.random.default_rng(4)
+    nouns = [f"noun{i}" for i in range(3000)]
+
+    def text():
+        out = []
+        for _ in range(60):
+            k = int(min(rng.zipf(1.2), 3000)) - 1
+            out += ["the", nouns[k], "is", nouns[(k * 7 + 1) % 3000]]
+        return maxent.tokens(" ".join(out).encode())
+    train, held = [text() for _ in range(400)], [text() for _ in range(40)]
+    h, n = np.unique(np.concatenate(train), return_counts=True)
+    scores = []
+    for size in (30, 300, 2000):
+        top = np.argsort(-n, kind="stable")[:size]
+        m = maxent.Model(maxent.Vocabulary(h[top], n[top], int(n.sum() - n[top].sum())))
+        for i in range(0, len(train), 20):
+            m.log10(*maxent.contexts(train[i:i + 20]), learn=True)
+        out, place = m.log10(*maxent.contexts(held))
+        counts = dict(zip(h.tolist(), n.tolist()))
+        rest, kinds = n.sum() - n[top].sum(), len(h) - len(top)
+        seen = np.array([counts.get(x, 0) for x in np.concatenate(held).tolist()])
+        scores.append((out + np.where(place < 0, np.log10((seen + 1) / (rest + kinds + 1)), 0)).mean())
+    assert scores[0] < scores[1] < scores[2]
+
+
 def test_maxent_edges(spark, empty):
     assert maxent.score_texts(empty).collect() == []
     held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
