@@ -272,6 +272,11 @@ def _spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     doc_id = F.col(id_col).cast("long")
     texts = docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, text_col).alias("key"),
                         F.col(text_col).cast("binary").alias("text")).where("doc_id is not null")
+    # Rows that repeat id and text are one document: one of each is worked on.
+    again = bounded(scratch.table(texts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "again"))
+    if not again.isEmpty():
+        texts = texts.join(again, "key", "left_anti").unionByName(
+            texts.join(again, "key", "left_semi").dropDuplicates(["key"]).select(*texts.columns))
     # 1. Copies of anchors that repeat, and of their links.
     found = scratch.table(texts.select("key", "text")
                           .mapInArrow(_emit_anchors, "key long, at int, g long, link long"), "anchors")

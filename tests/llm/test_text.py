@@ -275,6 +275,28 @@ def test_segments_chance_word_at_an_end(spark):
         [(1, 3, 40, 0), (2, 3, 40, 0), (4, 3, 41, 3), (5, 3, 40, 0), (6, 3, 40, 0)]
 
 
+def test_segments_repeated_rows_cost_one(spark, monkeypatch):
+    """Rows with the same id and text are worked on once, however many there are."""
+    sizes = []
+
+    class Counting(segments.Scratch):
+        def table(self, df, name):
+            out = super().table(df, name)
+            if name in ("anchors", "pieces"):
+                sizes.append(out.count())
+            return out
+    monkeypatch.setattr(segments, "Scratch", Counting)
+    rng = random.Random(21)
+    text, other = prose(rng, 400), prose(rng, 60)
+    results = []
+    for copies in (1, 3, 300):
+        rows = [(1, text + " a " + other)] * copies + [(2, f"b {other} c {text[:900]}")] * copies + [(3, "d " + other)]
+        got = segments.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+        results.append(sorted(map(tuple, got.collect())))
+    assert results[0] == results[1] == results[2] != []
+    assert sizes[:2] == sizes[2:4] == sizes[4:6]
+
+
 def test_segments_spans_hold_the_units(docs):
     """What whole units find is in the spans."""
     spans = segments.repeated_spans(docs).collect()
