@@ -1,18 +1,14 @@
 """Stored state: one Parquet version for each batch of one writer (SNK-3,
 SRC-5, AGG-4b, STR-4).
 
-The state is dealt over buckets by a hash of the id. A batch reads and writes
-only the buckets of its ids: it leaves one version, ``<root>/of=<buckets>/
-batch=<id>``, with the new content of those buckets, by kind. The state is the
-newest version of every bucket. A version counts once Spark has written its
-``_SUCCESS`` file, so readers never see half of one and a failed attempt is
-simply written again.
-
-The batch id is Spark's own (``foreachBatch``), which only grows, and the table
-has one writer: a batch is part of the state if its version or a later one is
-there, and is then skipped. Feeds that run side by side have a table each.
-Bucket versions with ``KEEP`` newer ones are deleted, so at most that many
-copies of a bucket are stored; a reader may go on with the one it opened.
+The state lies in buckets by a hash of the id. A batch reads and writes the
+buckets of its ids only, as ``<root>/of=<buckets>/batch=<id>/bucket=<b>/mtype=<kind>``;
+the newest version of every bucket is the state. A version counts once Spark has
+written its ``_SUCCESS``, so no reader sees half of one and a failed attempt is
+written again. The batch id is Spark's own (``foreachBatch``), which only grows,
+and a table has one writer: a batch is part of the state, and skipped, if its
+version or a later one is there. Feeds side by side have a table each. Bucket
+versions with KEEP newer ones are deleted, and versions of which nothing is left.
 """
 
 from __future__ import annotations
@@ -21,9 +17,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from metricfold.operators import state as st
 from metricfold.operators.fold import fold_state
-from metricfold.operators.state import lookup_point as point_read
-from metricfold.operators.state import strict_batch_plan, upsert_folded
 from metricfold.sinks.snapshot import delete_path, list_children, path_exists
 
 STATE = "id string, mtype string, delta bigint, value double"
@@ -59,8 +54,7 @@ def already_applied(spark: SparkSession, root: str, batch_id: int) -> bool:
 def _copies(spark: SparkSession, root: str) -> dict[int, list[str]]:
     """The folders of each bucket, oldest first."""
     home, out = _home(spark, root)[0], {}
-    for v in versions(spark, root):
-        path = f"{home}/batch={v:012d}"
+    for path in (f"{home}/batch={v:012d}" for v in versions(spark, root)):
         for c in list_children(spark, path):
             if c.startswith("bucket="):
                 out.setdefault(int(c[7:]), []).append(f"{path}/{c}")
@@ -74,59 +68,52 @@ def read_state(spark: SparkSession, root: str, buckets: set[int] | None = None)
     paths = [c[-1] for b, c in sorted(_copies(spark, root).items()) if buckets is None or b in buckets]
     if not paths:
         return spark.createDataFrame([], STATE)
-    home, _ = _home(spark, root)
-    return spark.read.option("basePath", home).schema(f"{STATE}, batch string, bucket int").parquet(*paths) \
-        .select("id", "mtype", "delta", "value")
+    return spark.read.option("basePath", _home(spark, root)[0]).schema(f"{STATE}, batch string, bucket int") \
+        .parquet(*paths).select("id", "mtype", "delta", "value")
 
 
 def _touched(spark: SparkSession, root: str, ids: DataFrame, buckets: int = BUCKETS) -> set[int]:
     """The buckets of some ids (no more numbers than there are buckets)."""
-    n = _home(spark, root, buckets)[1]
-    return {r[0] for r in ids.select(_bucket(F.col("id"), n)).distinct().collect()}
+    return {r[0] for r in ids.select(_bucket(F.col("id"), _home(spark, root, buckets)[1])).distinct().collect()}
 
 
 def lookup_point(spark: SparkSession, root: str, points: list[tuple[str, str]]) -> DataFrame:
     """FLT-5 on the stored table: only the files of the points' buckets are opened."""
     ids = spark.createDataFrame([(i,) for i, _ in points], "id string")
-    return point_read(read_state(spark, root, _touched(spark, root, ids)), points=points)
+    return st.lookup_point(read_state(spark, root, _touched(spark, root, ids)), points=points)
 
 
-def _apply(spark: SparkSession, root: str, changes: DataFrame, batch_id: int, buckets: int, merge) -> int:
-    """Writes ``merge(stored rows of the touched buckets, changes)`` as the
-    batch's version. ``changes`` has one row per key."""
+def _apply(spark: SparkSession, root: str, changes: DataFrame, batch_id: int, buckets: int, merge=st.upsert_folded) -> int:
+    """Writes ``merge(stored rows of the touched buckets, changes)``; ``changes`` has one row per key."""
     home, n = _home(spark, root, buckets)
     changes.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        old = read_state(spark, root, _touched(spark, root, changes, buckets))
-        merge(old, changes).withColumn("bucket", _bucket(F.col("id"), n)) \
-            .repartition("bucket").sortWithinPartitions("bucket", "mtype", "id").write.mode("overwrite") \
-            .option("parquet.bloom.filter.enabled#id", "true").partitionBy("bucket", "mtype") \
+        merge(read_state(spark, root, _touched(spark, root, changes, buckets)), changes) \
+            .withColumn("bucket", _bucket(F.col("id"), n)).repartition("bucket").sortWithinPartitions("bucket", "mtype", "id") \
+            .write.mode("overwrite").option("parquet.bloom.filter.enabled#id", "true").partitionBy("bucket", "mtype") \
             .parquet(f"{home}/batch={batch_id:012d}")
     finally:
         changes.unpersist()
-    for copies in _copies(spark, root).values():
-        for path in copies[:-KEEP]:
-            delete_path(spark, path)
+    copies = _copies(spark, root).values()
+    kept = {path.rsplit("/", 1)[0] for c in copies for path in c[-KEEP:]} | {f"{home}/batch={batch_id:012d}"}
+    empty = [path for v in versions(spark, root) if (path := f"{home}/batch={v:012d}") not in kept]
+    for path in empty + [path for c in copies for path in c[:-KEEP]]:
+        delete_path(spark, path)
     return batch_id
 
 
 def apply_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int, order_col: str = "seq",
                 buckets: int = BUCKETS) -> int | None:
-    """SNK-3 + JOIN-1: fold one batch and upsert it (keyed (id, mtype)); its id,
-    or None when it was applied before."""
-    if already_applied(spark, root, batch_id):
-        return None
-    return _apply(spark, root, fold_state(batch, order_col), batch_id, buckets, upsert_folded)
+    """SNK-3 + JOIN-1: fold a batch and upsert it (keyed (id, mtype)); its id, or None if it was applied before."""
+    return None if already_applied(spark, root, batch_id) else \
+        _apply(spark, root, fold_state(batch, order_col), batch_id, buckets)
 
 
-def apply_set(spark: SparkSession, root: str, current: DataFrame, batch_id: int,
-              buckets: int = BUCKETS) -> int | None:
-    """Replace the values of the keys in ``current`` (id, mtype, delta, value),
-    e.g. what a streaming fold emits in update mode."""
-    if already_applied(spark, root, batch_id):
-        return None
-    return _apply(spark, root, current.select("id", "mtype", "delta", "value"), batch_id, buckets,
-                  lambda old, new: old.join(new, ["id", "mtype"], "left_anti").unionByName(new))
+def apply_set(spark: SparkSession, root: str, current: DataFrame, batch_id: int, buckets: int = BUCKETS) -> int | None:
+    """Replace the values of the keys in ``current`` (as a streaming fold emits them in update mode)."""
+    return None if already_applied(spark, root, batch_id) else _apply(
+        spark, root, current.select("id", "mtype", "delta", "value"), batch_id, buckets,
+        lambda old, new: old.join(new, ["id", "mtype"], "left_anti").unionByName(new))
 
 
 def apply_strict_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int, order_col: str = "seq",
@@ -136,13 +123,13 @@ def apply_strict_batch(spark: SparkSession, root: str, batch: DataFrame, batch_i
     if already_applied(spark, root, batch_id):
         return None
     stored = read_state(spark, root, _touched(spark, root, batch, buckets))
-    plan = strict_batch_plan(stored, batch, order_col).persist(StorageLevel.MEMORY_AND_DISK)
+    plan = st.strict_batch_plan(stored, batch, order_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if plan.agg(F.sum("conflicts")).first()[0]:
-            if quarantine:
-                batch.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch_id={batch_id}")
-            return None
-        effective = plan.where("effective").select("id", "mtype", "delta", "value")
-        return _apply(spark, root, effective, batch_id, buckets, upsert_folded)
+        if not plan.agg(F.sum("conflicts")).first()[0]:
+            effective = plan.where("effective").select("id", "mtype", "delta", "value")
+            return _apply(spark, root, effective, batch_id, buckets)
+        if quarantine:
+            batch.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch_id={batch_id}")
+        return None
     finally:
         plan.unpersist()

@@ -206,6 +206,7 @@ def test_old_versions_go(spark, scratch):
         tbl.apply_batch(spark, root, _row(spark, "x", 1), b, buckets=2)
     assert tbl.read_state(spark, root).first().delta == 5
     assert [len(c) for c in tbl._copies(spark, root).values()] == [tbl.KEEP]
+    assert tbl.versions(spark, root) == [3, 4]  # the listing does not grow with the batches
 
 
 def test_buckets_bound_reads_and_writes(spark, scratch):
