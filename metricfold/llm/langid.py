@@ -2,14 +2,20 @@
 
 The language family is predicted first, by one-versus-one linear support
 vector machines between families; machines between the languages of that
-family then separate them. Features are hashed 2- to 4-grams of the letters of
+family then separate them. Families are learned: the languages' mean features in
+the training set are merged, the two groups with the closest means (by cosine,
+over the average of their pairs) first, until as many groups are left as the
+square root of the languages. So close languages meet in one family, whatever
+they are called. Features are hashed 2- to 4-grams of the letters of
 the whole text (case folded for ASCII and Latin-1, other characters as spaces),
 as square roots of counts scaled to unit length.
 
 Machines are fitted on about SAMPLE labelled documents of each language, drawn
 by a hash of the id: the documented bound of the training set. Each machine is
-trained in a task of its own, by dual coordinate descent. Prediction reads only
-the text and runs over every document whole.
+trained in a task of its own, by dual coordinate descent; a language's mean in
+one as well. With L languages in about sqrt(L) families there are about
+L * sqrt(L) / 2 machines of DIM weights; the model travels to each worker once.
+Prediction reads only the text and runs over every document whole.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0;
 documents with null id or null lang teach nothing; without any labelled
@@ -20,6 +26,7 @@ predicted one by one. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -36,22 +43,20 @@ DIM = 1 << 14
 EPOCHS = 8
 COST = 10.0
 BLOCK = 1 << 20  # bytes of text turned to features at a time
-#: Families by ISO 639-1 code; a language that is not listed is its own family.
-FAMILIES = {
-    "germanic": ("af", "da", "de", "en", "is", "lb", "nl", "no", "sv"),
-    "romance": ("ca", "es", "fr", "gl", "it", "oc", "pt", "ro"),
-    "slavic": ("be", "bg", "bs", "cs", "hr", "mk", "pl", "ru", "sk", "sl", "sr", "uk"),
-    "uralic": ("et", "fi", "hu"),
-    "indic": ("bn", "gu", "hi", "mr", "ne", "pa", "ur"),
-}
-_FAMILY_OF = {code: name for name, codes in FAMILIES.items() for code in codes}
-
 _FOLD = np.array([b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)], np.uint8)
 _ODD = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F)
 
 
-def family(lang: str) -> str:
-    return _FAMILY_OF.get(lang.lower().split("-")[0], lang)
+def group_families(means: dict[str, np.ndarray]) -> dict[str, str]:
+    """The family of each language, named after its smallest member."""
+    names = sorted(means)
+    x = np.stack([means[n] / (np.linalg.norm(means[n]) or 1.0) for n in names]) if names else np.zeros((0, DIM))
+    near, groups = x @ x.T, [[i] for i in range(len(names))]
+    while len(groups) > max(1, math.ceil(math.sqrt(len(names)))):
+        _, a, b = max((near[np.ix_(groups[a], groups[b])].mean(), -a, -b) for a, b in combinations(range(len(groups)), 2))
+        groups[-a] = sorted(groups[-a] + groups[-b])
+        del groups[-b]
+    return {names[i]: names[g[0]] for g in groups for i in g}
 
 
 def features(text: bytes) -> np.ndarray | None:
@@ -126,12 +131,20 @@ def _train(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"task": [pdf["task"].iloc[0]], "bias": [bias], "weights": [w.astype(np.float32).tobytes()]})
 
 
+def _mean(pdf: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(DIM)
+    for index, value in zip(pdf["index"], pdf["value"]):
+        total[np.asarray(index)] += np.asarray(value, np.float64)
+    return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "mean": [(total / len(pdf)).tobytes()]})
+
+
 class Model:
     """Machines by (level, one, other): a positive margin speaks for ``one``."""
 
-    def __init__(self, langs: list[str], machines: dict[str, tuple[np.ndarray, float]]):
-        self.langs = sorted(langs)
-        self.families = sorted({family(x) for x in langs})
+    def __init__(self, families: dict[str, str], machines: dict[str, tuple[np.ndarray, float]]):
+        self.langs = sorted(families)
+        self.family = families
+        self.families = sorted(set(families.values()))
         self.names = sorted(machines)
         self.weights = np.stack([machines[k][0] for k in self.names]) if machines else np.zeros((0, DIM), np.float32)
         self.biases = np.array([machines[k][1] for k in self.names])
@@ -157,7 +170,7 @@ class Model:
             return "und", 0.0
         margins = self.weights @ x + self.biases
         group, p = self._choose("family", self.families, margins)
-        lang, q = self._choose("language", [x for x in self.langs if family(x) == group], margins)
+        lang, q = self._choose("language", [x for x in self.langs if self.family[x] == group], margins)
         return lang, min(1.0, p * q)
 
 
@@ -175,7 +188,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # languages
     langs = sorted(counts)
     if not langs:
-        return Model([], {})
+        return Model({}, {})
     point = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / float(1 << 30)
     rate = F.lit(0.0)
     for lang in langs:
@@ -183,9 +196,13 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = scratch.table(known.where(point < rate).select(F.struct("key", "lang").alias("lang"), "text")
                          .mapInArrow(_sparse, "lang struct<key:string,lang:string>, index array<int>, value array<float>")
                          .where("size(index) > 0"), "features")
+    given = rows.select(F.col("lang.key").alias("key"), F.col("lang.lang").alias("lang"), "index", "value")
+    found = given.groupBy("lang").applyInPandas(_mean, "lang string, mean binary").collect()  # one for each language
+    means = {lang: np.zeros(DIM) for lang in langs} | {r["lang"]: np.frombuffer(r["mean"]) for r in found}
+    families = group_families(means)
     groups: dict[str, list[str]] = {}
     for lang in langs:
-        groups.setdefault(family(lang), []).append(lang)
+        groups.setdefault(families[lang], []).append(lang)
     sides = []
     for one, other in combinations(sorted(groups), 2):
         for s, name in ((1, one), (-1, other)):
@@ -196,17 +213,17 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     machines = {}
     if sides:
         tasks = spark.createDataFrame(sides, "task string, lang string, side int")
-        given = rows.select(F.col("lang.key").alias("key"), F.col("lang.lang").alias("lang"), "index", "value") \
-            .join(F.broadcast(tasks), "lang")  # one row for each machine and language
-        for r in given.groupBy("task").applyInPandas(_train, "task string, bias double, weights binary").collect():
+        for r in given.join(F.broadcast(tasks), "lang").groupBy("task").applyInPandas(_train, "task string, bias double, weights binary") \
+                .collect():  # one row for each machine and language joined, one for each machine here
             machines[r["task"]] = (np.frombuffer(r["weights"], np.float32), r["bias"])
     for level, one, other in {tuple(t.split("\t")) for t, _, _ in sides}:  # a side without letters taught nothing
         machines.setdefault(task_name(level, one, other), (np.zeros(DIM, np.float32), 0.0))
-    return Model(langs, machines)
+    return Model(families, machines)
 
 
-def _predict(model: Model):
+def _predict(shared):
     def run(batches):
+        model = shared.value
         for batch in batches:
             got = [model.predict(t.as_py()) for t in batch.column(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
@@ -228,7 +245,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     rows = docs.select(F.col(id_col), F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"),
                        F.col(text_col).cast("binary").alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(_predict(model), f"{id_col} {kind}, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model)), f"{id_col} {kind}, held_out boolean, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.5, **options) -> DataFrame:
@@ -237,11 +254,12 @@ def keep_identified(docs: DataFrame, min_score: float = 0.5, **options) -> DataF
     id_col = options.get("id_col", "doc_id")
     taught = docs.where(~F.coalesce(held_out(id_col), F.lit(False)))
     model = train(taught, **options)
-    predict = F.pandas_udf(_scores(model), "double")
+    predict = F.pandas_udf(_scores(docs.sparkSession.sparkContext.broadcast(model)), "double")
     return docs.where(predict(F.col(text_col).cast("binary")) >= min_score)
 
 
-def _scores(model: Model):
+def _scores(shared):
     def scores(text: pd.Series) -> pd.Series:
+        model = shared.value
         return pd.Series([model.predict(t)[1] if t is not None else 0.0 for t in text], dtype="float64")
     return scores

@@ -482,6 +482,107 @@ def test_langid_held_out_accuracy(spark):
     assert kept.isdisjoint({9001, 9002, 9003}) and len(kept & set(range(800))) >= 760
 
 
+def brute_language_features(text):
+    """Hashed 2- to 4-grams, gram by gram."""
+    raw = list((text or "").encode())
+    b = [x + 32 if 65 <= x <= 90 else x if 97 <= x <= 122 or x >= 128 else 32 for x in raw]
+    for i in range(1, len(b)):
+        if b[i - 1] == 0xC3 and 0x80 <= b[i] <= 0x9E and b[i] != 0x97:
+            b[i] += 32
+    b = [x for i, x in enumerate(b) if x != 32 or i == 0 or b[i - 1] != 32]
+    if not any(c.isalpha() for c in text or ""):
+        return None
+    if len(b) < 2:
+        b.append(32)
+    odd, mask, counts = langid._ODD, 0xFFFFFFFF, Counter()
+    for n in (2, 3, 4):
+        for i in range(len(b) - n + 1):
+            h = b[i] * odd[0] & mask
+            for k in range(1, n):
+                h = (h ^ h >> 15) * odd[k] + b[i + k] * odd[0] & mask
+            counts[((h ^ h >> 13) * odd[3] & mask) >> 18] += 1
+    size = sum(counts.values()) ** 0.5
+    return {k: v ** 0.5 / size for k, v in counts.items()}
+
+
+def brute_machine(plus, minus):
+    """Dual coordinate descent over rows (key, features) of two sides, in the order of their keys."""
+    rows = sorted([(k, x, 1) for k, x in plus] + [(k, x, -1) for k, x in minus], key=lambda r: r[0])
+    w, bias, alpha, order = Counter(), 0.0, [0.0] * len(rows), np.random.default_rng(7)
+    share = {1: len(rows) / (2 * max(1, len(plus))), -1: len(rows) / (2 * max(1, len(minus)))}
+    for _ in range(langid.EPOCHS):
+        for i in order.permutation(len(rows)):
+            _, x, s = rows[i]
+            margin = s * (sum(w[k] * v for k, v in x.items()) + bias) - 1
+            new = min(max(alpha[i] - margin / 2, 0.0), langid.COST * share[s])
+            for k, v in x.items():
+                w[k] += (new - alpha[i]) * s * v
+            bias += (new - alpha[i]) * s
+            alpha[i] = new
+    return lambda x: sum(w[k] * v for k, v in x.items()) + bias
+
+
+def test_langid_brute_force(spark):
+    """Families, machines, votes and scores of a small corpus, worked out one by one."""
+    rng = random.Random(6)
+    rows = [(i, "".join(rng.choice(["", "É ", "1 "])) + voiced(rng, lang, rng.randint(3, 30)), lang)
+            for i, lang in ((i, rng.choice(list(VOICES))) for i in range(90))] + [(200, None, "en"), (201, "12 3", None), (202, "ü", None)]
+    taught = [(str(i), brute_language_features(t), lang) for i, t, lang in rows
+              if zlib.crc32(str(i).encode()) % 3 != 1 and lang and t]
+    langs = sorted({lang for *_, lang in taught})
+    mean = {}
+    for lang in langs:
+        total = Counter()
+        for _, x, own in taught:
+            if own == lang:
+                total.update(x)
+        size = sum(v * v for v in total.values()) ** 0.5
+        mean[lang] = {k: v / size for k, v in total.items()}
+    close = lambda a, b: sum(v * mean[b].get(k, 0.0) for k, v in mean[a].items())
+    groups = [[x] for x in langs]
+    while len(groups) > 2:
+        a, b = max(((a, b) for a in groups for b in groups if a < b),
+                   key=lambda p: np.mean([close(x, y) for x in p[0] for y in p[1]]))
+        groups = sorted([sorted(a + b)] + [g for g in groups if g not in (a, b)])
+
+    def machine(one, other):
+        return brute_machine(*[[(k, x) for k, x, lang in taught if lang in side] for side in (one, other)])
+    across, inside = machine(groups[0], groups[1]), {}
+    for g in groups:
+        for i, x in enumerate(g):
+            for y in g[i + 1:]:
+                inside[x, y] = machine([x], [y])
+    sure = lambda m: 1 / (1 + np.exp(-4 * m))
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    for i, t, _ in rows:
+        x = brute_language_features(t)
+        if x is None:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        m = across(x)
+        g, p = (groups[0], sure(m)) if m >= 0 else (groups[1], 1 - sure(m))
+        votes, power, low = Counter(), Counter(), {y: 1.0 for y in g}
+        for (a, b), f in inside.items():
+            if a in g:
+                m = f(x)
+                votes[a if m >= 0 else b] += 1
+                for y, sign in ((a, 1), (b, -1)):
+                    power[y] += sign * m
+                    low[y] = min(low[y], sure(sign * m))
+        best = max(g, key=lambda y: (votes[y], power[y]))
+        assert got[i].lang_pred == best and abs(got[i].score - min(1.0, p * low[best])) < 1e-2  # features are single precision there
+
+
+def test_langid_families_are_learned():
+    rng = np.random.default_rng(2)
+    centre = rng.random((3, 40))
+    means = {f"l{i}": np.concatenate([centre[i % 3] + rng.random(40) * 0.1, np.zeros(langid.DIM - 40)]) for i in range(9)}
+    got = langid.group_families(means)
+    assert {k: int(v[1:]) % 3 for k, v in got.items()} == {f"l{i}": i % 3 for i in range(9)}
+    assert len(set(got.values())) == 3 and langid.group_families({}) == {}
+    assert langid.group_families({"x": np.zeros(langid.DIM)}) == {"x": "x"}
+
+
 def test_langid_edges(spark, empty):
     assert langid.identify(empty).collect() == []
     one = spark.createDataFrame([(2, "abc", "x"), (3, "\x00", "x")], "doc_id long, text string, lang string")
