@@ -2,14 +2,13 @@
 
 On a cluster the session comes from the launcher; ``tune`` only sets options
 that are not already set, so cluster-wide choices win. The checkpoint root is
-always read from ``spark.checkpoint.dir``; a private temporary folder is made
-only when that setting is absent (local tests).
+always read from ``spark.checkpoint.dir``; without it, it lies in the warehouse,
+which the cluster shares as well. Nothing is written to a machine's own folders.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -66,13 +65,9 @@ def build_session(master: str | None = None, partitions: int | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and lineage-cutting tables.
-
-    Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only in
-    local mode with neither set (tests) is a fresh temporary folder created
-    and registered; on a cluster a missing setting is an error, so no job
-    ever writes to a machine-local path.
-    """
+    """Shared folder for checkpoints and lineage-cutting tables:
+    ``spark.checkpoint.dir`` (or the context's checkpoint dir), else a folder in
+    the session's warehouse."""
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no SparkContext on the client
@@ -85,10 +80,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         if root and sc is not None:
             sc.setCheckpointDir(root)
     if not root:
-        master = sc.master if sc is not None else (spark.conf.get("spark.master", "") or "")
-        if not master.startswith("local") or sc is None:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir()
+        root = f"{warehouse.rstrip('/')}/_checkpoints"
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir()
     return root.rstrip("/")

@@ -16,7 +16,9 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from metricfold.session import build_session, checkpoint_root
     s = build_session("local[*]", 8, app="metricfold-tests")
-    checkpoint_root(s)  # tests: private temporary checkpoint dir
+    if not s.conf.get("spark.checkpoint.dir", None):  # tests: a folder of their own
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    checkpoint_root(s)
     yield s
     s.stop()
 
