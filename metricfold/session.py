@@ -48,7 +48,7 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def build_session(master: str | None = None, partitions: int | None = None,
-                  app: str = "metricfold") -> SparkSession:
+                  app: str = "metricfold", conf: dict[str, str] | None = None) -> SparkSession:
     """Session for local runs and tests (UI off, small shuffle width)."""
     builder = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
@@ -57,7 +57,7 @@ def build_session(master: str | None = None, partitions: int | None = None,
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("METRICFOLD_DRIVER_MEM", "8g"))
-    for key, value in _DEFAULTS.items():
+    for key, value in (_DEFAULTS | (conf or {})).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
