@@ -14,8 +14,8 @@ previous word, the pair of previous words, and the word before the previous one
 
 Training runs in ROUNDS rounds over disjoint halves of the training documents.
 In a round every task starts from the same weights and takes gradient steps on
-mini-batches of its documents (Adagrad by row); the tasks' weights are then
-averaged, row by row by the number of steps that touched the row, in a tree of
+mini-batches of its documents (Adagrad by row); a task has TASK_BYTES of text or
+more, where there are more tasks than cores. The tasks' weights are then averaged, row by row by the number of steps that touched the row, in a tree of
 at most FAN per group. Scoring is sparse: a batch gathers only its own rows.
 
 Counts are exact and distributed. Vocabulary tokens are counted where they
@@ -56,6 +56,7 @@ RATE = 0.25
 FAN = 32
 CHUNK = 1 << 21  # tokens counted at a time in a task
 BUCKET_BYTES = 32 << 20  # of text for each bucket of tokens
+TASK_BYTES = 16 << 20  # of text for each training task at least, as each leaves weights of fixed size
 BLOCK_ROWS = 2048  # rows of weights in one row of the tree
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
 START = np.uint64(0x57A9757A9757A971)
@@ -509,12 +510,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hashes, counts = hashes[order], counts[order]
     n, kinds = int(counts.sum()) + rest_tokens, int((counts > 0).sum()) + rest_kinds
     vocab = Vocabulary(hashes, counts, rest_tokens)
-    # Rounds of training over disjoint parts of the training documents.
+    # Rounds of training over disjoint parts of the training documents. (Fewer tasks than
+    # partitions where those are small: their weights would outweigh the input.)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-letters // TASK_BYTES))
     weights = np.zeros((2, ROWS, WIDTH), np.float32)
     half = F.pmod(F.xxhash64(F.lit(5), "doc", "text"), F.lit(rounds))
     for i in range(rounds if some else 0):
         shared = spark.sparkContext.broadcast((vocab, weights))
-        steps = taught.where(half == i).select("text").mapInArrow(_train(shared), "block int, body binary")
+        steps = taught.where(half == i).select("text").coalesce(tasks).mapInArrow(_train(shared), "block int, body binary")
         weights = _mixed(scratch, steps, weights)
     shared = spark.sparkContext.broadcast((vocab, weights))
     scored = scratch.table(rows.mapInArrow(
