@@ -2,7 +2,7 @@
 
 Tokens are words (ASCII white space between, A-Z lower-cased) and one end per
 text. The vocabulary grows with the input: the most frequent training tokens, as
-many as the square root of all training tokens (VOCABULARY at least); every
+many as half the square root of all training tokens (VOCABULARY at least); every
 other token, seen or not, belongs to one more class. Classes are nested: a tree
 of WIDTH outcomes a node, built from the counts so that frequent tokens lie near
 its root (WIDTH-ary Huffman). The probability of a token is the product of the
@@ -22,7 +22,7 @@ Counts are exact and distributed. Vocabulary tokens are counted where they
 stand. The others travel as packed (token hash, document, number) arrays to the
 bucket of their hash, which counts them; the documents' sums of log10(c + 1)
 return packed as well and are added up for each document. Only the vocabulary
-(about 100 bytes a token, for the square root of the corpus), the weights (of
+(about 100 bytes a token, for half the square root of the corpus), the weights (of
 fixed size) and totals reach the driver. Which tokens make up the vocabulary is
 decided by sums over the chunks of a task in which a token occurs OFTEN times or
 more; what they count is exact. Tokens are known by 64-bit hashes.
@@ -184,8 +184,8 @@ class Model:
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         n = np.diff(np.append(first, len(key)))
         grad = np.take(e, of[first], axis=0, mode="clip")  # rows that occur once are done; a second one is added, more are summed
-        two = first[n == 2] + 1
-        grad[n == 2] += np.take(e, of[two], axis=0)
+        two = np.flatnonzero(n == 2)
+        grad[two] += np.take(e, of[first[two] + 1], axis=0, mode="clip")
         many = n > 2
         if many.any():
             starts = np.append(0, np.cumsum(n[many])[:-1])
@@ -488,7 +488,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     often = scratch.table(taught.select("text").mapInArrow(_local_counts, "h long, n long").groupBy("h")
                           .agg(F.sum("n").alias("n")), "often")
     whole = often.where(F.col("h") == int(START.view(np.int64))).agg(F.sum("n")).first()[0] or 0
-    size = vocabulary or max(VOCABULARY, math.isqrt(whole))
+    size = vocabulary or max(VOCABULARY, math.isqrt(whole) // 2)
     top = often.where(~F.col("h").isin(int(END.view(np.int64)), int(START.view(np.int64)))) \
         .orderBy(F.desc("n"), "h").limit(size - 1).collect()
     some = not taught.isEmpty()
