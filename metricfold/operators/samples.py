@@ -179,6 +179,24 @@ def poll_count(samples: DataFrame, every: str = "10 seconds", key: str = "host",
                 "poll_count")
 
 
+def _update(id_: Column, kind: str, delta: Column, value: Column) -> Column:
+    return F.struct(id_.alias("id"), F.lit(kind).alias("type"), delta.cast("bigint").alias("delta"),
+                    value.cast("double").alias("value"))
+
+
+def report_items(fields: list[str], values: list[Column], polls: Column, cpu: Column | None) -> Column:
+    """The updates of one report as an array: a gauge for each field and core,
+    and the poll counter (its delta is null if there were no polls)."""
+    def gauge(id_: Column, value: Column) -> Column:
+        return _update(id_, GAUGE, F.lit(None), value)
+
+    items = F.array(*[gauge(F.lit(f), v) for f, v in zip(fields, values)],
+                    _update(F.lit(POLL_COUNTER), COUNTER, F.when(polls != 0, polls), F.lit(None)))
+    if cpu is None:
+        return items
+    return F.concat(items, F.transform(cpu, lambda x, i: gauge(F.concat(F.lit(CPU_FIELD), (i + 1).cast("string")), x)))
+
+
 def report_batches(samples: DataFrame, fields: list[str] | None = None, every: str = "10 seconds",
                    key: str = "host", ts_col: str = "ts",
                    order_cols: list[str] | None = None, poll_col: str | None = None,
@@ -214,17 +232,7 @@ def report_batches(samples: DataFrame, fields: list[str] | None = None, every: s
     if cpu:
         state = _with_cpu(state, samples, key, o, cpu)
 
-    def gauge(name: Column, value: Column) -> Column:
-        return F.struct(name.alias("id"), F.lit(GAUGE).alias("type"),
-                        F.lit(None).cast("bigint").alias("delta"), value.cast("double").alias("value"))
-
     # Gauges and the poll counter leave in one pass (no second aggregation).
-    items = F.array(*[gauge(F.lit(c), F.col(c)) for c in fields],
-                    F.struct(F.lit(POLL_COUNTER).alias("id"), F.lit(COUNTER).alias("type"),
-                             F.when(F.col("_polls") != 0, F.col("_polls").cast("bigint")).alias("delta"),
-                             F.lit(None).cast("double").alias("value")))
-    if cpu:
-        items = F.concat(items, F.transform(
-            cpu, lambda x, i: gauge(F.concat(F.lit(cpu), (i + 1).cast("string")), x)))
+    items = report_items(fields, [F.col(c) for c in fields], F.col("_polls"), F.col(cpu) if cpu else None)
     rows = state.select(key, "window_start", F.inline(items))
     return rows.where((F.col("type") == GAUGE) | F.col("delta").isNotNull())

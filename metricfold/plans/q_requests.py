@@ -135,7 +135,7 @@ def q_stream_reports(spark, sf_dir):
     base, tag = checkpoint_root(spark), uuid.uuid4().hex
     land, out = f"{base}/agent-in-{tag}", f"{base}/agent-out-{tag}"
     w = fx.wide(spark, sf_dir)
-    w.repartition(3, "ord").write.parquet(land)
+    w.repartition("ord").write.parquet(land)
     ingest.closing_row(spark, w.schema).write.mode("append").parquet(land)
     stream = spark.readStream.schema(w.schema).parquet(land)
     agent.report_stream(stream, 86_400, "1 hour").writeStream.format("parquet").option("path", out) \

@@ -185,3 +185,55 @@ def test_agent_parts_join_in_any_order():
             part = agent._joined(part, one(frame.iloc[[i]]))
         assert part == whole
     assert whole[0] == 5 and whole[2] == 2 and whole[4] == [2.0, 3.0, 0.0, 7.0] and whole[6] == [2.0, 3.0]
+
+
+class _Cell:
+    """A state variable that counts its calls."""
+
+    def __init__(self, calls, empty):
+        self.calls, self.empty, self.value = calls, empty, empty
+
+    def get(self):
+        self.calls.append("get")
+        return self.value if self.empty is None else iter(self.value)
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    put = update
+
+    def appendValue(self, value):
+        self.calls.append("append")
+        self.value = [*self.value, value]
+
+    def clear(self):
+        self.calls.append("clear")
+        self.value = self.empty
+
+
+def test_agent_state_calls_do_not_grow_with_windows():
+    """Many windows cost as many calls as one; merged lists lose nothing."""
+    import types
+
+    import pandas as pd
+
+    def run(n, turns=1):
+        calls, timers = [], []
+        agent_ = agent.Reports(["Alloc", "Frees"], 1000, "host")
+        agent_.init(types.SimpleNamespace(getListState=lambda *_: _Cell(calls, []), getValueState=lambda *_: _Cell(calls, None),
+                                          registerTimer=lambda t: (calls.append("timer"), timers.append(t))))
+        times = types.SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)
+        for turn in range(turns):
+            rows = pd.DataFrame({"poll_ms": [i * 1000 for i in range(n)], "ord": [turn * n + i for i in range(n)],
+                                 "fields": [[1.0 + turn, float(i)] for i in range(n)], CPU_FIELD: [[0.5]] * n})
+            assert list(agent_.handleInputRows((7,), iter([rows]), times)) == []
+        end = types.SimpleNamespace(getCurrentWatermarkInMs=lambda: 10 ** 9)
+        out = [d for t in sorted(set(timers)) for d in agent_.handleExpiredTimer(
+            (7,), end, types.SimpleNamespace(getExpiryTimeInMs=lambda: t))]
+        assert len(out) == 1 and len(out[0]) == n and set(out[0]["polls"]) == {turns}
+        assert out[0]["fields"].iloc[-1] == [float(turns), float(n - 1)]
+        return len(calls)
+
+    assert run(50) == run(1) and run(500) <= run(1) + 2
+    run(40, turns=9)
