@@ -200,7 +200,7 @@ def report_items(fields: list[str], values: list[Column], polls: Column, cpu: Co
 def report_batches(samples: DataFrame, fields: list[str] | None = None, every: str = "10 seconds",
                    key: str = "host", ts_col: str = "ts",
                    order_cols: list[str] | None = None, poll_col: str | None = None,
-                   cpu: str | None = CPU_FIELD) -> DataFrame:
+                   cpu: str | None = CPU_FIELD, packed: bool = False) -> DataFrame:
     """SNK-6 / PRJ-2 / PRJ-3 / SET-2 / FLT-9: the update batch an agent sends at
     the end of each report window: every merged field as a gauge (the merge runs
     over all samples so far, it is never reset), a gauge per core of the merged
@@ -211,7 +211,9 @@ def report_batches(samples: DataFrame, fields: list[str] | None = None, every: s
     combination of a host's pieces. A host has one row for each report interval
     at most, however many samples it sends, and the running frame spills. Nothing
     is written; the fields are read once, the CPU lists of the chosen samples by
-    a narrow second scan. Windows without samples send nothing.
+    a narrow second scan. Windows without samples send nothing. ``packed`` gives
+    one row per report with its updates as an array, so that nothing has to
+    gather the rows of a report again.
     """
     order_cols = order_cols or ["ord"]
     fields = fields or [f for f in SAMPLE_FIELDS if f in samples.columns]
@@ -232,7 +234,17 @@ def report_batches(samples: DataFrame, fields: list[str] | None = None, every: s
     if cpu:
         state = _with_cpu(state, samples, key, o, cpu)
 
+    def sent(x: Column) -> Column:
+        return (x["type"] == GAUGE) | x["delta"].isNotNull()
+
+    if packed:  # samples that repeat a place can leave several states of a report
+        wide = F.collect_list(F.struct("_polls", *fields, *([cpu] if cpu else []))).alias("_s")
+        updates = F.transform("_s", lambda s: report_items(fields, [s[c] for c in fields], s["_polls"], s[cpu] if cpu else None))
+        # Encoding costs far more than the bytes of a report show: no coalescing by bytes here.
+        parts = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return state.repartition(parts, key, "window_start").groupBy(key, "window_start").agg(wide) \
+            .select(key, "window_start", F.filter(F.flatten(updates), sent).alias("updates"))
     # Gauges and the poll counter leave in one pass (no second aggregation).
     items = report_items(fields, [F.col(c) for c in fields], F.col("_polls"), F.col(cpu) if cpu else None)
     rows = state.select(key, "window_start", F.inline(items))
-    return rows.where((F.col("type") == GAUGE) | F.col("delta").isNotNull())
+    return rows.where(sent(F.struct("type", "delta")))

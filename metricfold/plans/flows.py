@@ -81,7 +81,7 @@ def forward_reports(samples: DataFrame, out_path: str, every: str = "10 seconds"
                     key: str | None = None, fields: list[str] | None = None) -> DataFrame:
     """Flow B: build each report window's update batch and write it as a
     signed payload record (gzip JSON lines). Returns the payload frame."""
-    payloads = ev.forward_payloads(report_batches(samples, fields, every), key)
+    payloads = ev.forward_payloads(report_batches(samples, fields, every, packed=True), key)
     ev.write_payloads(payloads, out_path)
     return payloads
 

@@ -114,7 +114,7 @@ def q_forward_payloads(spark, sf_dir):
     """SNK-6: the report batches as the signed JSON payload the agent posts
     (one per host and report window; signature over the uncompressed text)."""
     from metricfold.sinks.events import forward_payloads
-    rep = samples.report_batches(fx.wide(spark, sf_dir), FIELDS, every=REPORT_EVERY)
+    rep = samples.report_batches(fx.wide(spark, sf_dir), FIELDS, every=REPORT_EVERY, packed=True)
     return forward_payloads(rep, key=fx.TEST_KEY)
 
 
@@ -263,5 +263,7 @@ def q_audit_fanout(spark, sf_dir):
         "broken": broken})
     if errors["append"] or errors["batch"] or not errors["broken"]:
         raise RuntimeError(f"fan-out isolation failed: {errors}")
-    return spark.read.text(f"{base}/audit-batch-{tag}").select(
-        F.col("batch_id").cast("bigint").alias("batch_id"), "value")
+    lines = ev.read_audit_batches(spark, f"{base}/audit-batch-{tag}")
+    if spark.read.text(f"{base}/audit-batch-{tag}").count() != lines.count():
+        raise RuntimeError("the text and the table of the per-batch file differ")
+    return lines

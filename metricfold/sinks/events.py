@@ -6,10 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricfold.functions.scalars import sign_payload
+from metricfold.sinks.snapshot import path_exists
 
 Sink = Callable[[DataFrame], None]
 
@@ -20,13 +21,42 @@ def write_audit(events: DataFrame, path: str) -> None:
     events.select(F.col("line").alias("value")).write.mode("append").text(path)
 
 
+SPAN = 4096  # batch ids of one folder
+
+
 def write_audit_batch(events: DataFrame, path: str) -> None:
-    """SNK-4, idempotent form: lines are written under ``path/batch_id=N``
-    with dynamic partition overwrite, so the batches present in ``events``
-    replace their own folders and a re-emitted (replayed) batch leaves
-    exactly one copy. ``path`` reads back as one text table."""
-    events.select(F.col("line").alias("value"), "batch_id").write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").text(path)
+    """SNK-4, idempotent form: a re-emitted (replayed) batch replaces its own
+    lines, so that exactly one copy is left. ``path`` reads back as one text
+    table; ``read_audit_batches`` gives the lines with their batches.
+
+    Lines lie in a folder for every SPAN batch ids, so that the number of files
+    follows the lines and not the batches. Beside them (in a folder that Spark's
+    readers leave out) lies a table of batches and lines. A write joins its events
+    with the batches that it leaves in the folders it touches, and both forms of
+    these folders are replaced by dynamic partition overwrite.
+    """
+    spark, table = events.sparkSession, f"{path.rstrip('/')}/_batches"
+    new = events.select("batch_id", "line").withColumn("span", F.expr(f"try_cast(batch_id AS bigint) div {SPAN}"))
+    touched = [r[0] for r in new.select("span").distinct().collect()]  # one number for SPAN batches
+
+    def stored() -> DataFrame:
+        of = F.col("span").isin([s for s in touched if s is not None])
+        t = spark.read.schema(new.schema).parquet(table)
+        return t.where(of | F.col("span").isNull() if None in touched else of)
+
+    def replace(df: DataFrame):
+        return df.hint("rebalance", "span").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("span")
+
+    if path_exists(spark, table):
+        old, ids = stored(), new.select(F.col("batch_id").alias("_new")).distinct()
+        new = old.join(ids, F.col("batch_id").eqNullSafe(F.col("_new")), "left_anti").unionByName(new)
+    replace(new).parquet(table)
+    replace(stored().select(F.col("line").alias("value"), "span")).text(path)
+
+
+def read_audit_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of ``write_audit_batch`` with their batches (batch_id, value)."""
+    return spark.read.parquet(f"{path.rstrip('/')}/_batches").select("batch_id", F.col("line").alias("value"))
 
 
 def fanout(df: DataFrame, sinks: dict[str, Sink]) -> dict[str, str | None]:
@@ -54,15 +84,21 @@ def forward_payloads(batches: DataFrame, key: str | None = None,
                      group: tuple[str, ...] = ("host", "window_start")) -> DataFrame:
     """SNK-6: one JSON-array payload per report (host, window) of
     ``report_batches``, signed over the uncompressed text when a key is set.
+    Packed reports are encoded as they are, rows are gathered by report first.
 
     A report holds at most one row per sample field plus the poll counter,
     so each group is small by construction (the SAMPLE schema bounds it).
     """
-    value = F.when(F.isnan("value") | (F.abs("value") == float("inf")),
-                   F.raise_error(F.lit("a gauge that is not finite cannot be encoded")).cast("double")).otherwise(F.col("value"))
-    item = F.struct("id", "type", "delta", value.alias("value"))
-    p = batches.groupBy(*group).agg(
-        F.to_json(F.sort_array(F.collect_list(item))).alias("payload"))
+    def item(u: Column) -> Column:
+        v = u["value"]
+        value = F.when(F.isnan(v) | (F.abs(v) == float("inf")),
+                       F.raise_error(F.lit("a gauge that is not finite cannot be encoded")).cast("double")).otherwise(v)
+        return F.struct(u["id"].alias("id"), u["type"].alias("type"), u["delta"].alias("delta"), value.alias("value"))
+
+    if "updates" not in batches.columns:
+        batches = batches.groupBy(*group).agg(
+            F.collect_list(F.struct("id", "type", "delta", "value")).alias("updates"))
+    p = batches.select(*group, F.to_json(F.sort_array(F.transform("updates", item))).alias("payload"))
     sig = sign_payload("payload", key) if key else F.lit(None).cast("string")
     return p.withColumn("sig", sig)
 

@@ -320,3 +320,31 @@ def test_missing_or_null_string_fields_decode_to_empty(spark):
                                "payload string")
     rows = sorted((r.pos, r.id, r.type) for r in src.payload_updates(df).collect())
     assert rows == [(0, "", "gauge"), (1, "", "counter"), (2, "", "")]
+
+
+def test_audit_batches_replace_their_lines_in_few_files(spark, scratch):
+    """Files follow the lines, not the batches; a batch that comes again replaces its line alone."""
+    from metricfold.sinks import events as ev
+    out = os.path.join(scratch, "audit")
+    lines = lambda ids, v: spark.createDataFrame([(i, f"{v}{i}") for i in ids], "batch_id long, line string")
+    ev.write_audit_batch(lines([None, *range(600)], "a"), out)
+    ev.write_audit_batch(lines([None, 5, 7, 9000], "b"), out)
+    want = sorted([(i, f"{'b' if i in (5, 7) else 'a'}{i}") for i in range(600)] + [(9000, "b9000")])
+    got = [tuple(r) for r in ev.read_audit_batches(spark, out).collect()]
+    assert sorted(r for r in got if r[0] is not None) == want and [r for r in got if r[0] is None] == [(None, "bNone")]
+    assert sorted(r.value for r in spark.read.text(out).collect()) == sorted(v for _, v in got)
+    assert len([f for _, _, files in os.walk(out) for f in files if f.startswith("part-")]) < 50
+
+
+def test_packed_reports_give_the_same_payloads(spark):
+    """Reports stay one row each up to their payload; samples that repeat a place still meet in one report."""
+    from metricfold.sinks import events as ev
+    w = spark.range(40).selectExpr("id % 3 AS host", "id AS ord", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, id % 5) AS ts",
+                                   "CAST(id % 4 AS double) AS Alloc", "CAST(id % 2 AS double) AS Frees",
+                                   "array_repeat(CAST(id AS double), CAST(id % 3 AS int)) AS CPUutilization")
+    w = w.unionByName(w.where("ord = 38"))
+    rows = samples.report_batches(w, every="1 day")
+    packed = samples.report_batches(w, every="1 day", packed=True)
+    assert "Generate" not in packed._jdf.queryExecution().executedPlan().toString()
+    want = sorted(map(tuple, ev.forward_payloads(rows, "k").collect()), key=str)
+    assert sorted(map(tuple, ev.forward_payloads(packed, "k").collect()), key=str) == want and len(want) == 15
