@@ -21,7 +21,8 @@ every word, across lines, in two steps:
    copies as both its anchors, all copies go on alike; such links join to
    chains. Counts show where to look; they decide nothing.
 2. Chains, and the grams less than NEAR words from the ends of each chain, are
-   grouped by their digests (128 bits). One with an earlier occurrence is a
+   grouped by their digests (128 bits), a share of the digests at a time, which
+   bounds the disk that the shuffles take. One with an earlier occurrence is a
    repeat. Overlapping and adjoining repeats are one span, whose ends are exact
    to the word. But one word at an end that fewer than half of the copies
    share goes on to other text and agrees by chance: it stays, unless a unit
@@ -42,6 +43,8 @@ never removed. Extra columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -54,6 +57,7 @@ SPREAD = 6
 MIN_WORDS = 8
 NEAR = 25  # neighbouring grams of which one at least is an anchor
 REACH = NEAR + MIN_WORDS - 1  # words that hold NEAR grams
+PASSES = 3  # over the chains and grams, each for its share of the digests
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 
 
@@ -268,7 +272,7 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def _spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``repeated_spans`` with a hash of id and text, key."""
     spark = prepare(docs.sparkSession)
-    scratch = Scratch(spark, "spans")
+    scratch = Scratch(spark, "spans", tidy=True)
     doc_id = F.col(id_col).cast("long")
     texts = docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, text_col).alias("key"),
                         F.col(text_col).cast("binary").alias("text")).where("doc_id is not null")
@@ -294,13 +298,21 @@ def _spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                                   "edge boolean, d1 long, d2 long"), "pieces")
     scratch.drop(found, links, near)
     rank = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 40).cast("decimal(13,0)") + F.col("start").cast("decimal(12,0)")
-    ahead = scratch.table(parts.groupBy("d1", "d2").agg(
-        F.min(rank).alias("first"), F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"))
-        .where("copies > 1"), "ahead")
+    # By digest, in passes: only the shuffles of one pass are on disk at a time.
+    repeats = []
+    for i in range(PASSES):
+        mine = parts.where(F.pmod("d1", F.lit(PASSES)) == i)
+        ahead = scratch.table(mine.groupBy("d1", "d2").agg(
+            F.min(rank).alias("first"), F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"))
+            .where("copies > 1"), "ahead")
+        repeats.append(scratch.table(
+            mine.join(ahead, ["d1", "d2"]).where(rank != F.col("first"))
+            .select("doc_id", "key", "at", (F.col("at") + F.col("words")).alias("end"), "start", "stop", "edge",
+                    "first_doc", "copies"), "repeats"))
+        scratch.drop(ahead)
+    scratch.drop(parts)
     # One shuffle serves distinct rows and windows.
-    again = parts.join(ahead, ["d1", "d2"]).where(rank != F.col("first")) \
-        .select("doc_id", "key", "at", (F.col("at") + F.col("words")).alias("end"), "start", "stop", "edge",
-                "first_doc", "copies").repartition("doc_id", "key").distinct()
+    again = reduce(DataFrame.unionAll, repeats).repartition("doc_id", "key").distinct()
     order = Window.partitionBy("doc_id", "key").orderBy("at", "end")
     past = order.rowsBetween(Window.unboundedPreceding, -1)
     opens = F.coalesce(F.col("at") > F.max("end").over(past), F.lit(True)).cast("long")

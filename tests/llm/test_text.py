@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from metricfold.llm import langid, linededup, maxent, minhash, mixing, segments, wumanber
+from metricfold.llm import common, langid, linededup, maxent, minhash, mixing, segments, wumanber
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, bands string, Line string"
@@ -297,6 +298,39 @@ def test_segments_repeated_rows_cost_one(spark, monkeypatch):
     assert sizes[:2] == sizes[2:4] == sizes[4:6]
 
 
+def shuffle_blocks(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_segments_disk_holds_one_pass(spark, monkeypatch):
+    """A table's shuffles go when it is written; digests are grouped in passes of less than half of them."""
+    left, ahead = [], []
+
+    class Watching(segments.Scratch):
+        def table(self, df, name):
+            before = shuffle_blocks(spark)
+            out = super().table(df, name)
+            until = time.time() + 10
+            while shuffle_blocks(spark) - before and time.time() < until:
+                time.sleep(0.1)  # removed in the background
+            left.append(len(shuffle_blocks(spark) - before))
+            if name == "ahead":
+                ahead.append({tuple(r) for r in out.select("d1", "d2").collect()})
+            return out
+    monkeypatch.setattr(segments, "Scratch", Watching)
+    rng = random.Random(23)
+    rows = [(i, f"u{i} " + prose(random.Random(i // 2), 80) + " " + prose(rng, 30)) for i in range(12)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    spark.sparkContext._jvm.System.gc()  # what earlier tests left is not counted
+    got = segments.repeated_spans(d).collect()
+    assert sorted((r.doc_id, r.start, r.stop, r.n_words) for r in got) == brute_spans(rows)
+    assert left and not any(left)
+    whole = set().union(*ahead)
+    assert sum(map(len, ahead)) == len(whole) and max(map(len, ahead)) < len(whole) / 2
+    assert spark.conf.get(common.TIDY, None) is None
+
+
 def test_segments_spans_hold_the_units(docs):
     """What whole units find is in the spans."""
     spans = segments.repeated_spans(docs).collect()
