@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metricfold.llm.common import GOLD, Scratch, mix, prepare, word_hashes
+from metricfold.llm.common import GOLD, Scratch, hashes_of, mix, prepare, word_hashes
 
 VOCABULARY = 992  # tokens at least
 WIDTH = 32
@@ -53,6 +53,9 @@ SHIFT = np.uint64(64 - 16)
 ROUNDS = 2
 STEP = 4096  # tokens of a gradient step
 RATE = 0.25
+BLOCK = 1024  # rows of WIDTH worked on at a time, so that they stay in the cache
+SAFE = 60.0  # a logit below this has a finite exponential, and a sum of WIDTH of them too
+LAYERS = 8  # occurrences of a row in a gradient step that are added one by one
 FAN = 32
 CHUNK = 1 << 21  # tokens counted at a time in a task
 BUCKET_BYTES = 32 << 20  # of text for each bucket of tokens
@@ -67,6 +70,12 @@ def tokens(text: bytes | None) -> np.ndarray:
     return np.append(word_hashes(text), END)
 
 
+def tokens_of(texts):
+    """``tokens`` of each text in turn."""
+    for h in hashes_of(texts):
+        yield np.append(h, END)
+
+
 class Places:
     """The places of some tokens, by their hashes."""
 
@@ -138,11 +147,8 @@ def contexts(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def _row_max(x: np.ndarray) -> np.ndarray:
-    """The largest of each row, by halves of the columns."""
-    while x.shape[1] > 1 and x.shape[1] % 2 == 0:
-        half = x.shape[1] // 2
-        x = np.maximum(x[:, :half], x[:, half:])
-    return x if x.shape[1] == 1 else x.max(1, keepdims=True)
+    """The largest of each row, as a column."""
+    return np.maximum.reduce(np.ascontiguousarray(x.T), axis=0)[:, None]
 
 
 class Model:
@@ -154,25 +160,38 @@ class Model:
         self.w = np.zeros((2, ROWS, WIDTH), np.float32) if weights is None else weights.astype(np.float32)
         self.square = np.full((2, ROWS), 1.0, np.float32)
         self.steps = np.zeros((2, ROWS), np.float32)
-        self.spare = np.empty((STEP, WIDTH), np.float32)
+        self.spare = np.empty((2, BLOCK, WIDTH), np.float32)
 
     @staticmethod
     def rows(before: np.ndarray, skip: np.ndarray) -> np.ndarray:
         """Hashes of the three features of each token: (tokens, 3)."""
         return np.stack([mix(before + ODD[0]), mix(before * ODD[1] + skip * ODD[2]), mix(skip + ODD[3])], 1)
 
-    def _softmax(self, table: int, rows: np.ndarray, bias: np.ndarray, truth: np.ndarray):
-        """The log probability of the true outcome of WIDTH (bias is -inf where
-        there is none), and what the gradient is made of: all exponentials, their sums."""
-        w, spare = self.w[table], self.spare[:len(rows)]
-        x = np.take(w, rows[:, 0], axis=0, mode="clip")
-        for k in (1, 2):
-            x += np.take(w, rows[:, k], axis=0, mode="clip", out=spare)
-        x += bias
-        x -= _row_max(x)
-        own = x[np.arange(len(x)), truth]
-        e = np.exp(x, out=x)
-        total = e @ np.ones(e.shape[1], np.float32)
+    def _softmax(self, table: int, rows: np.ndarray, node: np.ndarray | None, truth: np.ndarray, learn: bool):
+        """The log probability of the true outcome of WIDTH at each token's node
+        (None: the root; the bias is -inf where there is no outcome), and what
+        the gradient is made of: all exponentials, their sums. BLOCK tokens at
+        a time stay in the cache."""
+        w, biases = self.w[table], self.v.bias
+        e, own, total = np.empty((len(rows), WIDTH), np.float32), np.empty(len(rows), np.float32), np.empty(len(rows), np.float32)
+        ones = np.ones(WIDTH, np.float32)
+        for a in range(0, len(rows), BLOCK):
+            x, row, true = e[a:a + BLOCK], rows[a:a + BLOCK], truth[a:a + BLOCK]
+            spare = self.spare[0, :len(x)]
+            np.take(w, row[:, 0], axis=0, mode="clip", out=x)
+            for k in (1, 2):
+                x += np.take(w, row[:, k], axis=0, mode="clip", out=spare)
+            x += biases[0] if node is None else np.take(biases, node[a:a + BLOCK], axis=0, mode="clip", out=spare)
+            at = np.arange(len(x)), true
+            if not learn and x.max() < SAFE:  # exponentials that cannot overflow need no row's largest taken off
+                np.exp(x, out=spare)
+                sums = spare @ ones
+                if sums.min() > math.exp(-SAFE):
+                    own[a:a + BLOCK], total[a:a + BLOCK] = x[at], sums
+                    continue
+            x -= _row_max(x)
+            own[a:a + BLOCK] = x[at]
+            total[a:a + BLOCK] = np.exp(x, out=x) @ ones
         return own - np.log(total), e, total
 
     def _learn(self, table: int, rows: np.ndarray, e: np.ndarray, total: np.ndarray, truth: np.ndarray):
@@ -183,20 +202,32 @@ class Model:
         key, of = flat[order], order // 3
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         n = np.diff(np.append(first, len(key)))
-        grad = np.take(e, of[first], axis=0, mode="clip")  # rows that occur once are done; a second one is added, more are summed
-        two = np.flatnonzero(n == 2)
-        grad[two] += np.take(e, of[first[two] + 1], axis=0, mode="clip")
-        many = n > 2
-        if many.any():
-            starts = np.append(0, np.cumsum(n[many])[:-1])
-            grad[many] = np.add.reduceat(np.take(e, of[np.repeat(many, n)], axis=0), starts, axis=0)
-        at = key[first].astype(np.int64)
-        square, w = self.square[table], self.w[table]
-        square[at] += np.einsum("ij,ij->i", grad, grad) / WIDTH
-        grad *= (RATE / np.sqrt(square[at]))[:, None]
-        new = np.take(w, at, axis=0, mode="clip")
-        new -= grad
-        w[at] = new
+        # Rows that occur often come first, so that those with a k-th occurrence are the first so many.
+        by = np.argsort((LAYERS - np.minimum(n, LAYERS + 1) + 1).astype(np.uint8), kind="stable")
+        first, n = first[by], n[by]
+        at, square = key[first].astype(np.int64), self.square[table]
+        w = self.w[table].reshape(-1).view(np.dtype((np.void, 4 * WIDTH)))  # whole rows
+        for a in range(0, len(at), BLOCK):
+            f, m, mine = first[a:a + BLOCK], n[a:a + BLOCK], at[a:a + BLOCK]
+            grad, spare = self.spare[0, :len(f)], self.spare[1, :len(f)]
+            np.take(e, of[f], axis=0, mode="clip", out=grad)
+            many = int(np.count_nonzero(m > LAYERS))
+            for k in range(1, LAYERS):
+                live = int(np.count_nonzero(m > k))
+                if live == many:
+                    break
+                grad[many:live] += np.take(e, of[f[many:live] + k], axis=0, mode="clip", out=spare[many:live])
+            if many:
+                starts = np.append(0, np.cumsum(m[:many])[:-1])
+                each = np.repeat(f[:many] - starts, m[:many]) + np.arange(m[:many].sum())
+                grad[:many] = np.add.reduceat(np.take(e, of[each], axis=0, mode="clip"), starts, axis=0)
+            squares = square[mine] + np.einsum("ij,ij->i", grad, grad) / WIDTH
+            square[mine] = squares
+            grad *= (RATE / np.sqrt(squares))[:, None]
+            new = spare.reshape(-1).view(w.dtype)
+            np.take(w, mine, mode="clip", out=new)
+            spare -= grad
+            w[mine] = new
         self.steps[table, at] += n
 
     def log10(self, h: np.ndarray, before: np.ndarray, skip: np.ndarray, learn: bool = False):
@@ -215,13 +246,9 @@ class Model:
                     if not len(live):
                         break
                 node, branch = v.node[d, part[live]], v.branch[d, part[live]]
-                if d:
-                    own = mix(hashes[live] + (node.astype(np.uint64) * GOLD)[:, None])
-                    bias = np.take(v.bias, node, axis=0)
-                else:
-                    own, bias = hashes, v.bias[0]
+                own = mix(hashes[live] + (node.astype(np.uint64) * GOLD)[:, None]) if d else hashes
                 rows = (own >> SHIFT).astype(np.int64)
-                log_p, e, total = self._softmax(min(d, 1), rows, bias, branch)
+                log_p, e, total = self._softmax(min(d, 1), rows, node if d else None, branch, learn)
                 out[a + live] += log_p
                 if learn:
                     self._learn(min(d, 1), rows, e, total, branch)
@@ -239,9 +266,9 @@ def _local_counts(batches):
         h, n = np.append(h[often], START), np.append(n[often], size)
         return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
     for batch in batches:
-        for text in batch.column(0):
-            held.append(tokens(text.as_py()))
-            size += len(held[-1])
+        for t in tokens_of(batch.column(0).to_pylist()):
+            held.append(t)
+            size += len(t)
             if size >= CHUNK:
                 yield flush()
                 held, size = [], 0
@@ -281,8 +308,8 @@ def _scatter(hashes: np.ndarray, buckets: int):
                 [pa.array(bucket[first].astype(np.int32) if len(bucket) else [], pa.int32()),
                  pa.array(bodies, pa.binary())], names=["bucket", "body"])
         for batch in batches:
-            for doc_id, train, text in zip(*(c.to_pylist() for c in batch.columns)):
-                t = tokens(text)
+            doc_ids, trains, texts = (c.to_pylist() for c in batch.columns)
+            for doc_id, train, text, t in zip(doc_ids, trains, texts, tokens_of(texts)):
                 h, n = np.unique(t, return_counts=True)
                 place = vocabulary.place(h)
                 if train:
@@ -386,8 +413,9 @@ def _batched(batches, column: int):
     """Texts as token arrays, some STEPs of tokens together, with their rows."""
     held, rows, size = [], [], 0
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            held.append(tokens(row[column]))
+        columns = [c.to_pylist() for c in batch.columns]
+        for row, t in zip(zip(*columns), tokens_of(columns[column])):
+            held.append(t)
             rows.append(row)
             size += len(held[-1])
             if size >= 4 * STEP:

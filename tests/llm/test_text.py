@@ -675,6 +675,67 @@ def test_maxent_sums_to_one():
     assert abs((10 ** out).sum() - 1) < 1e-4
 
 
+def test_maxent_hashes_small_texts_together(monkeypatch):
+    """Small texts share the calls that hash them; each gets its own tokens."""
+    rng = random.Random(29)
+    texts = [None, b"", b" ", b"\n", b"A b", b"x" * 70000 + b" Y", None, b"a\0b \xc3\xa9", b"z " * 31000, b""]
+    texts += [prose(rng, 30).encode() for _ in range(400)]
+    want = [maxent.tokens(t) for t in texts]
+    calls, plain = [], common._hash_words
+
+    def counted(*args):
+        calls.append(1)
+        return plain(*args)
+    monkeypatch.setattr(common, "_hash_words", counted)
+    got = list(maxent.tokens_of(texts))
+    assert len(got) == len(want) and all(np.array_equal(a, b) for a, b in zip(got, want))
+    assert len(calls) < 20
+    assert list(maxent.tokens_of([])) == []
+
+
+@pytest.mark.parametrize("scale", [0.0, 1.0, 30.0, 500.0])
+def test_maxent_scores_with_weights_of_any_size(scale):
+    """Exponentials are taken as they are only where they neither overflow nor vanish."""
+    rng = np.random.default_rng(30)
+    h = maxent.mix(np.arange(1, 400, dtype=np.uint64))
+    v = maxent.Vocabulary(h, np.arange(400, 1, -1), 11)
+    m = maxent.Model(v, rng.normal(size=(2, maxent.ROWS, maxent.WIDTH)) * scale - scale)
+    n = 3 * maxent.BLOCK + 5
+    before, skip = rng.integers(0, 1 << 40, (2, n)).astype(np.uint64)
+    rows = (m.rows(before, skip) >> maxent.SHIFT).astype(np.int64)
+    node, truth = np.zeros(n, np.int32), rng.integers(0, maxent.WIDTH, n)
+    truth = np.where(np.isfinite(v.bias[0][truth]), truth, int(np.argmax(v.bias[0])))
+    x = (m.w[0][rows[:, 0]] + m.w[0][rows[:, 1]] + m.w[0][rows[:, 2]] + v.bias[0]).astype(np.float64)
+    top = x.max(1, keepdims=True)
+    want = x[np.arange(n), truth] - top[:, 0] - np.log(np.exp(x - top).sum(1))
+    for learn in (False, True):
+        for at in (None, node):
+            got = m._softmax(0, rows, at, truth, learn)[0]
+            assert np.allclose(got, want, rtol=1e-5, atol=1e-5)
+
+
+def test_maxent_gradient_step_adds_repeated_rows():
+    """Rows that occur once, a few times, LAYERS times and far more often in a step."""
+    rng = np.random.default_rng(31)
+    m = maxent.Model(maxent.Vocabulary(maxent.mix(np.arange(1, 80, dtype=np.uint64)), np.arange(80, 1, -1), 3),
+                     rng.normal(size=(2, maxent.ROWS, maxent.WIDTH)))
+    w, n = m.w[1].astype(np.float64), maxent.STEP
+    rows = np.minimum(rng.zipf(1.3, (n, 3)), maxent.ROWS) - 1
+    times = np.bincount(rows.ravel(), minlength=maxent.ROWS)
+    assert {1, 2, 3, maxent.LAYERS, maxent.LAYERS + 1} <= set(times) and (times > 0).sum() > maxent.BLOCK
+    e, truth = rng.random((n, maxent.WIDTH)).astype(np.float32), rng.integers(0, maxent.WIDTH, n)
+    total = e.sum(1)
+    each = e.astype(np.float64) / total[:, None]
+    each[np.arange(n), truth] -= 1
+    grad = np.zeros_like(w)
+    for k in range(3):
+        np.add.at(grad, rows[:, k], each)
+    m._learn(1, rows, e, total, truth)
+    square = 1 + (grad ** 2).sum(1) / maxent.WIDTH
+    assert np.allclose(m.w[1], w - maxent.RATE / np.sqrt(square)[:, None] * grad, atol=1e-4)
+    assert np.allclose(m.square[1], square, rtol=1e-3) and (m.steps[1] == times).all()
+
+
 @pytest.mark.parametrize("size", [1, 20, 31, 32, 33, 500, 3000])
 def test_maxent_tree_against_brute_force(size):
     """Paths, probabilities and one gradient step, node by node and feature by feature."""
