@@ -54,7 +54,6 @@ ROUNDS = 2
 STEP = 4096  # tokens of a gradient step
 RATE = 0.25
 BLOCK = 1024  # rows of WIDTH worked on at a time, so that they stay in the cache
-SAFE = 60.0  # a logit below this has a finite exponential, and a sum of WIDTH of them too
 LAYERS = 8  # occurrences of a row in a gradient step that are added one by one
 FAN = 32
 CHUNK = 1 << 21  # tokens counted at a time in a task
@@ -160,14 +159,14 @@ class Model:
         self.w = np.zeros((2, ROWS, WIDTH), np.float32) if weights is None else weights.astype(np.float32)
         self.square = np.full((2, ROWS), 1.0, np.float32)
         self.steps = np.zeros((2, ROWS), np.float32)
-        self.spare = np.empty((2, BLOCK, WIDTH), np.float32)
+        self.spare = np.empty((3, BLOCK, WIDTH), np.float32)
 
     @staticmethod
     def rows(before: np.ndarray, skip: np.ndarray) -> np.ndarray:
         """Hashes of the three features of each token: (tokens, 3)."""
         return np.stack([mix(before + ODD[0]), mix(before * ODD[1] + skip * ODD[2]), mix(skip + ODD[3])], 1)
 
-    def _softmax(self, table: int, rows: np.ndarray, node: np.ndarray | None, truth: np.ndarray, learn: bool):
+    def _softmax(self, table: int, rows: np.ndarray, node: np.ndarray | None, truth: np.ndarray):
         """The log probability of the true outcome of WIDTH at each token's node
         (None: the root; the bias is -inf where there is no outcome), and what
         the gradient is made of: all exponentials, their sums. BLOCK tokens at
@@ -182,15 +181,8 @@ class Model:
             for k in (1, 2):
                 x += np.take(w, row[:, k], axis=0, mode="clip", out=spare)
             x += biases[0] if node is None else np.take(biases, node[a:a + BLOCK], axis=0, mode="clip", out=spare)
-            at = np.arange(len(x)), true
-            if not learn and x.max() < SAFE:  # exponentials that cannot overflow need no row's largest taken off
-                np.exp(x, out=spare)
-                sums = spare @ ones
-                if sums.min() > math.exp(-SAFE):
-                    own[a:a + BLOCK], total[a:a + BLOCK] = x[at], sums
-                    continue
             x -= _row_max(x)
-            own[a:a + BLOCK] = x[at]
+            own[a:a + BLOCK] = x[np.arange(len(x)), true]
             total[a:a + BLOCK] = np.exp(x, out=x) @ ones
         return own - np.log(total), e, total
 
@@ -203,20 +195,22 @@ class Model:
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         n = np.diff(np.append(first, len(key)))
         # Rows that occur often come first, so that those with a k-th occurrence are the first so many.
-        by = np.argsort((LAYERS - np.minimum(n, LAYERS + 1) + 1).astype(np.uint8), kind="stable")
+        by = np.argsort((LAYERS + 1 - np.minimum(n, LAYERS + 1)).astype(np.uint8), kind="stable")
         first, n = first[by], n[by]
         at, square = key[first].astype(np.int64), self.square[table]
         w = self.w[table].reshape(-1).view(np.dtype((np.void, 4 * WIDTH)))  # whole rows
         for a in range(0, len(at), BLOCK):
             f, m, mine = first[a:a + BLOCK], n[a:a + BLOCK], at[a:a + BLOCK]
-            grad, spare = self.spare[0, :len(f)], self.spare[1, :len(f)]
+            grad, spare, rest = self.spare[:, :len(f)]
             np.take(e, of[f], axis=0, mode="clip", out=grad)
-            many = int(np.count_nonzero(m > LAYERS))
-            for k in range(1, LAYERS):
+            many, two = int(np.count_nonzero(m > LAYERS)), int(np.count_nonzero(m > 1))
+            np.take(e, of[f[many:two] + 1], axis=0, mode="clip", out=rest[many:two])
+            for k in range(2, LAYERS):
                 live = int(np.count_nonzero(m > k))
                 if live == many:
                     break
-                grad[many:live] += np.take(e, of[f[many:live] + k], axis=0, mode="clip", out=spare[many:live])
+                rest[many:live] += np.take(e, of[f[many:live] + k], axis=0, mode="clip", out=spare[many:live])
+            grad[many:two] += rest[many:two]
             if many:
                 starts = np.append(0, np.cumsum(m[:many])[:-1])
                 each = np.repeat(f[:many] - starts, m[:many]) + np.arange(m[:many].sum())
@@ -248,7 +242,7 @@ class Model:
                 node, branch = v.node[d, part[live]], v.branch[d, part[live]]
                 own = mix(hashes[live] + (node.astype(np.uint64) * GOLD)[:, None]) if d else hashes
                 rows = (own >> SHIFT).astype(np.int64)
-                log_p, e, total = self._softmax(min(d, 1), rows, node if d else None, branch, learn)
+                log_p, e, total = self._softmax(min(d, 1), rows, node if d else None, branch)
                 out[a + live] += log_p
                 if learn:
                     self._learn(min(d, 1), rows, e, total, branch)

@@ -695,7 +695,7 @@ def test_maxent_hashes_small_texts_together(monkeypatch):
 
 @pytest.mark.parametrize("scale", [0.0, 1.0, 30.0, 500.0])
 def test_maxent_scores_with_weights_of_any_size(scale):
-    """Exponentials are taken as they are only where they neither overflow nor vanish."""
+    """Exponentials neither overflow nor vanish, at the root or at given nodes, in whole blocks or parts."""
     rng = np.random.default_rng(30)
     h = maxent.mix(np.arange(1, 400, dtype=np.uint64))
     v = maxent.Vocabulary(h, np.arange(400, 1, -1), 11)
@@ -708,21 +708,19 @@ def test_maxent_scores_with_weights_of_any_size(scale):
     x = (m.w[0][rows[:, 0]] + m.w[0][rows[:, 1]] + m.w[0][rows[:, 2]] + v.bias[0]).astype(np.float64)
     top = x.max(1, keepdims=True)
     want = x[np.arange(n), truth] - top[:, 0] - np.log(np.exp(x - top).sum(1))
-    for learn in (False, True):
-        for at in (None, node):
-            got = m._softmax(0, rows, at, truth, learn)[0]
-            assert np.allclose(got, want, rtol=1e-5, atol=1e-5)
+    for at in (None, node):
+        assert np.allclose(m._softmax(0, rows, at, truth)[0], want, rtol=1e-5, atol=1e-5)
 
 
 def test_maxent_gradient_step_adds_repeated_rows():
-    """Rows that occur once, a few times, LAYERS times and far more often in a step."""
+    """Rows that occur once, twice, a few times and far more often in a step."""
     rng = np.random.default_rng(31)
     m = maxent.Model(maxent.Vocabulary(maxent.mix(np.arange(1, 80, dtype=np.uint64)), np.arange(80, 1, -1), 3),
                      rng.normal(size=(2, maxent.ROWS, maxent.WIDTH)))
     w, n = m.w[1].astype(np.float64), maxent.STEP
     rows = np.minimum(rng.zipf(1.3, (n, 3)), maxent.ROWS) - 1
     times = np.bincount(rows.ravel(), minlength=maxent.ROWS)
-    assert {1, 2, 3, maxent.LAYERS, maxent.LAYERS + 1} <= set(times) and (times > 0).sum() > maxent.BLOCK
+    assert {1, 2, 3, maxent.LAYERS, maxent.LAYERS + 1} <= set(times) and times.max() > 999 and (times > 0).sum() > maxent.BLOCK
     e, truth = rng.random((n, maxent.WIDTH)).astype(np.float32), rng.integers(0, maxent.WIDTH, n)
     total = e.sum(1)
     each = e.astype(np.float64) / total[:, None]
