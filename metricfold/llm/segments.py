@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from metricfold.llm.common import GOLD, Scratch, bounded, fresh_name, mix, prepare, word_hashes, word_spans
+from metricfold.llm.common import GOLD, Scratch, blocks_of, bounded, fresh_name, mix, prepare, word_hashes, word_spans
 
 SPREAD = 6
 MIN_WORDS = 8
@@ -122,24 +122,39 @@ def _line_cuts(h: np.ndarray, first: np.ndarray, spread: int) -> np.ndarray:
     return np.flatnonzero((_least(h, spread) & inside) | first)
 
 
-def _grams(h: np.ndarray, odd: np.uint64) -> np.ndarray:
-    """A digest of the MIN_WORDS words from each word on."""
-    n = len(h) - MIN_WORDS + 1
+class _Words:
+    """The words of texts that are worked on at once, each on lines of its own."""
+
+    def __init__(self, texts: list[bytes]):
+        self.text = b"\n".join(texts)
+        self.begin = np.cumsum([0] + [len(t) + 1 for t in texts])  # the byte at which each text begins
+        self.start, self.end = word_spans(self.text)
+        self.hash = word_hashes(self.text, (self.start, self.end))
+        self.bounds = np.searchsorted(self.start, self.begin)  # the words before each text, and all
+        self.owner = np.repeat(np.arange(len(texts)), np.diff(self.bounds))
+
+    def units(self) -> tuple[np.ndarray, np.ndarray]:
+        """The first word of each unit of MIN_WORDS words or more, and the one after its last."""
+        cut = _line_cuts(self.hash, _line_starts(self.text, self.start), SPREAD)
+        stop = np.append(cut[1:], len(self.hash))
+        keep = stop - cut >= MIN_WORDS
+        return cut[keep], stop[keep]
+
+    def characters(self, owner: np.ndarray, *offsets: np.ndarray) -> list[np.ndarray]:
+        """Byte offsets as character offsets in the text that owns them."""
+        begin, *offsets = _characters(self.text, self.begin[:-1], *offsets)
+        return [x - begin[owner] for x in offsets]
+
+
+def _grams(h: np.ndarray, odd: np.uint64, at: np.ndarray) -> np.ndarray:
+    """Digests of the MIN_WORDS words from each of the words ``at`` on."""
     places = np.arange(1, MIN_WORDS + 1, dtype=np.uint64) * odd
-    total = np.zeros(n, np.uint64)
+    total = np.zeros(len(at), np.uint64)
     for i in range(MIN_WORDS):
-        total += mix(h[i:i + n] + places[i])
+        total += mix(h[at + i] + places[i])
     return mix(total + np.uint64(MIN_WORDS))
 
 
-def _unit_words(text: bytes, h: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first word of each unit of MIN_WORDS words or more, and the one after its last."""
-    cut = _line_cuts(h, _line_starts(text, start), SPREAD)
-    stop = np.append(cut[1:], len(h))
-    keep = stop - cut >= MIN_WORDS
-    return cut[keep], stop[keep]
-
-
 def _sliding(x: np.ndarray, size: int, pick) -> np.ndarray:
     """np.minimum or np.maximum of every ``size`` neighbours."""
     have = 1
@@ -150,83 +165,106 @@ def _sliding(x: np.ndarray, size: int, pick) -> np.ndarray:
     return x
 
 
-def anchors(text: bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words at which the anchors of a text begin, the anchors' hashes and
-    those of the links to the next (for the last one, to nothing)."""
-    h = word_hashes(text)
-    n = len(h) - MIN_WORDS + 1
-    if n < 1:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
-    g = _grams(h, _ODD[0])
-    size = min(NEAR, n)
-    edge = np.zeros(size - 1, np.uint64)
-    least = _sliding(g, size, np.minimum)
-    chosen = _sliding(np.concatenate([edge, least, edge]), size, np.maximum) == g  # the least of some NEAR grams
-    chosen[_unit_words(text, h, word_spans(text)[0])[0]] = True
-    at = np.flatnonzero(chosen)
-    g = g[at]
-    place = np.arange(at[0], len(h)) - np.repeat(at, np.diff(np.append(at, len(h)))) + 1
-    link = np.add.reduceat(mix(h[at[0]:] + place.astype(np.uint64) * _ODD[1]), at - at[0])
-    return at, g, mix(link + np.append(g[1:], GOLD) * _ODD[0])
+def _chosen(g: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Which grams are the least of some NEAR neighbours in their text, or of all if it has fewer."""
+    first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+    n = np.diff(np.append(first, len(g)))
+    out = (np.repeat(n, n) < NEAR) & (g == np.repeat(np.minimum.reduceat(g, first), n))
+    if len(g) >= NEAR:
+        edge = np.zeros(NEAR - 1, np.uint64)
+        least = _sliding(g, NEAR, np.minimum)
+        least[owner[NEAR - 1:] != owner[:len(least)]] = 0
+        out |= _sliding(np.concatenate([edge, least, edge]), NEAR, np.maximum) == g
+    return out
+
+
+def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the anchors of texts: the text, the word of it at which they begin, their
+    hashes and those of the links to the next (for the last one, to nothing)."""
+    w = _Words(texts)
+    h = w.hash
+    grams = np.flatnonzero(w.owner[MIN_WORDS - 1:] == w.owner[:max(len(h) - MIN_WORDS + 1, 0)])
+    if not len(grams):
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+    g = np.zeros(len(h), np.uint64)
+    g[grams] = _grams(h, _ODD[0], grams)
+    here = np.zeros(len(h), bool)
+    here[grams] = _chosen(g[grams], w.owner[grams])
+    here[w.units()[0]] = True
+    at = np.flatnonzero(here)
+    g, owner = g[at], w.owner[at]
+    size = np.diff(np.append(at, len(h)))
+    place = np.arange(at[0], len(h)) - np.repeat(at, size) + 1
+    terms = mix(h[at[0]:] + place.astype(np.uint64) * _ODD[1])
+    terms[w.owner[at[0]:] != np.repeat(owner, size)] = 0  # a text's words before its first anchor
+    after = np.append(np.where(owner[1:] == owner[:-1], g[1:], GOLD), GOLD)
+    return owner, at - w.bounds[owner], g, mix(np.add.reduceat(terms, at - at[0]) + after * _ODD[0])
 
 
 def _emit_anchors(batches):
     for batch in batches:
-        found = [anchors(t.as_py()) for t in batch.column(1)]
-        owner = np.repeat(np.arange(len(found)), [len(x[0]) for x in found])
-        at, g, link = (np.concatenate([x[i] for x in found] + [np.empty(0, kind)])
-                       for i, kind in enumerate((np.int64, np.uint64, np.uint64)))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(owner)), pa.array(at.astype(np.int32)), pa.array(g.view(np.int64)),
-             pa.array(link.view(np.int64))], names=["key", "at", "g", "link"])
-
-
-def pieces(text: bytes, at: np.ndarray, copies: np.ndarray, links: np.ndarray):
-    """Arrays (at, words, start, stop, edge, digest, digest) of the chains of a
-    text and the grams near their ends, from its repeated anchors and the copies
-    of them and of their links. edge: whether a unit begins or ends with it."""
-    h = word_hashes(text)
-    n = len(h) - MIN_WORDS + 1
-    on = (copies[:-1] == copies[1:]) & (links[:-1] == copies[:-1])  # goes on to the next anchor
-    head, tail = at[np.append(True, ~on)], at[np.append(~on, True)]
-    opens = np.zeros(n + 1, np.int64)
-    for x in (head, tail):
-        outer = (np.maximum(x - NEAR + 1, 0), x + 1) if x is head else (x, np.minimum(x + NEAR, n))
-        np.add.at(opens, outer[0], 1)
-        np.add.at(opens, outer[1], -1)
-    grams = np.flatnonzero(np.cumsum(opens[:-1]) > 0)
+        done = 0
+        for texts in blocks_of(batch.column(1).to_pylist()):
+            owner, at, g, link = anchors(texts)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(owner + done)), pa.array(at.astype(np.int32)),
+                 pa.array(g.view(np.int64)), pa.array(link.view(np.int64))], names=["key", "at", "g", "link"])
+            done += len(texts)
+
+
+def pieces(texts: list[bytes], owner: np.ndarray, at: np.ndarray, copies: np.ndarray, links: np.ndarray):
+    """Arrays (text, at, words, start, stop, edge, digest, digest) of the chains of
+    texts and the grams near their ends, from the repeated anchors, in order, and the
+    copies of them and of their links. edge: whether a unit begins or ends with it."""
+    w = _Words(texts)
+    h = w.hash
+    on = (copies[:-1] == copies[1:]) & (links[:-1] == copies[:-1]) & (owner[:-1] == owner[1:])  # goes on to the next
+    heads, tails = np.append(True, ~on), np.append(~on, True)
+    at = at + w.bounds[owner]
+    begin, stop = w.bounds[owner], w.bounds[owner + 1] - MIN_WORDS + 1  # of the text's grams
+    head, tail = at[heads], at[tails]
+    opens = np.bincount(np.concatenate([np.maximum(head - NEAR + 1, begin[heads]), tail]), minlength=len(h) + 1) \
+        - np.bincount(np.concatenate([head + 1, np.minimum(tail + NEAR, stop[tails])]), minlength=len(h) + 1)
+    grams = np.flatnonzero(np.cumsum(opens) > 0)
     long = tail > head
-    head, tail = head[long], tail[long]
+    head, size = head[long], (tail - head)[long] + MIN_WORDS
     first = np.concatenate([grams, head])
-    words = np.concatenate([np.full(len(grams), MIN_WORDS), tail + MIN_WORDS - head])
+    words = np.concatenate([np.full(len(grams), MIN_WORDS), size])
+    offset = np.cumsum(size) - size
+    place = np.arange(1, size.sum() + 1) - np.repeat(offset, size)
+    chained, place = h[place + np.repeat(head - 1, size)], place.astype(np.uint64)
     digests = []
     for p in _ODD:
-        total = np.empty(len(head), np.uint64)
-        for i, (a, b) in enumerate(zip(head, tail + MIN_WORDS)):
-            total[i] = mix(h[a:b] + np.arange(1, b - a + 1, dtype=np.uint64) * p).sum()
-        total = mix(total + (tail + MIN_WORDS - head).astype(np.uint64))
-        digests.append(np.concatenate([_grams(h, p)[grams], total]).view(np.int64))
-    start, end = word_spans(text)
-    opening, closing = _unit_words(text, h, start)
-    edge = np.zeros(n, bool)
+        total = np.add.reduceat(mix(chained + place * p), offset) if len(head) else np.empty(0, np.uint64)
+        digests.append(np.concatenate([_grams(h, p, grams), mix(total + size.astype(np.uint64))]).view(np.int64))
+    opening, closing = w.units()
+    edge = np.zeros(len(h), bool)
     edge[opening] = edge[closing - MIN_WORDS] = True
-    a, b = _characters(text, start[first], end[first + words - 1])
-    return first, words, a, b, edge[first], *digests
+    whose = w.owner[first]
+    a, b = w.characters(whose, w.start[first], w.end[first + words - 1])
+    return whose, first - w.bounds[whose], words, a, b, edge[first], *digests
 
 
 def _emit_pieces(batches):
     for batch in batches:
-        for i in range(batch.num_rows):
-            near = batch.column(3)[i].values
-            at, copies, links = (near.field(c).to_numpy() for c in ("at", "copies", "links"))
-            order = np.argsort(at, kind="stable")
-            order = order[np.append(True, np.diff(at[order]) > 0)]  # equal rows of one doc_id share them
-            got = pieces(batch.column(2)[i].as_py(), at[order].astype(np.int64), copies[order], links[order])
-            rows = pa.array(np.full(len(got[0]), i))
+        near = batch.column(3)
+        count = np.diff(near.offsets.to_numpy())
+        at, copies, links = (near.flatten().field(c).to_numpy() for c in ("at", "copies", "links"))
+        owner = np.repeat(np.arange(batch.num_rows), count)
+        order = np.lexsort((at, owner))
+        same = (np.diff(at[order]) == 0) & (np.diff(owner[order]) == 0)
+        order = order[np.append(True, ~same)[:len(order)]]  # equal rows of one doc_id share them
+        owner, at, copies, links = (x[order] for x in (owner, at, copies, links))
+        done = 0
+        for texts in blocks_of(batch.column(2).to_pylist()):
+            mine = slice(*np.searchsorted(owner, (done, done + len(texts))))
+            whose, *got = pieces(texts, owner[mine] - done, at[mine], copies[mine], links[mine])
+            rows = pa.array(whose + done)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(rows), batch.column(1).take(rows)]
                 + [pa.array(x if x.dtype == bool else x.astype(np.int64)) for x in got],
                 names=["doc_id", "key", "at", "words", "start", "stop", "edge", "d1", "d2"])
+            done += len(texts)
 
 
 def _emit(batches):
@@ -311,19 +349,19 @@ def _spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     "first_doc", "copies"), "repeats"))
         scratch.drop(ahead)
     scratch.drop(parts)
-    # One shuffle serves distinct rows and windows.
-    again = reduce(DataFrame.unionAll, repeats).repartition("doc_id", "key").distinct()
+    # Keys are worked on once, so (key, at, end) is unique. One shuffle and sort serve all windows.
+    again = reduce(DataFrame.unionAll, repeats)
     order = Window.partitionBy("doc_id", "key").orderBy("at", "end")
     past = order.rowsBetween(Window.unboundedPreceding, -1)
-    opens = F.coalesce(F.col("at") > F.max("end").over(past), F.lit(True)).cast("long")
-    run = F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    again = again.withColumn("opens", opens).withColumn("run", run)
-    inner = Window.partitionBy("doc_id", "key", "run").orderBy("at", "end")
-    for side in (F.lag, F.lead):  # an end is a gram with nothing on one side
-        for c in ("at", "copies"):
-            again = again.withColumn(f"{side.__name__}_{c}", side(c).over(inner))
-    chance = F.expr("not edge and (lag_at is null and lead_at = at + 1 and lead_copies > 2 * copies "
-                    "or lead_at is null and lag_at = at - 1 and lag_copies > 2 * copies)")
+    beside = {f"{side.__name__}_{c}": side(c).over(order) for side in (F.lag, F.lead) for c in ("at", "copies")}
+    again = again.withColumns({"past": F.max("end").over(past), **beside}) \
+        .withColumn("opens", F.coalesce(F.col("at") > F.col("past"), F.lit(True)))
+    again = again.withColumns({
+        "run": F.sum(F.col("opens").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)),
+        "closes": F.coalesce(F.lead("opens").over(order), F.lit(True))})
+    # An end is a gram with nothing of its run on one side.
+    chance = F.expr("not edge and (opens and not closes and lead_at = at + 1 and lead_copies > 2 * copies "
+                    "or closes and not opens and lag_at = at - 1 and lag_copies > 2 * copies)")
     return again.where(~F.coalesce(chance, F.lit(False))) \
         .groupBy("doc_id", "key", "run").agg(
             F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("n_units"),

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -331,6 +332,65 @@ def test_segments_disk_holds_one_pass(spark, monkeypatch):
     assert spark.conf.get(common.TIDY, None) is None
 
 
+def test_segments_small_texts_are_hashed_together(monkeypatch):
+    """A batch of small texts costs few calls, and gives what each text gives alone."""
+    calls = []
+
+    def counting(x):
+        calls.append(len(x))
+        return common_mix(x)
+    common_mix = common.mix
+    rng = random.Random(29)
+    shared = prose(rng, 90).split()
+    texts = [None, "", "a b", " \n ", " ".join(shared), "x " * 60]
+    for i in range(200):
+        a = rng.randrange(60)
+        words = prose(rng, rng.randint(0, 9)).split() + shared[a:a + rng.randint(0, 50)] + [f"ß{i}"] * rng.randint(0, 12)
+        texts.append("".join(w + rng.choice(" " * 9 + "\n") for w in words) if i % 9 else prose(rng, rng.randint(1, 40)))
+    texts.append(prose(rng, 20_000) + " " + " ".join(shared))  # more than a block
+    texts.append(" ".join(shared[5:]))
+    encoded = [t if t is None else t.encode() for t in texts]
+
+    def run(emit, batch):
+        calls.clear()
+        whole = pa.Table.from_batches(list(emit([batch]))).to_pylist()
+        together = len(calls)
+        alone = [r for i in range(batch.num_rows)
+                 for found in emit([batch.slice(i, 1)]) for r in found.to_pylist()]
+        order = lambda r: tuple(r.values())
+        assert sorted(whole, key=order) == sorted(alone, key=order) != []
+        assert together < batch.num_rows / 2
+        return whole
+    monkeypatch.setattr(segments, "mix", counting)
+    keys = pa.array(range(len(texts)), pa.int64())
+    found = run(segments._emit_anchors, pa.RecordBatch.from_arrays(
+        [keys, pa.array(encoded, pa.binary())], names=["key", "text"]))
+    copies, links = Counter(r["g"] for r in found), Counter(r["link"] for r in found)
+    near = {}
+    for r in found:
+        if copies[r["g"]] > 1:
+            near.setdefault(r["key"], []).insert(0, {"at": r["at"], "copies": copies[r["g"]], "links": links[r["link"]]})
+    kind = pa.list_(pa.struct([("at", pa.int32()), ("copies", pa.int64()), ("links", pa.int64())]))
+    ids = pa.array(sorted(near), pa.int64())
+    got = run(segments._emit_pieces, pa.RecordBatch.from_arrays(
+        [ids, ids, pa.array([encoded[i] for i in sorted(near)], pa.binary()),
+         pa.array([near[i] for i in sorted(near)], kind)], names=["doc_id", "key", "text", "near"]))
+    assert len({(r["key"], r["at"], r["words"]) for r in got}) == len(got)
+    same = {}
+    for r in got:  # offsets count characters; equal digests are equal words
+        words = words_ws(texts[r["doc_id"]][r["start"]:r["stop"]])
+        assert len(words) == r["words"]
+        assert words_ws(texts[r["doc_id"]])[r["at"]:r["at"] + r["words"]] == words
+        assert same.setdefault((r["d1"], r["d2"]), words) == words
+    assert len(set(map(tuple, same.values()))) == len(same)
+
+
+def test_segments_sort_once(spark, docs):
+    """One sort serves the windows over the repeats, which are distinct as they come."""
+    plan = segments.repeated_spans(docs)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Window ") >= 1 and plan.count("Sort [") == 1
+
+
 def test_segments_spans_hold_the_units(docs):
     """What whole units find is in the spans."""
     spans = segments.repeated_spans(docs).collect()
