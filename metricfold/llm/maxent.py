@@ -20,8 +20,10 @@ at most FAN per group. Scoring is sparse: a batch gathers only its own rows.
 
 Counts are exact and distributed. Vocabulary tokens are counted where they
 stand. The others travel as packed (token hash, document, number) arrays to the
-bucket of their hash, which counts them; the documents' sums of log10(c + 1)
-return packed as well and are added up for each document. Only the vocabulary
+bucket of their hash, which counts them, a range of hashes after the other; the
+documents' sums of log10(c + 1) return packed as well and are added up for each
+document. The arrays are of PIECE pairs at most and reach a task BATCH_BYTES at a
+time, so that a bucket is whole in its task alone, once and packed. Only the vocabulary
 (about 100 bytes a token, for half the square root of the corpus), the weights (of
 fixed size) and totals reach the driver. Which tokens make up the vocabulary is
 decided by sums over the chunks of a task in which a token occurs OFTEN times or
@@ -36,6 +38,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +53,7 @@ WIDTH = 32
 OFTEN = 4  # in a chunk of CHUNK tokens; in proportion in a smaller one
 ROWS = 1 << 16  # hashed rows of weights, for the root and for all other nodes
 SHIFT = np.uint64(64 - 16)
+LOW, MASK = np.uint64(32), np.uint64((1 << 32) - 1)
 ROUNDS = 2
 STEP = 4096  # tokens of a gradient step
 RATE = 0.25
@@ -58,6 +62,9 @@ LAYERS = 8  # occurrences of a row in a gradient step that are added one by one
 FAN = 32
 CHUNK = 1 << 21  # tokens counted at a time in a task
 BUCKET_BYTES = 32 << 20  # of text for each bucket of tokens
+PAIRS = 1 << 18  # (token, document) worked on at a time
+PIECE = 1 << 13  # of them in one row
+BATCH_BYTES = 2 << 20  # of such rows that Spark and its Python workers hand over at a time
 TASK_BYTES = 16 << 20  # of text for each training task at least, as each leaves weights of fixed size
 BLOCK_ROWS = 2048  # rows of weights in one row of the tree
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
@@ -280,6 +287,10 @@ def _scatter(hashes: np.ndarray, buckets: int):
     one row (-1, counts of the vocabulary in training texts)."""
     vocabulary = Places(hashes)
 
+    def batch_of(found, bodies):
+        return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(bodies, pa.binary())],
+                                          names=["bucket", "body"])
+
     def run(batches):
         counts = np.zeros(len(hashes), np.int64)
         held, size = [], 0
@@ -293,14 +304,20 @@ def _scatter(hashes: np.ndarray, buckets: int):
             order = np.argsort(bucket, kind="stable")
             bucket, h, n, key = bucket[order], h[order], (n.astype(np.uint32) * 2 + train)[order], key[order]
             first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
-            bodies = []
+            found, bodies, large = [], [], 0
             for a, b in zip(first, np.append(first[1:], len(bucket)).astype(int)):
-                docs, at = np.unique(key[a:b], return_inverse=True)
-                bodies.append(np.int64(len(docs)).tobytes() + np.int64(b - a).tobytes() + docs.tobytes()
-                              + h[a:b].tobytes() + at.astype(np.uint32).tobytes() + n[a:b].tobytes())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(bucket[first].astype(np.int32) if len(bucket) else [], pa.int32()),
-                 pa.array(bodies, pa.binary())], names=["bucket", "body"])
+                for i in range(a, b, PIECE):
+                    j = min(i + PIECE, b)
+                    docs, at = np.unique(key[i:j], return_inverse=True)
+                    found.append(int(bucket[a]))
+                    bodies.append(np.int64(len(docs)).tobytes() + np.int64(j - i).tobytes() + docs.tobytes()
+                                  + h[i:j].tobytes() + at.astype(np.uint32).tobytes() + n[i:j].tobytes())
+                    large += len(bodies[-1])
+                    if large >= BATCH_BYTES:
+                        yield batch_of(found, bodies)
+                        found, bodies, large = [], [], 0
+            if found:
+                yield batch_of(found, bodies)
         for batch in batches:
             doc_ids, trains, texts = (c.to_pylist() for c in batch.columns)
             for doc_id, train, text, t in zip(doc_ids, trains, texts, tokens_of(texts)):
@@ -311,13 +328,12 @@ def _scatter(hashes: np.ndarray, buckets: int):
                 rest = place < 0
                 held.append((h[rest], n[rest], row_key(doc_id, text), train))
                 size += int(rest.sum())
-                if size >= CHUNK:
-                    yield flush()
+                if size >= 2 * PAIRS:
+                    yield from flush()
                     held, size = [], 0
         if size:
-            yield flush()
-        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([counts.tobytes()], pa.binary())],
-                                         names=["bucket", "body"])
+            yield from flush()
+        yield batch_of([-1], [counts.tobytes()])
     return run
 
 
@@ -334,6 +350,25 @@ def unpack(body: bytes):
     return key, h, owner, n >> 1, (n & 1).astype(bool)
 
 
+def _merged(bodies: list[bytes]):
+    """Some bodies as one: arrays as of ``unpack``."""
+    found = [unpack(b) for b in bodies]
+    base = np.cumsum([0] + [len(p[0]) for p in found])
+    key, h, owner, n, train = zip(*found)
+    owner = [x + np.uint32(b) for x, b in zip(owner, base)]
+    return tuple(np.concatenate(x) for x in (key, h, owner, n, train))
+
+
+def _by_range(block, parts: int, ranges: int):
+    """A block of a bucket of ``parts``, its pairs in ``ranges`` of the bucket's
+    hashes, else in their order; and the bounds of the ranges."""
+    key, h, owner, n, train = block
+    at = ((((h >> LOW) * np.uint64(parts)) & MASK) * np.uint64(ranges) >> LOW).astype(np.uint32)
+    order = np.argsort(at, kind="stable")
+    ends = np.append(0, np.cumsum(np.bincount(at, minlength=ranges)))
+    return key, h[order], owner[order], n[order], train[order], ends
+
+
 def _tally(parts: int):
     """Rows (part, body, place, tokens, kinds): for each of ``parts`` groups of
     documents their sums of log10(c + 1) and tokens with c > 0, packed; for a
@@ -342,29 +377,36 @@ def _tally(parts: int):
     schema = pa.schema([("part", pa.int32()), ("body", pa.binary()), ("place", pa.int64()),
                         ("tokens", pa.int64()), ("kinds", pa.int64())])
 
-    def finish(bodies):
-        found = [unpack(b) for b in bodies]
-        base = np.cumsum([0] + [len(p[0]) for p in found])
-        key = np.concatenate([p[0] for p in found])
-        h = np.concatenate([p[1] for p in found])
-        owner = np.concatenate([p[2].astype(np.int64) + b for p, b in zip(found, base)])
-        n = np.concatenate([p[3] for p in found]).astype(np.int64)
-        train = np.concatenate([p[4] for p in found])
-        _, token = np.unique(h, return_inverse=True)
-        c = np.bincount(token, np.where(train, n, 0))
-        mine = c[token]
-        logs = np.bincount(owner, n * np.log10(mine + 1), minlength=len(key))
-        known = np.bincount(owner, np.where(mine > 0, n, 0), minlength=len(key)).astype(np.int64)
+    def finish(blocks):
+        # Ranges of the bucket's hashes, in turn: each block's pairs range by range.
+        ranges = -(-sum(len(b[1]) for b in blocks) // PAIRS)
+        for i, b in enumerate(blocks):
+            blocks[i] = _by_range(b, parts, ranges)
+        base = np.cumsum([0] + [len(b[0]) for b in blocks])
+        logs, known, tokens, kinds = np.zeros(base[-1]), np.zeros(base[-1], np.int64), 0, 0
+        for k in range(ranges):
+            mine = [[x[b[5][k]:b[5][k + 1]] for x in b[1:5]] for b in blocks]
+            h = np.concatenate([x[0] for x in mine])
+            owner = np.concatenate([x[1].astype(np.int64) + a for x, a in zip(mine, base)])
+            n = np.concatenate([x[2] for x in mine]).astype(np.int64)
+            train = np.concatenate([x[3] for x in mine])
+            _, token = np.unique(h, return_inverse=True)
+            c = np.bincount(token, np.where(train, n, 0))
+            count = c[token]
+            np.add.at(logs, owner, n * np.log10(count + 1))
+            np.add.at(known, owner, np.where(count > 0, n, 0))
+            tokens, kinds = tokens + int(c.sum()), kinds + int((c > 0).sum())
+        key = np.concatenate([b[0] for b in blocks])
         part = ((key >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         order = np.argsort(part, kind="stable")
         part, key, logs, known = part[order], key[order], logs[order], known[order]
         first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
         for a, b in zip(first, np.append(first[1:], len(part)).astype(int)):
             yield {"part": int(part[a]), "body": key[a:b].tobytes() + logs[a:b].tobytes() + known[a:b].tobytes()}
-        yield {"tokens": int(c.sum()), "kinds": int((c > 0).sum())}
+        yield {"tokens": tokens, "kinds": kinds}
 
     def run(batches):
-        bucket, bodies = None, []
+        bucket, blocks, bodies, size = None, [], [], 0
         for batch in batches:
             for b, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if b == -1:
@@ -372,13 +414,17 @@ def _tally(parts: int):
                     yield pa.RecordBatch.from_pylist(
                         [{"place": i, "tokens": int(n)} for i, n in enumerate(counts)], schema)
                     continue
-                if b != bucket and bodies:
-                    yield pa.RecordBatch.from_pylist(list(finish(bodies)), schema)
-                    bodies = []
+                if bodies and (b != bucket or size >= PAIRS):
+                    blocks.append(_merged(bodies))
+                    bodies, size = [], 0
+                if b != bucket and blocks:
+                    yield pa.RecordBatch.from_pylist(list(finish(blocks)), schema)
+                    blocks = []
                 bucket = b
                 bodies.append(body)
+                size += int(np.frombuffer(body, np.int64, 1, 8)[0])
         if bodies:
-            yield pa.RecordBatch.from_pylist(list(finish(bodies)), schema)
+            yield pa.RecordBatch.from_pylist(list(finish([*blocks, _merged(bodies)])), schema)
     return run
 
 
@@ -492,6 +538,20 @@ def _score(shared):
     return run
 
 
+@contextmanager
+def _small_batches(spark):
+    """Arrow batches of BATCH_BYTES or so for Python, if the session sets no bytes."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    unset = spark.conf.get(key, None) is None
+    if unset:
+        spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if unset:
+            spark.conf.unset(key)
+
+
 def held_out(id_col: str):
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
 
@@ -520,9 +580,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     buckets = int(max(1, -(-letters // BUCKET_BYTES)))
     packed = rows.select("doc", (~F.col("held_out")).alias("train"), "text") \
         .mapInArrow(_scatter(hashes, buckets), "bucket int, body binary")
-    tally = scratch.table(
-        packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-        .mapInArrow(_tally(buckets), "part int, body binary, place long, tokens long, kinds long"), "tally")
+    with _small_batches(spark):
+        tally = scratch.table(
+            packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+            .mapInArrow(_tally(buckets), "part int, body binary, place long, tokens long, kinds long"), "tally")
     counts = np.zeros(len(hashes), np.int64)
     for r in tally.where("place is not null").groupBy("place").agg(F.sum("tokens").alias("n")).collect():
         counts[r["place"]] = r["n"]  # one row for each token of the vocabulary

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -863,6 +864,89 @@ def test_maxent_vocabulary_grows_with_the_input():
     assert scores[0] < scores[1] < scores[2]
 
 
+def test_maxent_packs_rare_tokens_in_small_rows():
+    """Rows and batches of packed tokens stay small, and hold each (token, document) once, however many there are."""
+    rng = np.random.default_rng(33)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 30, 60000)).encode() for _ in range(10)] + [None, b"a A b"]
+    ids, trains = [str(i) for i in range(len(texts))], [i % 3 > 0 for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(trains), pa.array(texts, pa.binary())], names=["a", "b", "c"])
+    some = maxent.tokens(b"a")
+    out = list(maxent._scatter(some, 2)(iter([batch])))
+    rows = [r for b in out for r in b.to_pylist()]
+    assert max(b.nbytes for b in out) < 4 << 20 and max(len(r["body"]) for r in rows) < 1 << 19
+    assert [r["bucket"] for r in rows].count(-1) == 1
+    got = Counter()
+    for r in rows:
+        if r["bucket"] >= 0:
+            key, h, owner, n, train = maxent.unpack(r["body"])
+            assert (h >> np.uint64(63) == r["bucket"]).all()
+            got.update(zip(key[owner].tolist(), h.tolist(), n.tolist(), train.tolist()))
+    want = Counter()
+    for i, train, text in zip(ids, trains, texts):
+        h, n = np.unique(maxent.tokens(text), return_counts=True)
+        rest = ~np.isin(h, some)
+        key = maxent.row_key(i, text)
+        want.update((key, x, k, train) for x, k in zip(h[rest].tolist(), n[rest].tolist()))
+    assert got == want
+
+
+def test_maxent_counts_a_large_bucket_in_little_memory():
+    """Two buckets in one task, one of 2 million (token, document): sums as by brute force, and little beside the packed rows."""
+    rng, rows, pairs = np.random.default_rng(34), [], []
+    for bucket, bodies in ((0, 256), (1, 3)):
+        for i in range(bodies):
+            key = np.sort(rng.integers(0, 1 << 63, 50).astype(np.uint64)) + np.uint64(i)
+            if i % 100 == 1:
+                key = pairs[-1][1]  # documents that go on in another row
+            h = maxent.mix(rng.integers(1, 600000, 8192).astype(np.uint64)) >> np.uint64(1) | np.uint64(bucket << 63)
+            owner, n = np.sort(rng.integers(0, 50, 8192)).astype(np.uint32), rng.integers(2, 9, 8192).astype(np.uint32)
+            rows.append((bucket, np.int64([50, 8192]).tobytes() + key.tobytes() + h.tobytes() + owner.tobytes() + n.tobytes()))
+            pairs.append((bucket, key, h, owner, n))
+    rows.insert(0, (-1, np.arange(3).tobytes()))
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows[a:a + 16]], pa.int32()),
+                                           pa.array([r[1] for r in rows[a:a + 16]], pa.binary())], names=["b", "y"])
+               for a in range(0, len(rows), 16)]
+    tracemalloc.start()
+    out = [r for b in maxent._tally(3)(iter(batches)) for r in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45 * 8192 * 256
+    assert [r["tokens"] for r in out if r["place"] is not None] == [0, 1, 2]
+    totals = [(r["tokens"], r["kinds"]) for r in out if r["kinds"] is not None]
+    sums = {}
+    for r in out:
+        if r["part"] is not None:
+            key, logs, known = np.frombuffer(r["body"], np.uint64).reshape(3, -1)
+            assert ((key >> np.uint64(32)) * np.uint64(3) >> np.uint64(32) == r["part"]).all()
+            for k, x, c in zip(key.tolist(), logs.view(np.float64).tolist(), known.tolist()):
+                sums[k] = (sums.get(k, (0, 0))[0] + x, sums.get(k, (0, 0))[1] + c)
+    want, want_totals = {}, []
+    for bucket in (0, 1):
+        key, h, n = (np.concatenate(x) for x in zip(*((k[o], h, n) for b, k, h, o, n in pairs if b == bucket)))
+        _, token = np.unique(h, return_inverse=True)
+        c = np.bincount(token, (n >> 1) * (n & 1))
+        want_totals.append((int(c.sum()), int((c > 0).sum())))
+        docs, at = np.unique(key, return_inverse=True)
+        logs, known = np.bincount(at, (n >> 1) * np.log10(c[token] + 1)), np.bincount(at, (n >> 1) * (c[token] > 0))
+        for k, x, m in zip(docs.tolist(), logs.tolist(), known.tolist()):
+            want[k] = (want.get(k, (0, 0))[0] + x, want.get(k, (0, 0))[1] + m)
+    assert totals == want_totals and sums.keys() == want.keys()
+    assert all(abs(sums[k][0] - want[k][0]) < 1e-6 and sums[k][1] == want[k][1] for k in want)
+
+
+def test_maxent_hands_packed_rows_over_by_bytes(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+    with maxent._small_batches(spark):
+        got = [r.n for r in spark.range(0, 160, 1, 1).selectExpr("repeat('x', 100000) as x").mapInArrow(sizes, "n long").collect()]
+    assert sum(got) >= 16_000_000 and max(got) < 2 * maxent.BATCH_BYTES
+    assert spark.conf.get(key, None) == before
+
+
 def test_maxent_edges(spark, empty):
     assert maxent.score_texts(empty).collect() == []
     held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
